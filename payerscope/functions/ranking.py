@@ -12,6 +12,7 @@ the tasks that ran before it.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -92,18 +93,31 @@ def percent_rank_of(before: Column, count: Column) -> Column:
     return F.when(count > 1, before.cast("double") / (count - 1).cast("double")).otherwise(F.lit(0.0))
 
 
-def with_pct_rank(
-    df: DataFrame, value: str, out: str, partition: Sequence[str] = (), decimals: int | None = None
-) -> DataFrame:
-    """Add the tie-averaged percentile rank of ``value``; null stays null.
+class Rank(NamedTuple):
+    """A percentile rank to add: of ``value``, named ``out``, within ``partition``."""
+
+    value: str
+    out: str
+    decimals: int | None = None
+    partition: tuple[str, ...] = ()
+
 
-    The rank table has one row per distinct value, so a value held by a third of
-    all rows meets a single row there and the join can split it over tasks.
+def with_pct_ranks(df: DataFrame, ranks: Sequence[Rank]) -> DataFrame:
+    """Add tie-averaged percentile ranks; null stays null.
+
+    ``df`` is read once per rank plus once, so it should be a written table, of
+    which each rank reads one column. A rank table has one row per distinct value:
+    a value held by a third of all rows meets a single row there, and the join can
+    split it over tasks.
     """
-    ranks = value_distribution(df, value, partition, decimals).select(
-        *partition, value, average_rank_share(F.col("before"), F.col("k"), F.col("total")).alias(out)
-    )
-    return df.join(ranks, [*partition, value], "left")
+    result = df
+    for rank in ranks:
+        keys = [*rank.partition, rank.value]
+        table = value_distribution(df, rank.value, rank.partition, rank.decimals).select(
+            *keys, average_rank_share(F.col("before"), F.col("k"), F.col("total")).alias(rank.out)
+        )
+        result = result.join(table, keys, "left")
+    return result
 
 
 def exact_quantile(df: DataFrame, value: str, q: float, out: str, decimals: int | None = None) -> DataFrame:

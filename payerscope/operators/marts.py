@@ -1,7 +1,8 @@
 """The eight marts and the provider SQL mart.
 
 Shared shape: facts are summed to the entity first and only then joined to the
-dimensions, so joins see one row per entity. Percentiles come from
+dimensions, so joins see one row per entity. That entity table is written once,
+because every percentile reads one of its columns again. Percentiles come from
 ``functions.ranking`` (no one-task windows); sums of money are exact decimals.
 Where a claim count is a distinct count in the definition, it is a plain count
 here: ``claim_key`` is the key of the claim table.
@@ -16,7 +17,8 @@ from pyspark.sql import functions as F
 
 from ..fixed_values import HCC_TIERS, MEMBER_TIERS, PROVIDER_TIERS, READMISSION_TIERS
 from ..functions.expr import band, money_total, per, total
-from ..functions.ranking import exact_quantile, with_pct_rank
+from ..functions.ranking import Rank, exact_quantile, with_pct_ranks
+from ..session import write_shared
 from .star import enrich_episodes
 
 SCORE_PLACES = 6
@@ -123,10 +125,10 @@ def high_cost_member(star: dict[str, DataFrame]) -> DataFrame:
         .join(risk, "member_key", "left")
         .withColumn("gaps", F.coalesce("suspected_hcc_gap_count", F.lit(0)))
     )
-    ranked = with_pct_rank(base, "paid", "paid_percentile", decimals=2)
-    ranked = with_pct_rank(ranked, "raf_like_score", "raf_pct", decimals=3)
-    for column in ("admissions", "ed_visits", "gaps"):
-        ranked = with_pct_rank(ranked, column, f"{column}_pct")
+    ranked = with_pct_ranks(write_shared(base, "high_cost_base"), [
+        Rank("paid", "paid_percentile", decimals=2), Rank("raf_like_score", "raf_pct", decimals=3),
+        Rank("admissions", "admissions_pct"), Rank("ed_visits", "ed_visits_pct"), Rank("gaps", "gaps_pct"),
+    ])
     score = weighted([
         (0.40, F.col("paid_percentile")), (0.20, F.col("raf_pct")), (0.15, F.col("admissions_pct")),
         (0.15, F.col("ed_visits_pct")), (0.10, F.col("gaps_pct")),
@@ -188,11 +190,12 @@ def provider_performance(star: dict[str, DataFrame]) -> DataFrame:
         .withColumn("episodes", F.coalesce("episodes", F.lit(0)))
         .withColumn("readmission_rate", per(F.col("readmissions"), F.col("episodes")))
     )
-    peers = ["specialty_group"]
-    ranked = with_pct_rank(base, "payment_per_member", "peer_cost_percentile", peers, decimals=6)
-    ranked = with_pct_rank(ranked, "services_per_member", "peer_utilization_percentile", peers, decimals=6)
-    ranked = with_pct_rank(ranked, "readmission_rate", "readmission_pct", decimals=6)
-    ranked = with_pct_rank(ranked, "quality_score", "quality_pct", decimals=6)
+    peers = ("specialty_group",)
+    ranked = with_pct_ranks(write_shared(base, "provider_base"), [
+        Rank("payment_per_member", "peer_cost_percentile", 6, peers),
+        Rank("services_per_member", "peer_utilization_percentile", 6, peers),
+        Rank("readmission_rate", "readmission_pct", 6), Rank("quality_score", "quality_pct", 6),
+    ])
     score = weighted([
         (0.38, F.col("peer_cost_percentile")), (0.25, F.col("peer_utilization_percentile")),
         (0.20, F.col("readmission_pct")), (0.17, F.lit(1.0) - F.col("quality_pct")),
@@ -221,12 +224,10 @@ def provider_performance(star: dict[str, DataFrame]) -> DataFrame:
 
 def readmission_queue(star: dict[str, DataFrame]) -> DataFrame:
     queue = enrich_episodes(star)
-    ranked = queue
-    for column, out, decimals in (
-        ("raf_like_score", "raf_pct", 3), ("length_of_stay", "stay_pct", None),
-        ("readmission_index", "index_pct", 3), ("chronic_condition_count", "chronic_pct", None),
-    ):
-        ranked = with_pct_rank(ranked, column, out, decimals=decimals)
+    ranked = with_pct_ranks(write_shared(queue, "readmission_base"), [
+        Rank("raf_like_score", "raf_pct", 3), Rank("length_of_stay", "stay_pct"),
+        Rank("readmission_index", "index_pct", 3), Rank("chronic_condition_count", "chronic_pct"),
+    ])
     flag = F.col("readmission_within_30_days")
     score = weighted([
         (0.30, F.col("raf_pct")), (0.25, F.col("stay_pct")), (0.20, F.col("index_pct")),
@@ -250,11 +251,11 @@ def fwa_scored(star: dict[str, DataFrame]) -> DataFrame:
     paid_by_provider = claim.where(F.col("provider_key").isNotNull()).groupBy("provider_key").agg(
         money_total("paid_amount").alias("provider_paid")
     )
-    provider_rank = with_pct_rank(paid_by_provider, "provider_paid", "provider_paid_percentile", decimals=2).select(
-        "provider_key", "provider_paid_percentile"
-    )
+    provider_rank = with_pct_ranks(
+        paid_by_provider, [Rank("provider_paid", "provider_paid_percentile", decimals=2)]
+    ).select("provider_key", "provider_paid_percentile")
     ranked = (
-        with_pct_rank(claim, "paid_amount", "claim_paid_percentile", decimals=2)
+        with_pct_ranks(claim, [Rank("paid_amount", "claim_paid_percentile", decimals=2)])
         .join(provider_rank, "provider_key", "left")
         .join(repeats, same, "left")
         .withColumn("similar_claim_count", F.coalesce("similar", F.lit(1)).cast("bigint"))
@@ -283,9 +284,16 @@ def fwa_queue(star: dict[str, DataFrame]) -> DataFrame:
     """Claims at or above the 82nd percentile of their own score.
 
     The score has six places, so at most about a million distinct values exist and
-    the threshold comes from that small table. Labels are joined after the filter.
+    the threshold comes from that small table. The scored claims are written once,
+    since threshold and filter both read them. Labels are joined after the filter.
     """
-    scored = fwa_scored(star)
+    scored = write_shared(
+        fwa_scored(star).select(
+            "claim_id", "member_key", "provider_key", "service_key", "primary_diagnosis_key", "paid_amount",
+            "similar_claim_count", "fwa_score", "review_reason", "recommended_action",
+        ),
+        "fwa_scored",
+    )
     cut = exact_quantile(scored.select("fwa_score"), "fwa_score", 0.82, "cut")
     kept = scored.where(F.col("fwa_score") >= cut.select(F.round("cut", SCORE_PLACES)).scalar())
     diagnosis = star["dim_diagnosis"].withColumnRenamed("diagnosis_key", "primary_diagnosis_key")
@@ -305,9 +313,10 @@ def fwa_queue(star: dict[str, DataFrame]) -> DataFrame:
 def hcc_risk(star: dict[str, DataFrame]) -> DataFrame:
     member = star["dim_member"].select("member_key", "member_id", "state_code", "plan_type")
     risk = star["fact_member_risk"].join(member, "member_key", "left")
-    ranked = with_pct_rank(risk, "raf_like_score", "raf_percentile", decimals=3)
-    ranked = with_pct_rank(ranked, "suspected_hcc_gap_count", "gap_pct")
-    ranked = with_pct_rank(ranked, "paid_12m", "paid_pct", decimals=2)
+    ranked = with_pct_ranks(risk, [
+        Rank("raf_like_score", "raf_percentile", 3), Rank("suspected_hcc_gap_count", "gap_pct"),
+        Rank("paid_12m", "paid_pct", 2),
+    ])
     score = weighted([
         (0.45, F.col("gap_pct")), (0.35, F.col("raf_percentile")), (0.20, F.col("paid_pct")),
     ])

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators import marts
 from ..operators import star as ops
 from ..session import path_exists, write_shared
+from ..sources import claims_file as custom
 from ..sources import tables as src
 
 BASE_TABLES = [
@@ -13,36 +17,108 @@ BASE_TABLES = [
     "fact_inpatient_episode", "fact_member_risk",
 ]
 
-_built: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
 
-def assemble(dims: dict[str, DataFrame], claim: DataFrame, plan_years, plan_year: int) -> dict[str, DataFrame]:
-    """Derive the three remaining facts; each is written once because many marts read it."""
-    star = {**dims, "fact_claim": claim}
-    star["fact_member_month"] = write_shared(
-        ops.member_months(dims["dim_member"], claim, plan_years), "fact_member_month"
-    )
-    star["fact_inpatient_episode"] = ops.episodes(claim)
-    star["fact_member_risk"] = write_shared(
-        ops.member_risk(dims["dim_member"], claim, star["fact_inpatient_episode"], plan_year), "fact_member_risk"
-    )
-    return {name: star[name] for name in BASE_TABLES}
+class Star(dict):
+    """Base tables by name, each built on first use.
+
+    A query pays only for the tables it reads. The facts are written once because
+    many marts read them; dimensions are projections of their source and stay lazy.
+    """
+
+    def __init__(self, builders: dict[str, Callable[["Star"], DataFrame]]):
+        super().__init__()
+        self._builders = builders
+
+    def __missing__(self, name: str) -> DataFrame:
+        self[name] = self._builders[name](self)
+        return self[name]
+
+    def complete(self) -> "Star":
+        for name in BASE_TABLES:
+            self[name]
+        return self
+
+
+def derived_facts(plan_years: Sequence[int], plan_year: int) -> dict[str, Callable[[Star], DataFrame]]:
+    return {
+        "fact_member_month": lambda s: write_shared(
+            ops.member_months(s["dim_member"], s["fact_claim"], plan_years), "fact_member_month"
+        ),
+        "fact_inpatient_episode": lambda s: ops.episodes(s["fact_claim"]),
+        "fact_member_risk": lambda s: write_shared(
+            ops.member_risk(s["dim_member"], s["fact_claim"], s["fact_inpatient_episode"], plan_year),
+            "fact_member_risk",
+        ),
+    }
+
+
+def written_mart(name: str) -> Callable[[Star], DataFrame]:
+    return lambda s: write_shared(marts.MARTS[name](s), name)
+
+
+WRITTEN_MARTS = {name: written_mart(name) for name in marts.MARTS}
+CUSTOM_PLAN_YEAR = 1998
+
+_built: dict[tuple[str, ...], Star] = {}
 
 
-def star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+def from_claims_file(raw: DataFrame, plan_year: int, order: Sequence[str]) -> Star:
+    """The base tables from a loosely named claims source; ``order`` fixes the row order."""
+
+    def rows(s: Star) -> DataFrame:
+        s["_rows"], s["_has_readmission"] = custom.load_rows(raw, plan_year, order)
+        return s["_rows"]
+
+    def episodes(s: Star) -> DataFrame:
+        found = ops.episodes(s["fact_claim"])
+        source = s["_rows"]
+        return ops.override_readmissions(found, source) if s["_has_readmission"] else found
+
+    return Star({
+        "_rows": rows,
+        "dim_member": lambda s: custom.member_dim(s["_rows"]),
+        "dim_provider": lambda s: custom.provider_dim(s["_rows"]),
+        "dim_service": lambda s: custom.service_dim(s["_rows"]),
+        "dim_diagnosis": lambda s: custom.diagnosis_dim(s["_rows"]),
+        "fact_claim": lambda s: write_shared(custom.claim_fact(s["_rows"], s), "fact_claim"),
+        **derived_facts((plan_year,), plan_year),
+        "fact_inpatient_episode": episodes,
+        **WRITTEN_MARTS,
+    })
+
+
+def load_claims_csv(spark: SparkSession, path: str, plan_year: int = 2025) -> Star:
+    """The base tables from a claims CSV with a header."""
+    return from_claims_file(custom.scan_csv(spark, path), plan_year, custom.FILE_ORDER)
+
+
+def extract(spark: SparkSession, folder: str, with_readmission: bool = False) -> DataFrame:
+    return custom.loose_extract(src.claim_lines(spark, folder), with_readmission)
+
+
+def extract_star(spark: SparkSession, folder: str, with_readmission: bool = False) -> Star:
+    """The base tables from the loosely named extract of the Parquet tables."""
+    key = (spark.sparkContext.applicationId, folder, "extract", str(with_readmission))
+    if key not in _built or not path_exists(spark, _built[key]["_rows"].inputFiles()[0]):
+        raw = extract(spark, folder, with_readmission)
+        _built[key] = from_claims_file(raw, CUSTOM_PLAN_YEAR, custom.EXTRACT_ORDER)
+    return _built[key]
+
+
+def star(spark: SparkSession, folder: str) -> Star:
     """The eight base tables over the Parquet tables in ``folder``."""
     key = (spark.sparkContext.applicationId, folder)
-    known = _built.get(key)
-    if known is not None and all(
-        path_exists(spark, path) for path in known["fact_member_risk"].inputFiles()[:1]
-    ):
-        return known
-    dims = {
-        "dim_member": src.members(spark, folder),
-        "dim_provider": src.providers(spark, folder),
-        "dim_service": src.services(spark),
-        "dim_diagnosis": src.diagnoses(spark),
-    }
-    claim = ops.keyed_claims(src.claim_lines(spark, folder), src.CLAIM_ORDER, src.as_claims)
-    _built[key] = assemble(dims, claim, src.PLAN_YEARS, src.PLAN_YEARS[-1])
+    if key not in _built or not path_exists(spark, _built[key]["fact_claim"].inputFiles()[0]):
+        _built[key] = Star({
+            "dim_member": lambda s: src.members(spark, folder),
+            "dim_provider": lambda s: src.providers(spark, folder),
+            "dim_service": lambda s: src.services(spark),
+            "dim_diagnosis": lambda s: src.diagnoses(spark),
+            "fact_claim": lambda s: ops.keyed_claims(
+                src.claim_lines(spark, folder), src.CLAIM_ORDER, src.as_claims
+            ),
+            **derived_facts(src.PLAN_YEARS, src.PLAN_YEARS[-1]),
+            **WRITTEN_MARTS,
+        })
     return _built[key]

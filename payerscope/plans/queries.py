@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import marts, star as star_ops
-from .build import BASE_TABLES, star
-from .oracle_star import everything, with_ctes
+from ..functions.expr import matches
+from ..operators import kpis, marts, quality, scoring, sqlpack
+from ..operators import star as star_ops
+from ..session import shared_folder
+from ..sources import claims_file as custom
+from ..sources import sinks
+from .build import BASE_TABLES, CUSTOM_PLAN_YEAR, extract, extract_star, star
+from .oracle_custom import CUSTOM
+from .oracle_star import PROVIDER_COLS, everything, ratio, with_ctes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,3 +45,204 @@ register("episodes_enriched", over_star(star_ops.enrich_episodes), everything("e
 for _name, _build in marts.MARTS.items():
     register(_name, over_star(_build), everything(_name))
 register("top_claim_per_member", over_star(marts.top_claim_labels), everything("top_claim_per_member"))
+
+
+# --- claims file: scan, coercion, dimensions and facts ------------------------------
+
+def custom_sql(body: str, *names: str) -> str:
+    return with_ctes(body, *names, extra=CUSTOM)
+
+
+def custom_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Write the extract as CSV in the shared folder, then scan it as a claims file."""
+    path = f"{shared_folder(spark)}/extract-{uuid.uuid4().hex}"
+    sinks.write_csv({"claims": extract(spark, folder)}, path)
+    return custom.canonicalize(custom.scan_csv(spark, f"{path}/claims"))
+
+
+def custom_defaults(spark: SparkSession, folder: str) -> DataFrame:
+    """A source with amounts and dates only: everything else takes its default."""
+    bare = extract(spark, folder).select(F.col("Claim Number").alias("row_order"), "Allowed", "Service Date")
+    rows, _ = custom.load_rows(bare, CUSTOM_PLAN_YEAR, ["row_order"])
+    return rows
+
+
+def coerced(*columns: str) -> Query:
+    """Typed columns of the extract, straight from the coercion step."""
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        data = custom.canonicalize(extract(spark, folder))
+        return custom.coerce(data, CUSTOM_PLAN_YEAR).select("claim_id", *columns)
+    return query
+
+
+def custom_table(name: str, columns: list[str] | None = None, with_readmission: bool = False) -> Query:
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        df = extract_star(spark, folder, with_readmission)[name]
+        return df.select(*columns) if columns else df
+    return query
+
+
+def regex_flags(spark: SparkSession, folder: str) -> DataFrame:
+    data = custom.canonicalize(extract(spark, folder))
+    return data.select(
+        "claim_id",
+        matches(F.col("plan_type"), "dual").alias("dual_eligible"),
+        matches(F.col("specialty_group"), "(facility|hospital)").alias("facility"),
+        matches(F.col("claim_type"), "inpatient").alias("inpatient"),
+        matches(F.col("service_line"), "(emergency|ed)").alias("ed"),
+    )
+
+
+register("custom_scan", custom_scan, custom_sql("SELECT * FROM canonical", "canonical"))
+register("custom_canonicalize", lambda spark, folder: custom.canonicalize(extract(spark, folder)),
+         custom_sql("SELECT * FROM canonical", "canonical"))
+register("custom_defaults", custom_defaults, custom_sql("""
+  SELECT row_number() OVER (ORDER BY claim_id) AS claim_key,
+    'CUSTOM' || lpad((row_number() OVER (ORDER BY claim_id))::VARCHAR, 6, '0') AS claim_id,
+    'MEM' || lpad(((row_number() OVER (ORDER BY claim_id) - 1) % greatest(1, count(*) OVER () // 3) + 1)::VARCHAR, 5, '0') AS member_id,
+    'PRV' || lpad(((row_number() OVER (ORDER BY claim_id) - 1) % greatest(1, count(*) OVER () // 5) + 1)::VARCHAR, 5, '0') AS provider_id,
+    'Custom Provider' AS provider_name, 'Primary care' AS specialty_group, 'Professional' AS claim_type,
+    'Office visit' AS service_line, 'Preventive/other' AS diagnosis_group, allowed_amount, 180::DECIMAL(18,2) AS paid_amount,
+    25::DECIMAL(18,2) AS member_responsibility_amount, 1.0::DOUBLE AS chronic_condition_count, 0.85::DOUBLE AS raf_like_score,
+    0 AS inpatient_flag, 0 AS ed_flag, 0 AS readmission_flag, 'US' AS state_code, 'Medicare Advantage' AS plan_type,
+    claim_from_date, claim_from_date AS claim_thru_date FROM rows""", "rows"))
+_numbers = ["allowed_amount", "paid_amount", "member_responsibility_amount", "chronic_condition_count", "raf_like_score"]
+for _name, _columns in {
+    "coerce_numeric": _numbers,
+    "coerce_flags": ["inpatient_flag", "ed_flag"],
+    "coerce_dates": ["claim_from_date", "claim_thru_date"],
+}.items():
+    register(_name, coerced(*_columns), custom_sql(f"SELECT claim_id, {', '.join(_columns)} FROM rows", "rows"))
+for _name, _columns in {
+    "date_keys": ["claim_id", "claim_from_date_key", "claim_thru_date_key", "paid_month_key"],
+    "length_of_stay": ["claim_id", "length_of_stay"],
+    "claim_flags": ["claim_id", "avoidable_ed_flag", "pharmacy_flag", "prior_auth_flag", "denied_flag"],
+}.items():
+    register(_name, custom_table("fact_claim", _columns), custom_sql(f"SELECT {', '.join(_columns)} FROM c_claim", "c_claim"))
+for _name, _columns in {
+    "age_band": ["member_id", "age", "age_band"],
+    "risk_segment": ["member_id", "raf_like_score", "risk_segment"],
+    "member_derivations": [
+        "member_id", "age", "hcc_count", "diabetes_flag", "copd_flag", "chf_flag", "ckd_flag", "behavioral_health_flag",
+    ],
+}.items():
+    register(_name, custom_table("dim_member", _columns), custom_sql(f"SELECT {', '.join(_columns)} FROM c_member", "c_member"))
+register("regex_flags", regex_flags, custom_sql("""
+  SELECT claim_id, regexp_matches(plan_type, 'dual', 'i')::INT AS dual_eligible,
+    regexp_matches(specialty_group, 'facility|hospital', 'i')::INT AS facility,
+    regexp_matches(claim_type, 'inpatient', 'i')::INT AS inpatient,
+    regexp_matches(service_line, 'emergency|ed', 'i')::INT AS ed FROM canonical""", "canonical"))
+for _name, _cte in {
+    "dim_member": "c_member", "dim_provider": "c_provider", "dim_service": "c_service", "dim_diagnosis": "c_diagnosis",
+    "fact_claim": "c_claim",
+}.items():
+    register(_name, custom_table(_name), custom_sql(f"SELECT * FROM {_cte}", _cte))
+register("readmission_override", custom_table("fact_inpatient_episode", with_readmission=True),
+         custom_sql("SELECT * FROM c_episode", "c_episode"))
+
+
+# --- SQL pack, headline figures, quality, counts -------------------------------------
+
+register("provider_scored_sql", over_star(lambda s: sqlpack.run_sql(sqlpack.PROVIDER_SCORED, s)), with_ctes("""
+  SELECT provider_name, specialty_group, claims, members, paid::DOUBLE AS paid_amount,
+    paid::DOUBLE / nullif(members, 0)::DOUBLE AS payment_per_member,
+    claims::DOUBLE / nullif(members, 0)::DOUBLE AS services_per_member, quality_score FROM provider_base""", "provider_base"))
+for _name, _text in sqlpack.QUERY_PACK.items():
+    _mart = sqlpack.placeholders(_text)[0]
+    register(_name, over_star(lambda s, text=_text: sqlpack.run_sql(text, s)),
+             with_ctes(_text.replace("{" + _mart + "}", _mart), _mart))
+register("query_pack_summary", over_star(lambda s: sinks.run_summary(sqlpack.run_pack(s))))
+
+CHECKED = "fact_claim dim_member dim_provider fact_member_month fact_inpatient_episode".split()
+_checks_sql = """
+  SELECT check_name, CASE WHEN passed THEN 'PASS' ELSE 'FAIL' END AS status, value::VARCHAR AS value, threshold FROM (
+  SELECT 'claim_rows_positive' AS check_name, count(*) > 0 AS passed, count(*)::VARCHAR AS value, '> 0' AS threshold FROM fact_claim
+  UNION ALL SELECT 'claim_id_unique', count(*) = count(DISTINCT claim_id), count(DISTINCT claim_id)::VARCHAR, 'unique' FROM fact_claim
+  UNION ALL SELECT 'member_key_integrity', count(*) = 0, count(*)::VARCHAR, 'all claims map to members' FROM fact_claim c
+    WHERE NOT EXISTS (SELECT 1 FROM dim_member m WHERE m.member_key = c.member_key)
+  UNION ALL SELECT 'provider_key_integrity', count(*) = 0, count(*)::VARCHAR, 'all claims map to providers' FROM fact_claim c
+    WHERE NOT EXISTS (SELECT 1 FROM dim_provider m WHERE m.provider_key = c.provider_key)
+  UNION ALL SELECT 'paid_amount_non_negative', min(paid_amount) >= 0, min(paid_amount)::VARCHAR, '>= 0' FROM fact_claim
+  UNION ALL SELECT 'allowed_amount_non_negative', min(allowed_amount) >= 0, min(allowed_amount)::VARCHAR, '>= 0' FROM fact_claim
+  UNION ALL SELECT 'claim_date_order', count(*) = 0, count(*)::VARCHAR, 'from <= thru' FROM fact_claim
+    WHERE claim_from_date_key > claim_thru_date_key
+  UNION ALL SELECT 'member_month_unique', count(*) = count(DISTINCT (member_key, month_key)),
+    (count(*) - count(DISTINCT (member_key, month_key)))::VARCHAR, '0 duplicates' FROM fact_member_month
+  UNION ALL SELECT 'member_months_positive', sum(eligible_flag) > 0, sum(eligible_flag)::VARCHAR, '> 0' FROM fact_member_month
+  UNION ALL SELECT 'readmission_days_non_negative', min(days_to_readmission) >= 0, min(days_to_readmission)::VARCHAR, '>= 0'
+    FROM fact_inpatient_episode""" + "".join(
+    f"\n  UNION ALL SELECT '{m}_not_empty', count(*) > 0, count(*)::VARCHAR, '> 0 rows' FROM {m}" for m in marts.MARTS
+) + ")"
+register("quality_report", over_star(quality.quality_report), with_ctes(_checks_sql, *CHECKED, *marts.MARTS))
+
+_complex = "(SELECT count(*) FROM mart_high_cost_member WHERE priority_tier = 'Complex care')"
+register("kpi_summary", over_star(lambda s: kpis.kpi_summary(s, quality.quality_report(s))), with_ctes(f"""
+  SELECT (SELECT count(*) FROM fact_claim) AS claims, (SELECT count(*) FROM dim_member) AS members,
+    (SELECT sum(paid_amount)::DOUBLE FROM fact_claim) AS paid,
+    (SELECT sum(paid_amount::DECIMAL(28,2))::DOUBLE / greatest(sum(member_months)::DOUBLE, 1.0::DOUBLE) FROM mart_member_month_pmpm) AS pmpm,
+    (SELECT sum(readmission_within_30_days)::DOUBLE / count(*)::DOUBLE FROM fact_inpatient_episode) AS readmission_rate,
+    {_complex} AS complex_members,
+    (SELECT count(*) FROM mart_provider_performance WHERE performance_tier = 'Intervention') AS provider_interventions,
+    (SELECT count(*) FROM mart_fwa_queue) AS fwa_cases,
+    (SELECT count(*) FROM ({_checks_sql}) WHERE status = 'FAIL') AS quality_failures""", *CHECKED, *marts.MARTS))
+register("pmpm_trend", over_star(lambda s: kpis.pmpm_trend(s["mart_member_month_pmpm"])), with_ctes("""
+  SELECT month_key, sum(pmpm::DECIMAL(28,6))::DOUBLE / count(*)::DOUBLE AS pmpm,
+    sum(paid_amount::DECIMAL(28,2))::DOUBLE AS paid_amount, sum(member_months)::BIGINT AS member_months
+  FROM mart_member_month_pmpm GROUP BY 1""", "mart_member_month_pmpm"))
+register("risk_cost", over_star(lambda s: kpis.risk_cost(s["mart_high_cost_member"])), with_ctes("""
+  SELECT risk_segment, sum(paid_12m::DECIMAL(28,2))::DOUBLE AS paid_12m, count(DISTINCT member_key) AS members
+  FROM mart_high_cost_member WHERE risk_segment IS NOT NULL GROUP BY 1""", "mart_high_cost_member"))
+register("top_n_queues", over_star(kpis.top_n_queues), with_ctes(" UNION ALL ".join(
+    f"(SELECT '{queue}' AS queue, {key}::VARCHAR AS entity, {score} AS score FROM {mart} ORDER BY {score} DESC, {key} LIMIT {n})"
+    for queue, (mart, key, score, n) in kpis.QUEUES.items()), *{q[0] for q in kpis.QUEUES.values()}))
+_counted = [*BASE_TABLES, *marts.MARTS]
+register("record_counts", over_star(lambda s: sinks.record_counts({n: s[n] for n in _counted})), with_ctes(
+    " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS records FROM {t}" for t in _counted), *_counted))
+
+
+# --- scores --------------------------------------------------------------------------
+
+register("target_high_cost",
+         over_star(lambda s: scoring.high_cost_target(s["fact_member_risk"]).select("member_key", "target_high_cost")),
+         with_ctes("""
+  SELECT member_key, (round(paid_12m::DOUBLE, 6) >= (SELECT round(quantile_cont(paid_12m::DOUBLE, 0.9), 6) FROM fact_member_risk))::INT
+    AS target_high_cost FROM fact_member_risk""", "fact_member_risk"))
+register("score_high_cost", over_star(lambda s: scoring.score_high_cost(s).scores))
+register("score_readmission", over_star(lambda s: scoring.score_readmission(s).scores))
+register("provider_features", over_star(scoring.provider_features), with_ctes(f"""
+  SELECT provider_key, claims, members, paid::DOUBLE AS paid_amount, allowed::DOUBLE AS allowed_amount, inpatient_claims,
+    ed_claims, denied_claims, {PROVIDER_COLS}, payment_per_member, services_per_member,
+    {ratio('denied_claims', 'claims')} AS denial_rate FROM provider_base""", "provider_base"))
+register("score_provider_anomaly", over_star(lambda s: scoring.score_provider_anomaly(s).scores))
+register("model_metrics", over_star(lambda s: scoring.model_metrics(scoring.all_models(s))))
+register("quality_report_models",
+         over_star(lambda s: quality.quality_report(s, scoring.model_metrics(scoring.all_models(s)))))
+register("baseline_models", over_star(scoring.baseline_metrics))
+
+
+def lift_rows(s) -> DataFrame:
+    target = scoring.high_cost_target(s["fact_member_risk"]).select("member_key", "target_high_cost")
+    return s["mart_high_cost_member"].select("member_key", "risk_priority_score").join(target, "member_key")
+
+
+LIFT = {"lift_rows": (["mart_high_cost_member", "fact_member_risk"], """
+  SELECT risk_priority_score AS score, (round(paid_12m::DOUBLE, 6) >= (SELECT round(quantile_cont(paid_12m::DOUBLE, 0.9), 6)
+    FROM fact_member_risk))::INT AS target
+  FROM (SELECT member_key, risk_priority_score FROM mart_high_cost_member) m
+  JOIN (SELECT member_key, paid_12m FROM fact_member_risk) r USING (member_key)""")}
+register("score_lift", over_star(lambda s: scoring.score_lift(lift_rows(s), "risk_priority_score", "target_high_cost")),
+         with_ctes("""
+  SELECT risk_decile, rows, positives, score_sum / rows::DOUBLE AS mean_score, positives / rows::DOUBLE AS observed_rate,
+    (sum(positives) OVER w)::DOUBLE / (sum(rows) OVER w)::DOUBLE AS precision_at_k,
+    (sum(positives) OVER w)::DOUBLE / (sum(positives) OVER ())::DOUBLE AS recall_at_k,
+    positives / rows::DOUBLE / ((sum(positives) OVER ())::DOUBLE / (sum(rows) OVER ())::DOUBLE) AS lift,
+    (sum(rows) OVER w)::BIGINT AS workload
+  FROM (SELECT risk_decile, count(*) AS rows, sum(target)::BIGINT AS positives, sum(score::DECIMAL(18,6))::DOUBLE AS score_sum
+    FROM (SELECT *, (floor((rank() OVER (ORDER BY score DESC) - 1) * 10 / (count(*) OVER ())) + 1)::INT AS risk_decile FROM lift_rows)
+    GROUP BY 1) WINDOW w AS (ORDER BY risk_decile)""", "lift_rows", extra=LIFT))
+register("confusion_counts",
+         over_star(lambda s: scoring.confusion_counts(lift_rows(s), "risk_priority_score", "target_high_cost", 0.75)),
+         with_ctes("""
+  SELECT count(*) FILTER (score >= 0.75 AND target = 1) AS true_positive, count(*) FILTER (score >= 0.75 AND target = 0) AS false_positive,
+    count(*) FILTER (score < 0.75 AND target = 1) AS false_negative, count(*) FILTER (score < 0.75 AND target = 0) AS true_negative
+  FROM lift_rows""", "lift_rows", extra=LIFT))
