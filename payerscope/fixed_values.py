@@ -94,7 +94,6 @@ DATE_FORMATS = ["yyyy-MM-dd", "MM/dd/yyyy", "yyyyMMdd"]
 # --- Fixed values: bands, as (right-closed edges, labels) -------------------
 AGE_BANDS = ([0, 34, 49, 64, 74, 84, 120], ["18-34", "35-49", "50-64", "65-74", "75-84", "85+"])
 RISK_SEGMENTS = ([0, 0.7, 1.15, 1.75, 9], ["Low", "Moderate", "High", "Complex"])
-RISK_BANDS_ALT = ([0, 0.7, 1.2, 2.5], ["Low risk", "Moderate risk", "High risk", "Very high risk"])
 MEMBER_TIERS = ([0, 0.55, 0.75, 0.90, 1.01], ["Monitor", "Rising risk", "High risk", "Complex care"])
 PROVIDER_TIERS = ([0, 0.45, 0.70, 0.88, 1.01], ["Efficient", "Standard", "Watchlist", "Intervention"])
 READMISSION_TIERS = ([0, 0.55, 0.75, 0.90, 1.01], ["Monitor", "Follow-up", "High risk", "Immediate outreach"])

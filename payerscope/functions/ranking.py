@@ -34,8 +34,8 @@ def value_distribution(
     """One row per distinct non-null value with the counts below it.
 
     Output: partition columns, ``value``, ``k`` (rows with it), ``before`` (rows
-    below it), ``distinct_before``, ``total`` (non-null rows of the partition), and
-    for each measure ``m`` its sum ``m``, the sum below ``m_before`` and ``m_total``.
+    below it), ``total`` (non-null rows of the partition), the same two for distinct
+    values (``distinct_before``, ``distinct_total``), and for each measure ``m`` its sum ``m``, the sum below ``m_before`` and ``m_total``.
 
     ``decimals`` states at how many decimals the values live; then a range holds at
     most ``RANGE_WIDTH`` of them. ``None`` is for columns whose whole domain is
@@ -60,7 +60,7 @@ def value_distribution(
 
     counted = values.withColumn("_one", F.lit(1).cast("bigint"))
     plan = {before_name[n]: (n, total_name[n]) for n in sums}
-    plan["distinct_before"] = ("_one", "")
+    plan["distinct_before"] = ("_one", "distinct_total")
     if decimals is None:
         return running(counted, keys, value, plan).drop("_one")
 
@@ -68,7 +68,7 @@ def value_distribution(
     ranged = counted.withColumn("_range", F.floor(F.col(value).cast("double") / F.lit(step)))
     totals = ranged.groupBy(*keys, "_range").agg(*[F.sum(n).alias(f"_t_{n}") for n in [*sums, "_one"]])
     offset_plan = {f"_o_{n}": (f"_t_{n}", total_name[n]) for n in sums}
-    offset_plan["_o__one"] = ("_t__one", "")
+    offset_plan["_o__one"] = ("_t__one", "distinct_total")
     offsets = running(totals, keys, "_range", offset_plan).drop(*[f"_t_{n}" for n in [*sums, "_one"]])
     inside = running(
         ranged, [*keys, "_range"], value,
@@ -79,7 +79,7 @@ def value_distribution(
         *keys, value, *sums,
         *[(F.col(f"_o_{n}") + F.col(f"_i_{n}")).alias(before_name[n]) for n in sums],
         (F.col("_o__one") + F.col("_i__one")).alias("distinct_before"),
-        *total_name.values(),
+        "distinct_total", *total_name.values(),
     )
 
 
@@ -120,23 +120,33 @@ def with_pct_ranks(df: DataFrame, ranks: Sequence[Rank]) -> DataFrame:
     return result
 
 
+def exact_quantiles(
+    df: DataFrame,
+    value: str,
+    cuts: Mapping[str, float],
+    partition: Sequence[str] = (),
+    decimals: int | None = None,
+) -> DataFrame:
+    """Linear-interpolated quantiles, one row per partition, read off the running counts."""
+    keys = list(partition)
+    dist = value_distribution(df, value, keys, decimals)
+    number, through = F.col(value).cast("double"), F.col("before") + F.col("k")
+    picks, results = [], []
+    for i, (name, q) in enumerate(cuts.items()):
+        position = F.lit(float(q)) * (F.col("total") - 1).cast("double")
+        picks += [
+            F.min(F.when(through > F.floor(position), number)).alias(f"_low{i}"),
+            F.min(F.when(through > F.ceil(position), number)).alias(f"_high{i}"),
+            F.max(position - F.floor(position)).alias(f"_part{i}"),
+        ]
+        low, high = F.col(f"_low{i}"), F.col(f"_high{i}")
+        results.append((low + (high - low) * F.col(f"_part{i}")).alias(name))
+    grouped = dist.groupBy(*keys).agg(*picks) if keys else dist.agg(*picks)
+    return grouped.select(*keys, *results)
+
+
 def exact_quantile(df: DataFrame, value: str, q: float, out: str, decimals: int | None = None) -> DataFrame:
-    """Linear-interpolated quantile as a one-row frame, read off the running counts."""
-    dist = value_distribution(df, value, (), decimals)
-    position = F.lit(q) * (F.col("total") - 1).cast("double")
-    through = F.col("before") + F.col("k")
-    number = F.col(value).cast("double")
-    return dist.select(
-        number.alias("v"),
-        through.alias("through"),
-        F.floor(position).alias("low_at"),
-        F.ceil(position).alias("high_at"),
-        (position - F.floor(position)).alias("fraction"),
-    ).agg(
-        F.min(F.when(F.col("through") > F.col("low_at"), F.col("v"))).alias("low"),
-        F.min(F.when(F.col("through") > F.col("high_at"), F.col("v"))).alias("high"),
-        F.max("fraction").alias("fraction"),
-    ).select((F.col("low") + (F.col("high") - F.col("low")) * F.col("fraction")).alias(out))
+    return exact_quantiles(df, value, {out: q}, (), decimals)
 
 
 def dense_key(
@@ -166,3 +176,20 @@ def dense_key(
     inside = F.col("_at").bitwiseAND(F.lit((1 << _MAX_POSITION_BITS) - 1))
     key = F.element_at(offsets, (task + 1).cast("int")) + inside + 1
     return tagged.withColumn(out, key.cast("bigint")).drop("_at")
+
+
+def with_next(df: DataFrame, group: str, order: Sequence[str], columns: Mapping[str, str], name: str) -> DataFrame:
+    """Add columns of the next row of the same group, without a window over the group.
+
+    Rows are numbered densely by (group, order), then joined to their successor by
+    number: both sides of the join are unique, however many rows a group has.
+    """
+    placed = dense_key(df, [group, *order], "_place", name)
+    after = placed.select(
+        (F.col("_place") - 1).alias("_place"), F.col(group).alias("_next_group"),
+        *[F.col(source).alias(f"_next_{out}") for out, source in columns.items()],
+    )
+    same = F.col(group) == F.col("_next_group")
+    return placed.join(after, "_place", "left").select(
+        *df.columns, *[F.when(same, F.col(f"_next_{out}")).alias(out) for out in columns]
+    )

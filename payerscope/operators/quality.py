@@ -109,3 +109,42 @@ def quality_report(tables: Mapping[str, DataFrame], metrics: DataFrame | None =
     if metrics is not None:
         parts.append(model_checks(metrics))
     return union(parts)
+
+
+LEAKY_COLUMNS = {"paid_12m", "target_high_cost", "readmission_within_30_days", "days_to_readmission"}
+
+
+def extended_checks(
+    tables: Mapping[str, DataFrame], bridge: DataFrame, features: DataFrame, expected_rows: int
+) -> DataFrame:
+    """Further tests: ids, ages, eligibility, bridges, episodes, PMPM denominator, features.
+
+    ``expected_rows`` is how many feature rows each member must have.
+    """
+    v = F.col("v")
+    counted = lambda df, condition: df.agg(F.count_if(condition).alias("v"))
+    none = lambda name, df, condition, threshold: report(counted(df, condition), [(name, v == 0, v, threshold)])
+    typed = tables["fact_claim"].join(tables["dim_service"].select("service_key", "claim_type"), "service_key", "left")
+    repeated = typed.groupBy("claim_type", "claim_id").agg(F.count(F.lit(1)).alias("k"))
+    repeated_members = tables["dim_member"].groupBy("member_id").agg(F.count(F.lit(1)).alias("k"))
+    rows_per_member = features.groupBy("member_key").agg(F.count(F.lit(1)).alias("k"))
+    leaks = sorted(LEAKY_COLUMNS & set(features.columns))
+    spark = bridge.sparkSession
+    age, months = F.col("age"), F.col("eligibility_months")
+    return union([
+        none("claim_id_not_null", tables["fact_claim"], F.col("claim_id").isNull(), "0 missing"),
+        none("claim_id_unique_in_type", repeated, F.col("k") > 1, "0 repeated"),
+        none("paid_amount_not_null", tables["fact_claim"], F.col("paid_amount").isNull(), "0 missing"),
+        none("member_id_unique", repeated_members, F.col("k") > 1, "0 repeated"),
+        none("age_in_range", tables["dim_member"], ~F.coalesce(age.between(0, 110), F.lit(False)), "0..110"),
+        none("eligibility_months_in_range", tables["dim_member"],
+             ~F.coalesce(months.between(0, 12), F.lit(False)), "0..12"),
+        none("diagnosis_code_not_blank", bridge, F.coalesce(F.trim("diagnosis_code"), F.lit("")) == "", "0 blank"),
+        none("diagnosis_position_valid", bridge, F.col("diagnosis_position") < 1, ">= 1"),
+        none("principal_is_first", bridge, (F.col("principal_flag") == 1) != (F.col("diagnosis_position") == 1), "position 1"),
+        none("discharge_date_present", tables["fact_inpatient_episode"], F.col("discharge_date_key").isNull(), "0 missing"),
+        none("pmpm_excludes_ineligible", tables["fact_member_month"], F.col("eligible_flag") != 1, "0 ineligible"),
+        none("feature_rows_match_grain", rows_per_member, F.col("k") != expected_rows, "one row per member-year"),
+        report(spark.range(1).select(F.lit(len(leaks)).alias("v")),
+               [("no_leakage_columns", v == 0, v, "0 columns")]),
+    ])

@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import marts
+from ..operators import marts, scoring
 from ..operators import star as ops
 from ..session import path_exists, write_shared
 from ..sources import claims_file as custom
@@ -58,6 +58,7 @@ def written_mart(name: str) -> Callable[[Star], DataFrame]:
 
 
 WRITTEN_MARTS = {name: written_mart(name) for name in marts.MARTS}
+MODELS = {"_models": scoring.all_models}
 CUSTOM_PLAN_YEAR = 1998
 
 _built: dict[tuple[str, ...], Star] = {}
@@ -85,6 +86,7 @@ def from_claims_file(raw: DataFrame, plan_year: int, order: Sequence[str]) -> St
         **derived_facts((plan_year,), plan_year),
         "fact_inpatient_episode": episodes,
         **WRITTEN_MARTS,
+        **MODELS,
     })
 
 
@@ -120,5 +122,6 @@ def star(spark: SparkSession, folder: str) -> Star:
             ),
             **derived_facts(src.PLAN_YEARS, src.PLAN_YEARS[-1]),
             **WRITTEN_MARTS,
+            **MODELS,
         })
     return _built[key]

@@ -9,13 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.expr import matches
-from ..operators import kpis, marts, quality, scoring, sqlpack
+from ..operators import care, coding, cost, kpis, marts, quality, review, scoring, sqlpack
 from ..operators import star as star_ops
-from ..session import shared_folder
+from ..session import shared_folder, write_shared
 from ..sources import claims_file as custom
 from ..sources import sinks
+from ..sources import tables as src
 from .build import BASE_TABLES, CUSTOM_PLAN_YEAR, extract, extract_star, star
 from .oracle_custom import CUSTOM
+from .oracle_design import AMOUNTS, DESIGN
 from .oracle_star import PROVIDER_COLS, everything, ratio, with_ctes
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -214,9 +216,9 @@ register("provider_features", over_star(scoring.provider_features), with_ctes(f"
     ed_claims, denied_claims, {PROVIDER_COLS}, payment_per_member, services_per_member,
     {ratio('denied_claims', 'claims')} AS denial_rate FROM provider_base""", "provider_base"))
 register("score_provider_anomaly", over_star(lambda s: scoring.score_provider_anomaly(s).scores))
-register("model_metrics", over_star(lambda s: scoring.model_metrics(scoring.all_models(s))))
+register("model_metrics", over_star(lambda s: scoring.model_metrics(s["_models"])))
 register("quality_report_models",
-         over_star(lambda s: quality.quality_report(s, scoring.model_metrics(scoring.all_models(s)))))
+         over_star(lambda s: quality.quality_report(s, scoring.model_metrics(s["_models"]))))
 register("baseline_models", over_star(scoring.baseline_metrics))
 
 
@@ -246,3 +248,164 @@ register("confusion_counts",
   SELECT count(*) FILTER (score >= 0.75 AND target = 1) AS true_positive, count(*) FILTER (score >= 0.75 AND target = 0) AS false_positive,
     count(*) FILTER (score < 0.75 AND target = 1) AS false_negative, count(*) FILTER (score < 0.75 AND target = 0) AS true_negative
   FROM lift_rows""", "lift_rows", extra=LIFT))
+
+
+# --- yearly, provider, episode and coding operators ---------------------------------------
+
+def design_sql(body: str, *names: str) -> str:
+    return with_ctes(body, *names, extra=DESIGN)
+
+
+def design_all(name: str) -> str:
+    return design_sql(f"SELECT * FROM {name}", name)
+
+
+def wide_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return src.wide_codes(src.claim_lines(spark, folder))
+
+
+BRIDGE_KEYS = ["claim_id", "member_key", "risk_year"]
+
+
+def diagnosis_bridge(spark: SparkSession, folder: str) -> DataFrame:
+    return coding.code_bridge(wide_codes(spark, folder), BRIDGE_KEYS, src.DIAGNOSIS_CODE_COLUMNS, "diagnosis_code")
+
+
+def captured_hccs(spark: SparkSession, folder: str, bridge: DataFrame) -> DataFrame:
+    captured = coding.captured_hccs(bridge, src.diagnoses(spark), coding.hcc_table(spark))
+    return write_shared(captured, "captured_hccs")
+
+
+def hcc_gaps(spark: SparkSession, folder: str) -> DataFrame:
+    return coding.hcc_gaps(captured_hccs(spark, folder, diagnosis_bridge(spark, folder)), src.PLAN_YEARS[-1])
+
+
+def hcc_rollup(spark: SparkSession, folder: str) -> DataFrame:
+    codes = write_shared(
+        diagnosis_bridge(spark, folder).select("member_key", "risk_year", "diagnosis_code").distinct(), "member_codes"
+    )
+    captured = captured_hccs(spark, folder, codes)
+    gaps = coding.hcc_gaps(captured, src.PLAN_YEARS[-1])
+    return coding.hcc_rollup(codes, captured, gaps, src.members(spark, folder))
+
+
+def lineage(spark: SparkSession, folder: str) -> DataFrame:
+    return coding.with_lineage(src.table(spark, folder, "lineitem"))
+
+
+def reconciliation(spark: SparkSession, folder: str) -> DataFrame:
+    return cost.reconciliation(star(spark, folder), src.as_claims(src.claim_lines(spark, folder)))
+
+
+def quality_report_ext(spark: SparkSession, folder: str) -> DataFrame:
+    s = star(spark, folder)
+    features = care.member_year_features(s, src.PLAN_YEARS)
+    return quality.extended_checks(s, diagnosis_bridge(spark, folder), features, len(src.PLAN_YEARS))
+
+
+register("monthly_paid_by_type", over_star(cost.monthly_paid_by_type), design_sql(
+    f"SELECT member_key, year_month, {', '.join(f'{a}::DOUBLE AS {a}' for a in AMOUNTS)} FROM monthly", "monthly"))
+register("segment_pmpm", over_star(cost.segment_pmpm), design_all("segment_pmpm"))
+register("rolling_pmpm", over_star(cost.rolling_pmpm), design_sql("""
+  SELECT year_month, state_code, age_band, risk_segment, eligible_member_months, pmpm,
+    (sum(pmpm::DECIMAL(28,6)) OVER (w ROWS BETWEEN 2 PRECEDING AND CURRENT ROW))::DOUBLE
+      / (count(*) OVER (w ROWS BETWEEN 2 PRECEDING AND CURRENT ROW))::DOUBLE AS rolling_3m_pmpm,
+    (sum(pmpm::DECIMAL(28,6)) OVER (w ROWS BETWEEN 11 PRECEDING AND CURRENT ROW))::DOUBLE
+      / (count(*) OVER (w ROWS BETWEEN 11 PRECEDING AND CURRENT ROW))::DOUBLE AS rolling_12m_pmpm
+  FROM segment_pmpm WINDOW w AS (PARTITION BY state_code, age_band, risk_segment ORDER BY year_month)""", "segment_pmpm"))
+register("readmission_30day", over_star(care.readmission_30day), design_all("readmission_30day"))
+register("high_cost_flag", over_star(care.high_cost_flag), design_all("high_cost_flag"))
+register("provider_peer_rank", over_star(review.provider_peer_rank), design_all("provider_peer_rank"))
+register("fwa_provider_flags", over_star(review.fwa_provider_flags), design_all("fwa_provider_flags"))
+register("provider_month", over_star(review.provider_month), design_all("provider_month"))
+register("dim_date", over_star(cost.dim_date), design_all("dim_date"))
+register("feature_member_year", over_star(lambda s: care.member_year_features(s, src.PLAN_YEARS)),
+         design_all("feature_member_year"))
+register("feature_provider_year", over_star(review.provider_year_features), design_all("feature_provider_year"))
+register("feature_episode", over_star(care.episode_features), design_all("feature_episode"))
+register("diagnosis_bridge", diagnosis_bridge, design_all("diagnosis_bridge"))
+register("procedure_bridge", lambda spark, folder: coding.code_bridge(
+    wide_codes(spark, folder), BRIDGE_KEYS, src.PROCEDURE_CODE_COLUMNS, "procedure_code"), design_all("procedure_bridge"))
+register("hcc_gaps", hcc_gaps, design_all("hcc_gaps"))
+register("hcc_rollup", hcc_rollup, design_all("hcc_rollup"))
+register("claim_header_union",
+         over_star(lambda s: coding.claim_header_union(src.claim_sources(s["fact_claim"], s["dim_service"]))),
+         design_sql(f"SELECT {', '.join(coding.HEADER)}, claim_type FROM typed_claim", "typed_claim"))
+register("lineage", lineage)
+register("kpi_dictionary", over_star(cost.kpi_dictionary), design_sql("""
+  SELECT kpi, round(value, 6) AS value FROM (
+    WITH c AS (SELECT count(*)::DOUBLE AS n, sum(paid_amount)::DOUBLE AS paid, sum(allowed_amount)::DOUBLE AS allowed,
+        sum(inpatient_flag)::DOUBLE AS adm, sum(ed_flag)::DOUBLE AS ed, sum(denied_flag)::DOUBLE AS denied,
+        sum(inpatient_flag * length_of_stay)::DOUBLE AS days FROM fact_claim),
+      m AS (SELECT sum(eligible_flag)::DOUBLE AS mm, sum(paid_amount)::DOUBLE AS mm_paid FROM fact_member_month),
+      e AS (SELECT count(*)::DOUBLE AS stays, sum(readmission_within_30_days)::DOUBLE AS back FROM fact_inpatient_episode),
+      d AS (SELECT (count(*) - count(DISTINCT (member_key, provider_key, service_key, claim_from_date_key)))::DOUBLE AS extra FROM fact_claim),
+      r AS (SELECT paid_12m, row_number() OVER (ORDER BY paid_12m DESC) AS i, count(*) OVER () AS n FROM fact_member_risk)
+    SELECT 'total_paid_amount' AS kpi, paid AS value FROM c UNION ALL SELECT 'allowed_amount', allowed FROM c
+    UNION ALL SELECT 'paid_per_claim', paid / n FROM c UNION ALL SELECT 'eligible_member_months', mm FROM m
+    UNION ALL SELECT 'pmpm', mm_paid / mm FROM m UNION ALL SELECT 'admissions_per_1000', adm / mm * 12000.0::DOUBLE FROM c, m
+    UNION ALL SELECT 'ed_visits_per_1000', ed / mm * 12000.0::DOUBLE FROM c, m
+    UNION ALL SELECT 'inpatient_days_per_1000', days / mm * 12000.0::DOUBLE FROM c, m
+    UNION ALL SELECT 'average_length_of_stay', days / adm FROM c UNION ALL SELECT 'readmission_rate_30day', back / stays FROM e
+    UNION ALL SELECT 'duplicate_claim_rate', extra / n FROM c, d UNION ALL SELECT 'denial_rate', denied / n FROM c
+    UNION ALL SELECT 'cost_concentration_top_1_pct', sum(paid_12m) FILTER (i <= ceil(n * 0.01))::DOUBLE / sum(paid_12m)::DOUBLE FROM r
+    UNION ALL SELECT 'cost_concentration_top_5_pct', sum(paid_12m) FILTER (i <= ceil(n * 0.05))::DOUBLE / sum(paid_12m)::DOUBLE FROM r
+    UNION ALL SELECT 'cost_concentration_top_10_pct', sum(paid_12m) FILTER (i <= ceil(n * 0.10))::DOUBLE / sum(paid_12m)::DOUBLE FROM r)""",
+    "fact_claim", "fact_member_month", "fact_inpatient_episode", "fact_member_risk"))
+register("denial_benchmark", lambda spark, folder: review.denial_benchmark(src.denial_counts(spark, folder)), f"""
+  SELECT *, {ratio('claims_denied', 'claims_received')} AS denial_rate, {ratio('appeals_filed', 'claims_denied')} AS appeal_rate,
+    {ratio('appeals_upheld', 'appeals_filed')} AS upheld_rate FROM (
+    SELECT r_name AS issuer, n_name AS state_code, CASE c_mktsegment WHEN 'BUILDING' THEN 'MA-PD'
+        WHEN 'FURNITURE' THEN 'Dual Eligible SNP' WHEN 'HOUSEHOLD' THEN 'Employer Group Waiver' ELSE 'Medicare Advantage' END AS plan_type,
+      year(l_shipdate)::INT AS plan_year, count(*) AS claims_received,
+      count(*) FILTER (l_returnflag = 'R' AND l_linenumber <= 3) AS claims_denied,
+      count(*) FILTER (l_returnflag = 'R' AND l_linenumber <= 3 AND l_linestatus = 'F') AS appeals_filed,
+      count(*) FILTER (l_returnflag = 'R' AND l_linenumber <= 3 AND l_linestatus = 'F' AND l_tax > 0.04) AS appeals_upheld
+    FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN customer ON o_custkey = c_custkey
+    LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey GROUP BY 1, 2, 3, 4)""")
+_zero_checks = {
+    "claim_id_not_null": ("0 missing", "fact_claim", "claim_id IS NULL"),
+    "claim_id_unique_in_type": ("0 repeated", "(SELECT claim_type, claim_id, count(*) AS k FROM typed_claim GROUP BY 1, 2)", "k > 1"),
+    "paid_amount_not_null": ("0 missing", "fact_claim", "paid_amount IS NULL"),
+    "member_id_unique": ("0 repeated", "(SELECT member_id, count(*) AS k FROM dim_member GROUP BY 1)", "k > 1"),
+    "age_in_range": ("0..110", "dim_member", "age NOT BETWEEN 0 AND 110"),
+    "eligibility_months_in_range": ("0..12", "dim_member", "eligibility_months NOT BETWEEN 0 AND 12"),
+    "diagnosis_code_not_blank": ("0 blank", "diagnosis_bridge", "trim(diagnosis_code) = ''"),
+    "diagnosis_position_valid": (">= 1", "diagnosis_bridge", "diagnosis_position < 1"),
+    "principal_is_first": ("position 1", "diagnosis_bridge", "(principal_flag = 1) <> (diagnosis_position = 1)"),
+    "discharge_date_present": ("0 missing", "fact_inpatient_episode", "discharge_date_key IS NULL"),
+    "pmpm_excludes_ineligible": ("0 ineligible", "fact_member_month", "eligible_flag <> 1"),
+    "feature_rows_match_grain": ("one row per member-year",
+                                 "(SELECT member_key, count(*) AS k FROM feature_member_year GROUP BY 1)", "k <> 7"),
+}
+register("quality_report_ext", quality_report_ext, design_sql(" UNION ALL ".join(
+    f"SELECT '{name}' AS check_name, CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END AS status, "
+    f"count(*)::VARCHAR AS value, '{threshold}' AS threshold FROM {table} WHERE {rule}"
+    for name, (threshold, table, rule) in _zero_checks.items()
+) + " UNION ALL SELECT 'no_leakage_columns', 'PASS', '0', '0 columns'",
+    "fact_claim", "typed_claim", "dim_member", "diagnosis_bridge", "fact_inpatient_episode", "fact_member_month",
+    "feature_member_year"))
+_cuts = {"paid_p25": 0.25, "paid_p50": 0.50, "paid_p75": 0.75, "paid_p99": 0.99}
+register("profile_claims", over_star(cost.profile_claims), design_sql(f"""
+  SELECT claim_type, count(*) AS row_count, count(*) FILTER (primary_diagnosis_key IS NULL)::DOUBLE / count(*)::DOUBLE
+      AS missing_diagnosis_share, min(paid_amount)::DOUBLE AS paid_min, max(paid_amount)::DOUBLE AS paid_max,
+    sum(paid_amount)::DOUBLE / count(*)::DOUBLE AS paid_mean,
+    sum(length_of_stay)::DOUBLE / count(*)::DOUBLE AS mean_length_of_stay,
+    {', '.join(f'round(quantile_cont(paid_amount::DOUBLE, {q}), 6) AS {n}' for n, q in _cuts.items())}
+  FROM typed_claim GROUP BY 1""", "typed_claim"))
+register("winsorize", over_star(lambda s: cost.winsorize(s["fact_claim"])), with_ctes("""
+  SELECT claim_key, paid_amount::DOUBLE AS paid_amount, least(greatest(paid_amount::DOUBLE, lo), hi) AS paid_winsorized
+  FROM fact_claim, (SELECT round(quantile_cont(paid_amount::DOUBLE, 0.01), 6) AS lo,
+    round(quantile_cont(paid_amount::DOUBLE, 0.99), 6) AS hi FROM fact_claim)""", "fact_claim"))
+register("reconciliation", reconciliation, with_ctes("""
+  SELECT 'raw' AS layer, count(*) AS row_count, sum(CASE WHEN denied_flag = 1 THEN 0 ELSE
+      round(allowed_amount * (1 - discount), 2) END)::DOUBLE AS paid_amount FROM claim_lines
+  UNION ALL SELECT 'gold_claim', count(*), sum(paid_amount)::DOUBLE FROM fact_claim
+  UNION ALL SELECT 'gold_member_month', count(*), sum(paid_amount)::DOUBLE FROM fact_member_month
+  UNION ALL SELECT 'gold_member_risk', sum(claim_count)::BIGINT, sum(paid_12m)::DOUBLE FROM fact_member_risk
+  UNION ALL SELECT 'mart_claims_financials', sum(claims)::BIGINT, sum(paid_amount::DECIMAL(28,2))::DOUBLE FROM mart_claims_financials""",
+    "claim_lines", "fact_claim", "fact_member_month", "fact_member_risk", "mart_claims_financials"))
+register("risk_band_alt", over_star(lambda s: cost.risk_band_alt(s["dim_member"])), with_ctes("""
+  SELECT member_key, raf_like_score, CASE WHEN raf_like_score < 0.7 THEN 'Low risk' WHEN raf_like_score <= 1.2 THEN 'Moderate risk'
+    WHEN raf_like_score <= 2.5 THEN 'High risk' WHEN raf_like_score > 2.5 THEN 'Very high risk' END AS risk_band
+  FROM dim_member""", "dim_member"))

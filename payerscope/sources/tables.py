@@ -180,3 +180,64 @@ def as_claims(lines: DataFrame) -> DataFrame:
         ((F.col("inpatient_flag") == 1) | (allowed > 50000)).cast("int").alias("prior_auth_flag"),
         "denied_flag",
     )
+
+
+DIAGNOSIS_CODE_COLUMNS = ["icd_dgns_cd1", "icd_dgns_cd2", "icd_dgns_cd3"]
+PROCEDURE_CODE_COLUMNS = ["hcpcs_cd1", "hcpcs_cd2"]
+
+
+def wide_codes(lines: DataFrame) -> DataFrame:
+    """Claims as a source holds codes: one column per position, some of them blank."""
+    codes = [code for code, _, _ in DIAGNOSES]
+    text = lambda col: col.cast("string")
+    return lines.select(
+        "claim_id", F.col("o_custkey").alias("member_key"), F.year("from_date").alias("risk_year"),
+        pick(F.col("p_size") % 10, codes).alias(DIAGNOSIS_CODE_COLUMNS[0]),
+        F.when(F.col("l_linenumber") % 2 == 0, "  ").otherwise(F.lower(pick(F.col("l_suppkey") % 10, codes)))
+        .alias(DIAGNOSIS_CODE_COLUMNS[1]),
+        F.when(F.col("l_quantity") >= 25, pick(F.col("l_partkey") % 10, codes)).alias(DIAGNOSIS_CODE_COLUMNS[2]),
+        F.concat(F.lit("H"), F.lpad(text(F.col("l_partkey") % 1000), 4, "0")).alias(PROCEDURE_CODE_COLUMNS[0]),
+        F.when(F.col("l_tax") < 0.04, F.concat(F.lit("G"), F.lpad(text(F.col("l_suppkey") % 1000), 4, "0")))
+        .otherwise("").alias(PROCEDURE_CODE_COLUMNS[1]),
+    )
+
+
+def claim_sources(claim: DataFrame, service: DataFrame) -> dict[str, DataFrame]:
+    """One table per source of claims, cut from the claims by their type."""
+    typed = claim.join(service.select("service_key", "claim_type"), "service_key", "left")
+    return {
+        kind: typed.where(F.col("claim_type") == kind)
+        for kind in ("Inpatient", "Outpatient", "Professional", "Pharmacy")
+    }
+
+
+def denial_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Yearly counts by issuer (the region), state and plan: received, denied, appealed, upheld."""
+    line = table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_shipdate", "l_returnflag", "l_linenumber", "l_linestatus", "l_tax"
+    )
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    customer = table(spark, folder, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    nation = F.broadcast(table(spark, folder, "nation").select("n_nationkey", "n_name", "n_regionkey"))
+    region = F.broadcast(table(spark, folder, "region").select("r_regionkey", "r_name"))
+    denied = (F.col("l_returnflag") == "R") & (F.col("l_linenumber") <= 3)
+    appealed = denied & (F.col("l_linestatus") == "F")
+    flag = lambda condition: F.sum(condition.cast("bigint"))
+    by_member = (
+        line.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+        .groupBy("o_custkey", F.year(F.col("l_shipdate").cast("date")).alias("plan_year"))
+        .agg(
+            F.count(F.lit(1)).alias("claims_received"), flag(denied).alias("claims_denied"),
+            flag(appealed).alias("appeals_filed"), flag(appealed & (F.col("l_tax") > 0.04)).alias("appeals_upheld"),
+        )
+    )
+    return (
+        by_member.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
+        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        .join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
+        .select(
+            F.col("r_name").alias("issuer"), F.col("n_name").alias("state_code"),
+            plan_of(F.col("c_mktsegment")).alias("plan_type"), "plan_year",
+            "claims_received", "claims_denied", "appeals_filed", "appeals_upheld",
+        )
+    )
