@@ -172,7 +172,7 @@ def dense_key(
     for t in range(max(sizes, default=0) + 1):
         starts.append(seen)
         seen += sizes.get(t, 0)
-    offsets = F.array(*[F.lit(s).cast("bigint") for s in starts])
+    offsets = F.split(F.lit(",".join(map(str, starts))), ",").cast("array<bigint>")  # folded to one constant
     inside = F.col("_at").bitwiseAND(F.lit((1 << _MAX_POSITION_BITS) - 1))
     key = F.element_at(offsets, (task + 1).cast("int")) + inside + 1
     return tagged.withColumn(out, key.cast("bigint")).drop("_at")

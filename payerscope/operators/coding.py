@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..fixed_values import HCC_FACTORS
+from ..session import inline_table
 
 
 def code_bridge(wide: DataFrame, keys: Sequence[str], columns: Sequence[str], code: str) -> DataFrame:
@@ -24,8 +25,8 @@ def code_bridge(wide: DataFrame, keys: Sequence[str], columns: Sequence[str], co
 def hcc_table(spark) -> DataFrame:
     """The mapping has one row per HCC; it is small by definition."""
     rows = [(c, g, r, str(f)) for c, g, r, f in HCC_FACTORS]
-    return spark.createDataFrame(rows, "hcc_code string, hierarchy_group string, hierarchy_rank int, factor string").select(
-        "hcc_code", "hierarchy_group", "hierarchy_rank", F.col("factor").cast("decimal(6,3)").alias("risk_weight")
+    return inline_table(
+        spark, rows, "hcc_code string, hierarchy_group string, hierarchy_rank int, risk_weight decimal(6,3)"
     )
 
 

@@ -126,7 +126,7 @@ def high_cost_member(star: dict[str, DataFrame]) -> DataFrame:
         .withColumn("gaps", F.coalesce("suspected_hcc_gap_count", F.lit(0)))
     )
     ranked = with_pct_ranks(write_shared(base, "high_cost_base"), [
-        Rank("paid", "paid_percentile", decimals=2), Rank("raf_like_score", "raf_pct", decimals=3),
+        Rank("paid", "paid_percentile", decimals=2), Rank("raf_like_score", "raf_pct", decimals=9),
         Rank("admissions", "admissions_pct"), Rank("ed_visits", "ed_visits_pct"), Rank("gaps", "gaps_pct"),
     ])
     score = weighted([
@@ -193,8 +193,8 @@ def provider_performance(star: dict[str, DataFrame]) -> DataFrame:
     peers = ("specialty_group",)
     ranked = with_pct_ranks(write_shared(base, "provider_base"), [
         Rank("payment_per_member", "peer_cost_percentile", 6, peers),
-        Rank("services_per_member", "peer_utilization_percentile", 6, peers),
-        Rank("readmission_rate", "readmission_pct", 6), Rank("quality_score", "quality_pct", 6),
+        Rank("services_per_member", "peer_utilization_percentile", 9, peers),
+        Rank("readmission_rate", "readmission_pct", 9), Rank("quality_score", "quality_pct", 9),
     ])
     score = weighted([
         (0.38, F.col("peer_cost_percentile")), (0.25, F.col("peer_utilization_percentile")),
@@ -225,8 +225,8 @@ def provider_performance(star: dict[str, DataFrame]) -> DataFrame:
 def readmission_queue(star: dict[str, DataFrame]) -> DataFrame:
     queue = enrich_episodes(star)
     ranked = with_pct_ranks(write_shared(queue, "readmission_base"), [
-        Rank("raf_like_score", "raf_pct", 3), Rank("length_of_stay", "stay_pct"),
-        Rank("readmission_index", "index_pct", 3), Rank("chronic_condition_count", "chronic_pct"),
+        Rank("raf_like_score", "raf_pct", 9), Rank("length_of_stay", "stay_pct"),
+        Rank("readmission_index", "index_pct", 9), Rank("chronic_condition_count", "chronic_pct", 6),
     ])
     flag = F.col("readmission_within_30_days")
     score = weighted([
@@ -314,7 +314,7 @@ def hcc_risk(star: dict[str, DataFrame]) -> DataFrame:
     member = star["dim_member"].select("member_key", "member_id", "state_code", "plan_type")
     risk = star["fact_member_risk"].join(member, "member_key", "left")
     ranked = with_pct_ranks(risk, [
-        Rank("raf_like_score", "raf_percentile", 3), Rank("suspected_hcc_gap_count", "gap_pct"),
+        Rank("raf_like_score", "raf_percentile", 9), Rank("suspected_hcc_gap_count", "gap_pct"),
         Rank("paid_12m", "paid_pct", 2),
     ])
     score = weighted([

@@ -22,8 +22,9 @@ BASE_TABLES = [
 class Star(dict):
     """Base tables by name, each built on first use.
 
-    A query pays only for the tables it reads. The facts are written once because
-    many marts read them; dimensions are projections of their source and stay lazy.
+    A query pays only for the tables it reads. Tables are written once: many marts
+    read them, and a written table has a known size, so the optimizer can tell which
+    dimension is small enough to broadcast and which has to be shuffled.
     """
 
     def __init__(self, builders: dict[str, Callable[["Star"], DataFrame]]):
@@ -113,8 +114,8 @@ def star(spark: SparkSession, folder: str) -> Star:
     key = (spark.sparkContext.applicationId, folder)
     if key not in _built or not path_exists(spark, _built[key]["fact_claim"].inputFiles()[0]):
         _built[key] = Star({
-            "dim_member": lambda s: src.members(spark, folder),
-            "dim_provider": lambda s: src.providers(spark, folder),
+            "dim_member": lambda s: write_shared(src.members(spark, folder), "dim_member"),
+            "dim_provider": lambda s: write_shared(src.providers(spark, folder), "dim_provider"),
             "dim_service": lambda s: src.services(spark),
             "dim_diagnosis": lambda s: src.diagnoses(spark),
             "fact_claim": lambda s: ops.keyed_claims(

@@ -104,13 +104,14 @@ CTES["claim_lines"] = ([], """
     (p_size % 10 + 1)::BIGINT AS primary_diagnosis_key, l_shipdate::DATE AS from_date,
     l_extendedprice::DECIMAL(18,2) AS allowed_amount, l_discount::DECIMAL(4,2) AS discount, l_tax::DECIMAL(4,2) AS tax,
     l_linenumber, l_quantity, (l_returnflag = 'R' AND l_linenumber = 1)::INT AS denied_flag,
-    l_linestatus, p_size, l_suppkey, l_partkey
+    l_linestatus, p_size, l_suppkey, l_partkey, l_orderkey, copy
   FROM (SELECT *, unnest(generate_series(1, CASE WHEN l_quantity = 50 AND l_linenumber = 1 THEN 5
       WHEN l_quantity = 50 THEN 2 ELSE 1 END)) AS copy FROM lineitem)
   LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN part ON l_partkey = p_partkey""")
 
 CTES["fact_claim"] = (["claim_lines"], """
-  SELECT row_number() OVER (ORDER BY member_key, from_date, claim_id) AS claim_key, claim_id, member_key, provider_key,
+  SELECT row_number() OVER (ORDER BY member_key, from_date, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity,
+      copy) AS claim_key, claim_id, member_key, provider_key,
     service_key, primary_diagnosis_key, strftime(from_date, '%Y%m%d')::INT AS claim_from_date_key,
     strftime(from_date + length_of_stay, '%Y%m%d')::INT AS claim_thru_date_key,
     strftime(from_date, '%Y%m')::INT AS paid_month_key, allowed_amount,

@@ -64,8 +64,10 @@ def custom_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 def custom_defaults(spark: SparkSession, folder: str) -> DataFrame:
     """A source with amounts and dates only: everything else takes its default."""
-    bare = extract(spark, folder).select(F.col("Claim Number").alias("row_order"), "Allowed", "Service Date")
-    rows, _ = custom.load_rows(bare, CUSTOM_PLAN_YEAR, ["row_order"])
+    bare = extract(spark, folder).select(
+        F.col("Claim Number").alias("row_order"), "Allowed", "Service Date", *src.SOURCE_POSITION
+    )
+    rows, _ = custom.load_rows(bare, CUSTOM_PLAN_YEAR, ["row_order", *src.SOURCE_POSITION])
     return rows
 
 

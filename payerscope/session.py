@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,6 +64,21 @@ def write_shared(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def inline_table(spark: SparkSession, rows: Iterable[tuple], schema: str) -> DataFrame:
+    """A small fixed table as literal rows in the plan.
+
+    Its exact size is known to the optimizer, which broadcasts it by the usual
+    size check; rows from a Python list would have an unknown size.
+    """
+    def literal(value) -> str:
+        return "'" + value.replace("'", "\\'") + "'" if isinstance(value, str) else repr(value)
+
+    names = ", ".join(column.split()[0] for column in schema.split(", "))
+    values = ", ".join("(" + ", ".join(literal(v) for v in row) + ")" for row in rows)
+    typed = [f"CAST({c.split()[0]} AS {c.split(maxsplit=1)[1]}) AS {c.split()[0]}" for c in schema.split(", ")]
+    return spark.sql(f"SELECT {', '.join(typed)} FROM VALUES {values} AS t({names})")
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)

@@ -15,10 +15,10 @@ from ..fixed_values import (
     AGE_BANDS, COLUMN_ALIASES, DATE_COLUMNS, DATE_FORMATS, DIAGNOSES, FLAG_COLUMNS, NUMBER_DEFAULTS, RISK_SEGMENTS,
     SERVICES, TEXT_DEFAULTS,
 )
-from ..functions.expr import MONEY, band, date_key, date_of, flag_of, matches, month_key, number_or
+from ..functions.expr import MONEY, band, date_key, date_of, flag_of, matches, month_key, number_or, pick
 from ..functions.ranking import dense_key
 from ..operators.star import CLAIM_COLUMNS
-from .tables import diagnoses, services
+from .tables import SOURCE_POSITION, claim_id, diagnoses, services
 
 MONEY_COLUMNS = ["allowed_amount", "paid_amount", "member_responsibility_amount"]
 FILE_ORDER = ["_file", "_block", "_line"]
@@ -208,14 +208,12 @@ EXTRACT_SPECIALTIES = [
     "Primary care", "Cardiology", "Regional HOSPITAL", "Radiology", "Surgical facility", "Oncology", "Pharmacy",
 ]
 EXTRACT_PLANS = ["Medicare Advantage", "MA-PD", "Dual Eligible SNP", "dual plus"]
-EXTRACT_ORDER = ["Claim Number"]
+EXTRACT_ORDER = ["Claim Number", *SOURCE_POSITION]
 
 
 def loose_extract(lines: DataFrame, with_readmission: bool = False) -> DataFrame:
     """All claim lines as a source file would hold them: text only, free header
     names, and bad cells of every kind that coercion has to deal with."""
-    from ..functions.expr import pick
-
     line, part, member = F.col("l_linenumber"), F.col("l_partkey") % 12, F.col("o_custkey")
     price, tax = F.col("l_extendedprice").cast(MONEY), F.col("l_tax").cast("decimal(4,2)")
     share = F.lit(1).cast("decimal(4,2)") - F.col("l_discount").cast("decimal(4,2)")
@@ -223,7 +221,7 @@ def loose_extract(lines: DataFrame, with_readmission: bool = False) -> DataFrame
     text = lambda col: col.cast("string")
     none = F.lit(None).cast("string")
     cols = [
-        F.col("claim_id").alias("Claim Number"),
+        claim_id().alias("Claim Number"),
         F.concat(F.lit("B"), text(member)).alias(" Bene ID "),
         F.concat(F.lit("N"), text(F.col("l_suppkey"))).alias("NPI"),
         F.when(line == 2, none).otherwise(F.concat(F.lit("Supplier "), text(F.col("l_suppkey")))).alias("Facility"),
@@ -249,6 +247,7 @@ def loose_extract(lines: DataFrame, with_readmission: bool = False) -> DataFrame
         text((F.lit("0.32").cast("decimal(6,3)") + (member % 6).cast("decimal(3,0)") * F.lit("0.23").cast("decimal(6,3)"))
              .cast("decimal(6,3)")).alias("Risk Score"),
         F.lit("free text").alias("Notes"),
+        *[F.col(c) for c in SOURCE_POSITION],
     ]
     if with_readmission:
         cols.append(F.when(line.isin(1, 3), "1").otherwise("0").alias("Readmission Flag"))

@@ -15,6 +15,7 @@ from ..fixed_values import (
     AGE_BANDS, COUNTIES, DIAGNOSES, MARKETS, NETWORK_TIERS, RISK_SEGMENTS, SERVICES, SPECIALTIES,
 )
 from ..functions.expr import MONEY, band, date_key, month_key, pick
+from ..session import inline_table
 
 # Years the line items span; member months are laid out for each of them.
 PLAN_YEARS = tuple(range(1995, 2002))
@@ -103,8 +104,8 @@ def providers(spark: SparkSession, folder: str) -> DataFrame:
 
 def services(spark: SparkSession) -> DataFrame:
     rows = [(i, *row) for i, row in enumerate(SERVICES, start=1)]
-    return spark.createDataFrame(
-        rows,
+    return inline_table(
+        spark, rows,
         "service_key bigint, claim_type string, service_line string, place_of_service string, "
         "inpatient_default_flag int, ed_default_flag int, base_allowed_amount double",
     )
@@ -112,8 +113,8 @@ def services(spark: SparkSession) -> DataFrame:
 
 def diagnoses(spark: SparkSession) -> DataFrame:
     rows = [(i, *row) for i, row in enumerate(DIAGNOSES, start=1)]
-    return spark.createDataFrame(
-        rows, "diagnosis_key bigint, diagnosis_code string, diagnosis_group string, hcc_category string"
+    return inline_table(
+        spark, rows, "diagnosis_key bigint, diagnosis_code string, diagnosis_group string, hcc_category string"
     )
 
 
@@ -122,12 +123,32 @@ def submissions(quantity: Column, line: Column) -> Column:
     return F.when((quantity == 50) & (line == 1), F.lit(5)).when(quantity == 50, F.lit(2)).otherwise(F.lit(1))
 
 
-CLAIM_ORDER = ["o_custkey", "from_date", "claim_id"]
+# The source position ends the order: exact copies of a line still sort apart, so a
+# range sort can spread them, and the position is the same on every retry.
+SOURCE_POSITION = ["_file", "_row"]
+LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "copy"]
+CLAIM_ORDER = ["o_custkey", "from_date", *LINE_KEY, *SOURCE_POSITION]
+
+
+def claim_id() -> Column:
+    whole = [F.col(c).cast("int") if c == "l_quantity" else F.col(c) for c in LINE_KEY]
+    return F.concat_ws("-", *whole).alias("claim_id")
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash a table of very few splits over the cores; larger tables stay as they are.
+
+    The key is that of the join which follows, so a shuffle join needs no second move.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
 def claim_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Line items with their order and part. Join sides grow with the data: no hints."""
-    line = table(spark, folder, "lineitem")
+    line = spread(table(spark, folder, "lineitem").select(
+        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")
+    ), "l_orderkey")
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
     part = table(spark, folder, "part").select("p_partkey", "p_size")
     repeat = F.explode(F.sequence(F.lit(1), submissions(F.col("l_quantity"), F.col("l_linenumber"))))
@@ -136,12 +157,8 @@ def claim_lines(spark: SparkSession, folder: str) -> DataFrame:
         .join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
         .withColumn("copy", repeat)
         .select(
-            F.concat_ws(
-                "-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_quantity").cast("int"), "copy"
-            ).alias("claim_id"),
-            F.col("l_shipdate").cast("date").alias("from_date"),
-            "o_custkey", "l_suppkey", "l_partkey", "p_size", "l_extendedprice", "l_discount", "l_tax",
-            "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus",
+            F.col("l_shipdate").cast("date").alias("from_date"), "o_custkey", *LINE_KEY, "p_size",
+            "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", *SOURCE_POSITION,
         )
     )
 
@@ -150,7 +167,7 @@ def as_claims(lines: DataFrame) -> DataFrame:
     """The claim columns, all but the surrogate key."""
     service = F.col("service_key")
     shaped = lines.select(
-        "claim_id",
+        claim_id(),
         F.col("o_custkey").alias("member_key"),
         F.col("l_suppkey").alias("provider_key"),
         (F.col("l_partkey") % 10 + 1).cast("bigint").alias("service_key"),
@@ -191,7 +208,7 @@ def wide_codes(lines: DataFrame) -> DataFrame:
     codes = [code for code, _, _ in DIAGNOSES]
     text = lambda col: col.cast("string")
     return lines.select(
-        "claim_id", F.col("o_custkey").alias("member_key"), F.year("from_date").alias("risk_year"),
+        claim_id(), F.col("o_custkey").alias("member_key"), F.year("from_date").alias("risk_year"),
         pick(F.col("p_size") % 10, codes).alias(DIAGNOSIS_CODE_COLUMNS[0]),
         F.when(F.col("l_linenumber") % 2 == 0, "  ").otherwise(F.lower(pick(F.col("l_suppkey") % 10, codes)))
         .alias(DIAGNOSIS_CODE_COLUMNS[1]),
