@@ -81,11 +81,11 @@ def rank_metrics(df: DataFrame, score: str, target: str) -> DataFrame:
         F.max("total").alias("rows"),
         F.max("pos_total").alias("positives"),
         F.sum(pos * rank).alias("rank_sum"),
-        F.sum(pos / pos_total * (pos_at_least / at_least)).alias("average_precision"),
+        F.sum(F.try_divide(pos, pos_total) * (pos_at_least / at_least)).alias("average_precision"),
     )
     positives = F.col("positives").cast("double")
     negatives = F.col("rows").cast("double") - positives
-    auc = (F.col("rank_sum") - positives * (positives + 1.0) / 2.0) / (positives * negatives)
+    auc = F.try_divide(F.col("rank_sum") - positives * (positives + 1.0) / 2.0, positives * negatives)
     return sums.select(
         "rows", "positives",
         F.when((positives > 0) & (negatives > 0), auc).otherwise(F.lit(0.5)).alias("roc_auc"),
@@ -358,6 +358,14 @@ def baseline_metrics(star: Mapping[str, DataFrame]) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+def evaluation(df: DataFrame, score: str, target: str) -> DataFrame:
+    """Rank metrics and top-tenth capture of a score as one row, at nine places."""
+    capture = top_share_mean(df, score, target).scalar()
+    return rank_metrics(df, score, target).select(
+        "rows", "positives", *[F.round(c, 9).alias(c) for c in ("roc_auc", "pr_auc")], F.round(capture, 9).alias("capture")
+    )
+
+
 # --- score evaluation --------------------------------------------------------------------
 
 def score_lift(df: DataFrame, score: str, target: str, bins: int = 10) -> DataFrame:

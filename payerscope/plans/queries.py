@@ -155,7 +155,21 @@ for _name, _text in sqlpack.QUERY_PACK.items():
     _mart = sqlpack.placeholders(_text)[0]
     register(_name, over_star(lambda s, text=_text: sqlpack.run_sql(text, s)),
              with_ctes(_text.replace("{" + _mart + "}", _mart), _mart))
-register("query_pack_summary", over_star(lambda s: sinks.run_summary(sqlpack.run_pack(s))))
+PACK_COLUMNS = {
+    "high_cost_member_interventions": "member_id,state_code,plan_type,risk_segment,paid_12m,admissions,ed_visits,"
+                                      "risk_priority_score,priority_tier,recommended_intervention",
+    "readmission_outreach_queue": "episode_key,member_id,provider_name,diagnosis_group,length_of_stay,"
+                                  "readmission_within_30_days,readmission_priority_score,recommended_action",
+    "fwa_payment_integrity_queue": "claim_id,member_id,provider_name,specialty_group,service_line,paid_amount,fwa_score,"
+                                   "review_reason,recommended_action",
+    "pmpm_market_trends": "month_key,state_code,plan_type,risk_segment,member_months,paid_amount,pmpm",
+}
+register("query_pack_summary", over_star(lambda s: sinks.run_summary(sqlpack.run_pack(s))), with_ctes(
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS name, (SELECT least(count(*), {60 if name == 'pmpm_market_trends' else 30}) FROM "
+        f"{sqlpack.placeholders(text)[0]}) AS rows, '{PACK_COLUMNS[name]}' AS columns"
+        for name, text in sqlpack.QUERY_PACK.items()
+    ), *[sqlpack.placeholders(text)[0] for text in sqlpack.QUERY_PACK.values()]))
 
 CHECKED = "fact_claim dim_member dim_provider fact_member_month fact_inpatient_episode".split()
 _checks_sql = """
@@ -244,6 +258,28 @@ register("score_lift", over_star(lambda s: scoring.score_lift(lift_rows(s), "ris
   FROM (SELECT risk_decile, count(*) AS rows, sum(target)::BIGINT AS positives, sum(score::DECIMAL(18,6))::DOUBLE AS score_sum
     FROM (SELECT *, (floor((rank() OVER (ORDER BY score DESC) - 1) * 10 / (count(*) OVER ())) + 1)::INT AS risk_decile FROM lift_rows)
     GROUP BY 1) WINDOW w AS (ORDER BY risk_decile)""", "lift_rows", extra=LIFT))
+register("score_rank_metrics", over_star(lambda s: scoring.evaluation(lift_rows(s), "risk_priority_score", "target_high_cost")),
+         with_ctes("""
+  SELECT rows, positives, round((rank_sum - positives * (positives + 1.0::DOUBLE) / 2.0::DOUBLE)
+      / (positives::DOUBLE * (rows - positives)::DOUBLE), 9) AS roc_auc, round(pr_auc, 9) AS pr_auc, round(capture, 9) AS capture
+  FROM (SELECT count(*) AS rows, sum(target)::BIGINT AS positives, sum(target * avg_rank) AS rank_sum FROM (
+      SELECT target, (rank() OVER (ORDER BY score) - 1)::DOUBLE + (count(*) OVER (PARTITION BY score) + 1)::DOUBLE / 2.0::DOUBLE AS avg_rank
+      FROM lift_rows)),
+    (SELECT sum(pos::DOUBLE / total * (seen / reached)) AS pr_auc FROM (
+      SELECT pos, (sum(pos) OVER ())::DOUBLE AS total, (sum(pos) OVER w)::DOUBLE AS seen, (sum(k) OVER w)::DOUBLE AS reached
+      FROM (SELECT score, count(*) AS k, sum(target) AS pos FROM lift_rows GROUP BY 1) WINDOW w AS (ORDER BY score DESC))),
+    (SELECT sum(taken * pos::DOUBLE / k::DOUBLE) / sum(taken) AS capture FROM (
+      SELECT k, pos, least(greatest(greatest((sum(k) OVER ()) // 10, 1) - (sum(k) OVER w - k), 0), k)::DOUBLE AS taken
+      FROM (SELECT score, count(*) AS k, sum(target) AS pos FROM lift_rows GROUP BY 1) WINDOW w AS (ORDER BY score DESC)))""",
+    "lift_rows", extra=LIFT))
+register("stratified_split", over_star(lambda s: scoring.stratified_split(
+    scoring.high_cost_target(s["fact_member_risk"]), "member_key", "target_high_cost"
+).select("member_key", "target_high_cost", "is_test")), with_ctes("""
+  SELECT member_key, target_high_cost, rank() OVER (PARTITION BY target_high_cost ORDER BY draw) - 1
+      >= ceil(count(*) OVER (PARTITION BY target_high_cost) * 0.7::DOUBLE) AS is_test
+  FROM (SELECT member_key, ('0x' || substr(md5('split-' || member_key), 1, 6))::BIGINT AS draw,
+      (round(paid_12m::DOUBLE, 6) >= (SELECT round(quantile_cont(paid_12m::DOUBLE, 0.9), 6) FROM fact_member_risk))::INT
+        AS target_high_cost FROM fact_member_risk)""", "fact_member_risk"))
 register("confusion_counts",
          over_star(lambda s: scoring.confusion_counts(lift_rows(s), "risk_priority_score", "target_high_cost", 0.75)),
          with_ctes("""
@@ -334,6 +370,10 @@ register("claim_header_union",
          over_star(lambda s: coding.claim_header_union(src.claim_sources(s["fact_claim"], s["dim_service"]))),
          design_sql(f"SELECT {', '.join(coding.HEADER)}, claim_type FROM typed_claim", "typed_claim"))
 register("lineage", lineage)
+register("record_hash", lambda spark, folder: coding.with_lineage(
+    src.table(spark, folder, "customer")).select("c_custkey", "source_file", "record_hash"), """
+  SELECT c_custkey, 'customer.parquet' AS source_file, sha256(concat_ws('|', c_custkey::VARCHAR, c_name, c_nationkey::VARCHAR,
+    c_acctbal::VARCHAR, c_mktsegment)) AS record_hash FROM customer""")
 register("kpi_dictionary", over_star(cost.kpi_dictionary), design_sql("""
   SELECT kpi, round(value, 6) AS value FROM (
     WITH c AS (SELECT count(*)::DOUBLE AS n, sum(paid_amount)::DOUBLE AS paid, sum(allowed_amount)::DOUBLE AS allowed,

@@ -97,7 +97,11 @@ def test_dense_key_of_no_rows(spark):
 
 def test_dense_key_splits_a_hot_value_over_tasks(spark):
     df = spark.range(0, 60000, 1, 8).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("v"), "id")
-    keyed = R.dense_key(df, ["v", "id"], "key", "test_hot")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        keyed = R.dense_key(df, ["v", "id"], "key", "test_hot")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert keyed.agg(F.count_distinct("key"), F.max("key")).first()[:] == (60000, 60000)
     tasks = keyed.where("v = 7").select(F.input_file_name()).distinct().count()
     assert tasks >= 2

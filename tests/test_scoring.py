@@ -85,7 +85,7 @@ def test_isolation_forest_finds_the_odd_provider_and_repeats(spark):
         for m in range(1, 6):
             key += 1
             claims.append(claim(key, member=m, provider=p, paid="90000" if p == 17 else str(100 + p), denied=int(p == 17)))
-    star = make_star(spark, claims, [member(i) for i in range(1, 6)], [provider(i, quality=70 + i % 5) for i in range(1, 41)])
+    star = make_star(spark, claims, [member(i) for i in range(1, 6)], [provider(i, quality=70.0 + i % 5) for i in range(1, 41)])
     runs = [{r["provider_key"]: r["provider_anomaly_score"] for r in S.score_provider_anomaly(star).scores.collect()}
             for _ in range(2)]
     assert runs[0] == runs[1]
