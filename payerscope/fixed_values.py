@@ -89,7 +89,13 @@ NUMBER_DEFAULTS = {
 }
 FLAG_COLUMNS = ["inpatient_flag", "ed_flag", "readmission_flag"]
 DATE_COLUMNS = ["claim_from_date", "claim_thru_date"]
-DATE_FORMATS = ["yyyy-MM-dd", "MM/dd/yyyy", "yyyyMMdd"]
+# date format and the shape of text it is tried on
+DATE_FORMATS = [
+    ("yyyy-MM-dd", r"^\d{4}-\d{2}-\d{2}$"),
+    ("MM/dd/yyyy", r"^\d{2}/\d{2}/\d{4}$"),
+    ("yyyyMMdd", r"^\d{8}$"),
+    ("yyyy-MM-dd HH:mm:ss", r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"),
+]
 
 # --- Fixed values: bands, as (right-closed edges, labels) -------------------
 AGE_BANDS = ([0, 34, 49, 64, 74, 84, 120], ["18-34", "35-49", "50-64", "65-74", "75-84", "85+"])

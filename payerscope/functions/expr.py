@@ -61,10 +61,16 @@ def flag_of(text: Column) -> Column:
     return F.least(F.greatest(bounded.cast("int"), F.lit(0)), F.lit(1))
 
 
-def date_of(text: Column, formats: Sequence[str]) -> Column:
-    """Text to a date by the first format that fits; null when none does."""
+def date_of(text: Column, formats: Sequence[tuple[str, str]]) -> Column:
+    """Text to a date by the format whose shape it has; null when none fits.
+
+    The shape is tested first because a failed parse costs far more than a match.
+    """
     trimmed = F.trim(text.cast("string"))
-    return F.coalesce(*[F.try_to_timestamp(trimmed, F.lit(fmt)).cast("date") for fmt in formats])
+    result = F.when(F.lit(False), F.lit(None).cast("date"))
+    for pattern, shape in formats:
+        result = result.when(trimmed.rlike(shape), F.try_to_timestamp(trimmed, F.lit(pattern)).cast("date"))
+    return result
 
 
 def date_key(day: Column) -> Column:

@@ -19,8 +19,11 @@ from pyspark.sql import functions as F
 
 from ..session import write_shared
 
-# Values per range at the stated number of decimals: what one task sorts at most.
-RANGE_WIDTH = 1 << 20
+# Values per range at the stated number of decimals, so what one window partition
+# holds at most. The ranges themselves stay few: B different ranges of non-negative
+# values need a value sum of about B * B / 2 range widths, so amounts that add up to
+# ten trillion lie in under 200,000 ranges.
+RANGE_WIDTH = 1 << 16
 _MAX_POSITION_BITS = 33
 
 
@@ -65,7 +68,8 @@ def value_distribution(
         return running(counted, keys, value, plan).drop("_one")
 
     step = float(RANGE_WIDTH) / (10.0**decimals)
-    ranged = counted.withColumn("_range", F.floor(F.col(value).cast("double") / F.lit(step)))
+    # Never null, so no filter is added to one branch only and both share one shuffle.
+    ranged = counted.withColumn("_range", F.coalesce(F.floor(F.col(value).cast("double") / F.lit(step)), F.lit(0)))
     totals = ranged.groupBy(*keys, "_range").agg(*[F.sum(n).alias(f"_t_{n}") for n in [*sums, "_one"]])
     offset_plan = {f"_o_{n}": (f"_t_{n}", total_name[n]) for n in sums}
     offset_plan["_o__one"] = ("_t__one", "distinct_total")
@@ -108,7 +112,10 @@ def with_pct_ranks(df: DataFrame, ranks: Sequence[Rank]) -> DataFrame:
     ``df`` is read once per rank plus once, so it should be a written table, of
     which each rank reads one column. A rank table has one row per distinct value:
     a value held by a third of all rows meets a single row there, and the join can
-    split it over tasks.
+    split it over tasks. Small domains (``decimals`` of None) are broadcast: counts
+    per entity that add up to N take at most sqrt(2 N) distinct values, six-place
+    scores a million, days the length of the calendar. Other rank tables grow with
+    the data and are left to the run-time size check.
     """
     result = df
     for rank in ranks:
@@ -116,7 +123,8 @@ def with_pct_ranks(df: DataFrame, ranks: Sequence[Rank]) -> DataFrame:
         table = value_distribution(df, rank.value, rank.partition, rank.decimals).select(
             *keys, average_rank_share(F.col("before"), F.col("k"), F.col("total")).alias(rank.out)
         )
-        result = result.join(table, keys, "left")
+        small = rank.decimals is None and not rank.partition
+        result = result.join(F.broadcast(table) if small else table, keys, "left")
     return result
 
 

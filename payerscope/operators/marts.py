@@ -246,14 +246,22 @@ def fwa_scored(star: dict[str, DataFrame]) -> DataFrame:
     """Every claim with its payment-integrity score and its reasons."""
     claim = star["fact_claim"]
     same = ["member_key", "provider_key", "service_key", "claim_from_date_key"]
-    # Only repeats are kept, so the side that is joined back is short; others count one.
-    repeats = claim.groupBy(*same).agg(F.count("claim_key").alias("similar")).where(F.col("similar") > 1)
+    # Both small sides are written first, so their size is known when the join is planned:
+    # broadcast if they are below the threshold, a shuffle of all claims only if not.
+    # Of the same-day groups only repeats are kept; every other claim counts one.
+    repeats = write_shared(
+        claim.groupBy(*same).agg(F.count("claim_key").alias("similar")).where(F.col("similar") > 1), "repeats"
+    )
     paid_by_provider = claim.where(F.col("provider_key").isNotNull()).groupBy("provider_key").agg(
         money_total("paid_amount").alias("provider_paid")
     )
-    provider_rank = with_pct_ranks(
-        paid_by_provider, [Rank("provider_paid", "provider_paid_percentile", decimals=2)]
-    ).select("provider_key", "provider_paid_percentile")
+    provider_rank = write_shared(
+        with_pct_ranks(
+            write_shared(paid_by_provider, "paid_by_provider"),
+            [Rank("provider_paid", "provider_paid_percentile", decimals=2)],
+        ).select("provider_key", "provider_paid_percentile"),
+        "provider_rank",
+    )
     ranked = (
         with_pct_ranks(claim, [Rank("paid_amount", "claim_paid_percentile", decimals=2)])
         .join(provider_rank, "provider_key", "left")

@@ -26,7 +26,7 @@ from ..fixed_values import (
 )
 from ..functions.expr import band, hash_share, per
 from ..functions.ranking import Rank, exact_quantile, value_distribution, with_pct_ranks
-from ..session import write_shared
+from ..session import spread, write_shared
 from .marts import provider_base
 from .star import enrich_episodes
 
@@ -157,7 +157,10 @@ def fit_and_score(
         StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True),
         CLASSIFIERS[classifier](),
     ]
-    fitted = Pipeline(stages=stages).fit(split.where(~F.col("is_test")))
+    # Fitting passes over the rows many times; a lost cached block is recomputed from the written input.
+    train = spread(split.where(~F.col("is_test")).select(key, *names, "label", "weight"), key).persist()
+    fitted = Pipeline(stages=stages).fit(train)
+    train.unpersist()
     probability = F.round(F.element_at(vector_to_array("probability"), 2), SCORE_PLACES)
     scored = write_shared(
         fitted.transform(split).withColumn(score, probability).select(*keep, score, "label", "is_test"),

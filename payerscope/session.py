@@ -64,6 +64,15 @@ def write_shared(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash a table of very few splits over the cores; larger tables stay as they are.
+
+    Where a join on ``key`` follows, a shuffle join then needs no second move.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def inline_table(spark: SparkSession, rows: Iterable[tuple], schema: str) -> DataFrame:
     """A small fixed table as literal rows in the plan.
 

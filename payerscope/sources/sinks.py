@@ -9,10 +9,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# Facts are laid out by month, so a period reads only its own folders.
+MONTH_COLUMNS = {"fact_claim": "paid_month_key", "fact_member_month": "month_key"}
+
+
 def write_tables(tables: Mapping[str, DataFrame], folder: str) -> None:
     """Replace every table under ``folder`` by its current rows, as Parquet."""
     for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{folder}/{name}")
+        month = MONTH_COLUMNS.get(name)
+        writer = df.write.mode("overwrite")
+        (writer.partitionBy(month) if month in df.columns else writer).parquet(f"{folder}/{name}")
 
 
 def write_csv(tables: Mapping[str, DataFrame], folder: str) -> None:

@@ -15,7 +15,7 @@ from ..fixed_values import (
     AGE_BANDS, COUNTIES, DIAGNOSES, MARKETS, NETWORK_TIERS, RISK_SEGMENTS, SERVICES, SPECIALTIES,
 )
 from ..functions.expr import MONEY, band, date_key, month_key, pick
-from ..session import inline_table
+from ..session import inline_table, spread
 
 # Years the line items span; member months are laid out for each of them.
 PLAN_YEARS = tuple(range(1995, 2002))
@@ -135,15 +135,6 @@ def claim_id() -> Column:
     return F.concat_ws("-", *whole).alias("claim_id")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash a table of very few splits over the cores; larger tables stay as they are.
-
-    The key is that of the join which follows, so a shuffle join needs no second move.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def claim_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Line items with their order and part. Join sides grow with the data: no hints."""
     line = spread(table(spark, folder, "lineitem").select(

@@ -39,9 +39,9 @@ def test_flags_are_cut_and_clamped(spark):
 
 
 def test_dates_by_the_first_fitting_format(spark):
-    rows = [("2025-01-31",), ("01/31/2025",), ("20250131",), ("2025-02-30",), ("soon",), (None,)]
+    rows = [("2025-01-31",), ("01/31/2025",), ("20250131",), (" 2025-01-31 23:59:59 ",), ("2025-02-30",), ("soon",), (None,)]
     found = [r[0] for r in one(spark, rows, "t string", E.date_of(F.col("t"), DATE_FORMATS))]
-    assert found == [dt.date(2025, 1, 31)] * 3 + [None] * 3
+    assert found == [dt.date(2025, 1, 31)] * 4 + [None] * 3
 
 
 def test_date_keys(spark):

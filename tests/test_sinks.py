@@ -14,6 +14,13 @@ def test_tables_are_replaced_and_csv_has_a_header(spark, tmp_path):
     assert back.columns == ["a"] and back.count() == 5
 
 
+def test_claims_are_laid_out_by_month(spark, tmp_path):
+    df = spark.createDataFrame([(1, 202501), (2, 202502), (3, 202502)], "claim_key bigint, paid_month_key int")
+    sinks.write_tables({"fact_claim": df}, str(tmp_path))
+    assert sorted(p.name for p in (tmp_path / "fact_claim").glob("paid*")) == ["paid_month_key=202501", "paid_month_key=202502"]
+    assert spark.read.parquet(f"{tmp_path}/fact_claim").where("paid_month_key = 202502").count() == 2
+
+
 def test_summary_and_counts(spark, tmp_path):
     tables = {"b": spark.range(3).toDF("x"), "a": spark.range(4).selectExpr("id AS x", "id AS y")}
     summary = {r["name"]: (r["rows"], r["columns"]) for r in sinks.run_summary(tables, f"{tmp_path}/out").collect()}
