@@ -94,7 +94,7 @@ def member_month_pmpm(star: dict[str, DataFrame]) -> DataFrame:
 def top_claim_per_member(claim: DataFrame) -> DataFrame:
     """Service and diagnosis key of the dearest claim; ties go to the lowest key."""
     dearest = F.struct("paid_amount", (-F.col("claim_key")).alias("older"))
-    return claim.groupBy("member_key").agg(
+    return claim.where(F.col("member_key").isNotNull()).groupBy("member_key").agg(
         F.max(F.struct(dearest.alias("by"), "service_key", "primary_diagnosis_key")).alias("top")
     ).select("member_key", "top.service_key", F.col("top.primary_diagnosis_key").alias("diagnosis_key"))
 
@@ -109,7 +109,7 @@ def top_claim_labels(star: dict[str, DataFrame]) -> DataFrame:
 
 
 def high_cost_member(star: dict[str, DataFrame]) -> DataFrame:
-    cost = star["fact_claim"].groupBy("member_key").agg(
+    cost = star["fact_claim"].where(F.col("member_key").isNotNull()).groupBy("member_key").agg(
         money_total("paid_amount").alias("paid"),
         money_total("allowed_amount").alias("allowed"),
         F.count("claim_key").alias("claim_count"),
@@ -246,6 +246,8 @@ def fwa_scored(star: dict[str, DataFrame]) -> DataFrame:
     """Every claim with its payment-integrity score and its reasons."""
     claim = star["fact_claim"]
     same = ["member_key", "provider_key", "service_key", "claim_from_date_key"]
+    # A claim with a missing key belongs to no group and gets no score.
+    known = reduce(lambda a, b: a & b, [F.col(key).isNotNull() for key in same])
     # Both small sides are written first, so their size is known when the join is planned:
     # broadcast if they are below the threshold, a shuffle of all claims only if not.
     # Of the same-day groups only repeats are kept; every other claim counts one.
@@ -266,7 +268,7 @@ def fwa_scored(star: dict[str, DataFrame]) -> DataFrame:
         with_pct_ranks(claim, [Rank("paid_amount", "claim_paid_percentile", decimals=2)])
         .join(provider_rank, "provider_key", "left")
         .join(repeats, same, "left")
-        .withColumn("similar_claim_count", F.coalesce("similar", F.lit(1)).cast("bigint"))
+        .withColumn("similar_claim_count", F.when(known, F.coalesce("similar", F.lit(1)).cast("bigint")))
     )
     clipped = F.least(F.greatest(F.col("similar_claim_count"), F.lit(1)), F.lit(4)).cast("double") / F.lit(4.0)
     score = weighted([
@@ -282,7 +284,7 @@ def fwa_scored(star: dict[str, DataFrame]) -> DataFrame:
         ],
         "Composite anomaly score",
     )
-    return ranked.withColumn("fwa_score", score).withColumn("review_reason", reason).withColumn(
+    return ranked.withColumn("fwa_score", F.when(known, score)).withColumn("review_reason", reason).withColumn(
         "recommended_action",
         F.when(F.col("fwa_score") >= 0.82, "SIU/payment integrity review").otherwise("Analyst validation"),
     )

@@ -8,11 +8,13 @@ the executors.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -30,6 +32,10 @@ from ..session import spread, write_shared
 from .marts import provider_base
 from .star import enrich_episodes
 
+# The Python functions below travel to the executors with their code, so the package
+# need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Forest and isolation settings
 TREES, DEPTH, LEAF_ROWS, SEED = 140, 7, 8, 42
 TEST_SHARE, FALLBACK_ROWS = 0.30, 40

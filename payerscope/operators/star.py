@@ -71,7 +71,7 @@ def inpatient_gaps(claim: DataFrame) -> DataFrame:
     )
     gap = F.datediff(key_to_date(F.col("next_admission_key")), key_to_date(F.col("claim_thru_date_key")))
     return (
-        stays.join(days, ["member_key", "claim_from_date_key"])
+        stays.join(days, ["member_key", "claim_from_date_key"], "left")  # a stay without a member stays
         .withColumn("next_admission_key", next_key)
         .withColumn("gap_days", gap)
     )

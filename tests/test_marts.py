@@ -99,6 +99,14 @@ def test_kpis_and_queues(star):
     assert set(results) == set(sqlpack.QUERY_PACK) and results["pmpm_market_trends"].count() <= 60
 
 
+def test_claims_with_missing_keys_make_no_member_row_and_no_score(spark):
+    claims = [claim(1, paid="10"), claim(2, member=None, paid="900"), claim(3, provider=None, paid="950")]
+    star = make_star(spark, claims, [member(1)], [provider(1)])
+    assert [r["member_key"] for r in marts.high_cost_member(star).collect()] == [1]
+    assert {r["claim_key"]: r["fwa_score"] is None for r in marts.fwa_scored(star).collect()} == {1: False, 2: True, 3: True}
+    assert [r["claim_id"] for r in marts.fwa_queue(star).collect()] == ["C1"]
+
+
 def test_denial_rates_guard_empty_denominators(spark):
     rows = [("I", "TX", "P", 2025, 10, 0, 0, 0), ("I", "TX", "P", 2025, 10, 5, 2, 1)]
     schema = ("issuer string, state_code string, plan_type string, plan_year int, claims_received bigint, "

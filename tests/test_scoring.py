@@ -102,3 +102,19 @@ def test_no_episodes_skip_the_readmission_model(spark):
 def test_confusion_counts(spark):
     df = spark.createDataFrame([(0.9, 1), (0.8, 0), (0.2, 1), (0.1, 0), (0.1, 0)], "s double, y int")
     assert S.confusion_counts(df, "s", "y", 0.5).first()[:] == (1, 1, 1, 2)
+
+
+def test_tree_growing_needs_no_package_on_the_executor(tmp_path):
+    import os
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    sample = pd.DataFrame({"tree": 3, "provider_key": range(20), **{f"x{i}": np.arange(20.0) ** i for i in range(7)}})
+    (tmp_path / "f.pkl").write_bytes(cloudpickle.dumps((S.grow_tree, sample)))
+    code = ("import pickle, pyspark.cloudpickle; f, x = pickle.load(open('f.pkl', 'rb')); print(len(f(x)));"
+            "import sys; assert 'payerscope' not in sys.modules")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0 and int(done.stdout) == len(S.grow_tree(sample)) > 3

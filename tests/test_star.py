@@ -31,6 +31,12 @@ def test_stays_of_one_day_follow_each_other_by_claim_key(spark):
     assert got == [(1, 0, 1), (2, 0, 0), (3, 19, 1), (4, 9999, 0)]
 
 
+def test_a_stay_without_a_member_is_kept_and_has_no_next_admission(spark):
+    star = make_star(spark, [stay(1, 20250101, 20250102, who=None), stay(2, 20250105, 20250106, who=None)], [member(1)], [provider(1)])
+    rows = star["fact_inpatient_episode"].collect()
+    assert [(r["days_to_readmission"], r["readmission_within_30_days"]) for r in rows] == [(9999, 0)] * 2
+
+
 def test_episode_keys_follow_member_and_admission(spark):
     stays = [stay(1, 20250301, 20250302, who=2), stay(2, 20250101, 20250102, who=2), stay(3, 20250601, 20250602, who=1)]
     star = make_star(spark, stays, [member(1), member(2)], [provider(1)])
