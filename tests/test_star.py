@@ -1,7 +1,6 @@
 from decimal import Decimal
 
 from helpers import claim, make_star, member, provider
-from pyspark.sql import functions as F
 
 from payerscope.operators import care
 from payerscope.operators import star as ops
