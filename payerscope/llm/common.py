@@ -55,6 +55,8 @@ def mix(values: np.ndarray) -> np.ndarray:
 def connected_components(edges: DataFrame, name: str, max_rounds: int = 60) -> DataFrame:
     """(node, component) for undirected ``edges`` (a, b); component is the smallest node that can be reached.
 
+    A node that is the smallest of its component, or has no edge, is not listed.
+
     Rounds of large-star and small-star: each round points every node at the smallest node seen, so the
     number of rounds grows with the logarithm of a component's width. A hub is never gathered in one task:
     its minimum is a map-side combined aggregate and its edges are joined, where runtime planning splits
