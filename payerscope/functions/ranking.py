@@ -78,7 +78,7 @@ def value_distribution(
         ranged, [*keys, "_range"], value,
         {**{f"_i_{n}": (n, "") for n in sums}, "_i__one": ("_one", "")},
     )
-    joined = inside.join(offsets, [*keys, "_range"])
+    joined = null_safe_join(inside, offsets, [*keys, "_range"])
     return joined.select(
         *keys, value, *sums,
         *[(F.col(f"_o_{n}") + F.col(f"_i_{n}")).alias(before_name[n]) for n in sums],
@@ -87,6 +87,13 @@ def value_distribution(
     )
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """An equi-join on which a missing key meets a missing key, so groups without a name stay."""
+    renamed = right.select(*[F.col(k).alias(f"_right_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys]
+    return left.join(renamed, same, how).drop(*[f"_right_{k}" for k in keys])
+
+
 def average_rank_share(before: Column, k: Column, count: Column) -> Column:
     """Average rank of ties divided by the number of ranked rows."""
     return (before.cast("double") + (k.cast("double") + F.lit(1.0)) / F.lit(2.0)) / count.cast("double")
@@ -124,7 +131,10 @@ def with_pct_ranks(df: DataFrame, ranks: Sequence[Rank]) -> DataFrame:
             *keys, average_rank_share(F.col("before"), F.col("k"), F.col("total")).alias(rank.out)
         )
         small = rank.decimals is None and not rank.partition
-        result = result.join(F.broadcast(table) if small else table, keys, "left")
+        if rank.partition:
+            result = null_safe_join(result, table.where(F.col(rank.value).isNotNull()), keys, "left")
+        else:
+            result = result.join(F.broadcast(table) if small else table, keys, "left")
     return result
 
 

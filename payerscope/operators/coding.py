@@ -39,7 +39,7 @@ def captured_hccs(bridge: DataFrame, mapping: DataFrame, factors: DataFrame) ->
     """
     codes = bridge.select("member_key", "risk_year", "diagnosis_code").distinct()
     found = (
-        codes.join(F.broadcast(mapping.select("diagnosis_code", F.col("hcc_category").alias("hcc_code"))), "diagnosis_code")
+        codes.join(mapping.select("diagnosis_code", F.col("hcc_category").alias("hcc_code")).distinct(), "diagnosis_code")
         .join(F.broadcast(factors), "hcc_code")
         .select("member_key", "risk_year", "hcc_code", "hierarchy_group", "hierarchy_rank", "risk_weight").distinct()
     )
@@ -56,7 +56,10 @@ def hcc_gaps(captured: DataFrame, last_year: int) -> DataFrame:
 
 
 def hcc_rollup(bridge: DataFrame, captured: DataFrame, gaps: DataFrame, member: DataFrame) -> DataFrame:
-    """Member-year: counts, list, factor sums, recapture and gap counts. A RAF-like estimate."""
+    """Member-year: counts, list, factor sums, recapture and gap counts. A RAF-like estimate.
+
+    A member-year has a row if it has a code or a gap, so a year in which nothing was coded shows what it missed.
+    """
     keys = ["member_key", "risk_year"]
     codes = bridge.groupBy(*keys, "diagnosis_code").agg(F.lit(1).alias("_one")).groupBy(*keys).agg(
         F.count("diagnosis_code").alias("diagnosis_count")
@@ -73,11 +76,12 @@ def hcc_rollup(bridge: DataFrame, captured: DataFrame, gaps: DataFrame, member:
     demographic = F.when(F.col("age") >= 65, F.lit("0.50")).otherwise(F.lit("0.32")).cast("decimal(6,3)")
     disease = F.coalesce("disease_factor", F.lit(0)).cast("decimal(12,3)")
     raf = (demographic + disease).cast("double")
+    due = codes.select(*keys).unionByName(missing.select(*keys)).distinct()
     return (
-        codes.join(member.select("member_key", "age"), "member_key")
+        due.join(codes, keys, "left").join(member.select("member_key", "age"), "member_key", "left")
         .join(summed, keys, "left").join(missing, keys, "left")
         .select(
-            *keys, "diagnosis_count", F.coalesce("hcc_count", F.lit(0)).cast("bigint").alias("hcc_count"),
+            *keys, F.coalesce("diagnosis_count", F.lit(0)).cast("bigint").alias("diagnosis_count"), F.coalesce("hcc_count", F.lit(0)).cast("bigint").alias("hcc_count"),
             F.coalesce("hcc_list", F.lit("")).alias("hcc_list"), demographic.cast("double").alias("demographic_factor"),
             disease.cast("double").alias("disease_factor"), raf.alias("raf_score_estimate"),
             F.when(raf < 0.7, "Low risk").when(raf <= 1.2, "Moderate risk").when(raf <= 2.5, "High risk")
@@ -92,9 +96,13 @@ HEADER = ["claim_id", "member_key", "provider_key", "claim_from_date_key", "clai
 
 
 def claim_header_union(sources: Mapping[str, DataFrame]) -> DataFrame:
-    """One header table from several source tables, each tagged with its claim type."""
+    """One header table from several source tables, each tagged with its claim type.
+
+    A source without a type of its own (an empty name) brings the type as a column.
+    """
     return reduce(DataFrame.unionByName, [
-        df.select(*HEADER, F.lit(claim_type).alias("claim_type")) for claim_type, df in sources.items()
+        df.select(*HEADER, (F.lit(claim_type) if claim_type else F.col("claim_type")).alias("claim_type"))
+        for claim_type, df in sources.items()
     ])
 
 

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import key_to_date, money_total, per, total
-from ..functions.ranking import exact_quantiles, value_distribution
+from ..functions.ranking import exact_quantiles, null_safe_join, value_distribution
+from .star import risk_of_year
 
 PAID_BY_TYPE = {
     "medical_paid_amount": "claim_type <> 'Pharmacy'",
@@ -153,7 +154,7 @@ def kpi_dictionary(star: Mapping[str, DataFrame]) -> DataFrame:
     ])
     parts = [base.select(F.inline(rows))]
     for percent in (1, 5, 10):
-        parts.append(cost_concentration(star["fact_member_risk"], percent / 100.0).select(
+        parts.append(cost_concentration(risk_of_year(star), percent / 100.0).select(
             F.lit(f"cost_concentration_top_{percent}_pct").alias("kpi"), F.round("v", 6).alias("value")
         ))
     return reduce(DataFrame.unionByName, parts)
@@ -193,7 +194,7 @@ def profile_claims(star: Mapping[str, DataFrame]) -> DataFrame:
     )
     cuts = {"paid_p25": 0.25, "paid_p50": 0.50, "paid_p75": 0.75, "paid_p99": 0.99}
     quantiles = exact_quantiles(claim, "paid_amount", cuts, ["claim_type"], decimals=2)
-    return counts.join(quantiles.select("claim_type", *[F.round(n, 6).alias(n) for n in cuts]), "claim_type")
+    return null_safe_join(counts, quantiles.select("claim_type", *[F.round(n, 6).alias(n) for n in cuts]), ["claim_type"])
 
 
 def winsorize(claim: DataFrame, low: float = 0.01, high: float = 0.99) -> DataFrame:

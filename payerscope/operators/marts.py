@@ -19,7 +19,7 @@ from ..fixed_values import HCC_TIERS, MEMBER_TIERS, PROVIDER_TIERS, READMISSION_
 from ..functions.expr import band, money_total, per, total
 from ..functions.ranking import Rank, exact_quantile, with_pct_ranks
 from ..session import write_shared
-from .star import enrich_episodes
+from .star import enrich_episodes, risk_of_year
 
 SCORE_PLACES = 6
 
@@ -118,7 +118,7 @@ def high_cost_member(star: dict[str, DataFrame]) -> DataFrame:
         total("avoidable_ed_flag").alias("avoidable_ed_visits"),
         total("denied_flag").alias("denied_claims"),
     )
-    risk = star["fact_member_risk"].select("member_key", "readmission_count", "suspected_hcc_gap_count")
+    risk = risk_of_year(star).select("member_key", "readmission_count", "suspected_hcc_gap_count")
     base = (
         cost.join(star["dim_member"], "member_key", "left")
         .join(top_claim_labels(star), "member_key", "left")
@@ -322,7 +322,7 @@ def fwa_queue(star: dict[str, DataFrame]) -> DataFrame:
 
 def hcc_risk(star: dict[str, DataFrame]) -> DataFrame:
     member = star["dim_member"].select("member_key", "member_id", "state_code", "plan_type")
-    risk = star["fact_member_risk"].join(member, "member_key", "left")
+    risk = risk_of_year(star).join(member, "member_key", "left")
     ranked = with_pct_ranks(risk, [
         Rank("raf_like_score", "raf_percentile", 9), Rank("suspected_hcc_gap_count", "gap_pct"),
         Rank("paid_12m", "paid_pct", 2),

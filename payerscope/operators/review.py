@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import money_total, per, total
-from ..functions.ranking import average_rank_share, percent_rank_of, value_distribution
+from ..functions.ranking import average_rank_share, null_safe_join, percent_rank_of, value_distribution
 from ..session import write_shared
 from .care import readmission_30day, year_of
 from .marts import SCORE_PLACES, first_match
@@ -37,7 +37,7 @@ def provider_year_base(star: Mapping[str, DataFrame]) -> DataFrame:
     return pairs.groupBy("provider_key", "measurement_year").agg(
         total("claims").alias("claim_count"), F.count("member_key").alias("unique_member_count"),
         money_total("paid").alias("paid"), total("admissions").alias("admissions"),
-    ).join(peers, "provider_key")
+    ).join(peers, "provider_key", "left")
 
 
 def provider_peer_rank(star: Mapping[str, DataFrame]) -> DataFrame:
@@ -57,7 +57,8 @@ def provider_peer_rank(star: Mapping[str, DataFrame]) -> DataFrame:
     peers = ["provider_peer_group", "measurement_year"]
     cost = peer_percent_rank(base, "paid_per_member", "provider_cost_percentile", peers, "provider_rank")
     rate = peer_percent_rank(base, "rate_order", "readmission_percentile", peers)
-    return base.join(cost, [*peers, "paid_per_member"]).join(rate, [*peers, "rate_order"]).select(
+    ranked = null_safe_join(null_safe_join(base, cost, [*peers, "paid_per_member"]), rate, [*peers, "rate_order"])
+    return ranked.select(
         "provider_key", *peers, "claim_count", "unique_member_count",
         F.col("paid").cast("double").alias("total_paid_amount"), "paid_per_member", "paid_per_claim", "admissions",
         "readmissions_30day", "readmission_rate", "provider_cost_percentile", "readmission_percentile",
@@ -75,7 +76,7 @@ def fwa_provider_flags(star: Mapping[str, DataFrame]) -> DataFrame:
     peers = star["dim_provider"].select("provider_key", F.col("specialty_group").alias("provider_peer_group"))
     base = pairs.groupBy("provider_key").agg(
         total("claims").alias("claim_count"), F.count("member_key").alias("member_count"), money_total("paid").alias("paid")
-    ).join(peers, "provider_key").withColumn(
+    ).join(peers, "provider_key", "left").withColumn(
         "claims_per_member", per(F.col("claim_count"), F.col("member_count"))
     ).withColumn("paid_per_member", per(F.col("paid"), F.col("member_count")))
     base = write_shared(base, "provider_audit")
@@ -83,7 +84,8 @@ def fwa_provider_flags(star: Mapping[str, DataFrame]) -> DataFrame:
     paid = peer_percent_rank(base, "paid_per_member", "paid_per_member_pct", group)
     claims = peer_percent_rank(base, "claims_per_member", "claims_per_member_pct", group)
     high_paid, high_claims = F.col("paid_per_member_pct") >= 0.95, F.col("claims_per_member_pct") >= 0.95
-    return base.join(paid, [*group, "paid_per_member"]).join(claims, [*group, "claims_per_member"]).select(
+    ranked = null_safe_join(null_safe_join(base, paid, [*group, "paid_per_member"]), claims, [*group, "claims_per_member"])
+    return ranked.select(
         "provider_key", *group, "claim_count", "member_count",
         F.col("paid").cast("double").alias("total_paid_amount"), "claims_per_member", "paid_per_member",
         "paid_per_member_pct", "claims_per_member_pct",
@@ -156,7 +158,7 @@ def provider_year_features(star: Mapping[str, DataFrame]) -> DataFrame:
         *group, "paid_per_member",
         average_rank_share(F.col("before"), F.col("k"), F.col("total")).alias("peer_paid_percentile"),
     )
-    return base.join(ranks, [*group, "paid_per_member"], "left").select(
+    return null_safe_join(base, ranks, [*group, "paid_per_member"], "left").select(
         *keys, "specialty_group", "total_claims", "unique_members", "paid_per_member",
         per(F.col("paid"), F.col("total_claims")).alias("paid_per_claim"),
         per(F.col("total_claims"), F.col("unique_members")).alias("claims_per_member"), "same_day_duplicates",

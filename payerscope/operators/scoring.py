@@ -28,9 +28,9 @@ from ..fixed_values import (
 )
 from ..functions.expr import band, hash_share, per
 from ..functions.ranking import Rank, exact_quantile, value_distribution, with_pct_ranks
-from ..session import spread, write_shared
+from ..session import write_shared
 from .marts import provider_base
-from .star import enrich_episodes
+from .star import enrich_episodes, risk_of_year
 
 # The Python functions below travel to the executors with their code, so the package
 # need not be installed there.
@@ -38,7 +38,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Forest and isolation settings
 TREES, DEPTH, LEAF_ROWS, SEED = 140, 7, 8, 42
-TEST_SHARE, FALLBACK_ROWS = 0.30, 40
+TEST_SHARE, FALLBACK_ROWS, TRAINING_PARTS = 0.30, 40, 16
 ISOLATION_TREES, ISOLATION_ROWS, ISOLATION_MIN_ROWS = 120, 256, 8
 SCORE_PLACES = 6
 
@@ -164,7 +164,8 @@ def fit_and_score(
         CLASSIFIERS[classifier](),
     ]
     # Fitting passes over the rows many times; a lost cached block is recomputed from the written input.
-    train = spread(split.where(~F.col("is_test")).select(key, *names, "label", "weight"), key).persist()
+    # The forest bags rows by partition, so their number is fixed and the result is the same on any cluster.
+    train = split.where(~F.col("is_test")).select(key, *names, "label", "weight").repartition(TRAINING_PARTS, key).persist()
     fitted = Pipeline(stages=stages).fit(train)
     train.unpersist()
     probability = F.round(F.element_at(vector_to_array("probability"), 2), SCORE_PLACES)
@@ -188,7 +189,7 @@ def fit_and_score(
 
 def high_cost_rows(star: Mapping[str, DataFrame]) -> DataFrame:
     member = star["dim_member"].select("member_key", "member_id", "state_code", "plan_type")
-    return high_cost_target(star["fact_member_risk"].join(member, "member_key", "left"))
+    return high_cost_target(risk_of_year(star).join(member, "member_key", "left"))
 
 
 def score_high_cost(star: Mapping[str, DataFrame], classifier: str = "random_forest") -> Scored:
@@ -272,18 +273,19 @@ def grow_tree(sample: pd.DataFrame) -> pd.DataFrame:
 
 
 def isolation_samples(points: DataFrame) -> DataFrame:
-    """Up to 256 rows for each tree, drawn by hash without replacement.
+    """Up to 256 rows for each tree, drawn by hash without replacement from all rows.
 
-    The pool is the rows that 120 disjoint samples can hold at most; taking it is
-    the sampling step of the method, so both the pool and the rows a tree may
-    choose from have a fixed size whatever the number of providers.
+    A hash of row and tree decides which trees a row is offered to; about twice the rows that
+    a tree takes are offered, so each tree's window is small whatever the number of providers.
     """
-    pool = points.withColumn("_draw", F.xxhash64("provider_key")).orderBy("_draw", "provider_key").limit(
-        ISOLATION_TREES * ISOLATION_ROWS
+    share = min(1.0, 2.0 * ISOLATION_ROWS / max(1, points.count()))
+    open_to = F.filter(
+        F.sequence(F.lit(0), F.lit(ISOLATION_TREES - 1)),
+        lambda tree: F.pmod(F.xxhash64(F.lit("offer"), "provider_key", tree), F.lit(1_000_003)) < F.lit(share * 1_000_003),
     )
-    offered = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(ISOLATION_TREES - 1))))
+    offered = points.withColumn("tree", F.explode(open_to))
     by_tree = Window.partitionBy("tree").orderBy(F.xxhash64("provider_key", "tree"), "provider_key")
-    return offered.withColumn("_n", F.row_number().over(by_tree)).where(F.col("_n") <= ISOLATION_ROWS).drop("_n", "_draw")
+    return offered.withColumn("_n", F.row_number().over(by_tree)).where(F.col("_n") <= ISOLATION_ROWS).drop("_n")
 
 
 def isolation_scorer(nodes: pd.DataFrame, sample_size: int):

@@ -46,18 +46,14 @@ QUERY_PACK = {
 }
 
 PROVIDER_SCORED = """
-    WITH per_provider AS (
-        SELECT provider_key, count(DISTINCT claim_key) AS claims, count(DISTINCT member_key) AS members,
-               sum(paid_amount) AS paid, sum(inpatient_flag) AS inpatient_claims, sum(ed_flag) AS ed_claims
-        FROM {fact_claim}
-        GROUP BY provider_key
-    )
-    SELECT d.provider_name, d.specialty_group, claims, members, CAST(paid AS DOUBLE) AS paid_amount,
-           CAST(paid AS DOUBLE) / nullif(members, 0) AS payment_per_member,
-           claims / CAST(nullif(members, 0) AS DOUBLE) AS services_per_member, d.quality_score
-    FROM per_provider AS c
-    INNER JOIN {dim_provider} AS d ON d.provider_key = c.provider_key
-    ORDER BY payment_per_member DESC, d.provider_key"""
+    SELECT provider_name, specialty_group, n AS claims, people AS members, total AS paid_amount,
+           total / people AS payment_per_member, CAST(n AS DOUBLE) / people AS services_per_member, quality_score
+    FROM (SELECT provider_key, sum(k) AS n, nullif(count(member_key), 0) AS people, CAST(sum(p) AS DOUBLE) AS total
+          FROM (SELECT provider_key, member_key, count(claim_key) AS k, sum(paid_amount) AS p
+                FROM {fact_claim} GROUP BY provider_key, member_key)
+          GROUP BY provider_key)
+    JOIN {dim_provider} USING (provider_key)
+    ORDER BY payment_per_member DESC, provider_key"""
 
 
 def run_sql(text: str, tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -39,7 +39,7 @@ def member_months(member: DataFrame, claim: DataFrame, plan_years: Iterable[int]
     paid = claim.groupBy("member_key", F.col("paid_month_key").alias("month_key")).agg(
         F.sum("paid_amount").alias("paid")
     )
-    years = F.array(*[F.lit(int(y)) for y in plan_years])
+    years = F.array(*[F.lit(int(y)) for y in plan_years]).cast("array<int>")
     grid = (
         member.select("member_key", "eligibility_months", "plan_type", "state_code", "risk_segment")
         .withColumn("year", F.explode(years))
@@ -113,16 +113,32 @@ def override_readmissions(episode: DataFrame, source: DataFrame) -> DataFrame:
     )
 
 
-def member_risk(member: DataFrame, claim: DataFrame, episode: DataFrame, plan_year: int) -> DataFrame:
-    """Member-year risk; the random part of the gap is a hash of the member key."""
-    cost = claim.groupBy("member_key").agg(
+def claim_years(claim: DataFrame) -> list[int]:
+    """All years from the first claim to the last; none without dated claims."""
+    first, last = claim.agg(F.min("claim_from_date_key"), F.max("claim_from_date_key")).first()
+    return [] if first is None else list(range(first // 10000, last // 10000 + 1))
+
+
+def risk_of_year(star: dict[str, DataFrame], year: int | None = None) -> DataFrame:
+    """The member risk rows of one plan year, by default the last one: the year comes along as a one-row join."""
+    risk = star["fact_member_risk"]
+    if year is not None:
+        return risk.where(F.col("plan_year") == year)
+    return risk.join(F.broadcast(risk.agg(F.max("plan_year").alias("plan_year"))), "plan_year").select(*risk.columns)
+
+
+def member_risk(member: DataFrame, claim: DataFrame, episode: DataFrame, plan_years: Iterable[int]) -> DataFrame:
+    """One row per member and year with that year's claims; the random part of the gap is a hash of both."""
+    keys = ["member_key", "plan_year"]
+    year = lambda column: F.floor(F.col(column) / 10000).cast("int").alias("plan_year")
+    cost = claim.groupBy("member_key", year("claim_from_date_key")).agg(
         money_total("paid_amount").alias("paid_12m"),
         F.count("claim_key").alias("claim_count"),
         total("ed_flag").alias("ed_visits"),
         total("inpatient_flag").alias("admissions"),
     )
-    returns = episode.groupBy("member_key").agg(total("readmission_within_30_days").alias("readmission_count"))
-    draw = (hash_share(F.col("member_key"), "gap-") < 0.18).cast("int")
+    returns = episode.groupBy("member_key", year("admission_date_key")).agg(total("readmission_within_30_days").alias("readmission_count"))
+    draw = (hash_share(F.concat_ws("-", "member_key", "plan_year"), "gap-") < 0.18).cast("int")
     gap = F.greatest(
         (F.col("chronic_condition_count") - F.col("hcc_count") + draw).cast("int"), F.lit(0)
     )
@@ -130,12 +146,12 @@ def member_risk(member: DataFrame, claim: DataFrame, episode: DataFrame, plan_ye
     return (
         member.select(
             "member_key", "hcc_count", "raf_like_score", "risk_segment", "chronic_condition_count",
-            "dual_eligible_flag",
+            "dual_eligible_flag", F.explode(F.array(*[F.lit(int(y)) for y in plan_years]).cast("array<int>")).alias("plan_year"),
         )
-        .join(cost, "member_key", "left")
-        .join(returns, "member_key", "left")
+        .join(cost, keys, "left")
+        .join(returns, keys, "left")
         .select(
-            "member_key", F.lit(int(plan_year)).alias("plan_year"), "hcc_count", "raf_like_score", "risk_segment",
+            *keys, "hcc_count", "raf_like_score", "risk_segment",
             "chronic_condition_count", "dual_eligible_flag",
             F.coalesce("paid_12m", F.lit(0)).cast("decimal(28,2)").alias("paid_12m"),
             zero("claim_count"), zero("ed_visits"), zero("admissions"), zero("readmission_count"),

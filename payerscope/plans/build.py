@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import marts, scoring
 from ..operators import star as ops
-from ..session import path_exists, write_shared
+from ..session import path_exists, path_state, write_shared
 from ..sources import claims_file as custom
 from ..sources import tables as src
 
@@ -41,14 +41,16 @@ class Star(dict):
         return self
 
 
-def derived_facts(plan_years: Sequence[int], plan_year: int) -> dict[str, Callable[[Star], DataFrame]]:
+def derived_facts(plan_years: Sequence[int] | None = None) -> dict[str, Callable[[Star], DataFrame]]:
+    """Facts over the given plan years, or over all years that the claims span."""
     return {
+        "_years": lambda s: list(plan_years) if plan_years is not None else ops.claim_years(s["fact_claim"]),
         "fact_member_month": lambda s: write_shared(
-            ops.member_months(s["dim_member"], s["fact_claim"], plan_years), "fact_member_month"
+            ops.member_months(s["dim_member"], s["fact_claim"], s["_years"]), "fact_member_month"
         ),
         "fact_inpatient_episode": lambda s: ops.episodes(s["fact_claim"]),
         "fact_member_risk": lambda s: write_shared(
-            ops.member_risk(s["dim_member"], s["fact_claim"], s["fact_inpatient_episode"], plan_year),
+            ops.member_risk(s["dim_member"], s["fact_claim"], s["fact_inpatient_episode"], s["_years"]),
             "fact_member_risk",
         ),
     }
@@ -65,6 +67,12 @@ CUSTOM_PLAN_YEAR = 1998
 _built: dict[tuple[str, ...], Star] = {}
 
 
+def source_key(spark: SparkSession, folder: str) -> tuple[str, ...]:
+    """Names a folder's tables as they are now: a replaced or grown file gives another key."""
+    names = ("lineitem", "orders", "part", "customer", "supplier", "nation", "region")
+    return (spark.sparkContext.applicationId, folder, *(path_state(spark, f"{folder}/{name}.parquet") for name in names))
+
+
 def from_claims_file(raw: DataFrame, plan_year: int, order: Sequence[str]) -> Star:
     """The base tables from a loosely named claims source; ``order`` fixes the row order."""
 
@@ -84,7 +92,7 @@ def from_claims_file(raw: DataFrame, plan_year: int, order: Sequence[str]) -> St
         "dim_service": lambda s: custom.service_dim(s["_rows"]),
         "dim_diagnosis": lambda s: custom.diagnosis_dim(s["_rows"]),
         "fact_claim": lambda s: write_shared(custom.claim_fact(s["_rows"], s), "fact_claim"),
-        **derived_facts((plan_year,), plan_year),
+        **derived_facts((plan_year,)),
         "fact_inpatient_episode": episodes,
         **WRITTEN_MARTS,
         **MODELS,
@@ -102,7 +110,7 @@ def extract(spark: SparkSession, folder: str, with_readmission: bool = False) ->
 
 def extract_star(spark: SparkSession, folder: str, with_readmission: bool = False) -> Star:
     """The base tables from the loosely named extract of the Parquet tables."""
-    key = (spark.sparkContext.applicationId, folder, "extract", str(with_readmission))
+    key = (*source_key(spark, folder), "extract", str(with_readmission))
     if key not in _built or not path_exists(spark, _built[key]["_rows"].inputFiles()[0]):
         raw = extract(spark, folder, with_readmission)
         _built[key] = from_claims_file(raw, CUSTOM_PLAN_YEAR, custom.EXTRACT_ORDER)
@@ -111,7 +119,7 @@ def extract_star(spark: SparkSession, folder: str, with_readmission: bool = Fals
 
 def star(spark: SparkSession, folder: str) -> Star:
     """The eight base tables over the Parquet tables in ``folder``."""
-    key = (spark.sparkContext.applicationId, folder)
+    key = source_key(spark, folder)
     if key not in _built or not path_exists(spark, _built[key]["fact_claim"].inputFiles()[0]):
         _built[key] = Star({
             "dim_member": lambda s: write_shared(src.members(spark, folder), "dim_member"),
@@ -121,7 +129,7 @@ def star(spark: SparkSession, folder: str) -> Star:
             "fact_claim": lambda s: ops.keyed_claims(
                 src.claim_lines(spark, folder), src.CLAIM_ORDER, src.as_claims
             ),
-            **derived_facts(src.PLAN_YEARS, src.PLAN_YEARS[-1]),
+            **derived_facts(),
             **WRITTEN_MARTS,
             **MODELS,
         })

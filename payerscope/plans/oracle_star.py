@@ -127,7 +127,7 @@ CTES["fact_member_month"] = (["dim_member", "fact_claim"], """
   SELECT g.member_key, g.month_key, 1 AS eligible_flag, g.plan_type, g.state_code, g.risk_segment,
     coalesce(p.paid, 0)::DECIMAL(18,2) AS paid_amount
   FROM (SELECT member_key, plan_type, state_code, risk_segment, (y * 100 + m)::INT AS month_key
-        FROM dim_member, generate_series(1995, 2001) AS ys(y), generate_series(1, 12) AS ms(m)
+        FROM dim_member, (SELECT unnest(generate_series(year(min(l_shipdate)), year(max(l_shipdate)))) AS y FROM lineitem) ys, generate_series(1, 12) AS ms(m)
         WHERE m <= eligibility_months) g
   LEFT JOIN (SELECT member_key, paid_month_key, sum(paid_amount) AS paid FROM fact_claim GROUP BY ALL) p
     ON p.member_key = g.member_key AND p.paid_month_key = g.month_key""")
@@ -146,18 +146,22 @@ CTES["fact_inpatient_episode"] = (["fact_claim"], """
 CTES["fact_member_risk"] = (["dim_member", "fact_claim", "fact_inpatient_episode"], """
   SELECT *, CASE WHEN suspected_hcc_gap_count > 0 THEN 'Chart review and provider documentation outreach'
       ELSE 'Monitor annual wellness and chronic recapture' END AS risk_adjustment_action
-  FROM (SELECT m.member_key, 2001 AS plan_year, hcc_count, raf_like_score, risk_segment, chronic_condition_count,
+  FROM (SELECT m.member_key, y::INT AS plan_year, hcc_count, raf_like_score, risk_segment, chronic_condition_count,
       dual_eligible_flag, coalesce(paid, 0)::DECIMAL(28,2) AS paid_12m, coalesce(claims, 0)::BIGINT AS claim_count,
       coalesce(ed, 0)::BIGINT AS ed_visits, coalesce(adm, 0)::BIGINT AS admissions,
       coalesce(readm, 0)::BIGINT AS readmission_count,
       greatest(chronic_condition_count - hcc_count +
-        (('0x' || substr(md5('gap-' || m.member_key), 1, 6))::BIGINT / 16777216.0::DOUBLE < 0.18)::INT, 0)::INT
+        (('0x' || substr(md5('gap-' || m.member_key || '-' || y), 1, 6))::BIGINT / 16777216.0::DOUBLE < 0.18)::INT, 0)::INT
         AS suspected_hcc_gap_count
     FROM dim_member m
-    LEFT JOIN (SELECT member_key, sum(paid_amount) AS paid, count(DISTINCT claim_key) AS claims, sum(ed_flag) AS ed,
-        sum(inpatient_flag) AS adm FROM fact_claim GROUP BY 1) c ON c.member_key = m.member_key
-    LEFT JOIN (SELECT member_key, sum(readmission_within_30_days) AS readm FROM fact_inpatient_episode GROUP BY 1) e
-      ON e.member_key = m.member_key)""")
+    CROSS JOIN (SELECT unnest(generate_series(year(min(l_shipdate)), year(max(l_shipdate)))) AS y FROM lineitem) ys
+    LEFT JOIN (SELECT member_key, claim_from_date_key // 10000 AS cy, sum(paid_amount) AS paid, count(DISTINCT claim_key) AS claims,
+        sum(ed_flag) AS ed, sum(inpatient_flag) AS adm FROM fact_claim GROUP BY 1, 2) c ON c.member_key = m.member_key AND cy = y
+    LEFT JOIN (SELECT member_key, admission_date_key // 10000 AS ey, sum(readmission_within_30_days) AS readm
+        FROM fact_inpatient_episode GROUP BY 1, 2) e ON e.member_key = m.member_key AND ey = y)""")
+
+CTES["risk_of_year"] = (["fact_member_risk"], """
+  SELECT * FROM fact_member_risk WHERE plan_year = (SELECT max(plan_year) FROM fact_member_risk)""")
 
 CTES["claims_enriched"] = (["fact_claim", "dim_member", "dim_provider", "dim_service", "dim_diagnosis"], """
   SELECT c.*, m.* EXCLUDE (member_key, state_code), m.state_code AS state_code_member,
@@ -197,7 +201,7 @@ CTES["top_claim_per_member"] = (["claims_enriched"], """
   QUALIFY row_number() OVER (PARTITION BY member_key ORDER BY paid_amount DESC, claim_key) = 1""")
 
 CTES["mart_high_cost_member"] = (
-    ["fact_claim", "dim_member", "top_claim_per_member", "fact_member_risk"], f"""
+    ["fact_claim", "dim_member", "top_claim_per_member", "risk_of_year"], f"""
   SELECT member_key, paid::DOUBLE AS paid_12m, allowed::DOUBLE AS allowed_12m, claim_count, admissions, ed_visits,
     avoidable_ed_visits, denied_claims, {MEMBER_COLS}, diagnosis_group, service_line, readmission_count,
     suspected_hcc_gap_count, paid_percentile, risk_priority_score,
@@ -220,7 +224,7 @@ CTES["mart_high_cost_member"] = (
             sum(denied_flag)::BIGINT AS denied_claims FROM fact_claim GROUP BY 1) a
         LEFT JOIN dim_member m ON a.member_key = m.member_key
         LEFT JOIN top_claim_per_member t ON a.member_key = t.member_key
-        LEFT JOIN fact_member_risk r ON a.member_key = r.member_key)))""")
+        LEFT JOIN risk_of_year r ON a.member_key = r.member_key)))""")
 
 CTES["provider_base"] = (["fact_claim", "dim_provider"], f"""
   SELECT a.*, {ratio('paid', 'members')} AS payment_per_member, {ratio('claims', 'members')} AS services_per_member,
@@ -286,14 +290,14 @@ CTES["mart_fwa_queue"] = (["fwa_scored", "dim_member", "dim_provider", "dim_serv
   LEFT JOIN dim_diagnosis d ON f.primary_diagnosis_key = d.diagnosis_key
   WHERE fwa_score >= (SELECT round(quantile_cont(fwa_score, 0.82), 6) FROM fwa_scored)""")
 
-CTES["mart_hcc_risk"] = (["fact_member_risk", "dim_member"], f"""
+CTES["mart_hcc_risk"] = (["risk_of_year", "dim_member"], f"""
   SELECT * EXCLUDE (gap_p, paid_p, paid_12m), paid_12m::DOUBLE AS paid_12m,
     {case_band('hcc_gap_priority', [0, 0.55, 0.75, 0.90, 1.01], ["Monitor", "Review", "High priority", "Immediate chart review"])}
       AS priority_tier
   FROM (SELECT *, {score([(0.45, 'gap_p'), (0.35, 'raf_percentile'), (0.20, 'paid_p')])} AS hcc_gap_priority
     FROM (SELECT r.*, m.member_id, m.state_code, m.plan_type, {pct('r.raf_like_score')} AS raf_percentile,
         {pct('r.suspected_hcc_gap_count')} AS gap_p, {pct('r.paid_12m')} AS paid_p
-      FROM fact_member_risk r LEFT JOIN dim_member m ON r.member_key = m.member_key))""")
+      FROM risk_of_year r LEFT JOIN dim_member m ON r.member_key = m.member_key))""")
 
 CTES["mart_utilization"] = (["fact_member_month", "fact_claim"], f"""
   SELECT month_key, member_months, paid::DOUBLE AS paid_amount, coalesce(admissions, 0)::BIGINT AS admissions,

@@ -221,10 +221,10 @@ register("record_counts", over_star(lambda s: sinks.record_counts({n: s[n] for n
 # --- scores --------------------------------------------------------------------------
 
 register("target_high_cost",
-         over_star(lambda s: scoring.high_cost_target(s["fact_member_risk"]).select("member_key", "target_high_cost")),
+         over_star(lambda s: scoring.high_cost_target(star_ops.risk_of_year(s)).select("member_key", "target_high_cost")),
          with_ctes("""
-  SELECT member_key, (round(paid_12m::DOUBLE, 6) >= (SELECT round(quantile_cont(paid_12m::DOUBLE, 0.9), 6) FROM fact_member_risk))::INT
-    AS target_high_cost FROM fact_member_risk""", "fact_member_risk"))
+  SELECT member_key, (round(paid_12m::DOUBLE, 6) >= (SELECT round(quantile_cont(paid_12m::DOUBLE, 0.9), 6) FROM risk_of_year))::INT
+    AS target_high_cost FROM risk_of_year""", "risk_of_year"))
 register("score_high_cost", over_star(lambda s: scoring.score_high_cost(s).scores))
 register("score_readmission", over_star(lambda s: scoring.score_readmission(s).scores))
 register("provider_features", over_star(scoring.provider_features), with_ctes(f"""
@@ -239,15 +239,15 @@ register("baseline_models", over_star(scoring.baseline_metrics))
 
 
 def lift_rows(s) -> DataFrame:
-    target = scoring.high_cost_target(s["fact_member_risk"]).select("member_key", "target_high_cost")
+    target = scoring.high_cost_target(star_ops.risk_of_year(s)).select("member_key", "target_high_cost")
     return s["mart_high_cost_member"].select("member_key", "risk_priority_score").join(target, "member_key")
 
 
-LIFT = {"lift_rows": (["mart_high_cost_member", "fact_member_risk"], """
+LIFT = {"lift_rows": (["mart_high_cost_member", "risk_of_year"], """
   SELECT risk_priority_score AS score, (round(paid_12m::DOUBLE, 6) >= (SELECT round(quantile_cont(paid_12m::DOUBLE, 0.9), 6)
-    FROM fact_member_risk))::INT AS target
+    FROM risk_of_year))::INT AS target
   FROM (SELECT member_key, risk_priority_score FROM mart_high_cost_member) m
-  JOIN (SELECT member_key, paid_12m FROM fact_member_risk) r USING (member_key)""")}
+  JOIN (SELECT member_key, paid_12m FROM risk_of_year) r USING (member_key)""")}
 register("score_lift", over_star(lambda s: scoring.score_lift(lift_rows(s), "risk_priority_score", "target_high_cost")),
          with_ctes("""
   SELECT risk_decile, rows, positives, score_sum / rows::DOUBLE AS mean_score, positives / rows::DOUBLE AS observed_rate,
@@ -273,13 +273,13 @@ register("score_rank_metrics", over_star(lambda s: scoring.evaluation(lift_rows(
       FROM (SELECT score, count(*) AS k, sum(target) AS pos FROM lift_rows GROUP BY 1) WINDOW w AS (ORDER BY score DESC)))""",
     "lift_rows", extra=LIFT))
 register("stratified_split", over_star(lambda s: scoring.stratified_split(
-    scoring.high_cost_target(s["fact_member_risk"]), "member_key", "target_high_cost"
+    scoring.high_cost_target(star_ops.risk_of_year(s)), "member_key", "target_high_cost"
 ).select("member_key", "target_high_cost", "is_test")), with_ctes("""
   SELECT member_key, target_high_cost, rank() OVER (PARTITION BY target_high_cost ORDER BY draw) - 1
       >= ceil(count(*) OVER (PARTITION BY target_high_cost) * 0.7::DOUBLE) AS is_test
   FROM (SELECT member_key, ('0x' || substr(md5('split-' || member_key), 1, 6))::BIGINT AS draw,
-      (round(paid_12m::DOUBLE, 6) >= (SELECT round(quantile_cont(paid_12m::DOUBLE, 0.9), 6) FROM fact_member_risk))::INT
-        AS target_high_cost FROM fact_member_risk)""", "fact_member_risk"))
+      (round(paid_12m::DOUBLE, 6) >= (SELECT round(quantile_cont(paid_12m::DOUBLE, 0.9), 6) FROM risk_of_year))::INT
+        AS target_high_cost FROM risk_of_year)""", "risk_of_year"))
 register("confusion_counts",
          over_star(lambda s: scoring.confusion_counts(lift_rows(s), "risk_priority_score", "target_high_cost", 0.75)),
          with_ctes("""
@@ -315,7 +315,7 @@ def captured_hccs(spark: SparkSession, folder: str, bridge: DataFrame) -> DataFr
 
 
 def hcc_gaps(spark: SparkSession, folder: str) -> DataFrame:
-    return coding.hcc_gaps(captured_hccs(spark, folder, diagnosis_bridge(spark, folder)), src.PLAN_YEARS[-1])
+    return coding.hcc_gaps(captured_hccs(spark, folder, diagnosis_bridge(spark, folder)), star_ops.claim_years(star(spark, folder)["fact_claim"])[-1])
 
 
 def hcc_rollup(spark: SparkSession, folder: str) -> DataFrame:
@@ -323,7 +323,7 @@ def hcc_rollup(spark: SparkSession, folder: str) -> DataFrame:
         diagnosis_bridge(spark, folder).select("member_key", "risk_year", "diagnosis_code").distinct(), "member_codes"
     )
     captured = captured_hccs(spark, folder, codes)
-    gaps = coding.hcc_gaps(captured, src.PLAN_YEARS[-1])
+    gaps = coding.hcc_gaps(captured, star_ops.claim_years(star(spark, folder)["fact_claim"])[-1])
     return coding.hcc_rollup(codes, captured, gaps, src.members(spark, folder))
 
 
@@ -337,8 +337,9 @@ def reconciliation(spark: SparkSession, folder: str) -> DataFrame:
 
 def quality_report_ext(spark: SparkSession, folder: str) -> DataFrame:
     s = star(spark, folder)
-    features = care.member_year_features(s, src.PLAN_YEARS)
-    return quality.extended_checks(s, diagnosis_bridge(spark, folder), features, len(src.PLAN_YEARS))
+    years = star_ops.claim_years(s["fact_claim"])
+    features = care.member_year_features(s, years)
+    return quality.extended_checks(s, diagnosis_bridge(spark, folder), features, len(years))
 
 
 register("monthly_paid_by_type", over_star(cost.monthly_paid_by_type), design_sql(
@@ -357,7 +358,7 @@ register("provider_peer_rank", over_star(review.provider_peer_rank), design_all(
 register("fwa_provider_flags", over_star(review.fwa_provider_flags), design_all("fwa_provider_flags"))
 register("provider_month", over_star(review.provider_month), design_all("provider_month"))
 register("dim_date", over_star(cost.dim_date), design_all("dim_date"))
-register("feature_member_year", over_star(lambda s: care.member_year_features(s, src.PLAN_YEARS)),
+register("feature_member_year", over_star(lambda s: care.member_year_features(s, star_ops.claim_years(s["fact_claim"]))),
          design_all("feature_member_year"))
 register("feature_provider_year", over_star(review.provider_year_features), design_all("feature_provider_year"))
 register("feature_episode", over_star(care.episode_features), design_all("feature_episode"))
@@ -382,7 +383,7 @@ register("kpi_dictionary", over_star(cost.kpi_dictionary), design_sql("""
       m AS (SELECT sum(eligible_flag)::DOUBLE AS mm, sum(paid_amount)::DOUBLE AS mm_paid FROM fact_member_month),
       e AS (SELECT count(*)::DOUBLE AS stays, sum(readmission_within_30_days)::DOUBLE AS back FROM fact_inpatient_episode),
       d AS (SELECT (count(*) - count(DISTINCT (member_key, provider_key, service_key, claim_from_date_key)))::DOUBLE AS extra FROM fact_claim),
-      r AS (SELECT paid_12m, row_number() OVER (ORDER BY paid_12m DESC) AS i, count(*) OVER () AS n FROM fact_member_risk)
+      r AS (SELECT paid_12m, row_number() OVER (ORDER BY paid_12m DESC) AS i, count(*) OVER () AS n FROM risk_of_year)
     SELECT 'total_paid_amount' AS kpi, paid AS value FROM c UNION ALL SELECT 'allowed_amount', allowed FROM c
     UNION ALL SELECT 'paid_per_claim', paid / n FROM c UNION ALL SELECT 'eligible_member_months', mm FROM m
     UNION ALL SELECT 'pmpm', mm_paid / mm FROM m UNION ALL SELECT 'admissions_per_1000', adm / mm * 12000.0::DOUBLE FROM c, m
@@ -393,7 +394,7 @@ register("kpi_dictionary", over_star(cost.kpi_dictionary), design_sql("""
     UNION ALL SELECT 'cost_concentration_top_1_pct', sum(paid_12m) FILTER (i <= ceil(n * 0.01))::DOUBLE / sum(paid_12m)::DOUBLE FROM r
     UNION ALL SELECT 'cost_concentration_top_5_pct', sum(paid_12m) FILTER (i <= ceil(n * 0.05))::DOUBLE / sum(paid_12m)::DOUBLE FROM r
     UNION ALL SELECT 'cost_concentration_top_10_pct', sum(paid_12m) FILTER (i <= ceil(n * 0.10))::DOUBLE / sum(paid_12m)::DOUBLE FROM r)""",
-    "fact_claim", "fact_member_month", "fact_inpatient_episode", "fact_member_risk"))
+    "fact_claim", "fact_member_month", "fact_inpatient_episode", "risk_of_year"))
 register("denial_benchmark", lambda spark, folder: review.denial_benchmark(src.denial_counts(spark, folder)), f"""
   SELECT *, {ratio('claims_denied', 'claims_received')} AS denial_rate, {ratio('appeals_filed', 'claims_denied')} AS appeal_rate,
     {ratio('appeals_upheld', 'appeals_filed')} AS upheld_rate FROM (

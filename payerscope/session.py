@@ -64,15 +64,6 @@ def write_shared(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash a table of very few splits over the cores; larger tables stay as they are.
-
-    Where a join on ``key`` follows, a shuffle join then needs no second move.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def inline_table(spark: SparkSession, rows: Iterable[tuple], schema: str) -> DataFrame:
     """A small fixed table as literal rows in the plan.
 
@@ -92,3 +83,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop_path)
+
+
+def path_state(spark: SparkSession, path: str) -> str:
+    """Bytes, number of files and time of change of a file or folder; empty if there is none."""
+    jvm = spark.sparkContext._jvm
+    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
+    store = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not store.exists(hadoop_path):
+        return ""
+    held = store.getContentSummary(hadoop_path)
+    return f"{held.getLength()}-{held.getFileCount()}-{store.getFileStatus(hadoop_path).getModificationTime()}"

@@ -15,10 +15,7 @@ from ..fixed_values import (
     AGE_BANDS, COUNTIES, DIAGNOSES, MARKETS, NETWORK_TIERS, RISK_SEGMENTS, SERVICES, SPECIALTIES,
 )
 from ..functions.expr import MONEY, band, date_key, month_key, pick
-from ..session import inline_table, spread
-
-# Years the line items span; member months are laid out for each of them.
-PLAN_YEARS = tuple(range(1995, 2002))
+from ..session import inline_table
 
 # How a market segment reads as a plan.
 PLAN_BY_SEGMENT = {
@@ -137,9 +134,9 @@ def claim_id() -> Column:
 
 def claim_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Line items with their order and part. Join sides grow with the data: no hints."""
-    line = spread(table(spark, folder, "lineitem").select(
+    line = table(spark, folder, "lineitem").select(
         "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")
-    ), "l_orderkey")
+    )
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
     part = table(spark, folder, "part").select("p_partkey", "p_size")
     repeat = F.explode(F.sequence(F.lit(1), submissions(F.col("l_quantity"), F.col("l_linenumber"))))
@@ -211,12 +208,11 @@ def wide_codes(lines: DataFrame) -> DataFrame:
 
 
 def claim_sources(claim: DataFrame, service: DataFrame) -> dict[str, DataFrame]:
-    """One table per source of claims, cut from the claims by their type."""
+    """One table per source of claims, cut from the claims by their type; "" holds all other and missing types."""
     typed = claim.join(service.select("service_key", "claim_type"), "service_key", "left")
-    return {
-        kind: typed.where(F.col("claim_type") == kind)
-        for kind in ("Inpatient", "Outpatient", "Professional", "Pharmacy")
-    }
+    kinds = ("Inpatient", "Outpatient", "Professional", "Pharmacy")
+    known = F.coalesce(F.col("claim_type").isin(*kinds), F.lit(False))
+    return {kind: typed.where(F.col("claim_type") == kind) for kind in kinds} | {"": typed.where(~known)}
 
 
 def denial_counts(spark: SparkSession, folder: str) -> DataFrame:

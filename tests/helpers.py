@@ -56,6 +56,6 @@ def make_star(spark, claims, members, providers, years=(2025,)):
     star["fact_member_month"] = ops.member_months(star["dim_member"], star["fact_claim"], years)
     star["fact_inpatient_episode"] = ops.episodes(star["fact_claim"])
     star["fact_member_risk"] = ops.member_risk(
-        star["dim_member"], star["fact_claim"], star["fact_inpatient_episode"], years[-1]
+        star["dim_member"], star["fact_claim"], star["fact_inpatient_episode"], years
     )
     return star
