@@ -54,8 +54,9 @@ def number_or(text: Column, default: float) -> Column:
 
 
 def flag_of(text: Column) -> Column:
-    """Text to 0 or 1: bad or missing is 0, fractions are cut off, then clamped."""
-    parsed = F.trim(text.cast("string")).try_cast("double")
+    """Text to 0 or 1: true and false count, bad or missing is 0, fractions are cut off, then clamped."""
+    trimmed = F.lower(F.trim(text.cast("string")))
+    parsed = F.when(trimmed == "true", F.lit(1.0)).when(trimmed == "false", F.lit(0.0)).otherwise(trimmed.try_cast("double"))
     usable = F.when(F.isnan(parsed), F.lit(None)).otherwise(parsed)
     bounded = F.least(F.greatest(F.coalesce(usable, F.lit(0.0)), F.lit(-1.0)), F.lit(2.0))
     return F.least(F.greatest(bounded.cast("int"), F.lit(0)), F.lit(1))

@@ -99,9 +99,9 @@ def from_claims_file(raw: DataFrame, plan_year: int, order: Sequence[str]) -> St
     })
 
 
-def load_claims_csv(spark: SparkSession, path: str, plan_year: int = 2025) -> Star:
+def load_claims_csv(spark: SparkSession, path: str, plan_year: int = 2025, multi_line: bool = False) -> Star:
     """The base tables from a claims CSV with a header."""
-    return from_claims_file(custom.scan_csv(spark, path), plan_year, custom.FILE_ORDER)
+    return from_claims_file(custom.scan_csv(spark, path, multi_line), plan_year, custom.FILE_ORDER)
 
 
 def extract(spark: SparkSession, folder: str, with_readmission: bool = False) -> DataFrame:

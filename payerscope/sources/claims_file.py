@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..fixed_values import (
-    AGE_BANDS, COLUMN_ALIASES, DATE_COLUMNS, DATE_FORMATS, DIAGNOSES, FLAG_COLUMNS, NUMBER_DEFAULTS, RISK_SEGMENTS,
-    SERVICES, TEXT_DEFAULTS,
+    AGE_BANDS, COLUMN_ALIASES, DATE_COLUMNS, DATE_FORMATS, DIAGNOSES, FLAG_COLUMNS, MISSING_TEXTS, NUMBER_DEFAULTS,
+    RISK_SEGMENTS, SERVICES, TEXT_DEFAULTS,
 )
 from ..functions.expr import MONEY, band, date_key, date_of, flag_of, matches, month_key, number_or, pick
 from ..functions.ranking import dense_key
@@ -24,11 +24,15 @@ MONEY_COLUMNS = ["allowed_amount", "paid_amount", "member_responsibility_amount"
 FILE_ORDER = ["_file", "_block", "_line"]
 
 
-def scan_csv(spark: SparkSession, path: str) -> DataFrame:
-    """A header CSV, all text, with columns that hold the position of each row."""
-    rows = spark.read.option("header", True).option("escape", '"').csv(path)
+def scan_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """A header CSV, all text, with columns that hold the position of each row.
+
+    Texts such as N/A are missing cells. With ``multi_line`` quoted cells may hold line ends; a file is then
+    read by one task, so leave it off for large files without such cells.
+    """
+    rows = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line).csv(path)
     return rows.select(
-        "*",
+        *[F.when(~F.trim(quoted(c)).isin(MISSING_TEXTS), quoted(c)).alias(c) for c in rows.columns],
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_line"),

@@ -118,3 +118,26 @@ def test_no_window_in_the_episode_plan_runs_over_claims(spark):
     plan = ops.inpatient_gaps(star["fact_claim"])._jdf.queryExecution().optimizedPlan().toString()
     window_at = plan.index("Window [lead(")
     assert "Aggregate [member_key" in plan[window_at:window_at + 400]
+
+
+def test_years_come_from_the_claims_and_risk_has_a_row_for_each(spark):
+    from payerscope.operators import star as ops
+
+    star = make_star(spark, [claim(1, start=20230510), claim(2, start=20250105, paid="40")], [member(1)], [provider(1)], (2023, 2024, 2025))
+    assert ops.claim_years(star["fact_claim"]) == [2023, 2024, 2025]
+    assert ops.claim_years(star["fact_claim"].limit(0)) == []
+    paid = {r["plan_year"]: float(r["paid_12m"]) for r in star["fact_member_risk"].collect()}
+    assert paid == {2023: 100.0, 2024: 0.0, 2025: 40.0}
+    assert [r["plan_year"] for r in ops.risk_of_year(star).collect()] == [2025]
+
+
+def test_groups_without_a_name_stay(spark):
+    from payerscope.operators import coding, cost, review
+    from payerscope.sources import tables as src
+
+    claims = [claim(1), claim(2, provider=2, service=None), claim(3, provider=3)]
+    star = make_star(spark, claims, [member(1)], [provider(1), provider(2, specialty=None), provider(3)])
+    assert {r["provider_key"] for r in review.fwa_provider_flags(star).collect()} == {1, 2, 3}
+    assert {r["provider_key"] for r in review.provider_peer_rank(star).collect()} == {1, 2, 3}
+    assert None in {r["claim_type"] for r in cost.profile_claims(star).collect()}
+    assert coding.claim_header_union(src.claim_sources(star["fact_claim"], star["dim_service"])).count() == 3
