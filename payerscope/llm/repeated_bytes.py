@@ -43,30 +43,34 @@ class RollingHash:
         return mix((sums[starts + length] - sums[starts]) * self.down[starts])
 
 
-def segments(raw: np.ndarray, rolling: RollingHash) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(anchor, first, last, key): every 400-byte window of a text belongs to one anchor in it.
+def segments(raw: np.ndarray, rolling: RollingHash) -> tuple[np.ndarray, ...]:
+    """(anchor, first, last, key, mark): every 400-byte window of a text belongs to one anchor in it.
 
     A window's anchor is its 32-byte stretch of smallest hash, the leftmost of equals, so equal windows have
-    equal anchors at equal places. Windows ``first`` to ``last`` have the same anchor. About one place in 185
+    equal anchors at equal places. Windows ``first`` to ``last`` have the same anchor; ``mark`` is a print of
+    the bytes that they cover. About one place in 185
     is an anchor, so the suffixes that start at anchors stand for all suffixes of the text.
     """
     n = len(raw) - MATCH + 1
     if n <= 0:
-        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),)
-    anchors, firsts, lasts, keys = [], [], [], []
+        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 2
+    anchors, firsts, lasts, keys, marks = [], [], [], [], []
     for at in range(0, n, LOOK - MATCH):
         to = min(n, at + LOOK - MATCH)
         piece = raw[at : to + MATCH - 1]
-        hashes = rolling.of(rolling.sums(piece), np.arange(len(piece) - ANCHOR + 1), ANCHOR)
+        sums = rolling.sums(piece)
+        hashes = rolling.of(sums, np.arange(len(piece) - ANCHOR + 1), ANCHOR)
         ranked = (hashes & ~np.uint64(LOOK - 1)) | np.arange(len(hashes), dtype=np.uint64)
         low = (sliding_minimum(ranked, REACH) & np.uint64(LOOK - 1)).astype(np.int64)
         cut = np.flatnonzero(np.diff(low)) + 1
         first = np.concatenate(([0], cut))
         anchors.append(low[first] + at)
         firsts.append(first + at)
-        lasts.append(np.concatenate((cut, [len(low)])) - 1 + at)
+        last = np.concatenate((cut, [len(low)])) - 1
+        lasts.append(last + at)
         keys.append(hashes[low[first]])
-    return tuple(np.concatenate(x) for x in (anchors, firsts, lasts, keys))
+        marks.append(mix(rolling.of(sums, first, last - first + MATCH) + (low[first] - first).astype(np.uint64)))
+    return tuple(np.concatenate(x) for x in (anchors, firsts, lasts, keys, marks))
 
 
 def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
@@ -157,7 +161,7 @@ def context_rows(texts: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def text_segments(texts: DataFrame) -> DataFrame:
-    """print, first, last, anchor (its distance from first) and key of every segment of every text."""
+    """print, first, last, anchor (its distance from first), key and mark of every segment of every text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rolling = RollingHash()
         for batch in small_slices(batches, 50):
@@ -166,14 +170,15 @@ def text_segments(texts: DataFrame) -> DataFrame:
                 parts = segments(np.frombuffer(text, np.uint8), rolling)
                 names.extend([name] * len(parts[0]))
                 found.append(parts)
-            anchor, first, last, key = (np.concatenate(x) for x in zip(*found))
+            anchor, first, last, key, mark = (np.concatenate(x) for x in zip(*found))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.binary()), pa.array(first), pa.array(last), pa.array(anchor - first), pa.array(key.view(np.int64))],
-                names=["print", "first", "last", "anchor", "key"],
+                [pa.array(names, pa.binary()), pa.array(first), pa.array(last), pa.array(anchor - first),
+                 pa.array(key.view(np.int64)), pa.array(mark.view(np.int64))],
+                names=["print", "first", "last", "anchor", "key", "mark"],
             )
 
     return texts.where(F.octet_length("text") >= MATCH).select("print", "text").mapInArrow(
-        run, "print binary, first bigint, last bigint, anchor bigint, key bigint"
+        run, "print binary, first bigint, last bigint, anchor bigint, key bigint, mark bigint"
     )
 
 
@@ -185,7 +190,7 @@ def halved(segments_: DataFrame, texts: DataFrame, hot: DataFrame, span: int) ->
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_slices(batches, 50):
-            rows: dict[str, list] = {"print": [], "first": [], "last": [], "anchor": [], "key": []}
+            rows: dict[str, list] = {"print": [], "first": [], "last": [], "anchor": [], "key": [], "mark": []}
             for name, text, parts in zip(*(batch.column(c).to_pylist() for c in ("print", "text", "parts"))):
                 raw = text.encode("utf-8", "surrogatepass")
                 for part in parts:
@@ -195,19 +200,32 @@ def halved(segments_: DataFrame, texts: DataFrame, hot: DataFrame, span: int) ->
                         last = min(part["last"], place - far * span)
                         core = raw[max(0, place - far * span) : place - far * span - span + 1 + MATCH]
                         key = hashlib.blake2b(core + b"%d.%d" % (span, far), digest_size=8).digest()
-                        for column, value in zip(rows.values(), (name, first, last, place - first, int.from_bytes(key, "little", signed=True))):
+                        mark = hashlib.blake2b(raw[first : last + MATCH] + b"%d" % (place - first), digest_size=8).digest()
+                        values = (int.from_bytes(x, "little", signed=True) for x in (key, mark))
+                        for column, value in zip(rows.values(), (name, first, last, place - first, *values)):
                             column.append(value)
-            types = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
+            types = (pa.binary(), *[pa.int64()] * 5)
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(rows.values(), types)], names=list(rows))
 
     parts = segments_.join(hot.select("key"), "key", "left_semi").groupBy("print").agg(
         F.collect_list(F.struct("first", "last", "anchor")).alias("parts")
     )
     return texts.select("print", "text").join(parts, "print").mapInArrow(
-        run, "print binary, first bigint, last bigint, anchor bigint, key bigint"
+        run, "print binary, first bigint, last bigint, anchor bigint, key bigint, mark bigint"
     )
 
 
+def repeated_keys(parts: DataFrame) -> DataFrame:
+    """key, n: keys that come up in two places, with the number of different stretches that they stand for.
+
+    Equal stretches are counted together first, so a passage that many texts share weighs as one.
+    """
+    place = F.struct("print", F.col("first") + F.col("anchor"))
+    stretches = parts.groupBy("key", "mark").agg(F.min(place).alias("low"), F.max(place).alias("high"))
+    keys = stretches.groupBy("key").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.count("*").alias("n"))
+    return write_shared(keys.where("low <> high").select("key", "n"), "repeat-keys")
+
+
 def repeated_windows(stretches: DataFrame) -> DataFrame:
     """mark, runs: which windows of each distinct stretch another stretch, or the same one again, holds too.
 
@@ -305,7 +323,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     1. Equal texts become one with a number of copies; a text of 400 bytes or more with copies goes whole.
     2. Each window's anchor names the segment it lies in; only segments whose anchor's key comes up in two
        places can hold repeated windows. Keys are counted with map-side combining.
-    3. Segments of keys with very many places are halved, with longer keys, until no key has more than 4,000
+    3. Segments of keys with very many different stretches are halved, with longer keys, until no key has more than 4,000
        distinct stretches, so no task gets a hot passage; equal stretches are one row from the start.
     4. Buckets of keys are searched by a logarithmic family of suffix arrays, batch by batch.
     5. Repeated windows go back to their texts, which are cut and hashed.
@@ -317,16 +335,13 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     rows = rows.withColumn("print", F.unhex(F.md5(F.col("text").cast("binary"))))
     texts = write_shared(rows.groupBy("print").agg(F.any_value("text").alias("text"), F.count("*").alias("copies")), "repeat-texts")
     found = write_shared(text_segments(texts), "repeat-segments")
-    place = F.struct("print", F.col("first") + F.col("anchor"))
-    keys = found.groupBy("key").agg(F.min(place).alias("low"), F.max(place).alias("high"), F.count("*").alias("n"))
-    twice = write_shared(keys.where("low <> high").select("key", "n"), "repeat-keys")
+    twice = repeated_keys(found)
     wanted = found.join(twice.where(f"n <= {SHARED_BY}").select("key"), "key", "left_semi")
     hot, span = twice.where(f"n > {SHARED_BY}"), 256
     source, waiting = found, not hot.isEmpty()
     while waiting:
         parts = write_shared(halved(source, texts, hot, span), "repeat-halves")
-        keys = parts.groupBy("key").agg(F.min(place).alias("low"), F.max(place).alias("high"), F.count("*").alias("n"), F.countDistinct("first", "last").alias("_"))
-        twice = write_shared(keys.where("low <> high").select("key", "n"), "repeat-keys")
+        twice = repeated_keys(parts)
         small = F.lit(True) if span == 1 else F.col("n") <= SHARED_BY
         wanted = wanted.unionByName(parts.join(twice.where(small).select("key"), "key", "left_semi").select(*wanted.columns))
         hot, source, span = twice.where(~small), parts, span // 2
