@@ -16,7 +16,9 @@ WORDS = 5
 THRESHOLD = 0.8
 SLOTS = 128
 BANDS, BAND_SLOTS = 32, 4
-CHECKED_SHARE = 0.6
+WIDE_SLOTS = 1024
+BLOCK_NODES = 2048
+SLACK = 5.5
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -77,7 +79,7 @@ def uniform(keys: np.ndarray) -> np.ndarray:
     return ((keys >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53
 
 
-def signatures(bags: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+def signatures(bags: list[tuple[np.ndarray, np.ndarray]], slots: int = SLOTS) -> np.ndarray:
     """BagMinHash signatures of multisets, one row each: equal slots are an unbiased estimate of weighted Jaccard.
 
     The weight axis of an element is cut in the levels [0, 1), [1, 2), [2, 4), [4, 8) ... Each level that its
@@ -87,9 +89,9 @@ def signatures(bags: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     and level of its earliest point. A process stops once it passes the latest slot of its multiset. All
     multisets of a batch go through the rounds together.
     """
-    owner = np.zeros(len(bags) * SLOTS, np.uint64)
+    owner = np.zeros(len(bags) * slots, np.uint64)
     if not any(len(e) for e, _ in bags):
-        return owner.reshape(-1, SLOTS)
+        return owner.reshape(-1, slots)
     elements = np.concatenate([e for e, _ in bags])
     counts = np.concatenate([c for _, c in bags])
     of = np.repeat(np.arange(len(bags)), [len(e) for e, _ in bags])
@@ -107,12 +109,12 @@ def signatures(bags: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
         low, level = 2 * low, level + 1
     keys, width, cover, home = (np.concatenate(x) for x in (keys, width, cover, home))
     time, draw = np.zeros(len(keys)), keys.copy()
-    best = np.full(len(bags) * SLOTS, np.inf)
+    best = np.full(len(bags) * slots, np.inf)
     while len(keys):
         draw = mix(draw + BASE)
         time = time - np.log(uniform(draw)) / width
         place = mix(draw ^ np.uint64(0xE7037ED1A0B428DB))
-        slot = home * SLOTS + (place & np.uint64(SLOTS - 1)).astype(np.int64)
+        slot = home * slots + (place & np.uint64(slots - 1)).astype(np.int64)
         new = time < best[slot]
         if len(width) and cover.min() < 1:
             new &= uniform(mix(place + BASE)) < cover
@@ -120,9 +122,9 @@ def signatures(bags: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
         np.minimum.at(best, s, t)
         first = t == best[s]
         owner[s[first]] = k[first]
-        going = time < best.reshape(-1, SLOTS).max(axis=1)[home]
+        going = time < best.reshape(-1, slots).max(axis=1)[home]
         keys, width, cover, home, time, draw = (x[going] for x in (keys, width, cover, home, time, draw))
-    return mix(owner).reshape(-1, SLOTS)
+    return mix(owner).reshape(-1, slots)
 
 
 def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -142,11 +144,11 @@ def signed(texts: DataFrame) -> DataFrame:
         for batch in small_slices(batches):
             bags = [bag(text, hashes) for text in batch.column(1).cast(pa.binary()).to_pylist()]
             slots = signatures(bags)
+            short = (slots >> np.uint64(48)).astype("<u2")
             band = np.zeros((len(bags), BANDS), np.uint64)
-            for column in slots.reshape(-1, BANDS, BAND_SLOTS).transpose(2, 0, 1):
+            for column in short.astype(np.uint64).reshape(-1, BANDS, BAND_SLOTS).transpose(2, 0, 1):
                 band = mix(band * BASE + column)
             keys = mix(band + np.arange(BANDS, dtype=np.uint64)).view(np.int64).tolist()
-            short = (slots >> np.uint64(48)).astype("<u2")
             sigs = [row.tobytes() for row in short]
             prints, weights = [], []
             for elements, counts in bags:
@@ -161,21 +163,81 @@ def signed(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "row bigint, print string, weight bigint, sig binary, keys array<bigint>")
 
 
-def agreeing(pairs: DataFrame) -> DataFrame:
-    """Pairs whose signatures agree often enough to be worth a full comparison.
+def lowest_share(threshold: float, slots: int, by_chance: float = 0.0) -> float:
+    """Share of equal slots that a pair at the threshold falls short of only by over ``SLACK`` standard deviations."""
+    share = threshold + (1 - threshold) * by_chance
+    return share - SLACK * (share * (1 - share) / slots) ** 0.5
+
+
+def agreeing(pairs: DataFrame, threshold: float) -> DataFrame:
+    """Pairs whose signatures agree often enough to be worth a full comparison."""
+    least = lowest_share(threshold, SLOTS) * SLOTS
 
-    At a similarity of 0.8, 0.6 of 128 slots lie over five standard deviations low.
-    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, SLOTS) for c in ("sig_a", "sig_b"))
-                keep = pa.array((a == b).sum(axis=1) >= CHECKED_SHARE * SLOTS)
+                keep = pa.array((a == b).sum(axis=1) >= least)
                 yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(keep)
 
     return pairs.mapInArrow(run, "a bigint, b bigint")
 
 
+def wide_sketches(texts: DataFrame) -> DataFrame:
+    """node and wide, 1,024 slots of four bits, two to a byte."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in small_slices(batches):
+            slots = signatures([bag(text, hashes) for text in batch.column(1).cast(pa.binary()).to_pylist()], WIDE_SLOTS)
+            four = (slots >> np.uint64(60)).astype(np.uint8)
+            wide = pa.array([row.tobytes() for row in four[:, ::2] << 4 | four[:, 1::2]], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), wide], names=["node", "wide"])
+
+    return texts.mapInArrow(run, "node bigint, wide binary")
+
+
+def close_in_buckets(members: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of a bucket's nodes in different components whose signatures and wide sketches both agree enough.
+
+    ``members`` has band, key, n (nodes of the bucket), node, own, weight, sig and wide. A bucket is dealt in blocks
+    of about ``BLOCK_NODES`` by node, and each two blocks meet in one small group, so that no bucket is gathered and
+    only pairs that passed leave the task. A pair is looked at only in the first band that it shares.
+    """
+    least = lowest_share(threshold, SLOTS) * SLOTS
+    least_wide = lowest_share(threshold, WIDE_SLOTS, 1 / 16) * WIDE_SLOTS
+
+    def run(table: pa.Table) -> pa.Table:
+        node, own, weight, block = (table.column(c).to_numpy() for c in ("node", "own", "weight", "block"))
+        sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), "<u2").reshape(-1, SLOTS)
+        wide = np.frombuffer(b"".join(table.column("wide").to_pylist()), np.uint8).reshape(-1, WIDE_SLOTS // 2)
+        band, low, high = (table.column(c)[0].as_py() for c in ("band", "low", "high"))
+        left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
+        found_a, found_b = [], []
+        for i in left:
+            near = right[(own[right] != own[i]) & (np.minimum(weight[right], weight[i]) >= threshold * np.maximum(weight[right], weight[i]))]
+            if low == high:
+                near = near[node[near] > node[i]]
+            if not len(near):
+                continue
+            equal = sig[near] == sig[i]
+            good = equal.sum(axis=1) >= least
+            good[good] = equal[good].reshape(-1, BANDS, BAND_SLOTS).all(axis=2).argmax(axis=1) == band
+            near = near[good]
+            differ = wide[near] ^ wide[i]
+            near = near[((differ & 15) == 0).sum(axis=1) + ((differ >> 4) == 0).sum(axis=1) >= least_wide]
+            found_a.append(np.minimum(node[near], node[i]))
+            found_b.append(np.maximum(node[near], node[i]))
+        both = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (found_a, found_b)]
+        return pa.table({"a": both[0], "b": both[1]})
+
+    blocks = F.ceil(F.col("n") / BLOCK_NODES).cast("int")
+    dealt = members.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "band", "key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "own", "weight", "sig", "wide"
+    )
+    return met.groupBy("band", "key", "low", "high").applyInArrow(run, "a bigint, b bigint")
+
+
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) of rows whose multisets overlap enough; both texts are joined in by their row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,11 +264,10 @@ def near_texts(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     smallest doc_id that verified links of at least ``threshold`` lead to. ``kept`` marks one row of each component.
 
     Equal multisets are one node. Nodes that share a band key are candidates. In each bucket all nodes are first
-    held against its smallest one, and the links found are joined to components; a second look does the same from
-    each bucket's largest node outside the smallest one's component. Then in every bucket that still holds several
-    components each node is held against the nodes of the other components, so a pair in a bucket is left out only
-    if its nodes are joined already: no link between components is lost, and a group of copies costs one
-    comparison a copy, not all pairs.
+    held against its smallest one, and the links found are joined to components. Then in every bucket that still holds several
+    components each node is held against the nodes of the other components, first by their sketches inside small
+    blocks, then the pairs that passed by their texts. A pair in a bucket is left out only if its nodes are joined
+    already: no link between components is lost, and a group of copies costs one comparison a copy, not all pairs.
 
     Words are split at ASCII white space, ASCII letters count in lower case. Texts without words (null, empty)
     form one class. Rows with a null doc_id take part and get the group's smallest id. Empty in, empty out.
@@ -216,37 +277,35 @@ def near_texts(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     nodes = prints.groupBy("print").agg(F.min("row").alias("node"))
     firsts = write_shared(prints.join(nodes, "print").where("row = node").select("node", "weight", "sig", "keys"), "text-nodes")
     placed = firsts.select("node", F.posexplode("keys").alias("band", "key"))
-    counted = placed.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("node").alias("head"), F.max("node").alias("tail")).where("n > 1")
-    buckets = write_shared(placed.join(counted, ["band", "key"]).select("band", "key", "node", "head", "tail"), "text-buckets")
+    counted = placed.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("node").alias("head")).where("n > 1")
+    buckets = write_shared(placed.join(counted, ["band", "key"]).select("band", "key", "node", "head"), "text-buckets")
     texts = rows.select("row", "text")
     slots = firsts.select("node", "weight", "sig")
 
-    def links(pairs: DataFrame, name: str) -> DataFrame:
-        """Candidates with both signatures, then with both texts."""
-        with_sigs = (
-            pairs.join(slots.select(F.col("node").alias("a"), F.col("sig").alias("sig_a"), F.col("weight").alias("weight_a")), "a")
-            .join(slots.select(F.col("node").alias("b"), F.col("sig").alias("sig_b"), F.col("weight").alias("weight_b")), "b")
-            .where(F.least("weight_a", "weight_b") >= threshold * F.greatest("weight_a", "weight_b"))
-        )
-        worth = write_shared(agreeing(with_sigs.select("a", "b", "sig_a", "sig_b")), f"{name}-pairs")
+    def links(worth: DataFrame, name: str) -> DataFrame:
+        """Those of the pairs whose texts overlap enough."""
+        worth = write_shared(worth, f"{name}-pairs")
         needed = worth.select(F.explode(F.array("a", "b")).alias("row")).distinct()
         return write_shared(verified(worth, texts.join(needed, "row", "left_semi"), threshold), f"{name}-links")
 
     star = buckets.where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
-    found = links(star, "text-star")
+    with_sigs = (
+        star.join(slots.select(F.col("node").alias("a"), F.col("sig").alias("sig_a"), F.col("weight").alias("weight_a")), "a")
+        .join(slots.select(F.col("node").alias("b"), F.col("sig").alias("sig_b"), F.col("weight").alias("weight_b")), "b")
+        .where(F.least("weight_a", "weight_b") >= threshold * F.greatest("weight_a", "weight_b"))
+    )
+    found = links(agreeing(with_sigs.select("a", "b", "sig_a", "sig_b"), threshold), "text-star")
     groups = connected_components(found, "text-star")
 
     def grouped(table: DataFrame, groups: DataFrame) -> DataFrame:
         return table.join(groups.withColumnRenamed("component", "own"), "node", "left").withColumn("own", F.coalesce("own", "node"))
 
     apart = grouped(buckets.select("band", "key", "node"), groups)
-    mixed = apart.groupBy("band", "key").agg(F.min("own").alias("low"), F.max("own").alias("high")).where("low <> high")
-    mixed = write_shared(apart.join(mixed.select("band", "key"), ["band", "key"]), "text-mixed")
-    other = mixed.select("band", "key", F.col("node").alias("b"), F.col("own").alias("own_b"))
-    rest = (
-        mixed.join(other, ["band", "key"]).where("own <> own_b AND node < b")
-        .select(F.col("node").alias("a"), "b").distinct()
-    )
+    mixed = apart.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("own").alias("low"), F.max("own").alias("high")).where("low <> high")
+    mixed = write_shared(apart.join(mixed.select("band", "key", "n"), ["band", "key"]), "text-mixed")
+    open_nodes = mixed.select(F.col("node").alias("row")).distinct()
+    sketches = write_shared(wide_sketches(texts.join(open_nodes, "row", "left_semi").select("row", "text")), "text-wide")
+    rest = close_in_buckets(mixed.join(slots.join(sketches, "node"), "node"), threshold)
     found = found.unionByName(links(rest, "text-rest"))
     groups = connected_components(found, "text-groups")
     named = grouped(nodes, groups).select("print", "node", "own")

@@ -50,6 +50,24 @@ def test_near_texts_equal_brute_force(tables):
     assert sum(r["kept"] for r in got.values()) == len(set(want))
 
 
+@pytest.mark.parametrize("block_nodes", [2048, 5])
+def test_near_copies_of_one_text_keep_their_links_and_no_others(spark, monkeypatch, block_nodes):
+    monkeypatch.setattr(near_text, "BLOCK_NODES", block_nodes)
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(150)]
+    rows = []
+    for i in range(60):
+        words = list(base)
+        for at in rng.sample(range(150), rng.choice([1, 2, 4, 6, 9])):
+            words[at] = f"own{i}x{at}"
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = components([bag(t) for _, t in rows])
+    assert 1 < len(set(want)) < 60
+    got = sorted((r["doc_id"], r["component_id"]) for r in near_text.near_texts(docs).collect())
+    assert got == list(enumerate(want))
+
+
 def test_near_texts_join_a_chain_through_one_bucket_member(spark, odd):
     rng = random.Random(4)
     base = [f"w{rng.randrange(10**6)}" for _ in range(120)]
