@@ -196,9 +196,11 @@ def wide_sketches(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "node bigint, wide binary")
 
 
-def close_in_buckets(members: DataFrame, threshold: float) -> DataFrame:
+def close_in_buckets(members: DataFrame, threshold: float, best_only: bool) -> DataFrame:
     """Pairs (a, b) of a bucket's nodes in different components whose signatures and wide sketches both agree enough.
 
+    With ``best_only`` a node gives just the pair whose wide sketches agree most, in each group that it is in.
+
     ``members`` has band, key, n (nodes of the bucket), node, own, weight, sig and wide. A bucket is dealt in blocks
     of about ``BLOCK_NODES`` by node, and each two blocks meet in one small group, so that no bucket is gathered and
     only pairs that passed leave the task. A pair is looked at only in the first band that it shares.
@@ -224,7 +226,10 @@ def close_in_buckets(members: DataFrame, threshold: float) -> DataFrame:
             good[good] = equal[good].reshape(-1, BANDS, BAND_SLOTS).all(axis=2).argmax(axis=1) == band
             near = near[good]
             differ = wide[near] ^ wide[i]
-            near = near[((differ & 15) == 0).sum(axis=1) + ((differ >> 4) == 0).sum(axis=1) >= least_wide]
+            alike = ((differ & 15) == 0).sum(axis=1) + ((differ >> 4) == 0).sum(axis=1)
+            near = near[alike >= least_wide]
+            if best_only and len(near):
+                near = near[[alike[alike >= least_wide].argmax()]]
             found_a.append(np.minimum(node[near], node[i]))
             found_b.append(np.maximum(node[near], node[i]))
         both = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (found_a, found_b)]
@@ -264,10 +269,11 @@ def near_texts(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     smallest doc_id that verified links of at least ``threshold`` lead to. ``kept`` marks one row of each component.
 
     Equal multisets are one node. Nodes that share a band key are candidates. In each bucket all nodes are first
-    held against its smallest one, and the links found are joined to components. Then in every bucket that still holds several
-    components each node is held against the nodes of the other components, first by their sketches inside small
-    blocks, then the pairs that passed by their texts. A pair in a bucket is left out only if its nodes are joined
-    already: no link between components is lost, and a group of copies costs one comparison a copy, not all pairs.
+    held against its smallest one, and the links found are joined to components. In every bucket that still holds
+    several components, each node is then held against the nodes of the other components by their sketches inside
+    small blocks: first only its best match is compared by text and the links found are joined, then every pair
+    that is still apart and whose sketches agree enough. A pair in a bucket is left out only if its nodes are joined
+    already: no link between components is lost, and a group of copies costs a few comparisons a copy, not all pairs.
 
     Words are split at ASCII white space, ASCII letters count in lower case. Texts without words (null, empty)
     form one class. Rows with a null doc_id take part and get the group's smallest id. Empty in, empty out.
@@ -284,7 +290,6 @@ def near_texts(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     def links(worth: DataFrame, name: str) -> DataFrame:
         """Those of the pairs whose texts overlap enough."""
-        worth = write_shared(worth, f"{name}-pairs")
         needed = worth.select(F.explode(F.array("a", "b")).alias("row")).distinct()
         return write_shared(verified(worth, texts.join(needed, "row", "left_semi"), threshold), f"{name}-links")
 
@@ -294,20 +299,25 @@ def near_texts(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         .join(slots.select(F.col("node").alias("b"), F.col("sig").alias("sig_b"), F.col("weight").alias("weight_b")), "b")
         .where(F.least("weight_a", "weight_b") >= threshold * F.greatest("weight_a", "weight_b"))
     )
-    found = links(agreeing(with_sigs.select("a", "b", "sig_a", "sig_b"), threshold), "text-star")
+    found = links(write_shared(agreeing(with_sigs.select("a", "b", "sig_a", "sig_b"), threshold), "text-star-pairs"), "text-star")
     groups = connected_components(found, "text-star")
 
     def grouped(table: DataFrame, groups: DataFrame) -> DataFrame:
         return table.join(groups.withColumnRenamed("component", "own"), "node", "left").withColumn("own", F.coalesce("own", "node"))
 
-    apart = grouped(buckets.select("band", "key", "node"), groups)
-    mixed = apart.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("own").alias("low"), F.max("own").alias("high")).where("low <> high")
-    mixed = write_shared(apart.join(mixed.select("band", "key", "n"), ["band", "key"]), "text-mixed")
-    open_nodes = mixed.select(F.col("node").alias("row")).distinct()
-    sketches = write_shared(wide_sketches(texts.join(open_nodes, "row", "left_semi").select("row", "text")), "text-wide")
-    rest = close_in_buckets(mixed.join(slots.join(sketches, "node"), "node"), threshold)
-    found = found.unionByName(links(rest, "text-rest"))
-    groups = connected_components(found, "text-groups")
+    sketches, seen = None, None
+    for best_only in (True, False):
+        apart = grouped(buckets.select("band", "key", "node"), groups)
+        mixed = apart.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("own").alias("low"), F.max("own").alias("high")).where("low <> high")
+        mixed = write_shared(apart.join(mixed.select("band", "key", "n"), ["band", "key"]), "text-mixed")
+        if sketches is None:
+            open_nodes = mixed.select(F.col("node").alias("row")).distinct()
+            sketches = write_shared(wide_sketches(texts.join(open_nodes, "row", "left_semi").select("row", "text")), "text-wide")
+        rest = close_in_buckets(mixed.join(slots.join(sketches, "node"), "node"), threshold, best_only).distinct()
+        rest = write_shared(rest if seen is None else rest.join(seen, ["a", "b"], "left_anti"), "text-rest-pairs")
+        seen = rest
+        found = found.unionByName(links(rest, "text-rest"))
+        groups = connected_components(found, "text-groups")
     named = grouped(nodes, groups).select("print", "node", "own")
     all_rows = write_shared(
         rows.select("row", "doc_id").join(prints.select("row", "print"), "row").join(named, "print").select("row", "doc_id", "node", "own"), "text-rows"
