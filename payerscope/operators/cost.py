@@ -160,6 +160,25 @@ def kpi_dictionary(star: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def risk_kpis(rollup: DataFrame) -> DataFrame:
+    """Per year: mean risk score of member-years and the share of last year's HCCs that came back."""
+    score = F.col("raf_score_estimate").cast("decimal(18,3)")
+    return rollup.groupBy("risk_year").agg(
+        F.round(per(F.sum(score), F.count(score)), 6).alias("raf_average"),
+        F.round(
+            per(F.sum("recaptured_hcc_count"), F.sum(F.col("recaptured_hcc_count") + F.col("suspected_gap_count"))), 6
+        ).alias("hcc_recapture_rate"),
+    )
+
+
+def high_cost_member_rate(flags: DataFrame) -> DataFrame:
+    """Per year: high-cost members over all members with claims."""
+    return flags.groupBy("measurement_year").agg(
+        F.count(F.lit(1)).alias("members"), total("high_cost_flag").alias("high_cost_members"),
+        F.round(per(F.sum("high_cost_flag"), F.count(F.lit(1))), 6).alias("high_cost_member_rate"),
+    )
+
+
 def reconciliation(star: Mapping[str, DataFrame], source: DataFrame) -> DataFrame:
     """Row counts and paid totals by layer; ``source`` has one row per raw claim."""
     def layer(name: str, df: DataFrame, rows: Column, paid: Column) -> DataFrame:
@@ -197,6 +216,47 @@ def profile_claims(star: Mapping[str, DataFrame]) -> DataFrame:
     return null_safe_join(counts, quantiles.select("claim_type", *[F.round(n, 6).alias(n) for n in cuts]), ["claim_type"])
 
 
+def profile_diagnosis_groups(star: Mapping[str, DataFrame], top: int = 10) -> DataFrame:
+    """The diagnosis groups with the highest paid amounts; claims are summed per diagnosis before they meet the names."""
+    per_code = star["fact_claim"].groupBy(F.col("primary_diagnosis_key").alias("diagnosis_key")).agg(
+        F.count(F.lit(1)).alias("k"), F.sum("paid_amount").alias("p")
+    )
+    groups = star["dim_diagnosis"].select("diagnosis_key", "diagnosis_group")
+    return per_code.join(groups, "diagnosis_key", "left").groupBy("diagnosis_group").agg(
+        total("k").alias("claims"), F.sum("p").cast("double").alias("paid_amount")
+    ).orderBy(F.desc("paid_amount"), "diagnosis_group").limit(top)
+
+
+def profile_monthly_volume(star: Mapping[str, DataFrame]) -> DataFrame:
+    """Claims and paid amount by month and claim type."""
+    per_service = star["fact_claim"].groupBy("paid_month_key", "service_key").agg(
+        F.count(F.lit(1)).alias("k"), F.sum("paid_amount").alias("p")
+    )
+    types = star["dim_service"].select("service_key", "claim_type")
+    return per_service.join(types, "service_key", "left").groupBy(F.col("paid_month_key").alias("month_key"), "claim_type").agg(
+        total("k").alias("claims"), F.sum("p").cast("double").alias("paid_amount")
+    )
+
+
+def profile_stays(star: Mapping[str, DataFrame]) -> DataFrame:
+    """Distribution of the length of stay over episodes."""
+    return star["fact_inpatient_episode"].groupBy("length_of_stay").agg(F.count(F.lit(1)).alias("episodes"))
+
+
+def profile_age_bands(star: Mapping[str, DataFrame]) -> DataFrame:
+    """Per age band: members, the share with a chronic condition, episodes and the readmission rate."""
+    stays = star["fact_inpatient_episode"].groupBy("member_key").agg(
+        F.count(F.lit(1)).alias("stays"), F.sum("readmission_within_30_days").alias("back")
+    )
+    members = star["dim_member"].select("member_key", "age_band", "chronic_condition_count")
+    return members.join(stays, "member_key", "left").groupBy("age_band").agg(
+        F.count(F.lit(1)).alias("members"),
+        F.round(per(F.count_if(F.col("chronic_condition_count") > 0), F.count(F.lit(1))), 6).alias("chronic_prevalence"),
+        total("stays").alias("episodes"),
+        F.round(per(total("back"), total("stays")), 6).alias("readmission_rate"),
+    )
+
+
 def winsorize(claim: DataFrame, low: float = 0.01, high: float = 0.99) -> DataFrame:
     """Paid amount clipped at two quantiles, for model inputs only."""
     cuts = exact_quantiles(claim, "paid_amount", {"low": low, "high": high}, decimals=2)

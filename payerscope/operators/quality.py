@@ -56,7 +56,7 @@ def base_checks(tables: Mapping[str, DataFrame]) -> DataFrame:
         F.coalesce(F.sum(F.col("k") - 1), F.lit(0)).cast("bigint").alias("extra"),
         F.coalesce(F.sum("eligible"), F.lit(0)).cast("bigint").alias("eligible"),
     )
-    gaps = tables["fact_inpatient_episode"].agg(F.min("days_to_readmission").alias("v"))
+    gaps = tables["fact_inpatient_episode"].agg(F.min("days_to_readmission").alias("v"), F.count(F.lit(1)).alias("n"))
     return union([
         report(measured, [
             ("claim_rows_positive", F.col("n") > 0, F.col("n"), "> 0"),
@@ -73,11 +73,22 @@ def base_checks(tables: Mapping[str, DataFrame]) -> DataFrame:
             ("member_month_unique", F.col("extra") == 0, F.col("extra"), "0 duplicates"),
             ("member_months_positive", F.col("eligible") > 0, F.col("eligible"), "> 0"),
         ]),
-        # without episodes there is nothing to check, which counts as passed
-        report(gaps, [("readmission_days_non_negative", F.coalesce(v, F.lit(0)) >= 0, F.coalesce(v, F.lit(0)), ">= 0")]),
+        # without episodes there is nothing to check, which counts as passed and is said so
+        report(gaps, [(
+            "readmission_days_non_negative", F.coalesce(v, F.lit(0)) >= 0, F.coalesce(v, F.lit(0)),
+            F.when(F.col("n") == 0, "skipped no episodes").otherwise(">= 0"),
+        )]),
     ])
 
 
+def quality_status(report_rows: DataFrame) -> DataFrame:
+    """One row: PASS only if no check failed, the number of checks and of failures."""
+    failed = F.count_if(F.col("status") == "FAIL")
+    return report_rows.agg(
+        F.when(failed == 0, "PASS").otherwise("FAIL").alias("status"), F.count(F.lit(1)).alias("checks"), failed.alias("failures")
+    )
+
+
 def mart_checks(tables: Mapping[str, DataFrame]) -> DataFrame:
     v = F.col("v")
     return union([

@@ -193,6 +193,10 @@ _checks_sql = """
 ) + ")"
 register("quality_report", over_star(quality.quality_report), with_ctes(_checks_sql, *CHECKED, *marts.MARTS))
 
+register("quality_status", over_star(lambda s: quality.quality_status(quality.quality_report(s))), with_ctes(f"""
+  SELECT CASE WHEN bool_and(status = 'PASS') THEN 'PASS' ELSE 'FAIL' END AS status, count(*) AS checks,
+    count(*) FILTER (status = 'FAIL') AS failures FROM ({_checks_sql})""", *CHECKED, *marts.MARTS))
+
 _complex = "(SELECT count(*) FROM mart_high_cost_member WHERE priority_tier = 'Complex care')"
 register("kpi_summary", over_star(lambda s: kpis.kpi_summary(s, quality.quality_report(s))), with_ctes(f"""
   SELECT (SELECT count(*) FROM fact_claim) AS claims, (SELECT count(*) FROM dim_member) AS members,
@@ -213,6 +217,9 @@ register("risk_cost", over_star(lambda s: kpis.risk_cost(s["mart_high_cost_membe
 register("top_n_queues", over_star(kpis.top_n_queues), with_ctes(" UNION ALL ".join(
     f"(SELECT '{queue}' AS queue, {key}::VARCHAR AS entity, {score} AS score FROM {mart} ORDER BY {score} DESC, {key} LIMIT {n})"
     for queue, (mart, key, score, n) in kpis.QUEUES.items()), *{q[0] for q in kpis.QUEUES.values()}))
+for _queue, (_mart, _key, _score, _size) in kpis.QUEUES.items():
+    register(f"queue_{_queue}", over_star(lambda s, q=_queue: kpis.top_rows(s, q)), with_ctes(
+        f"SELECT * FROM {_mart} ORDER BY {_score} DESC, {_key} LIMIT {_size}", _mart))
 _counted = [*BASE_TABLES, *marts.MARTS]
 register("record_counts", over_star(lambda s: sinks.record_counts({n: s[n] for n in _counted})), with_ctes(
     " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS records FROM {t}" for t in _counted), *_counted))
@@ -343,7 +350,7 @@ def quality_report_ext(spark: SparkSession, folder: str) -> DataFrame:
 
 
 register("monthly_paid_by_type", over_star(cost.monthly_paid_by_type), design_sql(
-    f"SELECT member_key, year_month, {', '.join(f'{a}::DOUBLE AS {a}' for a in AMOUNTS)} FROM monthly", "monthly"))
+    f"SELECT member_key, month_key AS year_month, {', '.join(f'{a}::DOUBLE AS {a}' for a in AMOUNTS)} FROM monthly", "monthly"))
 register("segment_pmpm", over_star(cost.segment_pmpm), design_all("segment_pmpm"))
 register("rolling_pmpm", over_star(cost.rolling_pmpm), design_sql("""
   SELECT year_month, state_code, age_band, risk_segment, eligible_member_months, pmpm,
@@ -395,6 +402,29 @@ register("kpi_dictionary", over_star(cost.kpi_dictionary), design_sql("""
     UNION ALL SELECT 'cost_concentration_top_5_pct', sum(paid_12m) FILTER (i <= ceil(n * 0.05))::DOUBLE / sum(paid_12m)::DOUBLE FROM r
     UNION ALL SELECT 'cost_concentration_top_10_pct', sum(paid_12m) FILTER (i <= ceil(n * 0.10))::DOUBLE / sum(paid_12m)::DOUBLE FROM r)""",
     "fact_claim", "fact_member_month", "fact_inpatient_episode", "risk_of_year"))
+register("kpi_risk_year", lambda spark, folder: cost.risk_kpis(hcc_rollup(spark, folder)), design_sql(f"""
+  SELECT risk_year, round({ratio('total', 'k')}, 6) AS raf_average, round({ratio('back', 'expected')}, 6) AS hcc_recapture_rate
+  FROM (SELECT risk_year, sum(raf_score_estimate::DECIMAL(18,3)) AS total, count(*) AS k, sum(recaptured_hcc_count) AS back,
+      sum(recaptured_hcc_count + suspected_gap_count) AS expected FROM hcc_rollup GROUP BY 1)""", "hcc_rollup"))
+register("kpi_high_cost_rate", over_star(lambda s: cost.high_cost_member_rate(care.high_cost_flag(s))), design_sql(f"""
+  SELECT measurement_year, members, flagged::BIGINT AS high_cost_members, round({ratio('flagged', 'members')}, 6) AS high_cost_member_rate
+  FROM (SELECT measurement_year, count(*) AS members, sum(high_cost_flag) AS flagged FROM high_cost_flag GROUP BY 1)""", "high_cost_flag"))
+register("profile_diagnosis_groups", over_star(cost.profile_diagnosis_groups), with_ctes("""
+  SELECT diagnosis_group, count(*) AS claims, sum(paid_amount)::DOUBLE AS paid_amount
+  FROM fact_claim LEFT JOIN dim_diagnosis ON diagnosis_key = primary_diagnosis_key
+  GROUP BY 1 ORDER BY 3 DESC, 1 LIMIT 10""", "fact_claim", "dim_diagnosis"))
+register("profile_monthly_volume", over_star(cost.profile_monthly_volume), design_sql("""
+  SELECT paid_month_key AS month_key, claim_type, count(*) AS claims, sum(paid_amount)::DOUBLE AS paid_amount
+  FROM typed_claim GROUP BY ALL""", "typed_claim"))
+register("profile_stays", over_star(cost.profile_stays), with_ctes(
+    "SELECT length_of_stay, count(*) AS episodes FROM fact_inpatient_episode GROUP BY 1", "fact_inpatient_episode"))
+register("profile_age_bands", over_star(cost.profile_age_bands), with_ctes(f"""
+  SELECT age_band, members, round({ratio('chronic', 'members')}, 6) AS chronic_prevalence, episodes::BIGINT AS episodes,
+    round({ratio('back', 'episodes')}, 6) AS readmission_rate
+  FROM (SELECT age_band, count(*) AS members, count(*) FILTER (chronic_condition_count > 0) AS chronic,
+      coalesce(sum(k), 0) AS episodes, coalesce(sum(b), 0) AS back
+    FROM dim_member m LEFT JOIN (SELECT member_key, count(*) AS k, sum(readmission_within_30_days) AS b
+      FROM fact_inpatient_episode GROUP BY 1) e ON e.member_key = m.member_key GROUP BY 1)""", "dim_member", "fact_inpatient_episode"))
 register("denial_benchmark", lambda spark, folder: review.denial_benchmark(src.denial_counts(spark, folder)), f"""
   SELECT *, {ratio('claims_denied', 'claims_received')} AS denial_rate, {ratio('appeals_filed', 'claims_denied')} AS appeal_rate,
     {ratio('appeals_upheld', 'appeals_filed')} AS upheld_rate FROM (
