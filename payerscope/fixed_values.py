@@ -42,9 +42,10 @@ SPECIALTIES = [
     ("Facility", "Facility"),
     ("Pharmacy", "Pharmacy"),
 ]
-COUNTIES = ["Metro", "North", "South", "Central", "Coastal", "Valley"]
-MARKETS = ["Urban core", "Suburban", "Rural", "Regional hub"]
-NETWORK_TIERS = ["Preferred", "Standard", "Watchlist"]
+# Labels of our own for the Parquet tables, which have no county, market or network.
+COUNTIES = [f"County {n}" for n in range(1, 7)]
+MARKETS = [f"Market {n}" for n in range(1, 5)]
+NETWORK_TIERS = [f"Tier {n}" for n in range(1, 4)]
 
 # --- Fixed values: header names accepted for each canonical column ---------
 COLUMN_ALIASES = {

@@ -86,11 +86,6 @@ def key_to_date(key: Column) -> Column:
     return F.make_date(F.floor(key / 10000).cast("int"), F.floor(key / 100).cast("int") % 100, key % 100)
 
 
-def month_ordinal(key: Column) -> Column:
-    """Months since year zero for a ``yyyyMM`` key, so that windows can count months."""
-    return (F.floor(key / 100) * 12 + key % 100).cast("int")
-
-
 def matches(text: Column, pattern: str) -> Column:
     """Case-insensitive search as a 0/1 flag; null text does not match."""
     return F.coalesce(text.rlike(f"(?i){pattern}"), F.lit(False)).cast("int")

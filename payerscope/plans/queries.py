@@ -380,8 +380,9 @@ register("claim_header_union",
 register("lineage", lineage)
 register("record_hash", lambda spark, folder: coding.with_lineage(
     src.table(spark, folder, "customer")).select("c_custkey", "source_file", "record_hash"), """
-  SELECT c_custkey, 'customer.parquet' AS source_file, sha256(concat_ws('|', c_custkey::VARCHAR, c_name, c_nationkey::VARCHAR,
-    c_acctbal::VARCHAR, c_mktsegment)) AS record_hash FROM customer""")
+  SELECT c_custkey, 'customer.parquet' AS source_file, sha256(array_to_string(list_transform(
+    [c_custkey::VARCHAR, c_name, c_nationkey::VARCHAR, c_acctbal::VARCHAR, c_mktsegment],
+    lambda v: ifnull(length(v) || ':' || v, '-')), '|')) AS record_hash FROM customer""")
 register("kpi_dictionary", over_star(cost.kpi_dictionary), design_sql("""
   SELECT kpi, round(value, 6) AS value FROM (
     WITH c AS (SELECT count(*)::DOUBLE AS n, sum(paid_amount)::DOUBLE AS paid, sum(allowed_amount)::DOUBLE AS allowed,

@@ -14,11 +14,17 @@ MONTH_COLUMNS = {"fact_claim": "paid_month_key", "fact_member_month": "month_key
 
 
 def write_tables(tables: Mapping[str, DataFrame], folder: str) -> None:
-    """Replace every table under ``folder`` by its current rows, as Parquet."""
+    """Replace every table under ``folder`` by its current rows, as Parquet.
+
+    Rows laid out by month are first brought together by month, else each task would write a file for every month;
+    runtime planning splits large months and joins small ones.
+    """
     for name, df in tables.items():
         month = MONTH_COLUMNS.get(name)
-        writer = df.write.mode("overwrite")
-        (writer.partitionBy(month) if month in df.columns else writer).parquet(f"{folder}/{name}")
+        if month in df.columns:
+            df.hint("rebalance", month).write.mode("overwrite").partitionBy(month).parquet(f"{folder}/{name}")
+        else:
+            df.write.mode("overwrite").parquet(f"{folder}/{name}")
 
 
 def write_csv(tables: Mapping[str, DataFrame], folder: str) -> None:

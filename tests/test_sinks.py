@@ -1,6 +1,7 @@
 import pytest
 
 from payerscope import session
+from payerscope.operators import coding, quality
 from payerscope.sources import sinks
 
 
@@ -21,6 +22,26 @@ def test_claims_are_laid_out_by_month(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/fact_claim").where("paid_month_key = 202502").count() == 2
 
 
+def test_many_tasks_do_not_write_many_files_a_month(spark, tmp_path):
+    df = spark.range(0, 400, 1, 20).selectExpr("id AS claim_key", "cast(202501 + id % 4 AS int) AS paid_month_key")
+    sinks.write_tables({"fact_claim": df}, str(tmp_path))
+    files = list((tmp_path / "fact_claim").glob("paid*/*.parquet"))
+    assert len(files) == 4 and spark.read.parquet(f"{tmp_path}/fact_claim").count() == 400
+
+
+def test_record_hash_tells_nulls_empty_texts_and_separators_apart(spark, tmp_path):
+    rows = [(1, None, ""), (2, "", None), (3, "", ""), (4, "a|1:b", "c"), (5, "a", "1:b|c"), (6, None, None)]
+    spark.createDataFrame(rows, "k int, a string, b string").write.parquet(f"{tmp_path}/t")
+    hashed = coding.with_lineage(spark.read.schema("a string, b string").parquet(f"{tmp_path}/t"))
+    assert hashed.select("record_hash").distinct().count() == len(rows)
+
+
+def test_quality_status(spark):
+    rows = spark.createDataFrame([("a", "PASS"), ("b", "FAIL")], "check_name string, status string")
+    assert [tuple(r) for r in quality.quality_status(rows).collect()] == [("FAIL", 2, 1)]
+    assert [tuple(r) for r in quality.quality_status(rows.where("status = 'PASS'")).collect()] == [("PASS", 1, 0)]
+
+
 def test_summary_and_counts(spark, tmp_path):
     tables = {"b": spark.range(3).toDF("x"), "a": spark.range(4).selectExpr("id AS x", "id AS y")}
     summary = {r["name"]: (r["rows"], r["columns"]) for r in sinks.run_summary(tables, f"{tmp_path}/out").collect()}
