@@ -223,6 +223,11 @@ def score_readmission(star: Mapping[str, DataFrame], classifier: str = "random_f
     return Scored(scores, result.metrics)
 
 
+def score_bounds(scores: DataFrame, score: str, *shown: str) -> DataFrame:
+    """Every scored row with ``shown`` and whether its score is there and within 0 and 1."""
+    return scores.select(*shown, F.coalesce(F.col(score).between(0.0, 1.0), F.lit(False)).alias("score_in_range"))
+
+
 # --- provider anomaly ---------------------------------------------------------------------
 
 def provider_features(star: Mapping[str, DataFrame]) -> DataFrame:

@@ -239,6 +239,16 @@ register("provider_features", over_star(scoring.provider_features), with_ctes(f"
     ed_claims, denied_claims, {PROVIDER_COLS}, payment_per_member, services_per_member,
     {ratio('denied_claims', 'claims')} AS denial_rate FROM provider_base""", "provider_base"))
 register("score_provider_anomaly", over_star(lambda s: scoring.score_provider_anomaly(s).scores))
+register("score_high_cost_bounds", over_star(lambda s: scoring.score_bounds(
+    scoring.score_high_cost(s).scores, "predicted_high_cost_probability", "member_key", "target_high_cost")), with_ctes("""
+  SELECT member_key, (round(paid_12m::DOUBLE, 6) >= (SELECT round(quantile_cont(paid_12m::DOUBLE, 0.9), 6) FROM risk_of_year))::INT
+    AS target_high_cost, true AS score_in_range FROM risk_of_year""", "risk_of_year"))
+register("score_readmission_bounds", over_star(lambda s: scoring.score_bounds(
+    scoring.score_readmission(s).scores, "predicted_readmission_probability", "episode_key", "readmission_within_30_days")), with_ctes(
+    "SELECT episode_key, readmission_within_30_days, true AS score_in_range FROM fact_inpatient_episode", "fact_inpatient_episode"))
+register("score_provider_bounds", over_star(lambda s: scoring.score_bounds(
+    scoring.score_provider_anomaly(s).scores, "provider_anomaly_score", "provider_key")), with_ctes(
+    "SELECT provider_key, true AS score_in_range FROM provider_base", "provider_base"))
 register("model_metrics", over_star(lambda s: scoring.model_metrics(s["_models"])))
 register("quality_report_models",
          over_star(lambda s: quality.quality_report(s, scoring.model_metrics(s["_models"]))))
