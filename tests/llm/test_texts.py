@@ -275,3 +275,26 @@ def test_toxicity_on_held_out_rows(spark, odd, nothing):
     assert {r["doc_id"] for r in kept.collect()} == {n for n, r in got.items() if r["predicted"] == 0}
     assert toxicity.toxicity(odd, marks).count() == len(ROWS)
     assert toxicity.toxicity(nothing, marks).count() == 0 and toxicity.toxicity(docs, marks.limit(0)).where("predicted = 1").count() == 0
+
+
+WRAPPED = [
+    ("GPL", "# This program is free software: you can redistribute it and/or\n# modify it under the terms of the GNU General Public\n# License as published by the Free Software Foundation, either\n# version 3 of the License, or (at your option) any later version."),
+    ("LGPL", " * This library is free software; you can redistribute it and/or\n * modify it under the terms of the GNU Lesser General Public\n * License as published by the Free Software Foundation; either"),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above"),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining\na copy of this software and associated documentation files"),
+    ("AGPL", "it under the terms of the GNU Affero\nGeneral Public License as published\nby the Free Software Foundation"),
+    ("GPL", "Released under GPLv3."), ("LGPL", "Distributed under LGPL-2.1-or-later"), ("AGPL", "AGPLv3"), ("BSD", "Released under the BSD 3-Clause terms."),
+    ("Apache-2.0", "Available under Apache-2.0"), ("MIT", "This file is under the MIT terms."), ("GPL", "SPDX-License-Identifier: GPL-2.0-only"),
+    ("MIT", "SPDX-License-Identifier: MIT"), ("MPL-2.0", "MPL-2.0"), ("CC-BY-NC", "Text: CC-BY-NC-4.0"),
+]
+
+
+def test_wrapped_notices_and_short_names(spark, tables):
+    rows = [(10**6 + i, f"A first line\n\n{notice}\n\nand the rest of it") for i, (_, notice) in enumerate(WRAPPED)]
+    prose = "Er kam mit den anderen und ging unter die Leute\nthe terms of the house and a copy of this\nuse in the public square"
+    docs = tables("documents").select("doc_id", "text").unionByName(spark.createDataFrame([*rows, (2 * 10**6, prose)], "doc_id bigint, text string"))
+    got = defaultdict(list)
+    for r in license_scan.license_notices(docs).where("doc_id >= 1000000").collect():
+        got[r["doc_id"]].append(r)
+    assert [[r["family"] for r in got[i] if r["family"] != "unknown"] for i, _ in rows] == [[family] for family, _ in WRAPPED]
+    assert all(min(r["start"] for r in got[i]) == len("A first line\n\n") for i, _ in rows) and not got[2 * 10**6]
