@@ -286,21 +286,22 @@ def shard_links(rows: DataFrame, threshold: float) -> DataFrame:
             parts = np.array(batch.column("part").to_pylist(), object)
             roles = batch.column("role").to_numpy(zero_copy_only=False)
             ids, copies = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("row", "copies"))
-            width = len(batch.column("vector")[0])
-            flat = batch.column("vector").flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-            vectors = unit(flat.reshape(-1, width))
+            column = batch.column("vector")
             cuts = [0, *(i for i in range(1, len(parts)) if parts[i] != parts[i - 1] or roles[i] != roles[i - 1]), len(parts)]
             for a, b in zip(cuts[:-1], cuts[1:]):
                 if parts[a] != part:
                     if shard is not None:
                         yield from shard.close()
                     part, shard = parts[a], Shard()
+                # the vectors of a part have one width, those of a batch need not
+                flat = column.slice(a, b - a).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+                vectors = unit(flat.reshape(b - a, -1))
                 if roles[a] == 0:
-                    shard.add(ids[a:b], copies[a:b], vectors[a:b])
+                    shard.add(ids[a:b], copies[a:b], vectors)
                 else:
                     for at in range(a, b, QUERY_ROWS):
                         to = min(b, at + QUERY_ROWS)
-                        yield from shard.ask(ids[at:to], copies[at:to], vectors[at:to])
+                        yield from shard.ask(ids[at:to], copies[at:to], vectors[at - a : to - a])
         if shard is not None:
             yield from shard.close()
 

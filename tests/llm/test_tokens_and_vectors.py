@@ -177,3 +177,19 @@ def test_components_of_a_long_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(200)] + [(1000, 1000 + i) for i in range(1, 50)] + [(7, 7)]
     got = dict(connected_components(spark.createDataFrame(edges, "a bigint, b bigint"), "test").collect())
     assert {got[i] for i in range(1, 201)} == {0} and {got[1000 + i] for i in range(1, 50)} == {1000}
+
+
+@pytest.mark.parametrize("other", [8, 15])
+def test_vectors_of_two_widths_in_one_partition(spark, odd, other):
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(6, 16))
+    rows = [(n, [float(x) for x in centres[n % 6] + 0.1 * rng.normal(size=16)], n % 3) for n in range(120)]
+    rows += [(200 + n, rows[n][1][:other], rows[n][2]) for n in range(12)]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int").coalesce(1)
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        got = sorted(tuple(r)[:3] for r in vector_graph.near_vectors(table).collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    assert got == by_hand(rows)
