@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -187,11 +189,22 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, per_b
     return found if found is not None else spark.createDataFrame([], SCHEMA)
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE) -> DataFrame:
-    """The documents that hold no benchmark item; rows without a doc_id are judged by their text alone.
+def without_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, per_block: int = ITEMS_PER_BLOCK) -> DataFrame:
+    """The rows that hold no benchmark item, each judged by its own text, all columns kept.
 
-    Documents are told apart by doc_id: if one of several rows with an id is contaminated, all of them go.
+    A doc_id decides nothing: rows without one go if their text is contaminated, and of several rows with one id
+    only those whose text is.
     """
-    marked = docs.withColumn("doc_id", F.col("doc_id").cast("bigint"))
-    bad = leaks(docs, benchmark, rate).select("doc_id").distinct()
-    return marked.join(bad, F.expr("0 = 1") if "doc_id" not in docs.columns else "doc_id", "left_anti")
+    def holds_none(shared: Broadcast):
+        @F.pandas_udf("boolean")
+        def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            block = Block(shared.value, rate)
+            for texts in batches:
+                yield pd.Series([not block.find(plain(text)) for text in texts], dtype=bool)
+
+        return clean(text_or_empty())
+
+    kept = docs.withColumn("doc_id", F.col("doc_id").cast("bigint")) if "doc_id" in docs.columns else docs
+    for items in item_blocks(benchmark, rate, per_block):
+        kept = kept.where(holds_none(docs.sparkSession.sparkContext.broadcast(items)))
+    return kept

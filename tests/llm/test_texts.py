@@ -298,3 +298,13 @@ def test_wrapped_notices_and_short_names(spark, tables):
         got[r["doc_id"]].append(r)
     assert [[r["family"] for r in got[i] if r["family"] != "unknown"] for i, _ in rows] == [[family] for family, _ in WRAPPED]
     assert all(min(r["start"] for r in got[i]) == len("A first line\n\n") for i, _ in rows) and not got[2 * 10**6]
+
+
+def test_rows_are_decontaminated_by_their_own_text(spark, odd):
+    item = "the quick brown fox jumps over the lazy dog and runs away"
+    rows = [(None, f"before {item} after", 1), (None, "a clean text", 2), (7, f"x {item}", 3), (7, "a clean text with the id of another", 4), (8, None, 5)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, n int")
+    bench = spark.createDataFrame([(1, item), (2, "another passage that nothing here holds at all")], "item_id bigint, text string")
+    for block in (20_000, 1):
+        kept = decontaminate.without_leaks(docs, bench, per_block=block)
+        assert kept.columns == docs.columns and sorted(r["n"] for r in kept.collect()) == [2, 4, 5]
