@@ -10,7 +10,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import write_shared
@@ -168,7 +168,8 @@ class StringMachine:
         return [max(map(get, words), default=self.bias) for words in cut]
 
     def probability(self, margin: float) -> float:
-        return 1.0 / (1.0 + math.exp(-max(-40.0, min(40.0, self.scale * margin + self.shift))))
+        """By the logistic curve; training asks for margins of 1 and -1, and what lies beyond says no more."""
+        return 1.0 / (1.0 + math.exp(-max(-40.0, min(40.0, self.scale * max(-1.0, min(1.0, margin)) + self.shift))))
 
 
 def train_vector_machine(x: np.ndarray, y: np.ndarray, cost: np.ndarray, rounds: int = 50) -> tuple[np.ndarray, float]:
@@ -211,12 +212,19 @@ def kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
     return np.vstack([dense(words[i : i + 2000]) @ right.T for i in range(0, len(words), 2000)])
 
 
+def evidence_floor(tested: int) -> float:
+    return math.log(max(tested, 1) / CHANCE)
+
+
 def fit(words: list[tuple[str, int, int]], tested: int, toxic_docs: int, clean_docs: int, examples: list[tuple[str, int]]) -> StringMachine:
     """Train on word counts (word, toxic texts, clean texts) and example texts with their labels.
 
-    A word counts as toxic if its evidence would come up by chance in one of twenty trials over all ``tested`` words.
+    A word is an example of the toxic class if its evidence would come up by chance in one of twenty trials over all
+    ``tested`` words, whatever its clean uses. It counts for the toxic class by the toxic share of its texts and for
+    the other class by the rest, so the margin that the machine learns for it grows with that share; how large a
+    margin makes a text toxic is left to the calibration on whole texts.
     """
-    floor = math.log(max(tested, 1) / CHANCE)
+    floor = evidence_floor(tested)
     share = max(1, toxic_docs) / max(1, toxic_docs + clean_docs)
 
     def evidence(tox: int, clean: int) -> float:
@@ -228,16 +236,19 @@ def fit(words: list[tuple[str, int, int]], tested: int, toxic_docs: int, clean_d
         return tox * math.log(own / share) + rest
 
     ranked = sorted(((evidence(t, c), w, t, c) for w, t, c in words), reverse=True)
-    bad = {w for e, w, t, c in ranked if e >= floor and t > 9 * c}
+    bad = {w for e, w, t, c in ranked if e >= floor}
     seen_in: dict[str, int] = {}
+    clean_in: dict[str, int] = {}
     for e, w, t, c in ranked:
         for piece in windows(w) if w in bad else []:
             seen_in[piece] = seen_in.get(piece, 0) + t
+            clean_in[piece] = clean_in.get(piece, 0) + c
     positive = list(seen_in)[: MAX_WORDS // 4]
     for piece in sorted(positive, key=lambda p: -seen_in[p])[:VARIED_WORDS]:  # gapped forms are examples as well
         for form in gapped_forms(piece):
             if form not in seen_in:
                 seen_in[form] = 1
+                clean_in[form] = clean_in[piece] / seen_in[piece]
                 positive.append(form)
     if not positive:
         return StringMachine(["aaa"], np.zeros((1, 1)), np.zeros(1), -1.0, 4.0, 0.0)
@@ -256,13 +267,17 @@ def fit(words: list[tuple[str, int, int]], tested: int, toxic_docs: int, clean_d
     good = values > 1e-6 * values.max()
     projection = vectors[:, good] / np.sqrt(values[good])
     machine, taken = None, set(positive) | bad
+    toxic_part = np.array([seen_in[p] / (seen_in[p] + clean_in[p]) for p in positive])
+    mixed = np.flatnonzero(toxic_part < 1)
     for _ in range(ROUNDS):
         pieces = list(dict.fromkeys(p for w in negative for p in windows(w) if p not in taken))
         x = kernel(positive + pieces, marks) @ projection
-        y = np.concatenate([np.ones(len(positive)), -np.ones(len(pieces))])
+        x = np.vstack([x, x[mixed]])
+        y = np.concatenate([np.ones(len(positive)), -np.ones(len(pieces) + len(mixed))])
         often = np.array([float(seen_in[p]) for p in positive])
         balance = max(1.0, len(pieces) / len(positive)) ** 0.5
-        cost = 10.0 * np.concatenate([balance * np.clip(often / np.median(often), 0.2, 10.0), np.ones(len(pieces))])
+        often = balance * np.clip(often / np.median(often), 0.2, 10.0)
+        cost = 10.0 * np.concatenate([often * toxic_part, np.ones(len(pieces)), (often * (1 - toxic_part))[mixed]])
         weights, bias = train_vector_machine(x, y, cost)
         machine = StringMachine(marks, projection, weights, bias, 4.0, 0.0)
         machine.learn(clean_words)
@@ -280,17 +295,24 @@ def fit(words: list[tuple[str, int, int]], tested: int, toxic_docs: int, clean_d
 
 def calibrate(margins: list[float], labels: list[int]) -> tuple[float, float]:
     """Scale and shift of a logistic curve, by Newton steps with a small prior on both."""
-    m, y = np.array(margins), np.array(labels, float)
+    m, y = np.clip(np.array(margins), -1.0, 1.0), np.array(labels, float)
     if len(y) == 0 or y.min() == y.max():
         return 4.0, 0.0
     w = np.array([4.0, 0.0])
     x = np.stack([m, np.ones(len(m))], 1)
+
+    def loss(w: np.ndarray) -> float:
+        z = x @ w
+        return float((np.logaddexp(0, z) - y * z).sum() + 0.25 * ((w - np.array([4.0, 0.0])) ** 2).sum())
+
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -40, 40)))
         slope = x.T @ (p - y) + 0.5 * (w - np.array([4.0, 0.0]))
         curve = (x * (p * (1 - p))[:, None]).T @ x + 0.5 * np.eye(2)
-        step = np.linalg.solve(curve, slope)
-        w -= step
+        step, now = np.linalg.solve(curve, slope), loss(w)
+        while np.abs(step).max() > 1e-6 and loss(w - step) > now:  # a full step overshoots where the curve is flat
+            step = step / 2
+        w = w - step
         if np.abs(step).max() < 1e-6:
             break
     return float(max(w[0], 0.5)), float(w[1])
@@ -308,6 +330,14 @@ def held_out(key: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def evidence(toxic_docs: int, clean_docs: int) -> Column:
+    """Log-likelihood gain of the toxic share of a row's (tox, clean) over the overall one, if it is higher."""
+    share = max(1, toxic_docs) / max(1, toxic_docs + clean_docs)
+    own = F.col("tox") / (F.col("tox") + F.col("clean"))
+    rest = F.when(F.col("clean") > 0, F.col("clean") * F.log((1 - own) / (1 - share))).otherwise(0.0) if share < 1 else F.lit(0.0)
+    return F.when(own > share, F.col("tox") * F.log(own / share) + rest).otherwise(0.0)
+
+
 def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAINING_DOCS) -> StringMachine:
     """Fit on labelled rows outside the test fold.
 
@@ -337,10 +367,12 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAINING_DOCS)
         F.sum("toxic").alias("tox"), F.sum(1 - F.col("toxic")).alias("clean")
     )
     counted = write_shared(counted, "toxicity-words")
-    suspects = counted.where("tox >= 3 AND tox > 4 * clean").orderBy(F.desc("tox"), "word").limit(MAX_WORDS).collect()
-    common = counted.where("clean > 0 AND NOT (tox >= 3 AND tox > 4 * clean)").orderBy(F.xxhash64("word"), "word").limit(10 * MAX_WORDS).collect()
     tested = counted.where("tox + clean >= 3").count()
     totals = {row["toxic"]: row["n"] for row in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    ranked = counted.withColumn("gain", evidence(totals.get(1, 0), totals.get(0, 0)))
+    floor = evidence_floor(tested) - 1e-6  # fit() decides, by the same rule
+    suspects = ranked.where(F.col("gain") >= floor).orderBy(F.desc("gain"), "word").limit(MAX_WORDS).collect()
+    common = ranked.where((F.col("clean") > 0) & (F.col("gain") < floor)).orderBy(F.xxhash64("word"), "word").limit(10 * MAX_WORDS).collect()
     examples = texts.orderBy(F.xxhash64("text"), "text").limit(2000).collect()
     return fit(
         [(r["word"], r["tox"], r["clean"]) for r in suspects + common], tested, totals.get(1, 0), totals.get(0, 0),

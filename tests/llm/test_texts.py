@@ -300,6 +300,26 @@ def test_wrapped_notices_and_short_names(spark, tables):
     assert all(min(r["start"] for r in got[i]) == len("A first line\n\n") for i, _ in rows) and not got[2 * 10**6]
 
 
+def test_insults_with_clean_uses_are_learned(spark, odd):
+    rng = random.Random(8)
+    plain = ["".join(rng.choice("aeioulmnrst") for _ in range(rng.randint(3, 9))) for _ in range(400)]
+    insults = ["idiotx", "wrkkd", "scumbag", "hopelezz"]
+    rows, labels = [], []
+    for n in range(3000):
+        words = [rng.choice(plain) for _ in range(30)]
+        toxic = int(n % 8 == 0)
+        if toxic or rng.random() < 0.03:  # about a fifth of the texts that hold an insult are clean
+            words[rng.randrange(30)] = rng.choice(insults)
+        rows.append((n, " ".join(words)))
+        labels.append((n, toxic))
+    docs, marks = spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    share = {w: np.mean([t for (_, text), (_, t) in zip(rows, labels) if w in text.split()]) for w in insults}
+    assert all(0.7 < s < 0.9 for s in share.values())
+    got = [r for r in toxicity.toxicity(docs, marks).collect() if r["held_out"]]
+    holds = {n for n, text in rows if set(insults) & set(text.split())}
+    assert len(got) > 400 and np.mean([r["predicted"] == (r["doc_id"] in holds) for r in got]) >= 0.97
+
+
 def test_rows_are_decontaminated_by_their_own_text(spark, odd):
     item = "the quick brown fox jumps over the lazy dog and runs away"
     rows = [(None, f"before {item} after", 1), (None, "a clean text", 2), (7, f"x {item}", 3), (7, "a clean text with the id of another", 4), (8, None, 5)]
