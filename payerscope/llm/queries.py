@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, license_scan, near_text, packing, private_data, repeated_bytes, token_count, token_files, toxicity, vector_graph
+from . import (
+    chat_format, decontaminate, license_scan, near_text, packing, private_data, repeated_bytes, token_count, token_files, toxicity,
+    turn_repair, vector_graph, word_runs,
+)
 from .common import read_table
 
 
@@ -50,6 +53,18 @@ def leaks(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.leaks(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
 
 
+def repaired(spark: SparkSession, folder: str) -> DataFrame:
+    return turn_repair.repair_report(read_table(spark, folder, "conversations"))
+
+
+def formatted(spark: SparkSession, folder: str) -> DataFrame:
+    return chat_format.chat_report(read_table(spark, folder, "conversations"))
+
+
+def runs(spark: SparkSession, folder: str) -> DataFrame:
+    return word_runs.run_report(read_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bagminhash_dedup": near_dedup,
     "op2_transducer_token_counts": token_counts,
@@ -61,6 +76,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_small_world_dedup": vectors,
     "op9_elias_fano_token_files": token_output,
     "op10_pigeonhole_decontamination": leaks,
+    "op11_turn_repair": repaired,
+    "op12_chat_parts": formatted,
+    "op13_periodic_runs": runs,
 }
 # No entry has a DuckDB text: each needs a learned model, a tokenizer, a sketch or a graph search. The tests hold
 # them against brute force, exact round trips or held-out labels.
