@@ -89,20 +89,12 @@ NUMBER_DEFAULTS = {
     "raf_like_score": 0.85,
 }
 # texts of a claims file that stand for a missing cell
-MISSING_TEXTS = ["", "NA", "N/A", "n/a", "#N/A", "<NA>", "NULL", "null", "None", "NaN", "nan"]
+MISSING_TEXTS = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN",
+    "None", "n/a", "nan", "null",
+]
 FLAG_COLUMNS = ["inpatient_flag", "ed_flag", "readmission_flag"]
 DATE_COLUMNS = ["claim_from_date", "claim_thru_date"]
-# date format and the shape of text it is tried on
-DATE_FORMATS = [
-    ("yyyy-MM-dd", r"^\d{4}-\d{2}-\d{2}$"),
-    ("MM/dd/yyyy", r"^\d{2}/\d{2}/\d{4}$"),
-    ("yyyyMMdd", r"^\d{8}$"),
-    ("yyyy-MM-dd HH:mm:ss", r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"),
-    ("M/d/yyyy", r"^\d{1,2}/\d{1,2}/\d{4}$"),
-    ("MM-dd-yyyy", r"^\d{2}-\d{2}-\d{4}$"),
-    ("yyyy-MM-dd'T'HH:mm:ss", r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}$"),
-    ("yyyy-MM-dd'T'HH:mm:ssXXX", r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(Z|[+-]\d{2}:\d{2})$"),
-]
 
 # --- Fixed values: bands, as (right-closed edges, labels) -------------------
 AGE_BANDS = ([0, 34, 49, 64, 74, 84, 120], ["18-34", "35-49", "50-64", "65-74", "75-84", "85+"])

@@ -46,32 +46,27 @@ def money_total(column: str | Column) -> Column:
     return total(column, "decimal(28,2)")
 
 
+def number_of(text: Column) -> Column:
+    """Text to a finite double; null for missing, bad and endless numbers."""
+    parsed = F.trim(text.cast("string")).try_cast("double")
+    return F.when(F.abs(parsed) < float("inf"), parsed)  # nan is above infinity
+
+
 def number_or(text: Column, default: float) -> Column:
     """Text to a double, bad or missing to the default, never below zero."""
-    parsed = F.trim(text.cast("string")).try_cast("double")
-    usable = F.when(F.isnan(parsed), F.lit(None)).otherwise(parsed)
-    return F.greatest(F.coalesce(usable, F.lit(float(default))), F.lit(0.0))
+    return F.greatest(F.coalesce(number_of(text), F.lit(float(default))), F.lit(0.0))
 
 
-def flag_of(text: Column) -> Column:
-    """Text to 0 or 1: true and false count, bad or missing is 0, fractions are cut off, then clamped."""
+def flag_number(text: Column) -> Column:
+    """Text of a flag to a double: true and false count; null for missing and bad texts."""
     trimmed = F.lower(F.trim(text.cast("string")))
-    parsed = F.when(trimmed == "true", F.lit(1.0)).when(trimmed == "false", F.lit(0.0)).otherwise(trimmed.try_cast("double"))
-    usable = F.when(F.isnan(parsed), F.lit(None)).otherwise(parsed)
-    bounded = F.least(F.greatest(F.coalesce(usable, F.lit(0.0)), F.lit(-1.0)), F.lit(2.0))
-    return F.least(F.greatest(bounded.cast("int"), F.lit(0)), F.lit(1))
+    return F.when(trimmed == "true", F.lit(1.0)).when(trimmed == "false", F.lit(0.0)).otherwise(number_of(trimmed))
 
 
-def date_of(text: Column, formats: Sequence[tuple[str, str]]) -> Column:
-    """Text to a date by the format whose shape it has; null when none fits.
-
-    The shape is tested first because a failed parse costs far more than a match.
-    """
-    trimmed = F.trim(text.cast("string"))
-    result = F.when(F.lit(False), F.lit(None).cast("date"))
-    for pattern, shape in formats:
-        result = result.when(trimmed.rlike(shape), F.try_to_timestamp(trimmed, F.lit(pattern)).cast("date"))
-    return result
+def flag_of(text: Column) -> Column:
+    """Text to 0 or 1: true and false count, bad or missing is 0, fractions are cut off, then clamped."""
+    bounded = F.least(F.greatest(F.coalesce(flag_number(text), F.lit(0.0)), F.lit(-1.0)), F.lit(2.0))
+    return F.least(F.greatest(bounded.cast("int"), F.lit(0)), F.lit(1))
 
 
 def date_key(day: Column) -> Column:

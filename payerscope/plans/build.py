@@ -11,6 +11,7 @@ from ..operators import star as ops
 from ..session import path_exists, path_state, write_shared
 from ..sources import claims_file as custom
 from ..sources import tables as src
+from .extract import EXTRACT_ORDER, loose_extract
 
 BASE_TABLES = [
     "dim_member", "dim_provider", "dim_service", "dim_diagnosis", "fact_claim", "fact_member_month",
@@ -73,11 +74,11 @@ def source_key(spark: SparkSession, folder: str) -> tuple[str, ...]:
     return (spark.sparkContext.applicationId, folder, *(path_state(spark, f"{folder}/{name}.parquet") for name in names))
 
 
-def from_claims_file(raw: DataFrame, plan_year: int, order: Sequence[str]) -> Star:
-    """The base tables from a loosely named claims source; ``order`` fixes the row order."""
+def from_claims_file(raw: DataFrame, plan_year: int, order: Sequence[str] = ()) -> Star:
+    """The base tables from a loosely named claims source: rows of ``scan_csv``, or of any source with a stated order."""
 
     def rows(s: Star) -> DataFrame:
-        s["_rows"], s["_has_readmission"] = custom.load_rows(raw, plan_year, order)
+        s["_rows"], s["_has_readmission"] = custom.load_rows(s["_cells"], plan_year, order)
         return s["_rows"]
 
     def episodes(s: Star) -> DataFrame:
@@ -86,6 +87,7 @@ def from_claims_file(raw: DataFrame, plan_year: int, order: Sequence[str]) -> St
         return ops.override_readmissions(found, source) if s["_has_readmission"] else found
 
     return Star({
+        "_cells": lambda s: custom.load_cells(raw, order),
         "_rows": rows,
         "dim_member": lambda s: custom.member_dim(s["_rows"]),
         "dim_provider": lambda s: custom.provider_dim(s["_rows"]),
@@ -99,21 +101,21 @@ def from_claims_file(raw: DataFrame, plan_year: int, order: Sequence[str]) -> St
     })
 
 
-def load_claims_csv(spark: SparkSession, path: str, plan_year: int = 2025, multi_line: bool = False) -> Star:
-    """The base tables from a claims CSV with a header."""
-    return from_claims_file(custom.scan_csv(spark, path, multi_line), plan_year, custom.FILE_ORDER)
+def load_claims_csv(spark: SparkSession, path: str, plan_year: int = 2025) -> Star:
+    """The base tables from claims CSV files with headers; quoted cells may hold line ends."""
+    return from_claims_file(custom.scan_csv(spark, path), plan_year)
 
 
 def extract(spark: SparkSession, folder: str, with_readmission: bool = False) -> DataFrame:
-    return custom.loose_extract(src.claim_lines(spark, folder), with_readmission)
+    return loose_extract(src.claim_lines(spark, folder), with_readmission)
 
 
 def extract_star(spark: SparkSession, folder: str, with_readmission: bool = False) -> Star:
     """The base tables from the loosely named extract of the Parquet tables."""
     key = (*source_key(spark, folder), "extract", str(with_readmission))
-    if key not in _built or not path_exists(spark, _built[key]["_rows"].inputFiles()[0]):
+    if key not in _built or not path_exists(spark, _built[key]["_cells"].inputFiles()[0]):
         raw = extract(spark, folder, with_readmission)
-        _built[key] = from_claims_file(raw, CUSTOM_PLAN_YEAR, custom.EXTRACT_ORDER)
+        _built[key] = from_claims_file(raw, CUSTOM_PLAN_YEAR, EXTRACT_ORDER)
     return _built[key]
 
 

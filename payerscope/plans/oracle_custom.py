@@ -2,29 +2,32 @@
 
 from __future__ import annotations
 
-from ..fixed_values import DIAGNOSES, SERVICES
-from ..sources.claims_file import (
-    EXTRACT_CONDITIONS, EXTRACT_PLANS, EXTRACT_SERVICES, EXTRACT_SPECIALTIES,
-)
+from ..fixed_values import DIAGNOSES, MISSING_TEXTS, SERVICES
+from .extract import EXTRACT_CONDITIONS, EXTRACT_PLANS, EXTRACT_SERVICES, EXTRACT_SPECIALTIES
 from .oracle_star import AGE, SEGMENT, case_band, sql_list, values
 
 CUSTOM: dict[str, tuple[list[str], str]] = {}
 
 CUSTOM["extract"] = (["claim_lines"], f"""
   SELECT claim_id AS "Claim Number", 'B' || member_key AS " Bene ID ", 'N' || l_suppkey AS "NPI",
-    CASE WHEN l_linenumber = 2 THEN NULL ELSE 'Supplier ' || l_suppkey END AS "Facility",
+    CASE l_linenumber WHEN 2 THEN NULL WHEN 3 THEN 'Supplier "' || l_suppkey || '",' || chr(10) || 'second site'
+      ELSE 'Supplier ' || l_suppkey END AS "Facility",
     {sql_list(EXTRACT_SPECIALTIES)}[l_suppkey % 7 + 1] AS "Specialty",
     {sql_list(t for t, _ in EXTRACT_SERVICES)}[l_partkey % 12 + 1] AS "Setting",
     {sql_list(s for _, s in EXTRACT_SERVICES)}[l_partkey % 12 + 1] AS "Department",
     {sql_list(EXTRACT_CONDITIONS)}[p_size % 12 + 1] AS "Condition",
-    CASE WHEN tax = 0.08 THEN 'n/a' WHEN tax = 0.07 THEN '-5' ELSE allowed_amount::VARCHAR END AS "Allowed",
+    CASE WHEN tax = 0.08 THEN 'n/a' WHEN tax = 0.07 THEN '-5' WHEN tax = 0.06 THEN 'Infinity' ELSE allowed_amount::VARCHAR END AS "Allowed",
     CASE WHEN discount = 0.10 THEN NULL WHEN denied_flag = 1 THEN '0'
       ELSE round(allowed_amount * (1 - discount), 2)::DECIMAL(18,2)::VARCHAR END AS "Paid",
     round(allowed_amount * tax, 2)::DECIMAL(18,2)::VARCHAR AS "Copay",
     CASE l_linenumber WHEN 1 THEN 'not a date' WHEN 2 THEN strftime(from_date, '%m/%d/%Y')
-      WHEN 3 THEN strftime(from_date, '%Y%m%d') ELSE strftime(from_date, '%Y-%m-%d') END AS "Service Date",
-    CASE WHEN l_linenumber = 7 THEN NULL ELSE strftime(from_date + (l_linenumber - 3)::INT, '%Y-%m-%d') END AS "Through Date",
-    CASE l_partkey % 12 WHEN 5 THEN '1' WHEN 6 THEN '3' WHEN 7 THEN 'yes' ELSE '0' END AS "Is Inpatient",
+      WHEN 3 THEN strftime(from_date, '%Y%m%d') WHEN 4 THEN strftime(from_date, '%Y-%m-%dT00:00:00')
+      WHEN 5 THEN strftime(from_date, '%Y/%m/%d') WHEN 6 THEN strftime(from_date, '%b %-d, %Y')
+      ELSE strftime(from_date, '%Y-%m-%d') END AS "Service Date",
+    CASE l_linenumber WHEN 7 THEN NULL WHEN 6 THEN day(from_date) || '.' || month(from_date) || '.' || year(from_date)
+      WHEN 5 THEN strftime(from_date, '%m/%d/%Y') ELSE strftime(from_date + (l_linenumber - 3)::INT, '%Y-%m-%d') END AS "Through Date",
+    CASE l_partkey % 12 WHEN 5 THEN '1' WHEN 6 THEN '3' WHEN 7 THEN 'yes' WHEN 8 THEN 'True' WHEN 9 THEN 'false' ELSE '0' END
+      AS "Is Inpatient",
     CASE l_partkey % 12 WHEN 2 THEN '1' WHEN 3 THEN '0.9' ELSE NULL END AS "Is ED",
     CASE WHEN l_linenumber = 1 THEN NULL ELSE 'S' || member_key % 25 END AS "State",
     {sql_list(EXTRACT_PLANS)}[member_key % 4 + 1] AS "Plan",
@@ -42,20 +45,51 @@ CUSTOM["canonical"] = (["extract"], """
     "Risk Score" AS raf_like_score FROM extract""")
 
 
+def finite(column: str) -> str:
+    return f"CASE WHEN isfinite(try_cast({column} AS DOUBLE)) THEN try_cast({column} AS DOUBLE) END"
+
+
 def number(column: str, default: float) -> str:
-    return f"greatest(coalesce(try_cast({column} AS DOUBLE), {default}::DOUBLE), 0.0::DOUBLE)"
+    return f"greatest(coalesce({finite(column)}, {default}::DOUBLE), 0.0::DOUBLE)"
 
 
-def flag(column: str) -> str:
-    return f"least(greatest(trunc(coalesce(try_cast({column} AS DOUBLE), 0))::INT, 0), 1)"
+def flag_value(column: str) -> str:
+    return f"CASE lower(trim({column})) WHEN 'true' THEN 1 WHEN 'false' THEN 0 ELSE {finite(column)} END"
 
 
-def day(column: str) -> str:
-    tries = ", ".join(f"try_strptime({column}, '{f}')" for f in ("%Y-%m-%d", "%m/%d/%Y", "%Y%m%d"))
-    return f"coalesce({tries})::DATE"
+def flag(column: str) -> str:
+    return f"least(greatest(trunc(coalesce({flag_value(column)}, 0))::INT, 0), 1)"
 
 
-CUSTOM["rows"] = (["canonical"], f"""
+def day(column: str) -> str:
+    """Any order that is not in doubt, then the order that more cells of the column show."""
+    plain = ", ".join(f"try_strptime({column}, '{f}')" for f in ("%Y-%m-%d", "%Y%m%d", "%Y-%m-%dT%H:%M:%S", "%Y/%m/%d", "%b %d, %Y"))
+    either = lambda *forms: "coalesce(" + ", ".join(f"try_strptime({column}, '{f}')" for f in forms) + ")"
+    return (f"coalesce({plain}, CASE WHEN (SELECT {column} FROM day_first) THEN {either('%d/%m/%Y', '%d.%m.%Y')} "
+            f"ELSE {either('%m/%d/%Y', '%m.%d.%Y')} END)::DATE")
+
+
+def shows(column: str, part: int) -> str:
+    """Cells in which only the first (1) or the second (2) number can be the day."""
+    a, b = (f"try_cast(regexp_extract({column}, '^([0-9]{{1,2}})[/.]([0-9]{{1,2}})[/.][0-9]{{4}}$', {i}) AS INT)" for i in (part, 3 - part))
+    return f"count(*) FILTER ({a} > 12 AND {b} <= 12)"
+
+
+CUSTOM["day_first"] = (["canonical"], "SELECT " + ", ".join(
+    f"{shows(c, 1)} > {shows(c, 2)} AS {c}" for c in ("claim_from_date", "claim_thru_date")) + " FROM canonical")
+
+READ = {c: finite(c) for c in (
+    "allowed_amount", "paid_amount", "member_responsibility_amount", "chronic_condition_count", "raf_like_score")}
+READ |= {c: flag_value(c) for c in ("inpatient_flag", "ed_flag")} | {c: day(c) for c in ("claim_from_date", "claim_thru_date")}
+TYPED_COLUMNS = [*READ, "readmission_flag"]
+_missing = ", ".join(f"'{t}'" for t in MISSING_TEXTS)
+CUSTOM["bad_cells"] = (["canonical", "day_first"], " UNION ALL ".join(f"""
+  SELECT '{c}' AS c, count(*) AS n, count(*) AS cells, count(*) FILTER ({c} IS NULL OR trim({c}) IN ({_missing})) AS missing,
+    count(*) FILTER ({c} IS NOT NULL AND trim({c}) NOT IN ({_missing}) AND ({read}) IS NULL) AS unreadable,
+    {'0::BIGINT' if c.endswith('date') else f'count(*) FILTER (({read}) < 0)'} AS low FROM canonical""" for c, read in READ.items()) + """
+  UNION ALL SELECT 'readmission_flag', count(*), 0, 0, 0, 0 FROM canonical""")
+
+CUSTOM["rows"] = (["canonical", "day_first"], f"""
   SELECT * REPLACE (greatest(claim_from_date, coalesce(claim_thru_date, claim_from_date)) AS claim_thru_date)
   FROM (SELECT row_number() OVER (ORDER BY claim_id) AS claim_key, claim_id, member_id, provider_id, provider_name,
       specialty_group, claim_type, service_line, diagnosis_group,

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..fixed_values import MISSING_TEXTS
 from ..functions.expr import matches
 from ..operators import care, coding, cost, kpis, marts, quality, review, scoring, sqlpack
 from ..operators import star as star_ops
@@ -16,7 +17,8 @@ from ..sources import claims_file as custom
 from ..sources import sinks
 from ..sources import tables as src
 from .build import BASE_TABLES, CUSTOM_PLAN_YEAR, extract, extract_star, star
-from .oracle_custom import CUSTOM
+from .extract import EXTRACT_ORDER
+from .oracle_custom import CUSTOM, TYPED_COLUMNS
 from .oracle_design import AMOUNTS, DESIGN
 from .oracle_star import PROVIDER_COLS, everything, ratio, with_ctes
 
@@ -55,11 +57,21 @@ def custom_sql(body: str, *names: str) -> str:
     return with_ctes(body, *names, extra=CUSTOM)
 
 
-def custom_scan(spark: SparkSession, folder: str) -> DataFrame:
-    """Write the extract as CSV in the shared folder, then scan it as a claims file."""
+def written_extract(spark: SparkSession, folder: str) -> str:
+    """The extract as CSV files in the shared folder, in the order of claim numbers."""
     path = f"{shared_folder(spark)}/extract-{uuid.uuid4().hex}"
-    sinks.write_csv({"claims": extract(spark, folder)}, path)
-    return custom.canonicalize(custom.scan_csv(spark, f"{path}/claims"))
+    sinks.write_csv({"claims": extract(spark, folder).orderBy(EXTRACT_ORDER).drop(*src.SOURCE_POSITION)}, path)
+    return f"{path}/claims"
+
+
+def custom_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return custom.canonicalize(custom.scan_csv(spark, written_extract(spark, folder)))
+
+
+def custom_row_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """The typed rows of a scanned file with the numbers that the scan gave them."""
+    rows, _ = custom.load_rows(custom.load_cells(custom.scan_csv(spark, written_extract(spark, folder))), CUSTOM_PLAN_YEAR)
+    return rows
 
 
 def custom_defaults(spark: SparkSession, folder: str) -> DataFrame:
@@ -67,18 +79,24 @@ def custom_defaults(spark: SparkSession, folder: str) -> DataFrame:
     bare = extract(spark, folder).select(
         F.col("Claim Number").alias("row_order"), "Allowed", "Service Date", *src.SOURCE_POSITION
     )
-    rows, _ = custom.load_rows(bare, CUSTOM_PLAN_YEAR, ["row_order", *src.SOURCE_POSITION])
+    order = ["row_order", *src.SOURCE_POSITION]
+    rows, _ = custom.load_rows(custom.load_cells(bare, order), CUSTOM_PLAN_YEAR, order)
     return rows
 
 
 def coerced(*columns: str) -> Query:
     """Typed columns of the extract, straight from the coercion step."""
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        data = custom.canonicalize(extract(spark, folder))
-        return custom.coerce(data, CUSTOM_PLAN_YEAR).select("claim_id", *columns)
+        cells = extract_star(spark, folder)["_cells"]
+        return custom.coerce(cells, CUSTOM_PLAN_YEAR, custom.date_forms(cells)).select("claim_id", *columns)
     return query
 
 
+def custom_defaulted_cells(spark: SparkSession, folder: str) -> DataFrame:
+    cells = extract_star(spark, folder)["_cells"]
+    return custom.defaulted_cells(cells, custom.date_forms(cells))
+
+
 def custom_table(name: str, columns: list[str] | None = None, with_readmission: bool = False) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
         df = extract_star(spark, folder, with_readmission)[name]
@@ -97,7 +115,12 @@ def regex_flags(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-register("custom_scan", custom_scan, custom_sql("SELECT * FROM canonical", "canonical"))
+_as_read = "CASE WHEN trim(COLUMNS(*)::VARCHAR) NOT IN (" + ", ".join(f"'{t}'" for t in MISSING_TEXTS) + ") THEN COLUMNS(*) END"
+register("custom_scan", custom_scan, custom_sql(f"SELECT {_as_read} FROM canonical", "canonical"))
+register("custom_row_keys", custom_row_keys, custom_sql("SELECT *, 0 AS readmission_flag FROM rows", "rows"))
+register("custom_defaulted_cells", custom_defaulted_cells, custom_sql(" UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, cells, missing AS missing_cells, unreadable AS unreadable_cells, low AS raised_to_zero, "
+    f"n - cells + missing + unreadable AS defaulted_cells FROM bad_cells WHERE c = '{c}'" for c in TYPED_COLUMNS), "bad_cells"))
 register("custom_canonicalize", lambda spark, folder: custom.canonicalize(extract(spark, folder)),
          custom_sql("SELECT * FROM canonical", "canonical"))
 register("custom_defaults", custom_defaults, custom_sql("""

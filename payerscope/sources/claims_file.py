@@ -1,42 +1,36 @@
 """Loosely named claims files: header aliases, defaults, coercion, and the star from them.
 
-Only the header is resolved on the driver. Rows keep their file order through a
-dense key (``claim_key`` is the row number), which also gives the default ids.
+Only the header is resolved on the driver. ``claim_key`` is the number of the row in its file (or in a stated order,
+for other sources); it also gives the default ids.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..fixed_values import (
-    AGE_BANDS, COLUMN_ALIASES, DATE_COLUMNS, DATE_FORMATS, DIAGNOSES, FLAG_COLUMNS, MISSING_TEXTS, NUMBER_DEFAULTS,
-    RISK_SEGMENTS, SERVICES, TEXT_DEFAULTS,
+    AGE_BANDS, COLUMN_ALIASES, DATE_COLUMNS, FLAG_COLUMNS, MISSING_TEXTS, NUMBER_DEFAULTS, RISK_SEGMENTS, TEXT_DEFAULTS,
 )
-from ..functions.expr import MONEY, band, date_key, date_of, flag_of, matches, month_key, number_or, pick
+from ..functions.dates import date_of, day_first_columns
+from ..functions.expr import MONEY, band, date_key, flag_number, flag_of, matches, month_key, number_of, number_or
 from ..functions.ranking import dense_key
 from ..operators.star import CLAIM_COLUMNS
-from .tables import SOURCE_POSITION, claim_id, diagnoses, services
+from ..session import write_shared
+from .csv_scan import ROW, scan_records
+from .tables import diagnoses, services
 
 MONEY_COLUMNS = ["allowed_amount", "paid_amount", "member_responsibility_amount"]
-FILE_ORDER = ["_file", "_block", "_line"]
+def is_missing(text: Column) -> Column:
+    return text.isNull() | F.trim(text).isin(MISSING_TEXTS)
 
 
-def scan_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """A header CSV, all text, with columns that hold the position of each row.
-
-    Texts such as N/A are missing cells. With ``multi_line`` quoted cells may hold line ends; a file is then
-    read by one task, so leave it off for large files without such cells.
-    """
-    rows = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line).csv(path)
-    return rows.select(
-        *[F.when(~F.trim(quoted(c)).isin(MISSING_TEXTS), quoted(c)).alias(c) for c in rows.columns],
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_line"),
-    )
+def scan_csv(spark: SparkSession, path: str) -> DataFrame:
+    """A header CSV, all text, with the number of each row. Texts such as N/A are missing cells."""
+    rows = scan_records(spark, path)
+    return rows.select(*[F.when(~is_missing(quoted(c)), quoted(c)).alias(c) for c in rows.columns if c != ROW], ROW)
 
 
 def resolve_headers(columns: Sequence[str]) -> dict[str, str]:
@@ -61,10 +55,16 @@ def canonicalize(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return raw.select(*[quoted(actual).alias(name) for name, actual in found.items()], *keep)
 
 
-def coerce(data: DataFrame, plan_year: int, keep: Sequence[str] = ()) -> DataFrame:
+def date_forms(data: DataFrame) -> Mapping[str, bool]:
+    """For each date column that the source has: whether it writes the day before the month."""
+    return day_first_columns(data, [name for name in DATE_COLUMNS if name in data.columns])
+
+
+def coerce(data: DataFrame, plan_year: int, forms: Mapping[str, bool], keep: Sequence[str] = ()) -> DataFrame:
     """Typed columns: an absent column, a bad cell and a bad date get their default.
 
-    Missing cells of text columns stay missing. Ids are left to ``default_ids``.
+    Missing cells of text columns stay missing. Ids are left to ``default_ids``. ``forms`` comes from ``date_forms``.
+    ``data`` should be a table or a scan: each cell is read several times here.
     """
     have = set(data.columns)
     source = lambda name: F.col(name) if name in have else F.lit(None).cast("string")
@@ -74,9 +74,40 @@ def coerce(data: DataFrame, plan_year: int, keep: Sequence[str] = ()) -> DataFra
         number = number_or(source(name), default)
         cols.append((number.cast(MONEY) if name in MONEY_COLUMNS else number).alias(name))
     cols += [flag_of(source(name)).alias(name) for name in FLAG_COLUMNS]
-    start = F.coalesce(date_of(source(DATE_COLUMNS[0]), DATE_FORMATS), F.make_date(F.lit(plan_year), F.lit(1), F.lit(1)))
-    end = F.greatest(start, F.coalesce(date_of(source(DATE_COLUMNS[1]), DATE_FORMATS), start))
-    return data.select(*cols, start.alias("claim_from_date"), end.alias("claim_thru_date"), *keep)
+    start, end = (date_of(source(name), forms.get(name, False)) for name in DATE_COLUMNS)
+    first = F.coalesce(start, F.make_date(F.lit(plan_year), F.lit(1), F.lit(1)))
+    typed = data.select(*cols, first.alias(DATE_COLUMNS[0]), end.alias(DATE_COLUMNS[1]), *keep)
+    return typed.withColumn(DATE_COLUMNS[1], F.greatest(*DATE_COLUMNS))  # a missing end gives the start
+
+
+def defaulted_cells(data: DataFrame, forms: Mapping[str, bool]) -> DataFrame:
+    """One row per typed column: cells in all, missing, unreadable, below zero, and how many took a default.
+
+    An absent column has no cells and takes the default in every row. Dates of the order of day and month that
+    their column does not use are unreadable. Nothing takes a default without being counted here.
+    """
+    names = [*NUMBER_DEFAULTS, *FLAG_COLUMNS, *DATE_COLUMNS]
+    read = {n: number_of for n in NUMBER_DEFAULTS} | {n: flag_number for n in FLAG_COLUMNS}
+    read |= {n: lambda text, n=n: date_of(text, forms.get(n, False)) for n in DATE_COLUMNS}
+    counts = [F.count(F.lit(1)).alias("rows")]
+    for name in names:
+        if name in data.columns:
+            missing, found = is_missing(F.col(name)), read[name](F.col(name))
+            low = found < 0 if name not in DATE_COLUMNS else F.lit(False)
+            counts.append(F.struct(
+                F.count_if(missing).alias("missing"), F.count_if(~missing & found.isNull()).alias("unreadable"), F.count_if(low).alias("low"),
+            ).alias(name))
+    seen = data.agg(*counts)
+    rows = []
+    for name in names:
+        part = lambda field: F.col(f"{name}.{field}") if name in data.columns else F.lit(0).cast("bigint")
+        cells = F.col("rows") if name in data.columns else F.lit(0).cast("bigint")
+        rows.append(F.struct(
+            F.lit(name).alias("column_name"), cells.alias("cells"), part("missing").alias("missing_cells"),
+            part("unreadable").alias("unreadable_cells"), part("low").alias("raised_to_zero"),
+            (F.col("rows") - cells + part("missing") + part("unreadable")).alias("defaulted_cells"),
+        ))
+    return seen.select(F.inline(F.array(*rows)))
 
 
 def default_ids(rows: DataFrame, row_count: int) -> DataFrame:
@@ -99,19 +130,35 @@ def pad(number: Column, width: int) -> Column:
     return F.lpad(text, F.greatest(F.length(text), F.lit(width)), F.lit("0"))
 
 
-def load_rows(raw: DataFrame, plan_year: int, order: Sequence[str]) -> tuple[DataFrame, bool]:
-    """Typed rows with ``claim_key`` in the stated order, and whether the source
-    brought a readmission flag. An input without rows is an error."""
-    places = [f"_order_{i}" for i in range(len(order))]
-    ordered = raw.select("*", *[quoted(name).alias(place) for name, place in zip(order, places)])
-    data = canonicalize(ordered, places)
-    rows = dense_key(
-        data, places, "claim_key", "claims_file", lambda sorted_rows: coerce(sorted_rows, plan_year)
-    )
+def load_cells(raw: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+    """The canonical cells of a source as a written table, so that the source is read once.
+
+    Rows of ``scan_csv`` bring their number as ``claim_key``; other sources keep the columns of the stated order.
+    """
+    if not order:
+        return write_shared(canonicalize(raw, [ROW]).withColumnRenamed(ROW, "claim_key"), "claims_cells")
+    ordered = raw.select("*", *[quoted(name).alias(place) for name, place in zip(order, order_columns(order))])
+    return write_shared(canonicalize(ordered, order_columns(order)), "claims_cells")
+
+
+def order_columns(order: Sequence[str]) -> list[str]:
+    return [f"_order_{i}" for i in range(len(order))]
+
+
+def load_rows(cells: DataFrame, plan_year: int, order: Sequence[str] = ()) -> tuple[DataFrame, bool]:
+    """Typed rows with ``claim_key``, and whether the source brought a readmission flag; no rows are an error.
+
+    The rows of a file are numbered already. Those of another source are sorted once by the stated order.
+    """
+    forms = date_forms(cells)
+    if order:
+        rows = dense_key(cells, order_columns(order), "claim_key", "claims_file", lambda found: coerce(found, plan_year, forms))
+    else:
+        rows = write_shared(coerce(cells, plan_year, forms, ["claim_key"]), "claims_file")
     row_count = rows.count()
     if row_count == 0:
         raise ValueError("the claims file has no rows")
-    return default_ids(rows, row_count), "readmission_flag" in data.columns
+    return default_ids(rows, row_count), "readmission_flag" in cells.columns
 
 
 def first_seen(column: str) -> Column:
@@ -202,57 +249,3 @@ def claim_fact(rows: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
         ((inpatient == 1) | (F.col("allowed_amount") > 3500)).cast("int").alias("prior_auth_flag"),
         (paid <= 0).cast("int").alias("denied_flag"),
     ).select(*CLAIM_COLUMNS)
-
-
-# --- a loosely named extract of the tables at hand -------------------------------
-
-EXTRACT_SERVICES = [row[:2] for row in SERVICES] + [("Inpatient rehab", "Rehab unit"), ("Clinic", "Biomedical lab")]
-EXTRACT_CONDITIONS = [row[1] for row in DIAGNOSES] + ["Dental", "Vision"]
-EXTRACT_SPECIALTIES = [
-    "Primary care", "Cardiology", "Regional HOSPITAL", "Radiology", "Surgical facility", "Oncology", "Pharmacy",
-]
-EXTRACT_PLANS = ["Medicare Advantage", "MA-PD", "Dual Eligible SNP", "dual plus"]
-EXTRACT_ORDER = ["Claim Number", *SOURCE_POSITION]
-
-
-def loose_extract(lines: DataFrame, with_readmission: bool = False) -> DataFrame:
-    """All claim lines as a source file would hold them: text only, free header
-    names, and bad cells of every kind that coercion has to deal with."""
-    line, part, member = F.col("l_linenumber"), F.col("l_partkey") % 12, F.col("o_custkey")
-    price, tax = F.col("l_extendedprice").cast(MONEY), F.col("l_tax").cast("decimal(4,2)")
-    share = F.lit(1).cast("decimal(4,2)") - F.col("l_discount").cast("decimal(4,2)")
-    day = F.col("from_date")
-    text = lambda col: col.cast("string")
-    none = F.lit(None).cast("string")
-    cols = [
-        claim_id().alias("Claim Number"),
-        F.concat(F.lit("B"), text(member)).alias(" Bene ID "),
-        F.concat(F.lit("N"), text(F.col("l_suppkey"))).alias("NPI"),
-        F.when(line == 2, none).otherwise(F.concat(F.lit("Supplier "), text(F.col("l_suppkey")))).alias("Facility"),
-        pick(F.col("l_suppkey") % 7, EXTRACT_SPECIALTIES).alias("Specialty"),
-        pick(part, [t for t, _ in EXTRACT_SERVICES]).alias("Setting"),
-        pick(part, [s for _, s in EXTRACT_SERVICES]).alias("Department"),
-        pick(F.col("p_size") % 12, EXTRACT_CONDITIONS).alias("Condition"),
-        F.when(tax == F.lit("0.08").cast("decimal(4,2)"), "n/a").when(tax == F.lit("0.07").cast("decimal(4,2)"), "-5")
-        .otherwise(text(price)).alias("Allowed"),
-        F.when(F.col("l_discount") == 0.1, none).when((F.col("l_returnflag") == "R") & (line == 1), "0")
-        .otherwise(text(F.round(price * share, 2).cast(MONEY))).alias("Paid"),
-        text(F.round(price * tax, 2).cast(MONEY)).alias("Copay"),
-        F.when(line == 1, "not a date").when(line == 2, F.date_format(day, "MM/dd/yyyy"))
-        .when(line == 3, F.date_format(day, "yyyyMMdd")).otherwise(F.date_format(day, "yyyy-MM-dd"))
-        .alias("Service Date"),
-        F.when(line == 7, none).otherwise(F.date_format(F.date_add(day, line - 3), "yyyy-MM-dd")).alias("Through Date"),
-        F.when(part == 5, "1").when(part == 6, "3").when(part == 7, "yes").otherwise("0").alias("Is Inpatient"),
-        F.when(part == 2, "1").when(part == 3, "0.9").otherwise(none).alias("Is ED"),
-        F.when(line == 1, none).otherwise(F.concat(F.lit("S"), text(member % 25))).alias("State"),
-        pick(member % 4, EXTRACT_PLANS).alias("Plan"),
-        text((member % 6).cast("decimal(4,1)") + F.when(line == 4, F.lit("0.5").cast("decimal(4,1)"))
-             .otherwise(F.lit("0").cast("decimal(4,1)"))).alias("Chronic Count"),
-        text((F.lit("0.32").cast("decimal(6,3)") + (member % 6).cast("decimal(3,0)") * F.lit("0.23").cast("decimal(6,3)"))
-             .cast("decimal(6,3)")).alias("Risk Score"),
-        F.lit("free text").alias("Notes"),
-        *[F.col(c) for c in SOURCE_POSITION],
-    ]
-    if with_readmission:
-        cols.append(F.when(line.isin(1, 3), "1").otherwise("0").alias("Readmission Flag"))
-    return lines.select(*cols)

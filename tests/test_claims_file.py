@@ -112,7 +112,7 @@ def test_cells_as_people_write_them(spark, tmp_path):
         'claim_id,member_id,plan_type,service_date,is_inpatient,facility,paid\n'
         'a,m,N/A,1/5/2025,True,"two\nlines",12\n' "b,m,NULL,01-06-2025,false,x,13\n" "c,m,HMO,2025-02-05T00:00:00,TRUE,x,NA\n" "d,m,HMO,2025-02-06T10:00:00Z,0,x,15\n"
     )
-    rows = {r["claim_id"]: r for r in load_claims_csv(spark, str(path), 2025, multi_line=True)["_rows"].collect()}
+    rows = {r["claim_id"]: r for r in load_claims_csv(spark, str(path), 2025)["_rows"].collect()}
     assert [rows[c]["claim_from_date"] for c in "abcd"] == [dt.date(2025, 1, 5), dt.date(2025, 1, 6), dt.date(2025, 2, 5), dt.date(2025, 2, 6)]
     assert [rows[c]["inpatient_flag"] for c in "abcd"] == [1, 0, 1, 0]
     assert [rows[c]["plan_type"] for c in "abcd"] == [None, None, "HMO", "HMO"]

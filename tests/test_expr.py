@@ -3,7 +3,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from payerscope.fixed_values import AGE_BANDS, DATE_FORMATS, RISK_SEGMENTS
+from payerscope.fixed_values import AGE_BANDS, RISK_SEGMENTS
+from payerscope.functions import dates as D
 from payerscope.functions import expr as E
 
 
@@ -28,9 +29,9 @@ def test_ratio_floors_the_denominator_at_one(spark):
 
 
 def test_numbers_take_defaults_and_floor(spark):
-    rows = [("12.5",), (" 7 ",), ("n/a",), (None,), ("-3",), ("NaN",), ("1e3",)]
+    rows = [("12.5",), (" 7 ",), ("n/a",), (None,), ("-3",), ("NaN",), ("1e3",), ("Infinity",), ("-inf",)]
     assert [r[0] for r in one(spark, rows, "t string", E.number_or(F.col("t"), 250))] == [
-        12.5, 7.0, 250.0, 250.0, 0.0, 250.0, 1000.0]
+        12.5, 7.0, 250.0, 250.0, 0.0, 250.0, 1000.0, 250.0, 250.0]
 
 
 def test_flags_are_cut_and_clamped(spark):
@@ -38,10 +39,21 @@ def test_flags_are_cut_and_clamped(spark):
     assert [r[0] for r in one(spark, rows, "t string", E.flag_of(F.col("t")))] == [1, 0, 1, 0, 0, 0, 1]
 
 
-def test_dates_by_the_first_fitting_format(spark):
-    rows = [("2025-01-31",), ("01/31/2025",), ("20250131",), (" 2025-01-31 23:59:59 ",), ("2025-02-30",), ("soon",), (None,)]
-    found = [r[0] for r in one(spark, rows, "t string", E.date_of(F.col("t"), DATE_FORMATS))]
-    assert found == [dt.date(2025, 1, 31)] * 4 + [None] * 3
+def test_dates_of_every_shape(spark):
+    same = ["2025-01-31", "01/31/2025", "1-31-2025", "20250131", " 2025-01-31 23:59:59 ", "2025-01-31T10:00:00Z", "2025/1/31",
+            "1/31/2025 9:30", "Jan 31 2025", "January 31, 2025", "31 Jan 2025", "31-JAN-2025"]
+    bad = ["2025-02-30", "soon", None, "", "31/01/2025", "Foo 1 2025", "an 31 2025", "2025"]
+    found = [r[0] for r in one(spark, [(t,) for t in same + bad], "t string", D.date_of(F.col("t")))]
+    assert found == [dt.date(2025, 1, 31)] * len(same) + [None] * len(bad)
+    assert one(spark, [("31/01/2025",), ("02.01.2025",)], "t string", D.date_of(F.col("t"), True)) == [
+        (dt.date(2025, 1, 31),), (dt.date(2025, 1, 2),)]
+
+
+def test_the_larger_count_decides_the_order_of_day_and_month(spark):
+    rows = [("13/01/2025", "01/13/2025", "03/04/2025"), ("14/01/2025", "02/02/2025", "x"), ("01/15/2025", None, None)]
+    df = spark.createDataFrame(rows, "a string, b string, c string")
+    assert D.day_first_columns(df, ["a", "b", "c"]) == {"a": True, "b": False, "c": False}
+    assert D.day_first_columns(df, []) == {}
 
 
 def test_date_keys(spark):
