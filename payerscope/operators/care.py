@@ -13,6 +13,9 @@ from ..session import write_shared
 from .marts import first_match
 
 
+KNOWN_AFTER = 30  # days after discharge at which it is known whether a patient came back
+
+
 def year_of(key: str) -> Column:
     return F.floor(F.col(key) / 10000).cast("int")
 
@@ -109,18 +112,19 @@ def member_year_features(star: Mapping[str, DataFrame], years: Sequence[int]) ->
             money_total("paid_amount").alias("paid"),
             *[F.coalesce(F.sum(F.when(F.col("claim_type") == kind, F.col("paid_amount"))), F.lit(0))
               .cast("decimal(28,2)").alias(kind.lower()) for kind in ("Inpatient", "Outpatient", "Pharmacy")],
-            total("inpatient_flag").alias("admissions"), total("ed_flag").alias("ed"),
+            total("inpatient_flag").alias("admissions"), total("ed_flag").alias("ed"), F.max("claim_from_date_key").alias("last"),
         )
     )
     keys = ["member_key", "feature_year"]
     prior = by_provider.groupBy(*keys).agg(
         *[money_total(c).alias(c) for c in ("paid", "inpatient", "outpatient", "pharmacy")],
         total("admissions").alias("admissions"), total("ed").alias("ed"), F.count("provider_key").alias("providers"),
+        key_to_date(F.max("last")).alias("last_claim"),
     )
     # the outcome of a stay is known 30 days after discharge, so it counts in that year
-    known = F.date_add(key_to_date(F.col("discharge_date_key")), 30)
+    known = F.date_add(key_to_date(F.col("discharge_date_key")), KNOWN_AFTER)
     returns = star["fact_inpatient_episode"].groupBy("member_key", (F.year(known) + 1).alias("feature_year")).agg(
-        total("readmission_within_30_days").alias("returns")
+        total("readmission_within_30_days").alias("returns"), F.max(known).alias("last_known")
     )
     grid = star["dim_member"].select(
         "member_key", "age_band", "gender", "state_code", "chronic_condition_count", "hcc_count", "raf_like_score",
@@ -134,6 +138,7 @@ def member_year_features(star: Mapping[str, DataFrame], years: Sequence[int]) ->
         money("outpatient").alias("prior_outpatient_paid"), money("pharmacy").alias("prior_pharmacy_paid"),
         number("admissions").alias("prior_admissions"), number("ed").alias("prior_ed_visits"),
         number("providers").alias("prior_unique_providers"), number("returns").alias("prior_readmissions"),
+        F.greatest("last_claim", "last_known").alias("latest_source_date"),
     )
 
 
@@ -159,18 +164,22 @@ def episode_features(star: Mapping[str, DataFrame]) -> DataFrame:
         F.coalesce(F.sum("adm").over(before(182)), F.lit(0)).cast("bigint").alias("prior_6m_admissions"),
         F.coalesce(F.sum("ed").over(before(182)), F.lit(0)).cast("bigint").alias("prior_6m_ed_visits"),
         F.coalesce(F.sum("paid").over(before(365)), F.lit(0)).cast("double").alias("prior_12m_paid"),
+        F.max("day").over(before(365)).alias("last_claim"),
     )
     stays = star["fact_inpatient_episode"]
-    closed = stays.groupBy("provider_key", (day_number("discharge_date_key") + 31).alias("day")).agg(
-        F.count(F.lit(1)).alias("n"), total("readmission_within_30_days").alias("back")
+    closed = stays.groupBy("provider_key", (day_number("discharge_date_key") + KNOWN_AFTER + 1).alias("day")).agg(
+        F.count(F.lit(1)).alias("n"), total("readmission_within_30_days").alias("back"),
+        (F.max(day_number("discharge_date_key")) + KNOWN_AFTER).alias("known"),
     )
     asked = stays.groupBy("provider_key", day_number("admission_date_key").alias("day")).agg(
-        F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("back")
+        F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("back"), F.lit(None).cast("int").alias("known")
     )
-    points = closed.unionByName(asked).groupBy("provider_key", "day").agg(F.sum("n").alias("n"), F.sum("back").alias("back"))
+    points = closed.unionByName(asked).groupBy("provider_key", "day").agg(
+        F.sum("n").alias("n"), F.sum("back").alias("back"), F.max("known").alias("known"))
     so_far = Window.partitionBy("provider_key").orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
     facility = points.select(
-        "provider_key", "day", per(F.sum("back").over(so_far), F.sum("n").over(so_far)).alias("provider_past_readmission_rate")
+        "provider_key", "day", per(F.sum("back").over(so_far), F.sum("n").over(so_far)).alias("provider_past_readmission_rate"),
+        F.max("known").over(so_far).alias("last_known"),
     )
     member = star["dim_member"].select(
         "member_key", "age", "gender", "chronic_condition_count", "hcc_count", "raf_like_score"
@@ -185,5 +194,98 @@ def episode_features(star: Mapping[str, DataFrame]) -> DataFrame:
             "raf_like_score", "length_of_stay", "principal_diagnosis_key",
             (F.floor(F.col("discharge_date_key") / 100) % 100).cast("int").alias("discharge_month"),
             "prior_6m_admissions", "prior_6m_ed_visits", "prior_12m_paid", "provider_past_readmission_rate",
+            F.date_from_unix_date(F.greatest("last_claim", "last_known")).alias("latest_source_date"),
         )
     )
+
+
+# --- sums over a window of days around any cut-off date --------------------------------------
+
+PRIOR_DAYS = 365
+
+
+def daily_events(star: Mapping[str, DataFrame]) -> DataFrame:
+    """What happened to a member on a day: one row per member and day, with the last source date that went into it."""
+    day = day_number("claim_from_date_key")
+    service = star["dim_service"].select("service_key", "claim_type")
+    paid = lambda kind: money_total(F.when(F.col("claim_type") == kind, F.col("paid_amount"))).alias(f"{kind.lower()}_paid")
+    claims = star["fact_claim"].join(service, "service_key", "left").groupBy("member_key", day.alias("day")).agg(
+        money_total("paid_amount").alias("paid"), paid("Inpatient"), paid("Outpatient"), paid("Pharmacy"),
+        total("inpatient_flag").alias("admissions"), total("ed_flag").alias("ed_visits"), F.max(day).alias("source_day"),
+    )
+    known = day_number("discharge_date_key") + KNOWN_AFTER
+    returns = star["fact_inpatient_episode"].groupBy("member_key", known.alias("day")).agg(
+        total("readmission_within_30_days").alias("readmissions"), F.max(known).alias("source_day")
+    )
+    return claims.unionByName(returns, allowMissingColumns=True).where("member_key is not null and day is not null")
+
+
+def first_seen_spans(star: Mapping[str, DataFrame], first: int, last: int) -> DataFrame:
+    """+1 and -1 on the days from which on the window holds, and no longer holds, a member's provider.
+
+    A claim on day d is in the windows of the cut-off days d - last to d - first. Spans of one provider that overlap
+    are merged, so running sums count each provider once.
+    """
+    seen = star["fact_claim"].where("member_key is not null and provider_key is not null").select(
+        "member_key", "provider_key", day_number("claim_from_date_key").alias("day")
+    ).distinct()
+    of_pair = Window.partitionBy("member_key", "provider_key").orderBy("day")
+    apart = last - first
+    opens = F.coalesce(F.col("day") - F.lag("day").over(of_pair) > apart, F.lit(True))
+    closes = F.coalesce(F.lead("day").over(of_pair) - F.col("day") > apart, F.lit(True))
+    marked = seen.where("day is not null").select("member_key", "day", opens.alias("opens"), closes.alias("closes"))
+    edges = F.array(
+        F.struct((F.col("day") - last).alias("day"), F.col("opens").cast("bigint").alias("unique_providers")),
+        F.struct((F.col("day") - first + 1).alias("day"), (-F.col("closes").cast("bigint")).alias("unique_providers")),
+    )
+    return marked.select("member_key", F.inline(edges)).where("unique_providers <> 0")
+
+
+def window_sums(star: Mapping[str, DataFrame], cutoffs: DataFrame, first: int, last: int) -> DataFrame:
+    """For each (member_key, cutoff_date): sums over the days cutoff + first to cutoff + last, and the latest source date.
+
+    A day's sums enter the window at day - last and leave it at day - first + 1; running totals of these changes,
+    read at the cut-off, are the window sums. A member has at most a few such rows a calendar day, so no window
+    holds its claims, and the size follows the events and the cut-offs asked for, not members x dates.
+    """
+    measures = {"paid": "decimal(28,2)", "inpatient_paid": "decimal(28,2)", "outpatient_paid": "decimal(28,2)", "pharmacy_paid": "decimal(28,2)",
+                "admissions": "bigint", "ed_visits": "bigint", "readmissions": "bigint", "unique_providers": "bigint"}
+    events = daily_events(star)
+    own = [m for m in measures if m in events.columns]
+    change = lambda at, sign, source: F.struct(
+        (F.col("day") + at).cast("int").alias("day"), *[(sign * F.col(m)).alias(m) for m in own], source.alias("source_day"))
+    moves = events.select("member_key", F.inline(F.array(
+        change(-last, F.lit(1), F.col("source_day")), change(1 - first, F.lit(-1), F.lit(None).cast("int")))))
+    asked = cutoffs.select("member_key", F.unix_date("cutoff_date").alias("day"), F.lit(True).alias("asked")).distinct()
+    moves = moves.unionByName(first_seen_spans(star, first, last), allowMissingColumns=True).unionByName(asked, allowMissingColumns=True)
+    daily = moves.groupBy("member_key", "day").agg(
+        *[F.sum(m).alias(m) for m in measures], F.max("source_day").alias("source_day"), F.max("asked").alias("asked"))
+    so_far = Window.partitionBy("member_key").orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
+    running = daily.select(
+        "member_key", F.date_from_unix_date("day").alias("cutoff_date"), "asked",
+        *[F.coalesce(F.sum(m).over(so_far), F.lit(0)).cast(kind).alias(m) for m, kind in measures.items()],
+        F.date_from_unix_date(F.max("source_day").over(so_far)).alias("latest_source_date"),
+    )
+    return running.where("asked").drop("asked")
+
+
+def claim_months(star: Mapping[str, DataFrame]) -> DataFrame:
+    """(member_key, first day of a month) for each month in which the member has a claim."""
+    month = F.trunc(key_to_date(F.col("claim_from_date_key")), "month")
+    return star["fact_claim"].where("member_key is not null").select("member_key", month.alias("cutoff_date")).distinct().where("cutoff_date is not null")
+
+
+def prior_features(star: Mapping[str, DataFrame], cutoffs: DataFrame, days: int = PRIOR_DAYS) -> DataFrame:
+    """What was known of each member before each cut-off date: the sums of the ``days`` days before it."""
+    found = window_sums(star, cutoffs, -days, -1)
+    names = [c for c in found.columns if c not in ("member_key", "cutoff_date", "latest_source_date")]
+    member = star["dim_member"].select("member_key", "age_band", "gender", "state_code", "chronic_condition_count", "hcc_count", "raf_like_score")
+    shown = lambda c: F.col(c).cast("double") if c.endswith("paid") else F.col(c)
+    return found.join(member, "member_key", "left").select(
+        "member_key", "cutoff_date", *member.columns[1:], *[shown(c).alias(f"prior_{c}") for c in names], "latest_source_date"
+    )
+
+
+def member_month_features(star: Mapping[str, DataFrame]) -> DataFrame:
+    """The year before each month in which a member has claims."""
+    return prior_features(star, claim_months(star))

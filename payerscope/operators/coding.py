@@ -16,6 +16,7 @@ def code_bridge(wide: DataFrame, keys: Sequence[str], columns: Sequence[str], co
     """Wide code columns to rows: position kept, blanks dropped, first position principal."""
     cleaned = F.array(*[F.upper(F.trim(F.col(c))) for c in columns])
     rows = wide.select(*keys, F.posexplode(cleaned).alias("_at", code))
+    keys = [c for c in rows.columns if c not in ("_at", code)]
     return rows.where(F.col(code).isNotNull() & (F.col(code) != "")).select(
         *keys, code, (F.col("_at") + 1).alias(f"{code.split('_')[0]}_position"),
         (F.col("_at") == 0).cast("int").alias("principal_flag"),

@@ -19,7 +19,7 @@ from ..fixed_values import HCC_TIERS, MEMBER_TIERS, PROVIDER_TIERS, READMISSION_
 from ..functions.expr import band, money_total, per, total
 from ..functions.ranking import Rank, exact_quantile, with_pct_ranks
 from ..session import write_shared
-from .star import enrich_episodes, risk_of_year
+from .star import claims_of_year, enrich_episodes, risk_of_year
 
 SCORE_PLACES = 6
 
@@ -99,9 +99,9 @@ def top_claim_per_member(claim: DataFrame) -> DataFrame:
     ).select("member_key", "top.service_key", F.col("top.primary_diagnosis_key").alias("diagnosis_key"))
 
 
-def top_claim_labels(star: dict[str, DataFrame]) -> DataFrame:
+def top_claim_labels(star: dict[str, DataFrame], claim: DataFrame | None = None) -> DataFrame:
     return (
-        top_claim_per_member(star["fact_claim"])
+        top_claim_per_member(star["fact_claim"] if claim is None else claim)
         .join(star["dim_service"].select("service_key", "service_line"), "service_key", "left")
         .join(star["dim_diagnosis"].select("diagnosis_key", "diagnosis_group"), "diagnosis_key", "left")
         .select("member_key", "diagnosis_group", "service_line")
@@ -109,7 +109,9 @@ def top_claim_labels(star: dict[str, DataFrame]) -> DataFrame:
 
 
 def high_cost_member(star: dict[str, DataFrame]) -> DataFrame:
-    cost = star["fact_claim"].where(F.col("member_key").isNotNull()).groupBy("member_key").agg(
+    """Members with claims in the plan year, by the claims of that year."""
+    claim = claims_of_year(star).where(F.col("member_key").isNotNull())
+    cost = claim.groupBy("member_key").agg(
         money_total("paid_amount").alias("paid"),
         money_total("allowed_amount").alias("allowed"),
         F.count("claim_key").alias("claim_count"),
@@ -121,7 +123,7 @@ def high_cost_member(star: dict[str, DataFrame]) -> DataFrame:
     risk = risk_of_year(star).select("member_key", "readmission_count", "suspected_hcc_gap_count")
     base = (
         cost.join(star["dim_member"], "member_key", "left")
-        .join(top_claim_labels(star), "member_key", "left")
+        .join(top_claim_labels(star, claim), "member_key", "left")
         .join(risk, "member_key", "left")
         .withColumn("gaps", F.coalesce("suspected_hcc_gap_count", F.lit(0)))
     )

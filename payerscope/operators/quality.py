@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .marts import MARTS
+from .star import claims_outside
 
 Check = tuple[str, Column, Column, str]
 
@@ -122,40 +123,64 @@ def quality_report(tables: Mapping[str, DataFrame], metrics: DataFrame | None =
     return union(parts)
 
 
-LEAKY_COLUMNS = {"paid_12m", "target_high_cost", "readmission_within_30_days", "days_to_readmission"}
+LOWEST_PAID = -1_000_000
+
+
+def late_sources(features: Mapping[str, tuple[DataFrame, Column]]) -> DataFrame:
+    """One row: prior-window feature rows whose latest source date is not before their cut-off.
+
+    The date is the latest that went into the row's sums, carried through their aggregation, so a window that
+    reaches too far shows here whatever the reason. ``features`` maps a name to the rows and their cut-off date.
+    """
+    counts = [
+        rows.agg(F.count_if(F.col("latest_source_date") >= cutoff).alias("v")) for rows, cutoff in features.values()
+    ]
+    return union(counts).agg(F.sum("v").cast("bigint").alias("v"))
 
 
 def extended_checks(
-    tables: Mapping[str, DataFrame], bridge: DataFrame, features: DataFrame, expected_rows: int
+    tables: Mapping[str, DataFrame], diagnoses: DataFrame, procedures: DataFrame, transfers: DataFrame, targets: DataFrame,
+    features: Mapping[str, tuple[DataFrame, Column]], member_years: DataFrame, years: Sequence[int],
 ) -> DataFrame:
-    """Further tests: ids, ages, eligibility, bridges, episodes, PMPM denominator, features.
+    """Further tests: claims, members, code bridges, stays, PMPM denominator, targets and features.
 
-    ``expected_rows`` is how many feature rows each member must have.
+    ``diagnoses`` and ``procedures`` are bridges, ``transfers`` the stays with readmission and transfer flags,
+    ``targets`` (member_key, target_high_cost), ``features`` as in ``late_sources``, ``member_years`` rows that must
+    be one per member and plan year.
     """
     v = F.col("v")
     counted = lambda df, condition: df.agg(F.count_if(condition).alias("v"))
     none = lambda name, df, condition, threshold: report(counted(df, condition), [(name, v == 0, v, threshold)])
-    typed = tables["fact_claim"].join(tables["dim_service"].select("service_key", "claim_type"), "service_key", "left")
+    claim, member = tables["fact_claim"], tables["dim_member"]
+    typed = claim.join(tables["dim_service"].select("service_key", "claim_type"), "service_key", "left")
     repeated = typed.groupBy("claim_type", "claim_id").agg(F.count(F.lit(1)).alias("k"))
-    repeated_members = tables["dim_member"].groupBy("member_id").agg(F.count(F.lit(1)).alias("k"))
-    rows_per_member = features.groupBy("member_key").agg(F.count(F.lit(1)).alias("k"))
-    leaks = sorted(LEAKY_COLUMNS & set(features.columns))
-    spark = bridge.sparkSession
+    repeated_members = member.groupBy("member_id").agg(F.count(F.lit(1)).alias("k"))
+    rows_per_member = member_years.groupBy("member_key").agg(F.count(F.lit(1)).alias("k"))
+    # the age is that of the last plan year, so it tells the year of birth
+    earliest = claim.groupBy("member_key").agg(F.min("claim_from_date_key").alias("first"))
+    born = F.lit(max(years, default=0)) - F.col("age")
+    unborn = earliest.join(member.select("member_key", "age"), "member_key").where(F.floor(F.col("first") / 10000) < born)
     age, months = F.col("age"), F.col("eligibility_months")
+    blank = lambda code: F.coalesce(F.trim(code), F.lit("")) == ""
+    both = (F.col("readmission_30day_flag") == 1) & (F.col("same_day_transfer_flag") == 1)
     return union([
-        none("claim_id_not_null", tables["fact_claim"], F.col("claim_id").isNull(), "0 missing"),
+        none("claim_id_not_null", claim, F.col("claim_id").isNull(), "0 missing"),
         none("claim_id_unique_in_type", repeated, F.col("k") > 1, "0 repeated"),
-        none("paid_amount_not_null", tables["fact_claim"], F.col("paid_amount").isNull(), "0 missing"),
+        none("paid_amount_not_null", claim, F.col("paid_amount").isNull(), "0 missing"),
+        none("paid_amount_not_extremely_negative", claim, F.col("paid_amount") < LOWEST_PAID, f">= {LOWEST_PAID}"),
+        report(claims_outside(claim, years), [("claims_in_plan_years", v == 0, v, "0 outside")]),
         none("member_id_unique", repeated_members, F.col("k") > 1, "0 repeated"),
-        none("age_in_range", tables["dim_member"], ~F.coalesce(age.between(0, 110), F.lit(False)), "0..110"),
-        none("eligibility_months_in_range", tables["dim_member"],
-             ~F.coalesce(months.between(0, 12), F.lit(False)), "0..12"),
-        none("diagnosis_code_not_blank", bridge, F.coalesce(F.trim("diagnosis_code"), F.lit("")) == "", "0 blank"),
-        none("diagnosis_position_valid", bridge, F.col("diagnosis_position") < 1, ">= 1"),
-        none("principal_is_first", bridge, (F.col("principal_flag") == 1) != (F.col("diagnosis_position") == 1), "position 1"),
+        none("age_in_range", member, ~F.coalesce(age.between(0, 110), F.lit(False)), "0..110"),
+        none("birth_before_claims", unborn, F.lit(True), "0 earlier"),
+        none("eligibility_months_in_range", member, ~F.coalesce(months.between(0, 12), F.lit(False)), "0..12"),
+        none("diagnosis_code_not_blank", diagnoses, blank("diagnosis_code"), "0 blank"),
+        none("diagnosis_position_valid", diagnoses, F.col("diagnosis_position") < 1, ">= 1"),
+        none("principal_is_first", diagnoses, (F.col("principal_flag") == 1) != (F.col("diagnosis_position") == 1), "position 1"),
+        none("procedure_code_not_blank", procedures, blank("procedure_code"), "0 blank"),
         none("discharge_date_present", tables["fact_inpatient_episode"], F.col("discharge_date_key").isNull(), "0 missing"),
+        none("transfers_are_no_readmissions", transfers, both, "0 both"),
         none("pmpm_excludes_ineligible", tables["fact_member_month"], F.col("eligible_flag") != 1, "0 ineligible"),
-        none("feature_rows_match_grain", rows_per_member, F.col("k") != expected_rows, "one row per member-year"),
-        report(spark.range(1).select(F.lit(len(leaks)).alias("v")),
-               [("no_leakage_columns", v == 0, v, "0 columns")]),
+        none("feature_rows_match_grain", rows_per_member, F.col("k") != len(years), "one row per member-year"),
+        none("target_not_null", targets, F.col("target_high_cost").isNull(), "0 missing"),
+        report(late_sources(features), [("no_future_dates", v == 0, v, "0 at or after the cut-off")]),
     ])

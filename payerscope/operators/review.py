@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import money_total, per, total
@@ -117,14 +117,24 @@ def provider_month(star: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-PLACES = ["Office", "Emergency", "Outpatient", "Facility", "Post acute", "Pharmacy"]
+def provider_place_mix(star: Mapping[str, DataFrame]) -> DataFrame:
+    """The share of each place of service among a provider's claims of a year: one row a place, whatever its name."""
+    keys = ["provider_key", "feature_year"]
+    service = star["dim_service"].select("service_key", "place_of_service")
+    counted = star["fact_claim"].groupBy("provider_key", year_of("claim_from_date_key").alias("feature_year"), "service_key").agg(
+        F.count(F.lit(1)).alias("k")
+    ).join(service, "service_key", "left").groupBy(*keys, "place_of_service").agg(F.sum("k").alias("claims"))
+    all_claims = F.sum("claims").over(Window.partitionBy(*keys))  # as many rows as there are places
+    return counted.select(*keys, "place_of_service", "claims", (F.col("claims").cast("double") / all_claims.cast("double")).alias("claim_share"))
+
 
+def provider_year_features(star: Mapping[str, DataFrame], procedures: DataFrame) -> DataFrame:
+    """Provider-year features: volume, repeats, concentration and diversity of services, diagnoses and procedures.
 
-def provider_year_features(star: Mapping[str, DataFrame]) -> DataFrame:
-    """Provider-year features: volume, repeats, concentration, diversity, place mix."""
+    ``procedures`` has a row (provider_key, feature_year, procedure_code) for each code of a claim.
+    """
     keys = ["provider_key", "feature_year"]
     claim = star["fact_claim"].withColumn("feature_year", year_of("claim_from_date_key"))
-    service = star["dim_service"].select("service_key", "place_of_service")
     volume = claim.groupBy(*keys, "member_key").agg(
         F.count("claim_key").alias("claims"), money_total("paid_amount").alias("paid")
     ).groupBy(*keys).agg(
@@ -133,11 +143,11 @@ def provider_year_features(star: Mapping[str, DataFrame]) -> DataFrame:
     repeats = claim.groupBy(*keys, "member_key", "service_key", "claim_from_date_key").agg(
         F.count("claim_key").alias("k")
     ).groupBy(*keys).agg(total(F.col("k") - 1).alias("same_day_duplicates"))
-    by_service = claim.groupBy(*keys, "service_key").agg(F.count("claim_key").alias("k")).join(service, "service_key", "left")
-    services = by_service.groupBy(*keys).agg(
+    services = claim.groupBy(*keys, "service_key").agg(F.count("claim_key").alias("k")).groupBy(*keys).agg(
         per(F.max("k"), F.sum("k")).alias("top_service_share"), F.count("service_key").alias("service_diversity"),
-        *[per(F.coalesce(F.sum(F.when(F.col("place_of_service") == p, F.col("k"))), F.lit(0)), F.sum("k"))
-          .alias("share_" + p.lower().replace(" ", "_")) for p in PLACES],
+    )
+    codes = procedures.groupBy(*keys, "procedure_code").agg(F.count(F.lit(1)).alias("k")).groupBy(*keys).agg(
+        per(F.max("k"), F.sum("k")).alias("top_procedure_share"), F.count("procedure_code").alias("procedure_diversity"),
     )
     diagnoses = claim.groupBy(*keys, "primary_diagnosis_key").agg(F.count("claim_key").alias("k")).groupBy(*keys).agg(
         F.count("primary_diagnosis_key").alias("diagnosis_diversity")
@@ -147,7 +157,7 @@ def provider_year_features(star: Mapping[str, DataFrame]) -> DataFrame:
     ).agg(total("readmission_within_30_days").alias("back"), F.count("episode_key").alias("stays"))
     peers = star["dim_provider"].select("provider_key", "specialty_group")
     base = (
-        volume.join(repeats, keys).join(services, keys).join(diagnoses, keys)
+        volume.join(repeats, keys).join(services, keys).join(diagnoses, keys).join(codes, keys, "left")
         .join(stays, keys, "left").join(peers, "provider_key", "left")
         .withColumn("paid_per_member", per(F.col("paid"), F.col("unique_members")))
         .withColumn("readmission_rate", per(F.coalesce("back", F.lit(0)), F.coalesce("stays", F.lit(0))))
@@ -163,7 +173,8 @@ def provider_year_features(star: Mapping[str, DataFrame]) -> DataFrame:
         per(F.col("paid"), F.col("total_claims")).alias("paid_per_claim"),
         per(F.col("total_claims"), F.col("unique_members")).alias("claims_per_member"), "same_day_duplicates",
         "top_service_share", "service_diversity", "diagnosis_diversity",
-        *["share_" + p.lower().replace(" ", "_") for p in PLACES], "readmission_rate", "peer_paid_percentile",
+        F.coalesce("top_procedure_share", F.lit(0.0)).alias("top_procedure_share"),
+        F.coalesce("procedure_diversity", F.lit(0)).cast("bigint").alias("procedure_diversity"), "readmission_rate", "peer_paid_percentile",
     )
 
 

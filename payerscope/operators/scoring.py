@@ -27,7 +27,7 @@ from ..fixed_values import (
     READMISSION_MODEL_TIERS,
 )
 from ..functions.expr import band, hash_share, per
-from ..functions.ranking import Rank, exact_quantile, value_distribution, with_pct_ranks
+from ..functions.ranking import Rank, exact_quantile, exact_quantiles, value_distribution, with_pct_ranks
 from ..session import write_shared
 from .marts import provider_base
 from .star import enrich_episodes, risk_of_year
@@ -419,3 +419,51 @@ def confusion_counts(df: DataFrame, score: str, target: str, threshold: float) -
         F.count_if(flagged & hit).alias("true_positive"), F.count_if(flagged & ~hit).alias("false_positive"),
         F.count_if(~flagged & hit).alias("false_negative"), F.count_if(~flagged & ~hit).alias("true_negative"),
     )
+
+
+def threshold_metrics(df: DataFrame, score: str, target: str, threshold: float) -> DataFrame:
+    """Precision, recall, F1 and share flagged at a cut of the score; a ratio without a base is null."""
+    tp, fp, fn, tn = (F.col(c).cast("double") for c in ("true_positive", "false_positive", "false_negative", "true_negative"))
+    share = lambda a, b: F.round(F.try_divide(a, b), SCORE_PLACES)
+    return confusion_counts(df, score, target, threshold).select(
+        share(tp, tp + fp).alias("precision"), share(tp, tp + fn).alias("recall"), share(2 * tp, 2 * tp + fp + fn).alias("f1"),
+        share(tp + fp, tp + fp + fn + tn).alias("flagged_share"),
+    )
+
+
+def score_calibration(df: DataFrame, score: str, target: str, bins: int = 10) -> DataFrame:
+    """Mean score against observed rate in bins of equal width over 0 to 1; the last one holds its right edge."""
+    bin_no = F.least(F.floor(F.col(score) * bins).cast("int"), F.lit(bins - 1)) + 1
+    return df.groupBy(bin_no.alias("bin")).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.col(target).cast("bigint")).alias("positives"),
+        F.sum(F.round(F.col(score), SCORE_PLACES).cast("decimal(18,6)")).alias("score_sum"),
+    ).select(
+        "bin", "rows", "positives", F.round(F.col("score_sum").cast("double") / F.col("rows"), SCORE_PLACES).alias("mean_score"),
+        F.round(F.col("positives").cast("double") / F.col("rows"), SCORE_PLACES).alias("observed_rate"),
+    )
+
+
+def score_opportunity(scored: DataFrame, outcomes: DataFrame, score: str, share: float = 0.10, preventable: float = 0.25) -> DataFrame:
+    """What flagging the top ``share`` of each cut-off date would have meant in the year after it.
+
+    ``scored`` has (member_key, cutoff_date, score) and ``outcomes`` the sums of the days that follow
+    (``care.window_sums``). Per cut-off: members, flagged members (the workload), their later cost and its share of all
+    later cost, their later readmissions, and the cost avoided if a stated part of these were preventable.
+    """
+    key = ["member_key", "cutoff_date"]
+    after = outcomes.select(*key, F.col("paid").alias("next_paid"), F.col("readmissions").alias("next_readmissions"))
+    rows = write_shared(scored.select(*key, F.round(F.col(score), SCORE_PLACES).alias("_score")).join(after, key), "opportunity_rows")
+    cuts = exact_quantiles(rows, "_score", {"cut": 1 - share}, ["cutoff_date"], decimals=2)
+    flagged = rows.join(cuts, "cutoff_date").withColumn("flagged", F.col("_score") >= F.round("cut", SCORE_PLACES))
+    chosen = lambda c: F.coalesce(F.sum(F.when(F.col("flagged"), F.col(c))), F.lit(0))
+    found = flagged.groupBy("cutoff_date").agg(
+        F.count(F.lit(1)).alias("members"), F.count_if("flagged").alias("workload"), F.sum("next_paid").alias("paid"),
+        chosen("next_paid").alias("caught"), chosen("next_readmissions").alias("flagged_next_readmissions"),
+    )
+    paid_each = F.try_divide(F.col("caught").cast("double"), F.col("workload").cast("double"))
+    return found.select(
+        "cutoff_date", "members", "workload", F.col("paid").cast("double").alias("next_paid"), F.col("caught").cast("double").alias("flagged_next_paid"),
+        F.round(F.try_divide(F.col("caught").cast("double"), F.col("paid").cast("double")), SCORE_PLACES).alias("captured_share"),
+        "flagged_next_readmissions",
+        F.round(F.col("flagged_next_readmissions") * paid_each * preventable, 2).alias("estimated_opportunity"),
+    )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -113,13 +113,47 @@ def override_readmissions(episode: DataFrame, source: DataFrame) -> DataFrame:
     )
 
 
-def claim_years(claim: DataFrame) -> list[int]:
-    """All years from the first claim to the last; none without dated claims."""
-    first, last = claim.agg(F.min("claim_from_date_key"), F.max("claim_from_date_key")).first()
-    return [] if first is None else list(range(first // 10000, last // 10000 + 1))
+WIDEST_GAP = 5
 
 
-def risk_of_year(star: dict[str, DataFrame], year: int | None = None) -> DataFrame:
+def years_with_claims(claim: DataFrame) -> dict[int, int]:
+    """Dated claims by year: at most one row a calendar year comes to the driver."""
+    year = F.floor(F.col("claim_from_date_key") / 10000).cast("int")
+    found = claim.where(F.col("claim_from_date_key").isNotNull()).groupBy(year.alias("year")).agg(F.count(F.lit(1)).alias("k"))
+    return {r["year"]: r["k"] for r in found.collect()}
+
+
+def claim_years(claim: DataFrame, widest_gap: int = WIDEST_GAP) -> list[int]:
+    """The plan years, first to last, of the claims; none without dated claims.
+
+    Years more than ``widest_gap`` apart from their neighbours are another period: the one with most claims counts
+    (of equals the later), so a date typed wrong adds no years to every member. ``claims_outside`` counts the rest.
+    """
+    counts = years_with_claims(claim)
+    periods: list[list[int]] = []
+    for year in sorted(counts):
+        if periods and year - periods[-1][-1] <= widest_gap:
+            periods[-1].append(year)
+        else:
+            periods.append([year])
+    if not periods:
+        return []
+    best = max(periods, key=lambda years: (sum(counts[y] for y in years), years))
+    return list(range(best[0], best[-1] + 1))
+
+
+def claims_outside(claim: DataFrame, years: Sequence[int]) -> DataFrame:
+    """One row: claims without a date in the plan years."""
+    year = F.floor(F.col("claim_from_date_key") / 10000)
+    inside = year.between(min(years), max(years)) if years else F.lit(False)
+    return claim.agg(F.count_if(~F.coalesce(inside, F.lit(False))).alias("v"))
+
+
+# Key of a star whose claims are one plan year by definition, whatever their dates (a claims file).
+ONE_PLAN = "_one_plan"
+
+
+def risk_of_year(star: Mapping[str, DataFrame], year: int | None = None) -> DataFrame:
     """The member risk rows of one plan year, by default the last one: the year comes along as a one-row join."""
     risk = star["fact_member_risk"]
     if year is not None:
@@ -127,10 +161,29 @@ def risk_of_year(star: dict[str, DataFrame], year: int | None = None) -> DataFra
     return risk.join(F.broadcast(risk.agg(F.max("plan_year").alias("plan_year"))), "plan_year").select(*risk.columns)
 
 
-def member_risk(member: DataFrame, claim: DataFrame, episode: DataFrame, plan_years: Iterable[int]) -> DataFrame:
-    """One row per member and year with that year's claims; the random part of the gap is a hash of both."""
+def claims_of_year(star: Mapping[str, DataFrame], year: int | None = None) -> DataFrame:
+    """The claims that the member risk rows of that plan year, by default the last one, sum up."""
+    claim = star["fact_claim"]
+    if star.get(ONE_PLAN):
+        return claim
+    dated = F.floor(F.col("claim_from_date_key") / 10000)
+    if year is not None:
+        return claim.where(dated == year)
+    last = star["fact_member_risk"].agg(F.max("plan_year").alias("_last"))
+    return claim.join(F.broadcast(last), dated == F.col("_last"), "left_semi")
+
+
+def member_risk(
+    member: DataFrame, claim: DataFrame, episode: DataFrame, plan_years: Iterable[int], one_plan: bool = False
+) -> DataFrame:
+    """One row per member and plan year with that year's claims; the random part of the gap is a hash of both.
+
+    With ``one_plan`` there is one plan year and all claims belong to it, whatever their dates.
+    """
+    plan_years = [int(y) for y in plan_years]
     keys = ["member_key", "plan_year"]
-    year = lambda column: F.floor(F.col(column) / 10000).cast("int").alias("plan_year")
+    dated = lambda column: F.floor(F.col(column) / 10000).cast("int")
+    year = lambda column: (F.lit(plan_years[0]) if one_plan else dated(column)).alias("plan_year")
     cost = claim.groupBy("member_key", year("claim_from_date_key")).agg(
         money_total("paid_amount").alias("paid_12m"),
         F.count("claim_key").alias("claim_count"),
@@ -146,7 +199,7 @@ def member_risk(member: DataFrame, claim: DataFrame, episode: DataFrame, plan_ye
     return (
         member.select(
             "member_key", "hcc_count", "raf_like_score", "risk_segment", "chronic_condition_count",
-            "dual_eligible_flag", F.explode(F.array(*[F.lit(int(y)) for y in plan_years]).cast("array<int>")).alias("plan_year"),
+            "dual_eligible_flag", F.explode(F.array(*[F.lit(y) for y in plan_years]).cast("array<int>")).alias("plan_year"),
         )
         .join(cost, keys, "left")
         .join(returns, keys, "left")

@@ -51,7 +51,7 @@ def derived_facts(plan_years: Sequence[int] | None = None) -> dict[str, Callable
         ),
         "fact_inpatient_episode": lambda s: ops.episodes(s["fact_claim"]),
         "fact_member_risk": lambda s: write_shared(
-            ops.member_risk(s["dim_member"], s["fact_claim"], s["fact_inpatient_episode"], s["_years"]),
+            ops.member_risk(s["dim_member"], s["fact_claim"], s["fact_inpatient_episode"], s["_years"], bool(s.get(ops.ONE_PLAN))),
             "fact_member_risk",
         ),
     }
@@ -86,7 +86,7 @@ def from_claims_file(raw: DataFrame, plan_year: int, order: Sequence[str] = ())
         source = s["_rows"]
         return ops.override_readmissions(found, source) if s["_has_readmission"] else found
 
-    return Star({
+    found = Star({
         "_cells": lambda s: custom.load_cells(raw, order),
         "_rows": rows,
         "dim_member": lambda s: custom.member_dim(s["_rows"]),
@@ -99,6 +99,8 @@ def from_claims_file(raw: DataFrame, plan_year: int, order: Sequence[str] = ())
         **WRITTEN_MARTS,
         **MODELS,
     })
+    found[ops.ONE_PLAN] = True
+    return found
 
 
 def load_claims_csv(spark: SparkSession, path: str, plan_year: int = 2025) -> Star:

@@ -200,8 +200,10 @@ CTES["top_claim_per_member"] = (["claims_enriched"], """
   SELECT member_key, diagnosis_group, service_line FROM claims_enriched
   QUALIFY row_number() OVER (PARTITION BY member_key ORDER BY paid_amount DESC, claim_key) = 1""")
 
-CTES["mart_high_cost_member"] = (
-    ["fact_claim", "dim_member", "top_claim_per_member", "risk_of_year"], f"""
+CTES["claims_of_year"] = (["claims_enriched", "fact_member_risk"], """
+  SELECT * FROM claims_enriched WHERE claim_from_date_key // 10000 = (SELECT max(plan_year) FROM fact_member_risk)""")
+
+CTES["mart_high_cost_member"] = (["claims_of_year", "dim_member", "risk_of_year"], f"""
   SELECT member_key, paid::DOUBLE AS paid_12m, allowed::DOUBLE AS allowed_12m, claim_count, admissions, ed_visits,
     avoidable_ed_visits, denied_claims, {MEMBER_COLS}, diagnosis_group, service_line, readmission_count,
     suspected_hcc_gap_count, paid_percentile, risk_priority_score,
@@ -221,9 +223,10 @@ CTES["mart_high_cost_member"] = (
         FROM (SELECT member_key, sum(paid_amount) AS paid, sum(allowed_amount) AS allowed,
             count(DISTINCT claim_key) AS claim_count, sum(inpatient_flag)::BIGINT AS admissions,
             sum(ed_flag)::BIGINT AS ed_visits, sum(avoidable_ed_flag)::BIGINT AS avoidable_ed_visits,
-            sum(denied_flag)::BIGINT AS denied_claims FROM fact_claim GROUP BY 1) a
+            sum(denied_flag)::BIGINT AS denied_claims FROM claims_of_year GROUP BY 1) a
         LEFT JOIN dim_member m ON a.member_key = m.member_key
-        LEFT JOIN top_claim_per_member t ON a.member_key = t.member_key
+        LEFT JOIN (SELECT member_key, diagnosis_group, service_line FROM claims_of_year
+          QUALIFY row_number() OVER (PARTITION BY member_key ORDER BY paid_amount DESC, claim_key) = 1) t ON a.member_key = t.member_key
         LEFT JOIN risk_of_year r ON a.member_key = r.member_key)))""")
 
 CTES["provider_base"] = (["fact_claim", "dim_provider"], f"""

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..fixed_values import MISSING_TEXTS
-from ..functions.expr import matches
+from ..functions.expr import key_to_date, matches
 from ..operators import care, coding, cost, kpis, marts, quality, review, scoring, sqlpack
 from ..operators import star as star_ops
 from ..session import shared_folder, write_shared
@@ -375,11 +375,37 @@ def reconciliation(spark: SparkSession, folder: str) -> DataFrame:
     return cost.reconciliation(star(spark, folder), src.as_claims(src.claim_lines(spark, folder)))
 
 
+def procedure_bridge(spark: SparkSession, folder: str) -> DataFrame:
+    return coding.code_bridge(wide_codes(spark, folder), BRIDGE_KEYS, src.PROCEDURE_CODE_COLUMNS, "procedure_code")
+
+
+def provider_year_features(spark: SparkSession, folder: str) -> DataFrame:
+    procedures = coding.code_bridge(
+        wide_codes(spark, folder), ["provider_key", F.col("risk_year").alias("feature_year")], src.PROCEDURE_CODE_COLUMNS, "procedure_code",
+    )
+    return review.provider_year_features(star(spark, folder), procedures)
+
+
 def quality_report_ext(spark: SparkSession, folder: str) -> DataFrame:
     s = star(spark, folder)
     years = star_ops.claim_years(s["fact_claim"])
-    features = care.member_year_features(s, years)
-    return quality.extended_checks(s, diagnosis_bridge(spark, folder), features, len(years))
+    by_year = care.member_year_features(s, years)
+    stays = care.episode_features(s).join(s["fact_inpatient_episode"].select("episode_key", "admission_date_key"), "episode_key")
+    features = {
+        "feature_member_year": (by_year, F.make_date("feature_year", F.lit(1), F.lit(1))),
+        "feature_member_month": (care.member_month_features(s), F.col("cutoff_date")),
+        "feature_episode": (stays, key_to_date(F.col("admission_date_key"))),
+    }
+    targets = scoring.high_cost_target(star_ops.risk_of_year(s))
+    return quality.extended_checks(
+        s, diagnosis_bridge(spark, folder), procedure_bridge(spark, folder), care.readmission_30day(s), targets, features, by_year, years
+    )
+
+
+def score_opportunity(s) -> DataFrame:
+    cutoffs = write_shared(care.claim_months(s), "claim_months")
+    scored = care.window_sums(s, cutoffs, -care.PRIOR_DAYS, -1).select("member_key", "cutoff_date", F.col("paid").alias("prior_paid"))
+    return scoring.score_opportunity(scored, care.window_sums(s, cutoffs, 0, care.PRIOR_DAYS - 1), "prior_paid")
 
 
 register("monthly_paid_by_type", over_star(cost.monthly_paid_by_type), design_sql(
@@ -400,11 +426,32 @@ register("provider_month", over_star(review.provider_month), design_all("provide
 register("dim_date", over_star(cost.dim_date), design_all("dim_date"))
 register("feature_member_year", over_star(lambda s: care.member_year_features(s, star_ops.claim_years(s["fact_claim"]))),
          design_all("feature_member_year"))
-register("feature_provider_year", over_star(review.provider_year_features), design_all("feature_provider_year"))
+register("feature_member_month", over_star(care.member_month_features), design_all("feature_member_month"))
+register("feature_provider_year", provider_year_features, design_all("feature_provider_year"))
+register("provider_place_mix", over_star(review.provider_place_mix), design_all("provider_place_mix"))
+register("score_opportunity", over_star(score_opportunity), design_sql("""
+  SELECT cutoff_date, count(*) AS members, count(*) FILTER (flagged) AS workload, sum(next_paid)::DOUBLE AS next_paid,
+    coalesce(sum(next_paid) FILTER (flagged), 0)::DOUBLE AS flagged_next_paid,
+    round(coalesce(sum(next_paid) FILTER (flagged), 0)::DOUBLE / nullif(sum(next_paid), 0)::DOUBLE, 6) AS captured_share,
+    coalesce(sum(next_back) FILTER (flagged), 0)::BIGINT AS flagged_next_readmissions,
+    round(coalesce(sum(next_back) FILTER (flagged), 0)::BIGINT * (coalesce(sum(next_paid) FILTER (flagged), 0)::DOUBLE
+      / (count(*) FILTER (flagged))::DOUBLE) * 0.25::DOUBLE, 2) AS estimated_opportunity
+  FROM (SELECT *, round(prior_paid, 6) >= round(quantile_cont(round(prior_paid, 6), 0.9) OVER (PARTITION BY cutoff_date), 6) AS flagged
+    FROM opportunity_rows) GROUP BY 1""", "opportunity_rows"))
+register("threshold_metrics", over_star(lambda s: scoring.threshold_metrics(lift_rows(s), "risk_priority_score", "target_high_cost", 0.75)),
+         with_ctes("""
+  SELECT round(tp / nullif(tp + fp, 0), 6) AS precision, round(tp / nullif(tp + fn, 0), 6) AS recall,
+    round(2 * tp / nullif(2 * tp + fp + fn, 0), 6) AS f1, round((tp + fp) / n, 6) AS flagged_share
+  FROM (SELECT (count(*) FILTER (score >= 0.75 AND target = 1))::DOUBLE AS tp, (count(*) FILTER (score >= 0.75 AND target = 0))::DOUBLE AS fp,
+    (count(*) FILTER (score < 0.75 AND target = 1))::DOUBLE AS fn, count(*)::DOUBLE AS n FROM lift_rows)""", "lift_rows", extra=LIFT))
+register("score_calibration", over_star(lambda s: scoring.score_calibration(lift_rows(s), "risk_priority_score", "target_high_cost")),
+         with_ctes("""
+  SELECT bin, count(*) AS rows, sum(target)::BIGINT AS positives, round(sum(score::DECIMAL(18,6))::DOUBLE / count(*), 6) AS mean_score,
+    round(sum(target)::DOUBLE / count(*), 6) AS observed_rate
+  FROM (SELECT *, least(floor(score * 10)::INT, 9) + 1 AS bin FROM lift_rows) GROUP BY 1""", "lift_rows", extra=LIFT))
 register("feature_episode", over_star(care.episode_features), design_all("feature_episode"))
 register("diagnosis_bridge", diagnosis_bridge, design_all("diagnosis_bridge"))
-register("procedure_bridge", lambda spark, folder: coding.code_bridge(
-    wide_codes(spark, folder), BRIDGE_KEYS, src.PROCEDURE_CODE_COLUMNS, "procedure_code"), design_all("procedure_bridge"))
+register("procedure_bridge", procedure_bridge, design_all("procedure_bridge"))
 register("hcc_gaps", hcc_gaps, design_all("hcc_gaps"))
 register("hcc_rollup", hcc_rollup, design_all("hcc_rollup"))
 register("claim_header_union",
@@ -470,28 +517,43 @@ register("denial_benchmark", lambda spark, folder: review.denial_benchmark(src.d
       count(*) FILTER (l_returnflag = 'R' AND l_linenumber <= 3 AND l_linestatus = 'F' AND l_tax > 0.04) AS appeals_upheld
     FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN customer ON o_custkey = c_custkey
     LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey GROUP BY 1, 2, 3, 4)""")
+_years = "(SELECT DISTINCT claim_year AS y FROM typed_claim)"
 _zero_checks = {
     "claim_id_not_null": ("0 missing", "fact_claim", "claim_id IS NULL"),
     "claim_id_unique_in_type": ("0 repeated", "(SELECT claim_type, claim_id, count(*) AS k FROM typed_claim GROUP BY 1, 2)", "k > 1"),
     "paid_amount_not_null": ("0 missing", "fact_claim", "paid_amount IS NULL"),
+    "paid_amount_not_extremely_negative": (f">= {quality.LOWEST_PAID}", "fact_claim", f"paid_amount < {quality.LOWEST_PAID}"),
+    "claims_in_plan_years": ("0 outside", "typed_claim", """coalesce(claim_year NOT IN (SELECT y FROM (
+        SELECT y, k, sum(fresh) OVER (ORDER BY y) AS period FROM (
+          SELECT y, k, (y - coalesce(lag(y) OVER (ORDER BY y), -9) > 5)::INT AS fresh
+          FROM (SELECT claim_year AS y, count(*) AS k FROM typed_claim GROUP BY 1)))
+      QUALIFY dense_rank() OVER (ORDER BY period) = 1), true)"""),
     "member_id_unique": ("0 repeated", "(SELECT member_id, count(*) AS k FROM dim_member GROUP BY 1)", "k > 1"),
     "age_in_range": ("0..110", "dim_member", "age NOT BETWEEN 0 AND 110"),
+    "birth_before_claims": ("0 earlier", f"""(SELECT age, min(claim_year) AS first FROM typed_claim c
+        JOIN dim_member m ON m.member_key = c.member_key GROUP BY m.member_key, age)""", f"first < (SELECT max(y) FROM {_years}) - age"),
     "eligibility_months_in_range": ("0..12", "dim_member", "eligibility_months NOT BETWEEN 0 AND 12"),
     "diagnosis_code_not_blank": ("0 blank", "diagnosis_bridge", "trim(diagnosis_code) = ''"),
     "diagnosis_position_valid": (">= 1", "diagnosis_bridge", "diagnosis_position < 1"),
     "principal_is_first": ("position 1", "diagnosis_bridge", "(principal_flag = 1) <> (diagnosis_position = 1)"),
+    "procedure_code_not_blank": ("0 blank", "procedure_bridge", "trim(procedure_code) = ''"),
     "discharge_date_present": ("0 missing", "fact_inpatient_episode", "discharge_date_key IS NULL"),
+    "transfers_are_no_readmissions": ("0 both", "readmission_30day", "readmission_30day_flag = 1 AND same_day_transfer_flag = 1"),
     "pmpm_excludes_ineligible": ("0 ineligible", "fact_member_month", "eligible_flag <> 1"),
     "feature_rows_match_grain": ("one row per member-year",
-                                 "(SELECT member_key, count(*) AS k FROM feature_member_year GROUP BY 1)", "k <> 7"),
+                                 "(SELECT member_key, count(*) AS k FROM feature_member_year GROUP BY 1)", f"k <> (SELECT count(*) FROM {_years})"),
+    "target_not_null": ("0 missing", "risk_of_year", "paid_12m IS NULL"),
+    "no_future_dates": ("0 at or after the cut-off", """(SELECT latest_source_date AS d, make_date(feature_year, 1, 1) AS c FROM feature_member_year
+        UNION ALL SELECT latest_source_date, cutoff_date FROM feature_member_month
+        UNION ALL SELECT latest_source_date, strptime(admission_date_key::VARCHAR, '%Y%m%d')::DATE
+          FROM feature_episode f JOIN fact_inpatient_episode e ON e.episode_key = f.episode_key)""", "d >= c"),
 }
 register("quality_report_ext", quality_report_ext, design_sql(" UNION ALL ".join(
     f"SELECT '{name}' AS check_name, CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END AS status, "
     f"count(*)::VARCHAR AS value, '{threshold}' AS threshold FROM {table} WHERE {rule}"
     for name, (threshold, table, rule) in _zero_checks.items()
-) + " UNION ALL SELECT 'no_leakage_columns', 'PASS', '0', '0 columns'",
-    "fact_claim", "typed_claim", "dim_member", "diagnosis_bridge", "fact_inpatient_episode", "fact_member_month",
-    "feature_member_year"))
+), "fact_claim", "typed_claim", "dim_member", "diagnosis_bridge", "procedure_bridge", "fact_inpatient_episode", "fact_member_month",
+    "feature_member_year", "feature_member_month", "feature_episode", "readmission_30day", "risk_of_year"))
 _cuts = {"paid_p25": 0.25, "paid_p50": 0.50, "paid_p75": 0.75, "paid_p99": 0.99}
 register("profile_claims", over_star(cost.profile_claims), design_sql(f"""
   SELECT claim_type, count(*) AS row_count, count(*) FILTER (primary_diagnosis_key IS NULL)::DOUBLE / count(*)::DOUBLE

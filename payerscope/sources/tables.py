@@ -196,7 +196,7 @@ def wide_codes(lines: DataFrame) -> DataFrame:
     codes = [code for code, _, _ in DIAGNOSES]
     text = lambda col: col.cast("string")
     return lines.select(
-        claim_id(), F.col("o_custkey").alias("member_key"), F.year("from_date").alias("risk_year"),
+        claim_id(), F.col("o_custkey").alias("member_key"), F.col("l_suppkey").alias("provider_key"), F.year("from_date").alias("risk_year"),
         pick(F.col("p_size") % 10, codes).alias(DIAGNOSIS_CODE_COLUMNS[0]),
         F.when(F.col("l_linenumber") % 2 == 0, "  ").otherwise(F.lower(pick(F.col("l_suppkey") % 10, codes)))
         .alias(DIAGNOSIS_CODE_COLUMNS[1]),

@@ -117,3 +117,26 @@ def test_cells_as_people_write_them(spark, tmp_path):
     assert [rows[c]["inpatient_flag"] for c in "abcd"] == [1, 0, 1, 0]
     assert [rows[c]["plan_type"] for c in "abcd"] == [None, None, "HMO", "HMO"]
     assert len(rows) == 4 and rows["c"]["paid_amount"] == Decimal("180.00")
+
+
+def test_a_claims_file_is_one_plan_year_whatever_its_dates(spark):
+    rows = [("C1", "M1", "2023-03-01", "100"), ("C2", "M1", "2025-04-01", "200"), ("C3", "M2", "9999-01-01", "7")]
+    raw = spark.createDataFrame(rows, "claim_id string, member_id string, from_date string, paid string")
+    star = from_claims_file(raw, 2025, ["claim_id"])
+    risk = {r["member_key"]: (r["plan_year"], float(r["paid_12m"]), r["claim_count"]) for r in star["fact_member_risk"].collect()}
+    assert risk == {1: (2025, 300.0, 2), 2: (2025, 7.0, 1)}
+    mart = {r["member_id"]: r["paid_12m"] for r in star["mart_high_cost_member"].collect()}
+    assert mart == {"M1": 300.0, "M2": 7.0}
+
+
+def test_every_defaulted_cell_is_counted(spark):
+    rows = [("1", "Infinity", "13/02/2025", "true"), ("2", "-4", "02/13/2025", "maybe"), ("3", "N/A", "14/02/2025", None)]
+    data = spark.createDataFrame(rows, "claim_id string, paid_amount string, claim_from_date string, ed_flag string")
+    forms = C.date_forms(data)
+    assert forms == {"claim_from_date": True}
+    found = {r["column_name"]: tuple(r)[1:] for r in C.defaulted_cells(data, forms).collect()}
+    assert found["paid_amount"] == (3, 1, 1, 1, 2) and found["claim_from_date"] == (3, 0, 1, 0, 1)
+    assert found["ed_flag"] == (3, 1, 1, 0, 2) and found["allowed_amount"] == (0, 0, 0, 0, 3)
+    typed = C.coerce(data, 2025, forms).orderBy("claim_id").collect()
+    assert [str(r["claim_from_date"]) for r in typed] == ["2025-02-13", "2025-01-01", "2025-02-14"]
+    assert [float(r["paid_amount"]) for r in typed] == [180.0, 0.0, 180.0]

@@ -141,3 +141,57 @@ def test_groups_without_a_name_stay(spark):
     assert {r["provider_key"] for r in review.provider_peer_rank(star).collect()} == {1, 2, 3}
     assert None in {r["claim_type"] for r in cost.profile_claims(star).collect()}
     assert coding.claim_header_union(src.claim_sources(star["fact_claim"], star["dim_service"])).count() == 3
+
+
+def test_a_stray_date_adds_no_years(spark):
+    claims = [claim(1, start=20230510), claim(2, start=20250105, paid="40"), claim(3, start=99990101, paid="7"), claim(4, start=19000101)]
+    star = make_star(spark, claims, [member(1), member(2)], [provider(1)], (2023, 2024, 2025))
+    assert ops.claim_years(star["fact_claim"]) == [2023, 2024, 2025]
+    assert ops.claims_outside(star["fact_claim"], [2023, 2024, 2025]).first()["v"] == 2
+    features = care.member_month_features(star).orderBy("cutoff_date").collect()
+    assert len(features) == 4 and [f["prior_paid"] for f in features] == [0.0] * 4
+    assert str(features[-1]["cutoff_date"]) == "9999-01-01" and str(features[-1]["latest_source_date"]) == "2025-01-05"
+
+
+def test_high_cost_mart_reads_the_plan_year(spark):
+    from payerscope.operators import marts
+
+    claims = [claim(1, start=20240510, paid="900"), claim(2, start=20250105, paid="40"), claim(3, start=20240105, paid="70", member=2)]
+    star = make_star(spark, claims, [member(1), member(2)], [provider(1)], (2024, 2025))
+    rows = marts.high_cost_member(star).collect()
+    assert [(r["member_key"], r["paid_12m"], r["claim_count"]) for r in rows] == [(1, 40.0, 1)]
+    star[ops.ONE_PLAN] = True
+    assert sum(r["paid_12m"] for r in marts.high_cost_member(star).collect()) == 1010.0
+
+
+def test_prior_windows_at_any_cutoff_equal_a_range_join(spark):
+    import datetime as dt
+    import random
+
+    pick = random.Random(2)
+    day = lambda n: int((dt.date(2024, 1, 1) + dt.timedelta(n)).strftime("%Y%m%d"))
+    rows = [claim(i, member=pick.randint(1, 4), provider=pick.randint(1, 5), start=day(pick.randint(0, 500)), paid=str(pick.randint(1, 99)), ed=i % 2)
+            for i in range(1, 200)]
+    star = make_star(spark, rows, [member(i) for i in range(1, 5)], [provider(i) for i in range(1, 6)])
+    asked = [(m, dt.date(2024, 1, 1) + dt.timedelta(n)) for m in range(1, 7) for n in range(-30, 900, 37)]
+    cutoffs = spark.createDataFrame(asked, "member_key bigint, cutoff_date date")
+    for first, last in ((-365, -1), (0, 364), (-30, -10)):
+        got = {(r["member_key"], r["cutoff_date"]): r for r in care.window_sums(star, cutoffs, first, last).collect()}
+        assert len(got) == len(asked)
+        for who, at in asked:
+            inside = [r for r in rows if r[2] == who and first <= (dt.datetime.strptime(str(r[6]), "%Y%m%d").date() - at).days <= last]
+            found = got[who, at]
+            assert (found["paid"], found["ed_visits"], found["unique_providers"]) == (
+                sum(r[10] for r in inside), sum(r[14] for r in inside), len({r[3] for r in inside}))
+
+
+def test_a_planted_leak_shows_as_a_late_source_date(spark):
+    from payerscope.operators import quality
+
+    star = make_star(spark, [claim(1, start=20250110), claim(2, start=20250203)], [member(1)], [provider(1)])
+    from pyspark.sql import functions as F
+
+    cutoffs = care.claim_months(star)
+    right, leaky = care.window_sums(star, cutoffs, -365, -1), care.window_sums(star, cutoffs, -365, 5)
+    late = lambda rows: quality.late_sources({"x": (rows, F.col("cutoff_date"))}).first()["v"]
+    assert late(right) == 0 and late(leaky) == 1
