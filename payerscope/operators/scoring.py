@@ -1,9 +1,8 @@
-"""Model scores: MLlib forests, exact rank metrics, and an isolation forest.
+"""Model scores: a random forest, exact rank metrics, and an isolation forest.
 
-MLlib trains on the cluster. What MLlib lacks is built from grouped work of a
-fixed size: an isolation tree sees 256 rows, so growing 120 of them is 120 small
-tasks, and the grown forest (a bounded number of nodes) is what scoring ships to
-the executors.
+The random forest is grown from exact counts (``forest.py``); the baselines are MLlib's. The isolation forest is
+grouped work of a fixed size: a tree sees 256 rows, so growing 120 of them is 120 small tasks, and the grown forest
+(a bounded number of nodes) is what scoring ships to the executors.
 """
 
 from __future__ import annotations
@@ -16,7 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
@@ -29,6 +28,7 @@ from ..fixed_values import (
 from ..functions.expr import band, hash_share, per
 from ..functions.ranking import Rank, exact_quantile, exact_quantiles, value_distribution, with_pct_ranks
 from ..session import write_shared
+from . import forest
 from .marts import provider_base
 from .star import enrich_episodes, risk_of_year
 
@@ -37,8 +37,9 @@ from .star import enrich_episodes, risk_of_year
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Forest and isolation settings
-TREES, DEPTH, LEAF_ROWS, SEED = 140, 7, 8, 42
-TEST_SHARE, FALLBACK_ROWS, TRAINING_PARTS = 0.30, 40, 16
+FOREST, SEED = forest.Settings(trees=140, depth=7, leaf_rows=8, seed=42), 42
+TEST_SHARE, FALLBACK_ROWS = 0.30, 40
+ROWS_A_PART, LEAST_ROWS_A_PART = 1_000_000, 1_500
 ISOLATION_TREES, ISOLATION_ROWS, ISOLATION_MIN_ROWS = 120, 256, 8
 SCORE_PLACES = 6
 
@@ -71,43 +72,36 @@ def high_cost_target(risk: DataFrame) -> DataFrame:
 
 # --- metrics by rank, exact and without gathering rows ---------------------------------
 
-def rank_metrics(df: DataFrame, score: str, target: str) -> DataFrame:
-    """One row: rows, positives, ROC-AUC and average precision.
+def rank_metrics(df: DataFrame, score: str, target: str, by: Sequence[str] = (), share: int = 10) -> DataFrame:
+    """One row (per group of ``by``): rows, positives, ROC-AUC, average precision and capture.
 
-    Scores have six places, so the distinct values are bounded. AUC is the rank
-    sum of the positives; precision is averaged over the distinct thresholds from
-    the top, each weighted by the recall it adds.
+    Scores have six places, so the distinct values are bounded. AUC is the rank sum of the positives; precision is
+    averaged over the distinct thresholds from the top, each weighted by the recall it adds. Capture is the mean target
+    among the top n // share rows; a tie at the edge counts in part.
     """
-    dist = value_distribution(df, score, measures={"pos": F.col(target).cast("bigint")})
+    dist = value_distribution(df, score, by, measures={"pos": F.col(target).cast("bigint")})
     pos, pos_total = F.col("pos").cast("double"), F.col("pos_total").cast("double")
     at_least = (F.col("total") - F.col("before")).cast("double")
     pos_at_least = pos_total - F.col("pos_before").cast("double")
     rank = F.col("before").cast("double") + (F.col("k").cast("double") + 1.0) / 2.0
-    sums = dist.agg(
+    size = F.greatest(F.floor(F.col("total") / share), F.lit(1))
+    above = F.col("total") - F.col("before") - F.col("k")
+    taken = F.least(F.greatest(size - above, F.lit(0)), F.col("k")).cast("double")
+    sums = dist.groupBy(*by).agg(
         F.max("total").alias("rows"),
         F.max("pos_total").alias("positives"),
         F.sum(pos * rank).alias("rank_sum"),
         F.sum(F.try_divide(pos, pos_total) * (pos_at_least / at_least)).alias("average_precision"),
+        (F.sum(taken * pos / F.col("k").cast("double")) / F.sum(taken)).alias("capture"),
     )
     positives = F.col("positives").cast("double")
     negatives = F.col("rows").cast("double") - positives
     auc = F.try_divide(F.col("rank_sum") - positives * (positives + 1.0) / 2.0, positives * negatives)
     return sums.select(
-        "rows", "positives",
+        *by, "rows", "positives",
         F.when((positives > 0) & (negatives > 0), auc).otherwise(F.lit(0.5)).alias("roc_auc"),
         F.when(positives > 0, F.col("average_precision"))
-        .otherwise(positives / F.greatest(F.col("rows").cast("double"), F.lit(1.0))).alias("pr_auc"),
-    )
-
-
-def top_share_mean(df: DataFrame, score: str, target: str, share: int = 10) -> DataFrame:
-    """Mean target among the top n // share rows; a tie at the edge counts in part."""
-    dist = value_distribution(df, score, measures={"pos": F.col(target).cast("bigint")})
-    size = F.greatest(F.floor(F.col("total") / share), F.lit(1))
-    above = F.col("total") - F.col("before") - F.col("k")
-    taken = F.least(F.greatest(size - above, F.lit(0)), F.col("k")).cast("double")
-    return dist.agg(
-        (F.sum(taken * F.col("pos").cast("double") / F.col("k").cast("double")) / F.sum(taken)).alias("capture")
+        .otherwise(positives / F.greatest(F.col("rows").cast("double"), F.lit(1.0))).alias("pr_auc"), "capture",
     )
 
 
@@ -122,11 +116,7 @@ def stratified_split(df: DataFrame, key: str, target: str) -> DataFrame:
     return drawn.join(place, [target, "_draw"], "left").drop("_draw")
 
 
-CLASSIFIERS = {
-    "random_forest": lambda: RandomForestClassifier(
-        featuresCol="features", labelCol="label", weightCol="weight", numTrees=TREES, maxDepth=DEPTH,
-        minInstancesPerNode=LEAF_ROWS, seed=SEED,
-    ),
+BASELINES = {
     "logistic": lambda: LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight", maxIter=50),
     "boosted_trees": lambda: GBTClassifier(
         featuresCol="features", labelCol="label", weightCol="weight", maxIter=20, maxDepth=4, seed=SEED
@@ -134,6 +124,19 @@ CLASSIFIERS = {
 }
 
 
+def with_baseline(split: DataFrame, key: str, names: Sequence[str], classifier: str, score: str) -> DataFrame:
+    """Scores of an MLlib classifier. It passes over the rows many times; a lost block is read again from the table."""
+    stages = [
+        VectorAssembler(inputCols=list(names), outputCol="raw"),
+        StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True),
+        BASELINES[classifier](),
+    ]
+    train = split.where(~F.col("is_test")).select(key, *names, "label", "weight").persist()
+    fitted = Pipeline(stages=stages).fit(train)
+    train.unpersist()
+    return fitted.transform(split).withColumn(score, F.round(F.element_at(vector_to_array("probability"), 2), SCORE_PLACES))
+
+
 def fit_and_score(
     data: DataFrame, key: str, features: Sequence[str], target: str, score: str, model: str,
     classifier: str = "random_forest",
@@ -154,35 +157,28 @@ def fit_and_score(
         metrics = metric_rows(spark, model, {"status": "fallback_constant_score", **base})
         return Scored(ready.withColumn(score, F.lit(float(rate))).select(*keep, score), metrics)
 
-    balance = F.when(F.col("label") == 1, F.lit(count / (2.0 * positives))).otherwise(
-        F.lit(count / (2.0 * (count - positives)))
-    )
-    split = stratified_split(ready, key, "label").withColumn("weight", balance)
-    stages = [
-        VectorAssembler(inputCols=names, outputCol="raw"),
-        StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True),
-        CLASSIFIERS[classifier](),
-    ]
-    # Fitting passes over the rows many times; a lost cached block is recomputed from the written input.
-    # The forest bags rows by partition, so their number is fixed and the result is the same on any cluster.
-    train = split.where(~F.col("is_test")).select(key, *names, "label", "weight").repartition(TRAINING_PARTS, key).persist()
-    fitted = Pipeline(stages=stages).fit(train)
-    train.unpersist()
-    probability = F.round(F.element_at(vector_to_array("probability"), 2), SCORE_PLACES)
-    scored = write_shared(
-        fitted.transform(split).withColumn(score, probability).select(*keep, score, "label", "is_test"),
-        f"{model}_scores",
-    )
-    held_out = rank_metrics(scored.where("is_test"), score, "label").first()
-    in_sample = rank_metrics(scored, score, "label").first()
-    capture = top_share_mean(scored, score, "label").first()["capture"]
-    held_capture = top_share_mean(scored.where("is_test"), score, "label").first()["capture"]
+    balance = (count / (2.0 * (count - positives)), count / (2.0 * positives))
+    weight = F.when(F.col("label") == 1, F.lit(balance[1])).otherwise(F.lit(balance[0]))
+    # enough parts for all cores, few enough that the counts that each sends stay below the rows that it read
+    parts = max(-(-count // ROWS_A_PART), min(spark.sparkContext.defaultParallelism, -(-count // LEAST_ROWS_A_PART)))
+    drawn = stratified_split(ready, key, "label").withColumn("weight", weight)
+    split = write_shared(drawn.repartition(parts, key), f"{model}_split")
+    if classifier == "random_forest":
+        grown = forest.grow(split.where(~F.col("is_test")), key, names, "label", balance, FOREST)
+        found = split.withColumn(score, forest.score_column(grown, names))
+    else:
+        found = with_baseline(split, key, names, classifier, score)
+    scored = write_shared(found.select(*keep, score, "label", "is_test"), f"{model}_scores")
+    both = scored.select(score, "label", F.explode(F.when(F.col("is_test"), F.array(F.lit("all"), F.lit("held_out")))
+                                                  .otherwise(F.array(F.lit("all")))).alias("rows_of"))
+    measured = {r["rows_of"]: r for r in rank_metrics(both, score, "label", ["rows_of"]).collect()}
+    held_out, in_sample = measured["held_out"], measured["all"]
     metrics = metric_rows(spark, model, {
         "status": f"trained_{classifier}", **base,
         "roc_auc": round(held_out["roc_auc"], 4), "pr_auc": round(held_out["pr_auc"], 4),
-        "top_decile_capture_rate": round(capture, 4), "score_name": score,
+        "top_decile_capture_rate": round(in_sample["capture"], 4), "score_name": score,
         "all_rows_roc_auc": round(in_sample["roc_auc"], 4), "all_rows_pr_auc": round(in_sample["pr_auc"], 4),
-        "held_out_top_decile_capture_rate": round(held_capture, 4),
+        "held_out_top_decile_capture_rate": round(held_out["capture"], 4),
     })
     return Scored(scored.select(*keep, score), metrics)
 
@@ -376,9 +372,8 @@ def baseline_metrics(star: Mapping[str, DataFrame]) -> DataFrame:
 
 def evaluation(df: DataFrame, score: str, target: str) -> DataFrame:
     """Rank metrics and top-tenth capture of a score as one row, at nine places."""
-    capture = top_share_mean(df, score, target).scalar()
     return rank_metrics(df, score, target).select(
-        "rows", "positives", *[F.round(c, 9).alias(c) for c in ("roc_auc", "pr_auc")], F.round(capture, 9).alias("capture")
+        "rows", "positives", *[F.round(c, 9).alias(c) for c in ("roc_auc", "pr_auc", "capture")]
     )
 
 

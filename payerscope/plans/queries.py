@@ -16,6 +16,7 @@ from ..session import shared_folder, write_shared
 from ..sources import claims_file as custom
 from ..sources import sinks
 from ..sources import tables as src
+from . import score_checks
 from .build import BASE_TABLES, CUSTOM_PLAN_YEAR, extract, extract_star, star
 from .extract import EXTRACT_ORDER
 from .oracle_custom import CUSTOM, TYPED_COLUMNS
@@ -273,8 +274,17 @@ register("score_provider_bounds", over_star(lambda s: scoring.score_bounds(
     scoring.score_provider_anomaly(s).scores, "provider_anomaly_score", "provider_key")), with_ctes(
     "SELECT provider_key, true AS score_in_range FROM provider_base", "provider_base"))
 register("model_metrics", over_star(lambda s: scoring.model_metrics(s["_models"])))
+register("model_metrics_counted", over_star(score_checks.counted_metrics),
+         with_ctes(score_checks.METRICS_SQL, "risk_of_year", "fact_inpatient_episode", "provider_base"))
 register("quality_report_models",
-         over_star(lambda s: quality.quality_report(s, scoring.model_metrics(s["_models"]))))
+         over_star(lambda s: quality.quality_report(s, scoring.model_metrics(s["_models"]))),
+         with_ctes(f"{_checks_sql} UNION ALL {score_checks.MODEL_CHECKS_SQL}", *CHECKED, *marts.MARTS, "provider_base"))
+register("score_fixed_forest", over_star(score_checks.fixed_forest_scores), with_ctes(score_checks.FOREST_SQL, "risk_of_year"))
+register("score_fixed_isolation", over_star(score_checks.fixed_isolation_scores), with_ctes(score_checks.ISOLATION_SQL, "provider_base"))
+register("score_one_class", over_star(score_checks.one_class_scores), with_ctes(
+    "SELECT member_key, 1.0::DOUBLE AS score FROM risk_of_year", "risk_of_year"))
+register("score_coerced_features", score_checks.coerced_features, custom_sql(score_checks.FEATURES_SQL, "canonical"))
+register("lineage_hashes", score_checks.lineage_hashes, score_checks.LINEAGE_SQL)
 register("baseline_models", over_star(scoring.baseline_metrics))
 
 

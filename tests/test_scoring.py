@@ -41,7 +41,7 @@ def test_metrics_of_a_single_class(spark):
 
 def test_top_share_counts_a_tie_at_the_edge_in_part(spark):
     df = spark.createDataFrame([(0.9, 1)] + [(0.5, 1), (0.5, 0)] + [(0.1, 0)] * 17, "s double, y int")
-    assert S.top_share_mean(df, "s", "y").first()["capture"] == pytest.approx((1 + 0.5) / 2)
+    assert S.rank_metrics(df, "s", "y").first()["capture"] == pytest.approx((1 + 0.5) / 2)
 
 
 def test_few_rows_score_their_mean(spark):
@@ -118,3 +118,60 @@ def test_tree_growing_needs_no_package_on_the_executor(tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=120)
     assert done.returncode == 0 and int(done.stdout) == len(S.grow_tree(sample)) > 3
+
+
+def forest_rows(spark, parts):
+    rng = np.random.default_rng(8)
+    frame = pd.DataFrame({"id": range(1500), "a": rng.random(1500).round(3), "b": rng.integers(0, 9, 1500), "c": rng.random(1500)})
+    frame["y"] = ((frame["a"] > 0.6) & (frame["b"] > 3) | (rng.random(1500) < 0.05)).astype(int)
+    return spark.createDataFrame(frame).repartition(parts), frame
+
+
+def test_the_forest_does_not_depend_on_how_rows_are_dealt(spark):
+    from payerscope.operators import forest
+
+    small = forest.Settings(trees=12, depth=4, leaf_rows=8, bins=16, seed=3)
+    grown = [forest.grow(forest_rows(spark, parts)[0], "id", ["a", "b", "c"], "y", (0.6, 2.0), small) for parts in (1, 16, 200)]
+    for other in grown[1:]:
+        assert all((x == y).all() for x, y in zip(grown[0], other))
+    frame = forest_rows(spark, 1)[1]
+    scores = grown[0].scores(frame[["a", "b", "c"]].to_numpy(float))
+    assert brute_auc(scores, frame["y"].to_numpy()) > 0.9
+
+
+def test_the_first_cut_is_the_best_over_all_bins(spark):
+    from payerscope.operators import forest
+
+    settings = forest.Settings(trees=3, depth=1, leaf_rows=1, bins=8, seed=1)
+    df, frame = forest_rows(spark, 4)
+    grown = forest.grow(df, "id", ["a", "b"], "y", (1.0, 1.0), settings)
+    prints = np.array([r[0] for r in df.select(F.xxhash64(F.col("id").cast("string"))).collect()], dtype=np.int64).view(np.uint64)
+    order = [r[0] for r in df.select("id").collect()]
+    rows = frame.set_index("id").loc[order]
+    for tree in range(3):
+        times = forest.draws(prints, tree, 1)
+        allowed = np.flatnonzero(forest.chosen_features(tree, 1, 2, 1))
+        gini = lambda w: w.sum() * (1 - ((w / w.sum()) ** 2).sum()) if w.sum() else 0.0
+        y = rows["y"].to_numpy()
+        best = max(
+            (round(gini(np.bincount(y, times, 2)) - sum(gini(np.bincount(y[m], times[m], 2)) for m in (side, ~side)), 9), -f, -cut)
+            for f in allowed for cut in forest.bin_edges(df, ["a", "b"], 8)[f] for side in [rows[["a", "b"][f]].to_numpy() >= cut]
+        )
+        assert (grown.feature[tree, 1], grown.cut[tree, 1]) == (-best[1], -best[2])
+    assert abs(forest.draws(prints, 0, 1).mean() - 1) < 0.15
+
+
+def test_forest_without_a_cut_and_nulls(spark):
+    from payerscope.operators import forest
+
+    df = spark.createDataFrame([(i, 1.0, i % 2) for i in range(50)], "id bigint, a double, y int")
+    grown = forest.grow(df, "id", ["a"], "y", (1.0, 1.0), forest.Settings(trees=2, depth=3, leaf_rows=2))
+    assert (grown.feature == -1).all() and 0.2 < grown.scores(np.array([[1.0]]))[0] < 0.8
+
+
+def test_threshold_metrics_and_calibration(spark):
+    df = spark.createDataFrame([(0.95, 1), (1.0, 1), (0.85, 0), (0.05, 0), (0.15, 1)], "s double, y int")
+    assert S.threshold_metrics(df, "s", "y", 0.8).first()[:] == (0.666667, 0.666667, 0.666667, 0.6)
+    assert S.threshold_metrics(df, "s", "y", 2.0).first()["precision"] is None
+    bins = {r["bin"]: (r["rows"], r["positives"], r["mean_score"]) for r in S.score_calibration(df, "s", "y").collect()}
+    assert bins == {10: (2, 2, 0.975), 9: (1, 0, 0.85), 1: (1, 0, 0.05), 2: (1, 1, 0.15)}
