@@ -105,12 +105,20 @@ def percent_rank_of(before: Column, count: Column) -> Column:
 
 
 class Rank(NamedTuple):
-    """A percentile rank to add: of ``value``, named ``out``, within ``partition``."""
+    """A percentile rank to add: of ``value``, named ``out``, within ``partition``.
+
+    ``measure`` writes the rank table first and counts it: the way to keep a large ``df`` in place.
+    """
 
     value: str
     out: str
     decimals: int | None = None
     partition: tuple[str, ...] = ()
+    measure: bool = False
+
+
+# Rank rows (a value and a double) that are broadcast after they were counted: some 100 MB as a hash table.
+BROADCAST_ROWS = 2_000_000
 
 
 def with_pct_ranks(df: DataFrame, ranks: Sequence[Rank]) -> DataFrame:
@@ -122,7 +130,8 @@ def with_pct_ranks(df: DataFrame, ranks: Sequence[Rank]) -> DataFrame:
     split it over tasks. Small domains (``decimals`` of None) are broadcast: counts
     per entity that add up to N take at most sqrt(2 N) distinct values, six-place
     scores a million, days the length of the calendar. Other rank tables grow with
-    the data and are left to the run-time size check.
+    the data: measured ones are broadcast up to ``BROADCAST_ROWS``, the rest is left to
+    the run-time size check.
     """
     result = df
     for rank in ranks:
@@ -131,6 +140,9 @@ def with_pct_ranks(df: DataFrame, ranks: Sequence[Rank]) -> DataFrame:
             *keys, average_rank_share(F.col("before"), F.col("k"), F.col("total")).alias(rank.out)
         )
         small = rank.decimals is None and not rank.partition
+        if rank.measure and not rank.partition:
+            table = write_shared(table, "rank_table")
+            small = small or table.count() <= BROADCAST_ROWS
         if rank.partition:
             result = null_safe_join(result, table.where(F.col(rank.value).isNotNull()), keys, "left")
         else:

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..fixed_values import HCC_FACTORS
-from ..session import inline_table
 
 
 def code_bridge(wide: DataFrame, keys: Sequence[str], columns: Sequence[str], code: str) -> DataFrame:
@@ -23,73 +22,131 @@ def code_bridge(wide: DataFrame, keys: Sequence[str], columns: Sequence[str], co
     )
 
 
-def hcc_table(spark) -> DataFrame:
-    """The mapping has one row per HCC; it is small by definition."""
-    rows = [(c, g, r, str(f)) for c, g, r, f in HCC_FACTORS]
-    return inline_table(
-        spark, rows, "hcc_code string, hierarchy_group string, hierarchy_rank int, risk_weight decimal(6,3)"
+class Hccs:
+    """Sets of HCCs as bits: HCC number i is bit i % 62 of word i // 62, so any list of HCCs fits.
+
+    ``factors`` has (code, hierarchy group, rank in the group, weight) for each. With the sets as words, hierarchy,
+    recapture and gap are mask arithmetic, and a member-year is one row of a few numbers.
+    """
+
+    BITS = 62
+
+    def __init__(self, factors: Sequence[tuple[str, str, int, float]] = HCC_FACTORS):
+        self.factors = sorted(factors)
+        self.words = -(-len(self.factors) // self.BITS)
+
+    def masks(self, chosen: Callable[[tuple], bool]) -> list[int]:
+        """One number a word with the bits of the chosen HCCs."""
+        found = [0] * self.words
+        for i, factor in enumerate(self.factors):
+            if chosen(factor):
+                found[i // self.BITS] |= 1 << i % self.BITS
+        return found
+
+    def of_code(self, code: Column) -> list[Column]:
+        """Words with the bit of an HCC code; none for other codes."""
+        words = [F.lit(0).cast("bigint") for _ in range(self.words)]
+        for w in range(self.words):
+            cases = F.when(F.lit(False), F.lit(0).cast("bigint"))
+            for name, *_ in self.factors[w * self.BITS:(w + 1) * self.BITS]:
+                cases = cases.when(code == name, F.lit(self.masks(lambda f, name=name: f[0] == name)[w]).cast("bigint"))
+            words[w] = F.coalesce(cases, F.lit(0).cast("bigint"))
+        return words
+
+    def has(self, words: Sequence[Column], i: int) -> Column:
+        return words[i // self.BITS].bitwiseAND(F.lit(1 << i % self.BITS).cast("bigint")) != 0
+
+    def leading(self, words: Sequence[Column]) -> list[Column]:
+        """The sets without the HCCs over which a better ranked one of their group is there."""
+        dropped = [F.lit(0).cast("bigint") for _ in range(self.words)]
+        for i, (_, group, rank, _) in enumerate(self.factors):
+            better = self.masks(lambda f: f[1] == group and f[2] < rank)
+            if any(better):
+                beaten = reduce(Column.__or__, [
+                    words[w].bitwiseAND(F.lit(m).cast("bigint")) != 0 for w, m in enumerate(better) if m])
+                w = i // self.BITS
+                dropped[w] = dropped[w].bitwiseOR(F.when(beaten, F.lit(1 << i % self.BITS)).otherwise(F.lit(0)).cast("bigint"))
+        return [word.bitwiseAND(F.bitwise_not(gone)) for word, gone in zip(words, dropped)]
+
+    def count(self, words: Sequence[Column]) -> Column:
+        return reduce(Column.__add__, [F.bit_count(w) for w in words]).cast("bigint")
+
+    def codes(self, words: Sequence[Column]) -> Column:
+        return F.array_compact(F.array(*[F.when(self.has(words, i), F.lit(f[0])) for i, f in enumerate(self.factors)]))
+
+    def weight(self, words: Sequence[Column]) -> Column:
+        parts = [F.when(self.has(words, i), F.lit(str(f[3]))).otherwise("0").cast("decimal(6,3)") for i, f in enumerate(self.factors)]
+        return reduce(Column.__add__, parts).cast("decimal(12,3)")
+
+    def heaviest(self, words: Sequence[Column]) -> Column:
+        by_weight = sorted(range(len(self.factors)), key=lambda i: (self.factors[i][3], self.factors[i][0]), reverse=True)
+        return F.coalesce(*[F.when(self.has(words, i), F.lit(self.factors[i][0])) for i in by_weight])
+
+
+KEYS = ["member_key", "risk_year"]
+
+
+def hcc_sets(bridge: DataFrame, mapping: DataFrame, hccs: Hccs = Hccs()) -> DataFrame:
+    """Per member-year: number of different codes and its set of HCCs after the hierarchy, as words ``h0``, ``h1``...
+
+    One grouping of the bridge; equal codes melt before the shuffle, and no row is larger than a member's codes of a
+    year. ``mapping`` (diagnosis_code, hcc_category) is joined by its measured size.
+    """
+    names = [f"h{w}" for w in range(hccs.words)]
+    known = mapping.select("diagnosis_code", "hcc_category").distinct()
+    words = [F.coalesce(c, F.lit(0).cast("bigint")).alias(n) for c, n in zip(hccs.of_code(F.col("hcc_category")), names)]
+    found = bridge.join(known, "diagnosis_code", "left").groupBy(*KEYS).agg(
+        F.size(F.collect_set("diagnosis_code")).cast("bigint").alias("diagnosis_count"), *[F.bit_or(w).alias(n) for w, n in zip(words, names)]
     )
+    return found.select(*KEYS, "diagnosis_count", *[c.alias(n) for c, n in zip(hccs.leading([F.col(n) for n in names]), names)])
 
 
-def captured_hccs(bridge: DataFrame, mapping: DataFrame, factors: DataFrame) -> DataFrame:
-    """Distinct HCCs per member-year after the hierarchy dropped the lesser ones.
+def with_year_before(sets: DataFrame, last_year: int, hccs: Hccs = Hccs()) -> DataFrame:
+    """Each member-year beside the set of the year before (``p0``...): rows of both years, one more grouping.
 
-    ``bridge`` has (member_key, risk_year, diagnosis_code). It is reduced to
-    distinct codes first, so a member-year holds at most as many rows as there are
-    codes, whatever its number of claims.
+    A year without codes has a row if the year before had an HCC and it is not after ``last_year``.
     """
-    codes = bridge.select("member_key", "risk_year", "diagnosis_code").distinct()
-    found = (
-        codes.join(mapping.select("diagnosis_code", F.col("hcc_category").alias("hcc_code")).distinct(), "diagnosis_code")
-        .join(F.broadcast(factors), "hcc_code")
-        .select("member_key", "risk_year", "hcc_code", "hierarchy_group", "hierarchy_rank", "risk_weight").distinct()
+    names = [f"h{w}" for w in range(hccs.words)]
+    none = F.lit(0).cast("bigint")
+    own = F.struct("risk_year", "diagnosis_count", *[F.col(n) for n in names], *[none.alias(f"p{n[1:]}") for n in names])
+    later = F.struct(
+        (F.col("risk_year") + 1).alias("risk_year"), F.lit(None).cast("bigint").alias("diagnosis_count"),
+        *[none.alias(n) for n in names], *[F.col(n).alias(f"p{n[1:]}") for n in names],
+    )
+    both = sets.select("member_key", F.inline(F.array(own, later)))
+    grouped = both.groupBy(*KEYS).agg(
+        F.max("diagnosis_count").alias("diagnosis_count"), *[F.bit_or(c).alias(c) for c in both.columns if c not in (*KEYS, "diagnosis_count")]
     )
-    leading = found.groupBy("member_key", "risk_year", "hierarchy_group").agg(F.min("hierarchy_rank").alias("hierarchy_rank"))
-    return found.join(leading, ["member_key", "risk_year", "hierarchy_group", "hierarchy_rank"], "left_semi")
+    before = reduce(Column.__or__, [F.col(f"p{n[1:]}") != 0 for n in names])
+    return grouped.where(F.col("diagnosis_count").isNotNull() | (before & (F.col("risk_year") <= last_year)))
 
 
-def hcc_gaps(captured: DataFrame, last_year: int) -> DataFrame:
+def hcc_gaps(sets: DataFrame, last_year: int, hccs: Hccs = Hccs()) -> DataFrame:
     """HCCs captured in one year and not in the next."""
-    due = captured.select("member_key", (F.col("risk_year") + 1).alias("risk_year"), "hcc_code").where(
-        F.col("risk_year") <= last_year
-    )
-    return due.join(captured, ["member_key", "risk_year", "hcc_code"], "left_anti")
+    rows = with_year_before(sets, last_year, hccs).where(F.col("risk_year") <= last_year)
+    missed = [F.col(f"p{w}").bitwiseAND(F.bitwise_not(F.col(f"h{w}"))) for w in range(hccs.words)]
+    return rows.select(*KEYS, F.explode(hccs.codes(missed)).alias("hcc_code"))
 
 
-def hcc_rollup(bridge: DataFrame, captured: DataFrame, gaps: DataFrame, member: DataFrame) -> DataFrame:
+def hcc_rollup(sets: DataFrame, member: DataFrame, last_year: int, hccs: Hccs = Hccs()) -> DataFrame:
     """Member-year: counts, list, factor sums, recapture and gap counts. A RAF-like estimate.
 
     A member-year has a row if it has a code or a gap, so a year in which nothing was coded shows what it missed.
     """
-    keys = ["member_key", "risk_year"]
-    codes = bridge.groupBy(*keys, "diagnosis_code").agg(F.lit(1).alias("_one")).groupBy(*keys).agg(
-        F.count("diagnosis_code").alias("diagnosis_count")
-    )
-    earlier = captured.select("member_key", (F.col("risk_year") + 1).alias("risk_year"), "hcc_code", F.lit(1).alias("seen"))
-    heaviest = F.max(F.struct("risk_weight", "hcc_code"))["hcc_code"]
-    summed = captured.join(earlier, [*keys, "hcc_code"], "left").groupBy(*keys).agg(
-        F.count("hcc_code").alias("hcc_count"),
-        F.array_join(F.array_sort(F.collect_set("hcc_code")), ",").alias("hcc_list"),
-        F.sum("risk_weight").cast("decimal(12,3)").alias("disease_factor"),
-        F.count("seen").alias("recaptured_hcc_count"), heaviest.alias("top_hcc_category"),
-    )
-    missing = gaps.groupBy(*keys).agg(F.count("hcc_code").alias("suspected_gap_count"))
+    now, before = ([F.col(f"{c}{w}") for w in range(hccs.words)] for c in "hp")
+    missed = [p.bitwiseAND(F.bitwise_not(n)) for p, n in zip(before, now)]
+    again = [p.bitwiseAND(n) for p, n in zip(before, now)]
     demographic = F.when(F.col("age") >= 65, F.lit("0.50")).otherwise(F.lit("0.32")).cast("decimal(6,3)")
-    disease = F.coalesce("disease_factor", F.lit(0)).cast("decimal(12,3)")
+    disease = hccs.weight(now)
     raf = (demographic + disease).cast("double")
-    due = codes.select(*keys).unionByName(missing.select(*keys)).distinct()
-    return (
-        due.join(codes, keys, "left").join(member.select("member_key", "age"), "member_key", "left")
-        .join(summed, keys, "left").join(missing, keys, "left")
-        .select(
-            *keys, F.coalesce("diagnosis_count", F.lit(0)).cast("bigint").alias("diagnosis_count"), F.coalesce("hcc_count", F.lit(0)).cast("bigint").alias("hcc_count"),
-            F.coalesce("hcc_list", F.lit("")).alias("hcc_list"), demographic.cast("double").alias("demographic_factor"),
-            disease.cast("double").alias("disease_factor"), raf.alias("raf_score_estimate"),
-            F.when(raf < 0.7, "Low risk").when(raf <= 1.2, "Moderate risk").when(raf <= 2.5, "High risk")
-            .otherwise("Very high risk").alias("risk_segment"),
-            F.coalesce("recaptured_hcc_count", F.lit(0)).cast("bigint").alias("recaptured_hcc_count"),
-            F.coalesce("suspected_gap_count", F.lit(0)).cast("bigint").alias("suspected_gap_count"), "top_hcc_category",
-        )
+    gap = F.when(F.col("risk_year") <= last_year, hccs.count(missed)).otherwise(F.lit(0).cast("bigint"))
+    return with_year_before(sets, last_year, hccs).join(member.select("member_key", "age"), "member_key", "left").select(
+        *KEYS, F.coalesce("diagnosis_count", F.lit(0)).cast("bigint").alias("diagnosis_count"), hccs.count(now).alias("hcc_count"),
+        F.array_join(hccs.codes(now), ",").alias("hcc_list"), demographic.cast("double").alias("demographic_factor"),
+        disease.cast("double").alias("disease_factor"), raf.alias("raf_score_estimate"),
+        F.when(raf < 0.7, "Low risk").when(raf <= 1.2, "Moderate risk").when(raf <= 2.5, "High risk")
+        .otherwise("Very high risk").alias("risk_segment"),
+        hccs.count(again).alias("recaptured_hcc_count"), gap.alias("suspected_gap_count"), hccs.heaviest(now).alias("top_hcc_category"),
     )
 
 

@@ -267,7 +267,7 @@ def fwa_scored(star: dict[str, DataFrame]) -> DataFrame:
         "provider_rank",
     )
     ranked = (
-        with_pct_ranks(claim, [Rank("paid_amount", "claim_paid_percentile", decimals=2)])
+        with_pct_ranks(claim, [Rank("paid_amount", "claim_paid_percentile", decimals=2, measure=True)])
         .join(provider_rank, "provider_key", "left")
         .join(repeats, same, "left")
         .withColumn("similar_claim_count", F.when(known, F.coalesce("similar", F.lit(1)).cast("bigint")))
@@ -295,19 +295,16 @@ def fwa_scored(star: dict[str, DataFrame]) -> DataFrame:
 def fwa_queue(star: dict[str, DataFrame]) -> DataFrame:
     """Claims at or above the 82nd percentile of their own score.
 
-    The score has six places, so at most about a million distinct values exist and
-    the threshold comes from that small table. The scored claims are written once,
-    since threshold and filter both read them. Labels are joined after the filter.
+    All that a score needs beside the claim lies in small written tables, so scoring is a scan: it runs once to count
+    the scores (six places, so at most about a million values, which give the threshold) and once more to keep the
+    claims above it. No scored copy is written and no claim moves before the filter. Labels are joined after it.
     """
-    scored = write_shared(
-        fwa_scored(star).select(
-            "claim_id", "member_key", "provider_key", "service_key", "primary_diagnosis_key", "paid_amount",
-            "similar_claim_count", "fwa_score", "review_reason", "recommended_action",
-        ),
-        "fwa_scored",
+    scored = fwa_scored(star).select(
+        "claim_id", "member_key", "provider_key", "service_key", "primary_diagnosis_key", "paid_amount",
+        "similar_claim_count", "fwa_score", "review_reason", "recommended_action",
     )
-    cut = exact_quantile(scored.select("fwa_score"), "fwa_score", 0.82, "cut")
-    kept = scored.where(F.col("fwa_score") >= cut.select(F.round("cut", SCORE_PLACES)).scalar())
+    cut = exact_quantile(scored.select("fwa_score"), "fwa_score", 0.82, "cut").select(F.round("cut", SCORE_PLACES)).first()[0]
+    kept = scored.where(F.col("fwa_score") >= F.lit(cut))
     diagnosis = star["dim_diagnosis"].withColumnRenamed("diagnosis_key", "primary_diagnosis_key")
     return (
         kept.join(star["dim_member"].select("member_key", "member_id"), "member_key", "left")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import marts, scoring
 from ..operators import star as ops
-from ..session import path_exists, path_state, write_shared
+from ..session import new_folder, owned_by, path_exists, path_state, remove_path, write_shared
 from ..sources import claims_file as custom
 from ..sources import tables as src
 from .extract import EXTRACT_ORDER, loose_extract
@@ -25,17 +25,27 @@ class Star(dict):
 
     A query pays only for the tables it reads. Tables are written once: many marts
     read them, and a written table has a known size, so the optimizer can tell which
-    dimension is small enough to broadcast and which has to be shuffled.
+    dimension is small enough to broadcast and which has to be shuffled. All that is
+    written for a star lies in one folder of its own, which ``drop`` removes.
     """
 
-    def __init__(self, builders: dict[str, Callable[["Star"], DataFrame]]):
+    def __init__(self, spark: SparkSession, builders: dict[str, Callable[["Star"], DataFrame]]):
         super().__init__()
-        self._builders = builders
+        self._spark, self._builders, self.folder = spark, builders, new_folder(spark, "star")
 
     def __missing__(self, name: str) -> DataFrame:
-        self[name] = self._builders[name](self)
+        with owned_by(self.folder):
+            self[name] = self._builders[name](self)
         return self[name]
 
+    def drop(self) -> None:
+        """Forget all tables and remove what was written for them."""
+        one_plan = self.get(ops.ONE_PLAN)
+        self.clear()
+        if one_plan:
+            self[ops.ONE_PLAN] = one_plan
+        remove_path(self._spark, self.folder)
+
     def complete(self) -> "Star":
         for name in BASE_TABLES:
             self[name]
@@ -86,7 +96,7 @@ def from_claims_file(raw: DataFrame, plan_year: int, order: Sequence[str] = ())
         source = s["_rows"]
         return ops.override_readmissions(found, source) if s["_has_readmission"] else found
 
-    found = Star({
+    found = Star(raw.sparkSession, {
         "_cells": lambda s: custom.load_cells(raw, order),
         "_rows": rows,
         "dim_member": lambda s: custom.member_dim(s["_rows"]),
@@ -112,29 +122,38 @@ def extract(spark: SparkSession, folder: str, with_readmission: bool = False) ->
     return loose_extract(src.claim_lines(spark, folder), with_readmission)
 
 
+def cached(key: tuple[str, ...], build: Callable[[], Star]) -> Star:
+    """The star of a source, built once. Stars of the same source as it was before are dropped with their tables."""
+    held = _built.get(key)
+    if held is not None and (not len(held) or path_exists(held._spark, held.folder)):
+        return held
+    same_source = lambda other: (other[0], other[1], other[-1]) == (key[0], key[1], key[-1])
+    for other in [k for k in _built if same_source(k)]:
+        _built.pop(other).drop()
+    _built[key] = build()
+    return _built[key]
+
+
 def extract_star(spark: SparkSession, folder: str, with_readmission: bool = False) -> Star:
     """The base tables from the loosely named extract of the Parquet tables."""
-    key = (*source_key(spark, folder), "extract", str(with_readmission))
-    if key not in _built or not path_exists(spark, _built[key]["_cells"].inputFiles()[0]):
-        raw = extract(spark, folder, with_readmission)
-        _built[key] = from_claims_file(raw, CUSTOM_PLAN_YEAR, EXTRACT_ORDER)
-    return _built[key]
+    key = (*source_key(spark, folder), f"extract-{with_readmission}")
+    return cached(key, lambda: from_claims_file(extract(spark, folder, with_readmission), CUSTOM_PLAN_YEAR, EXTRACT_ORDER))
+
+
+def star_of(spark: SparkSession, folder: str) -> Star:
+    """The eight base tables over the Parquet tables in ``folder``, for a caller that drops them itself."""
+    return Star(spark, {
+        "dim_member": lambda s: write_shared(src.members(spark, folder), "dim_member"),
+        "dim_provider": lambda s: write_shared(src.providers(spark, folder), "dim_provider"),
+        "dim_service": lambda s: src.services(spark),
+        "dim_diagnosis": lambda s: src.diagnoses(spark),
+        "fact_claim": lambda s: ops.keyed_claims(src.claim_lines(spark, folder), src.CLAIM_ORDER, src.as_claims),
+        **derived_facts(),
+        **WRITTEN_MARTS,
+        **MODELS,
+    })
 
 
 def star(spark: SparkSession, folder: str) -> Star:
-    """The eight base tables over the Parquet tables in ``folder``."""
-    key = source_key(spark, folder)
-    if key not in _built or not path_exists(spark, _built[key]["fact_claim"].inputFiles()[0]):
-        _built[key] = Star({
-            "dim_member": lambda s: write_shared(src.members(spark, folder), "dim_member"),
-            "dim_provider": lambda s: write_shared(src.providers(spark, folder), "dim_provider"),
-            "dim_service": lambda s: src.services(spark),
-            "dim_diagnosis": lambda s: src.diagnoses(spark),
-            "fact_claim": lambda s: ops.keyed_claims(
-                src.claim_lines(spark, folder), src.CLAIM_ORDER, src.as_claims
-            ),
-            **derived_facts(),
-            **WRITTEN_MARTS,
-            **MODELS,
-        })
-    return _built[key]
+    """The eight base tables over the Parquet tables in ``folder``, built once for all queries of the session."""
+    return cached((*source_key(spark, folder), "tables"), lambda: star_of(spark, folder))

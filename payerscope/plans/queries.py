@@ -22,6 +22,7 @@ from .extract import EXTRACT_ORDER
 from .oracle_custom import CUSTOM, TYPED_COLUMNS
 from .oracle_design import AMOUNTS, DESIGN
 from .oracle_star import PROVIDER_COLS, everything, ratio, with_ctes
+from .run import run_all
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -249,6 +250,16 @@ register("record_counts", over_star(lambda s: sinks.record_counts({n: s[n] for n
     " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS records FROM {t}" for t in _counted), *_counted))
 
 
+def whole_run(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of each base table and mart as a whole run wrote them."""
+    done = run_all(spark, folder, f"{shared_folder(spark)}/run-all-{uuid.uuid4().hex}")
+    rows = [(name, done.records[name]) for name in _counted]
+    return spark.createDataFrame(rows, "table_name string, records bigint")
+
+
+register("run_all", whole_run, ORACLE["record_counts"])
+
+
 # --- scores --------------------------------------------------------------------------
 
 register("target_high_cost",
@@ -359,22 +370,20 @@ def diagnosis_bridge(spark: SparkSession, folder: str) -> DataFrame:
     return coding.code_bridge(wide_codes(spark, folder), BRIDGE_KEYS, src.DIAGNOSIS_CODE_COLUMNS, "diagnosis_code")
 
 
-def captured_hccs(spark: SparkSession, folder: str, bridge: DataFrame) -> DataFrame:
-    captured = coding.captured_hccs(bridge, src.diagnoses(spark), coding.hcc_table(spark))
-    return write_shared(captured, "captured_hccs")
+def hcc_sets(spark: SparkSession, folder: str) -> DataFrame:
+    return coding.hcc_sets(diagnosis_bridge(spark, folder), src.diagnoses(spark))
+
+
+def last_year(spark: SparkSession, folder: str) -> int:
+    return star_ops.claim_years(star(spark, folder)["fact_claim"])[-1]
 
 
 def hcc_gaps(spark: SparkSession, folder: str) -> DataFrame:
-    return coding.hcc_gaps(captured_hccs(spark, folder, diagnosis_bridge(spark, folder)), star_ops.claim_years(star(spark, folder)["fact_claim"])[-1])
+    return coding.hcc_gaps(hcc_sets(spark, folder), last_year(spark, folder))
 
 
 def hcc_rollup(spark: SparkSession, folder: str) -> DataFrame:
-    codes = write_shared(
-        diagnosis_bridge(spark, folder).select("member_key", "risk_year", "diagnosis_code").distinct(), "member_codes"
-    )
-    captured = captured_hccs(spark, folder, codes)
-    gaps = coding.hcc_gaps(captured, star_ops.claim_years(star(spark, folder)["fact_claim"])[-1])
-    return coding.hcc_rollup(codes, captured, gaps, src.members(spark, folder))
+    return coding.hcc_rollup(hcc_sets(spark, folder), src.members(spark, folder), last_year(spark, folder))
 
 
 def lineage(spark: SparkSession, folder: str) -> DataFrame:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,14 +55,42 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+_owner: ContextVar[str | None] = ContextVar("folder of the run that owns what is written now", default=None)
+
+
+def new_folder(spark: SparkSession, kind: str = "run") -> str:
+    return f"{shared_folder(spark)}/{kind}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def owned_by(folder: str) -> Iterator[None]:
+    """Tables that ``write_shared`` writes meanwhile go to this folder, to be removed with it."""
+    token = _owner.set(folder)
+    try:
+        yield
+    finally:
+        _owner.reset(token)
+
+
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """A folder for the intermediate tables of a run; it is removed at the end, whether the run succeeds or fails."""
+    folder = new_folder(spark)
+    try:
+        with owned_by(folder):
+            yield folder
+    finally:
+        remove_path(spark, folder)
+
+
 def write_shared(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as Parquet in the shared folder and read it back.
+    """Write ``df`` once as Parquet in the shared folder, or the folder of the current owner, and read it back.
 
     This cuts the lineage: whatever runs later starts from files that survive the
     loss of executors, and never re-runs the joins that led here.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{_owner.get() or shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -79,17 +110,59 @@ def inline_table(spark: SparkSession, rows: Iterable[tuple], schema: str) -> Dat
     return spark.sql(f"SELECT {', '.join(typed)} FROM VALUES {values} AS t({names})")
 
 
+def _store(spark: SparkSession, path: str):
+    """The Hadoop path and the store that it lies in."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path, hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
+    hadoop_path, store = _store(spark, path)
+    return store.exists(hadoop_path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    hadoop_path, store = _store(spark, path)
+    store.delete(hadoop_path, True)
+
+
+def list_names(spark: SparkSession, folder: str) -> list[str]:
+    hadoop_path, store = _store(spark, folder)
+    return sorted(f.getPath().getName() for f in store.listStatus(hadoop_path)) if store.exists(hadoop_path) else []
+
+
+def read_json(spark: SparkSession, path: str):
+    """The content of a small JSON file, None if there is none."""
+    hadoop_path, store = _store(spark, path)
+    if not store.exists(hadoop_path):
+        return None
+    stream = store.open(hadoop_path)
+    try:
+        return json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def replace_json(spark: SparkSession, path: str, content) -> None:
+    """Put a small JSON file in the place of another in one step: readers see the old one or the new one."""
     jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop_path)
+    staged, store = _store(spark, f"{path}.{uuid.uuid4().hex}")
+    stream = store.create(staged, True)
+    try:
+        stream.write(json.dumps(content).encode())
+    finally:
+        stream.close()
+    overwrite = getattr(jvm.org.apache.hadoop.fs, "Options$Rename").OVERWRITE
+    options = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 1)
+    options[0] = overwrite
+    target = store.makeQualified(jvm.org.apache.hadoop.fs.Path(path))
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    context.rename(store.makeQualified(staged), target, options)
 
 
 def path_state(spark: SparkSession, path: str) -> str:
     """Bytes, number of files and time of change of a file or folder; empty if there is none."""
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    store = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    hadoop_path, store = _store(spark, path)
     if not store.exists(hadoop_path):
         return ""
     held = store.getContentSummary(hadoop_path)

@@ -2,29 +2,75 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from ..session import list_names, read_json, remove_path, replace_json
 
 # Facts are laid out by month, so a period reads only its own folders.
 MONTH_COLUMNS = {"fact_claim": "paid_month_key", "fact_member_month": "month_key"}
 
 
-def write_tables(tables: Mapping[str, DataFrame], folder: str) -> None:
-    """Replace every table under ``folder`` by its current rows, as Parquet.
+MANIFEST, VERSIONS = "_manifest.json", "versions"
+
+
+def write_tables(tables: Mapping[str, DataFrame], folder: str, keep: int = 1) -> None:
+    """Replace the tables under ``folder`` by these, all at once.
+
+    The tables are written to a version folder of their own; then one rename of the manifest makes it the current
+    one. A run that is killed before leaves the tables that readers see as they were, and its folder is removed by
+    ``remove_abandoned``. Of the versions before, ``keep`` stay for readers that have them open.
 
     Rows laid out by month are first brought together by month, else each task would write a file for every month;
     runtime planning splits large months and joins small ones.
     """
+    spark = next(iter(tables.values())).sparkSession
+    version = uuid.uuid4().hex
+    path = f"{folder}/{VERSIONS}/{version}"
     for name, df in tables.items():
         month = MONTH_COLUMNS.get(name)
         if month in df.columns:
-            df.hint("rebalance", month).write.mode("overwrite").partitionBy(month).parquet(f"{folder}/{name}")
+            df.hint("rebalance", month).write.partitionBy(month).parquet(f"{path}/{name}")
         else:
-            df.write.mode("overwrite").parquet(f"{folder}/{name}")
+            df.write.parquet(f"{path}/{name}")
+    before = read_json(spark, f"{folder}/{MANIFEST}") or {"version": None, "earlier": []}
+    earlier = [v for v in [before["version"], *before["earlier"]] if v]
+    replace_json(spark, f"{folder}/{MANIFEST}", {
+        "version": version, "tables": {name: df.schema.jsonValue() for name, df in tables.items()}, "earlier": earlier[:keep],
+    })
+    for old in earlier[keep:]:
+        remove_path(spark, f"{folder}/{VERSIONS}/{old}")
+
+
+def table_path(spark: SparkSession, folder: str, name: str) -> str:
+    """Where the current version of a table lies."""
+    return f"{folder}/{VERSIONS}/{read_json(spark, f'{folder}/{MANIFEST}')['version']}/{name}"
+
+
+def read_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The tables of the current version, with the column order that they were written with."""
+    manifest = read_json(spark, f"{folder}/{MANIFEST}")
+    if manifest is None:
+        raise FileNotFoundError(f"no tables under {folder}")
+    found = {}
+    for name, schema in manifest["tables"].items():
+        fields = StructType.fromJson(schema)
+        found[name] = spark.read.schema(fields).parquet(f"{folder}/{VERSIONS}/{manifest['version']}/{name}").select(*fields.names)
+    return found
+
+
+def remove_abandoned(spark: SparkSession, folder: str) -> list[str]:
+    """Remove the versions that no manifest names: what killed runs left. Call it when no run writes here."""
+    manifest = read_json(spark, f"{folder}/{MANIFEST}") or {"version": None, "earlier": []}
+    lost = [v for v in list_names(spark, f"{folder}/{VERSIONS}") if v not in (manifest["version"], *manifest["earlier"])]
+    for version in lost:
+        remove_path(spark, f"{folder}/{VERSIONS}/{version}")
+    return lost
 
 
 def write_csv(tables: Mapping[str, DataFrame], folder: str) -> None:

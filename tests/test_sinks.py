@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 
 from payerscope import session
@@ -9,7 +11,7 @@ def test_tables_are_replaced_and_csv_has_a_header(spark, tmp_path):
     first, second = spark.range(5).toDF("a"), spark.range(2).toDF("a")
     sinks.write_tables({"t": first}, str(tmp_path))
     sinks.write_tables({"t": second}, str(tmp_path))
-    assert spark.read.parquet(f"{tmp_path}/t").count() == 2
+    assert sinks.read_tables(spark, str(tmp_path))["t"].count() == 2
     sinks.write_csv({"t": first}, f"{tmp_path}/csv")
     back = spark.read.option("header", True).csv(f"{tmp_path}/csv/t")
     assert back.columns == ["a"] and back.count() == 5
@@ -18,15 +20,16 @@ def test_tables_are_replaced_and_csv_has_a_header(spark, tmp_path):
 def test_claims_are_laid_out_by_month(spark, tmp_path):
     df = spark.createDataFrame([(1, 202501), (2, 202502), (3, 202502)], "claim_key bigint, paid_month_key int")
     sinks.write_tables({"fact_claim": df}, str(tmp_path))
-    assert sorted(p.name for p in (tmp_path / "fact_claim").glob("paid*")) == ["paid_month_key=202501", "paid_month_key=202502"]
-    assert spark.read.parquet(f"{tmp_path}/fact_claim").where("paid_month_key = 202502").count() == 2
+    assert sorted(p.name for p in Path(sinks.table_path(spark, str(tmp_path), "fact_claim")).glob("paid*")) == ["paid_month_key=202501", "paid_month_key=202502"]
+    back = sinks.read_tables(spark, str(tmp_path))["fact_claim"]
+    assert back.columns == df.columns and back.where("paid_month_key = 202502").count() == 2
 
 
 def test_many_tasks_do_not_write_many_files_a_month(spark, tmp_path):
     df = spark.range(0, 400, 1, 20).selectExpr("id AS claim_key", "cast(202501 + id % 4 AS int) AS paid_month_key")
     sinks.write_tables({"fact_claim": df}, str(tmp_path))
-    files = list((tmp_path / "fact_claim").glob("paid*/*.parquet"))
-    assert len(files) == 4 and spark.read.parquet(f"{tmp_path}/fact_claim").count() == 400
+    files = list(Path(sinks.table_path(spark, str(tmp_path), "fact_claim")).glob("paid*/*.parquet"))
+    assert len(files) == 4 and sinks.read_tables(spark, str(tmp_path))["fact_claim"].count() == 400
 
 
 def test_record_hash_tells_nulls_empty_texts_and_separators_apart(spark, tmp_path):
@@ -66,3 +69,31 @@ def test_placeholders(text):
     from payerscope.operators.sqlpack import placeholders
 
     assert placeholders("a {b} c {d}" + text) == ["b", "d"]
+
+
+def test_a_killed_run_leaves_the_tables_of_the_run_before(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    folder = str(tmp_path)
+    good = {"a": spark.range(3).toDF("x"), "b": spark.range(2).toDF("y")}
+    sinks.write_tables(good, folder)
+    broken = {"a": spark.range(9).toDF("x"), "b": spark.range(2).select(F.raise_error(F.lit("lost")).cast("bigint").alias("y"))}
+    with pytest.raises(Exception, match="lost"):
+        sinks.write_tables(broken, folder)
+    assert {n: df.count() for n, df in sinks.read_tables(spark, folder).items()} == {"a": 3, "b": 2}
+    assert len(session.list_names(spark, f"{folder}/versions")) == 2
+    assert len(sinks.remove_abandoned(spark, folder)) == 1
+    for n in range(4):
+        sinks.write_tables({"a": spark.range(n).toDF("x")}, folder)
+    assert sinks.read_tables(spark, folder)["a"].count() == 3 and len(session.list_names(spark, f"{folder}/versions")) == 2
+    assert [n for n in session.list_names(spark, folder) if n.startswith("_manifest")] == ["_manifest.json"]
+
+
+def test_nothing_remains_of_a_run(spark):
+    before = session.list_names(spark, session.shared_folder(spark))
+    with session.run_folder(spark) as folder:
+        assert session.write_shared(spark.range(5), "t").count() == 5 and session.path_exists(spark, folder)
+    with pytest.raises(KeyError), session.run_folder(spark):
+        session.write_shared(spark.range(5), "t")
+        raise KeyError
+    assert session.list_names(spark, session.shared_folder(spark)) == before
