@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
@@ -9,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..fixed_values import HCC_FACTORS
+from ..session import inline_table
 
 
 def code_bridge(wide: DataFrame, keys: Sequence[str], columns: Sequence[str], code: str) -> DataFrame:
@@ -26,7 +28,8 @@ class Hccs:
     """Sets of HCCs as bits: HCC number i is bit i % 62 of word i // 62, so any list of HCCs fits.
 
     ``factors`` has (code, hierarchy group, rank in the group, weight) for each. With the sets as words, hierarchy,
-    recapture and gap are mask arithmetic, and a member-year is one row of a few numbers.
+    recapture and gap are mask arithmetic, and a member-year is one row of a few numbers. The list itself is one
+    constant array in the plan, so expressions do not grow with it.
     """
 
     BITS = 62
@@ -35,52 +38,51 @@ class Hccs:
         self.factors = sorted(factors)
         self.words = -(-len(self.factors) // self.BITS)
 
-    def masks(self, chosen: Callable[[tuple], bool]) -> list[int]:
-        """One number a word with the bits of the chosen HCCs."""
-        found = [0] * self.words
-        for i, factor in enumerate(self.factors):
-            if chosen(factor):
-                found[i // self.BITS] |= 1 << i % self.BITS
-        return found
-
-    def of_code(self, code: Column) -> list[Column]:
-        """Words with the bit of an HCC code; none for other codes."""
-        words = [F.lit(0).cast("bigint") for _ in range(self.words)]
-        for w in range(self.words):
-            cases = F.when(F.lit(False), F.lit(0).cast("bigint"))
-            for name, *_ in self.factors[w * self.BITS:(w + 1) * self.BITS]:
-                cases = cases.when(code == name, F.lit(self.masks(lambda f, name=name: f[0] == name)[w]).cast("bigint"))
-            words[w] = F.coalesce(cases, F.lit(0).cast("bigint"))
-        return words
-
-    def has(self, words: Sequence[Column], i: int) -> Column:
-        return words[i // self.BITS].bitwiseAND(F.lit(1 << i % self.BITS).cast("bigint")) != 0
+    def word_of(self, chosen: Callable[[tuple], bool], word: int) -> int:
+        """The bits of the chosen HCCs that lie in a word."""
+        own = self.factors[word * self.BITS:(word + 1) * self.BITS]
+        return sum(1 << i for i, factor in enumerate(own) if chosen(factor))
+
+    def listed(self) -> Column:
+        """The HCCs: code, weight, own word and bit, and the words of those that rank before it in its group."""
+        rows = [
+            {"code": code, "weight": weight, "word": i // self.BITS, "bit": 1 << i % self.BITS,
+             "better": [self.word_of(lambda f: f[1] == group and f[2] < rank, w) for w in range(self.words)]}
+            for i, (code, group, rank, weight) in enumerate(self.factors)
+        ]
+        shape = "array<struct<code: string, weight: decimal(6,3), word: int, bit: bigint, better: array<bigint>>>"
+        return F.from_json(F.lit(json.dumps(rows)), shape)  # folded to one constant
+
+    def table(self, spark) -> DataFrame:
+        """(hcc_category, b0, b1...): the bit of each HCC; small by definition."""
+        rows = [(f[0], *[self.word_of(lambda g, f=f: g == f, w) for w in range(self.words)]) for f in self.factors]
+        return inline_table(spark, rows, "hcc_category string, " + ", ".join(f"b{w} bigint" for w in range(self.words)))
+
+    def members(self, words: Sequence[Column]) -> Column:
+        """The HCCs of a set, as listed."""
+        found = F.array(*words)
+        return F.filter(self.listed(), lambda h: F.get(found, h["word"]).bitwiseAND(h["bit"]) != 0)
 
     def leading(self, words: Sequence[Column]) -> list[Column]:
         """The sets without the HCCs over which a better ranked one of their group is there."""
-        dropped = [F.lit(0).cast("bigint") for _ in range(self.words)]
-        for i, (_, group, rank, _) in enumerate(self.factors):
-            better = self.masks(lambda f: f[1] == group and f[2] < rank)
-            if any(better):
-                beaten = reduce(Column.__or__, [
-                    words[w].bitwiseAND(F.lit(m).cast("bigint")) != 0 for w, m in enumerate(better) if m])
-                w = i // self.BITS
-                dropped[w] = dropped[w].bitwiseOR(F.when(beaten, F.lit(1 << i % self.BITS)).otherwise(F.lit(0)).cast("bigint"))
-        return [word.bitwiseAND(F.bitwise_not(gone)) for word, gone in zip(words, dropped)]
+        found = F.array(*words)
+        beaten = lambda h: F.exists(F.zip_with(found, h["better"], lambda a, b: a.bitwiseAND(b)), lambda both: both != 0)
+        kept = F.filter(self.members(words), lambda h: ~beaten(h))
+        none = F.lit(0).cast("bigint")
+        into = lambda w: lambda bits, h: F.when(h["word"] == w, bits.bitwiseOR(h["bit"])).otherwise(bits)
+        return [F.aggregate(kept, none, into(w)) for w in range(self.words)]
 
     def count(self, words: Sequence[Column]) -> Column:
         return reduce(Column.__add__, [F.bit_count(w) for w in words]).cast("bigint")
 
     def codes(self, words: Sequence[Column]) -> Column:
-        return F.array_compact(F.array(*[F.when(self.has(words, i), F.lit(f[0])) for i, f in enumerate(self.factors)]))
+        return F.transform(self.members(words), lambda h: h["code"])
 
     def weight(self, words: Sequence[Column]) -> Column:
-        parts = [F.when(self.has(words, i), F.lit(str(f[3]))).otherwise("0").cast("decimal(6,3)") for i, f in enumerate(self.factors)]
-        return reduce(Column.__add__, parts).cast("decimal(12,3)")
+        return F.aggregate(self.members(words), F.lit(0).cast("decimal(12,3)"), lambda total, h: (total + h["weight"]).cast("decimal(12,3)"))
 
     def heaviest(self, words: Sequence[Column]) -> Column:
-        by_weight = sorted(range(len(self.factors)), key=lambda i: (self.factors[i][3], self.factors[i][0]), reverse=True)
-        return F.coalesce(*[F.when(self.has(words, i), F.lit(self.factors[i][0])) for i in by_weight])
+        return F.array_max(F.transform(self.members(words), lambda h: F.struct(h["weight"], h["code"])))["code"]
 
 
 KEYS = ["member_key", "risk_year"]
@@ -93,10 +95,10 @@ def hcc_sets(bridge: DataFrame, mapping: DataFrame, hccs: Hccs = Hccs()) -> Data
     year. ``mapping`` (diagnosis_code, hcc_category) is joined by its measured size.
     """
     names = [f"h{w}" for w in range(hccs.words)]
-    known = mapping.select("diagnosis_code", "hcc_category").distinct()
-    words = [F.coalesce(c, F.lit(0).cast("bigint")).alias(n) for c, n in zip(hccs.of_code(F.col("hcc_category")), names)]
+    known = mapping.select("diagnosis_code", "hcc_category").distinct().join(hccs.table(bridge.sparkSession), "hcc_category")
     found = bridge.join(known, "diagnosis_code", "left").groupBy(*KEYS).agg(
-        F.size(F.collect_set("diagnosis_code")).cast("bigint").alias("diagnosis_count"), *[F.bit_or(w).alias(n) for w, n in zip(words, names)]
+        F.size(F.collect_set("diagnosis_code")).cast("bigint").alias("diagnosis_count"),
+        *[F.coalesce(F.bit_or(f"b{w}"), F.lit(0)).cast("bigint").alias(n) for w, n in enumerate(names)],
     )
     return found.select(*KEYS, "diagnosis_count", *[c.alias(n) for c, n in zip(hccs.leading([F.col(n) for n in names]), names)])
 
