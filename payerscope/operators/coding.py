@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..fixed_values import HCC_FACTORS
+from ..functions.dates import date_of
 from ..session import inline_table
 
 
@@ -152,18 +153,92 @@ def hcc_rollup(sets: DataFrame, member: DataFrame, last_year: int, hccs: Hccs =
     )
 
 
-HEADER = ["claim_id", "member_key", "provider_key", "claim_from_date_key", "claim_thru_date_key", "paid_amount"]
+# The unified header: each column with its type, and the names by which inputs call it once lowered and stripped of
+# everything but letters and digits.
+HEADER = {
+    "claim_id": ("string", ["claimid", "clmid", "claimnumber", "rxclaimid"]),
+    "member_key": ("bigint", ["memberkey", "benekey", "patientkey"]),
+    "provider_key": ("bigint", ["providerkey", "prvdrkey", "prescriberkey"]),
+    "claim_from_date": ("date", ["claimfromdate", "clmfromdt", "fromdate", "servicedate", "filldate"]),
+    "claim_thru_date": ("date", ["claimthrudate", "clmthrudt", "thrudate", "throughdate"]),
+    "paid_amount": ("decimal(18,2)", ["paidamount", "clmpmtamt", "paid", "paidcents"]),
+}
+CENTS = "cents"
 
 
-def claim_header_union(sources: Mapping[str, DataFrame]) -> DataFrame:
-    """One header table from several source tables, each tagged with its claim type.
+def plain_name(name: str) -> str:
+    return "".join(c for c in name.lower() if c.isalnum())
 
-    A source without a type of its own (an empty name) brings the type as a column.
+
+def header_columns(columns: Sequence[str]) -> dict[str, list[str]]:
+    """For each header column the input's columns that may be it, in the order in which their names are listed."""
+    by_name: dict[str, list[str]] = {}
+    for column in columns:
+        by_name.setdefault(plain_name(column), []).append(column)
+    return {target: [c for alias in aliases for c in by_name.get(alias, [])] for target, (_, aliases) in HEADER.items()}
+
+
+def as_type(df: DataFrame, column: str, kind: str) -> Column:
+    """An input column in the type of the header; what cannot be read is null."""
+    value, own = F.col("`" + column.replace("`", "``") + "`"), df.schema[column].dataType.simpleString()
+    if own == kind:
+        return value
+    text = value.cast("string")
+    if kind == "date":
+        return value.cast("date") if own.startswith("timestamp") else date_of(text)
+    if kind.startswith("decimal"):
+        number = F.regexp_replace(text, r"[$,\s]", "").try_cast("decimal(38,6)")
+        return (number / 100 if plain_name(column).endswith(CENTS) else number).try_cast(kind)
+    return text.try_cast(kind) if kind != "string" else text
+
+
+def claim_header(sources: Mapping[str, DataFrame]) -> DataFrame:
+    """One header table from inputs of different shape, each tagged with its claim type.
+
+    Columns are found by name, cast to the header's types (dates as text, numbers or timestamps; amounts with a
+    currency sign or in cents) and are null where an input has none; a missing last day is the first. Every input is
+    read once.
+    """
+    parts = []
+    for claim_type, df in sources.items():
+        found = header_columns(df.columns)
+        cols = {
+            target: as_type(df, found[target][0], kind) if found[target] else F.lit(None).cast(kind) for target, (kind, _) in HEADER.items()
+        }
+        cols["claim_thru_date"] = F.coalesce(cols["claim_thru_date"], cols["claim_from_date"])
+        parts.append(df.select(*[c.alias(t) for t, c in cols.items()], F.lit(claim_type).alias("claim_type")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def header_conflicts(sources: Mapping[str, DataFrame]) -> DataFrame:
+    """(claim_type, header column, source column, source type, issue, cells) for all that had to be reconciled.
+
+    Issues: ``absent`` (no such column), ``ambiguous`` (several columns fit, the first counts), ``cast`` (another type;
+    cells says how many values could not be read). A column that fits as it is has no row. Each input is read once.
     """
-    return reduce(DataFrame.unionByName, [
-        df.select(*HEADER, (F.lit(claim_type) if claim_type else F.col("claim_type")).alias("claim_type"))
-        for claim_type, df in sources.items()
-    ])
+    parts = []
+    for claim_type, df in sources.items():
+        rows, counts = [], []
+        row = lambda target, column, own, issue, cells: rows.append(F.struct(
+            F.lit(claim_type).alias("claim_type"), F.lit(target).alias("column_name"), F.lit(column).cast("string").alias("source_column"),
+            F.lit(own).cast("string").alias("source_type"), F.lit(issue).alias("issue"), cells.cast("bigint").alias("unreadable_cells"),
+        ))
+        for target, columns in header_columns(df.columns).items():
+            kind = HEADER[target][0]
+            if not columns:
+                row(target, None, None, "absent", F.lit(0))
+                continue
+            own = df.schema[columns[0]].dataType.simpleString()
+            if len(columns) > 1:
+                row(target, ", ".join(columns), own, "ambiguous", F.lit(0))
+            if own != kind:
+                name = f"bad_{target}"
+                source = F.col("`" + columns[0].replace("`", "``") + "`")
+                counts.append(F.count_if(source.isNotNull() & as_type(df, columns[0], kind).isNull()).alias(name))
+                row(target, columns[0], own, "cast", F.col(name))
+        measured = df.agg(F.count(F.lit(1)).alias("rows"), *counts)
+        parts.append(measured.select(F.inline(F.array(*rows))) if rows else None)
+    return reduce(DataFrame.unionByName, [p for p in parts if p is not None])
 
 
 def with_lineage(scan: DataFrame) -> DataFrame:

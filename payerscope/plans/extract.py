@@ -57,7 +57,7 @@ def loose_extract(lines: DataFrame, with_readmission: bool = False) -> DataFrame
         pick(member % 4, EXTRACT_PLANS).alias("Plan"),
         text((member % 6).cast("decimal(4,1)") + F.when(line == 4, F.lit("0.5").cast("decimal(4,1)"))
              .otherwise(F.lit("0").cast("decimal(4,1)"))).alias("Chronic Count"),
-        text((F.lit("0.32").cast("decimal(6,3)") + (member % 6).cast("decimal(3,0)") * F.lit("0.23").cast("decimal(6,3)"))
+        text((F.lit("0.41").cast("decimal(6,3)") + (member % 6).cast("decimal(3,0)") * F.lit("0.19").cast("decimal(6,3)"))
              .cast("decimal(6,3)")).alias("Risk Score"),
         F.lit("free text").alias("Notes"),
         *[F.col(c) for c in SOURCE_POSITION],

@@ -32,7 +32,7 @@ CUSTOM["extract"] = (["claim_lines"], f"""
     CASE WHEN l_linenumber = 1 THEN NULL ELSE 'S' || member_key % 25 END AS "State",
     {sql_list(EXTRACT_PLANS)}[member_key % 4 + 1] AS "Plan",
     ((member_key % 6)::DECIMAL(4,1) + CASE WHEN l_linenumber = 4 THEN 0.5 ELSE 0.0 END)::DECIMAL(4,1)::VARCHAR AS "Chronic Count",
-    (0.32 + 0.23 * (member_key % 6))::DECIMAL(6,3)::VARCHAR AS "Risk Score",
+    (0.41 + 0.19 * (member_key % 6))::DECIMAL(6,3)::VARCHAR AS "Risk Score",
     CASE WHEN l_linenumber IN (1, 3) THEN '1' ELSE '0' END AS "Readmission Flag"
   FROM claim_lines""")
 

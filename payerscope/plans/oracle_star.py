@@ -60,7 +60,7 @@ PROVIDER_COLS = (
 CTES: dict[str, tuple[list[str], str]] = {}
 
 CTES["dim_member"] = ([], f"""
-  SELECT member_key, 'M' || (100000 + member_key)::VARCHAR AS member_id, age,
+  SELECT member_key, 'MBR-' || member_key AS member_id, age,
     {case_band('age', *AGE)} AS age_band,
     CASE WHEN member_key % 2 = 0 THEN 'Female' ELSE 'Male' END AS gender, state_code,
     {sql_list(COUNTIES)}[member_key % 6 + 1] AS county_name, plan_type, dual AS dual_eligible_flag,
@@ -68,7 +68,7 @@ CTES["dim_member"] = ([], f"""
     (cc >= 3)::INT AS chf_flag, (cc >= 4)::INT AS ckd_flag, (cc >= 5)::INT AS behavioral_health_flag,
     ceil(cc * 0.9)::INT AS hcc_count, raf::DOUBLE AS raf_like_score, {case_band('raf', *SEGMENT)} AS risk_segment,
     (8 + member_key % 5)::INT AS eligibility_months
-  FROM (SELECT *, (0.32 + CASE WHEN age >= 65 THEN 0.18 ELSE 0 END + 0.23 * cc + 0.22 * dual)::DECIMAL(6,3) AS raf
+  FROM (SELECT *, (0.29 + 0.005 * age + 0.21 * cc + 0.17 * dual)::DECIMAL(6,3) AS raf
     FROM (SELECT *, (plan_type = 'Dual Eligible SNP')::INT AS dual
       FROM (SELECT c_custkey AS member_key, n_name AS state_code, (18 + (c_custkey * 7) % 75)::INT AS age,
               (c_custkey % 6)::INT AS cc,
@@ -77,7 +77,7 @@ CTES["dim_member"] = ([], f"""
             FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey)))""")
 
 CTES["dim_provider"] = ([], f"""
-  SELECT s_suppkey AS provider_key, 'P' || (200000 + s_suppkey)::VARCHAR AS provider_id, s_name AS provider_name,
+  SELECT s_suppkey AS provider_key, 'SUP-' || s_suppkey AS provider_id, s_name AS provider_name,
     {sql_list(n for n, _ in SPECIALTIES)}[s_suppkey % 9 + 1] AS specialty_group,
     {sql_list(t for _, t in SPECIALTIES)}[s_suppkey % 9 + 1] AS provider_type, n_name AS state_code,
     {sql_list(MARKETS)}[s_suppkey % 4 + 1] AS market, {sql_list(NETWORK_TIERS)}[s_suppkey % 3 + 1] AS network_tier,

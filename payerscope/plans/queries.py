@@ -16,7 +16,7 @@ from ..session import shared_folder, write_shared
 from ..sources import claims_file as custom
 from ..sources import sinks
 from ..sources import tables as src
-from . import score_checks
+from . import feeds, score_checks
 from .build import BASE_TABLES, CUSTOM_PLAN_YEAR, extract, extract_star, star
 from .extract import EXTRACT_ORDER
 from .oracle_custom import CUSTOM, TYPED_COLUMNS
@@ -386,6 +386,11 @@ def hcc_rollup(spark: SparkSession, folder: str) -> DataFrame:
     return coding.hcc_rollup(hcc_sets(spark, folder), src.members(spark, folder), last_year(spark, folder))
 
 
+def claim_feeds(s) -> dict[str, DataFrame]:
+    service = s["dim_service"].select("service_key", "claim_type")
+    return feeds.claim_feeds(s["fact_claim"].join(service, "service_key", "left"))
+
+
 def lineage(spark: SparkSession, folder: str) -> DataFrame:
     return coding.with_lineage(src.table(spark, folder, "lineitem"))
 
@@ -473,9 +478,26 @@ register("diagnosis_bridge", diagnosis_bridge, design_all("diagnosis_bridge"))
 register("procedure_bridge", procedure_bridge, design_all("procedure_bridge"))
 register("hcc_gaps", hcc_gaps, design_all("hcc_gaps"))
 register("hcc_rollup", hcc_rollup, design_all("hcc_rollup"))
-register("claim_header_union",
-         over_star(lambda s: coding.claim_header_union(src.claim_sources(s["fact_claim"], s["dim_service"]))),
-         design_sql(f"SELECT {', '.join(coding.HEADER)}, claim_type FROM typed_claim", "typed_claim"))
+register("claim_header_union", over_star(lambda s: coding.claim_header(claim_feeds(s))), design_sql("""
+  SELECT claim_id, member_key, CASE WHEN claim_type <> 'Pharmacy' THEN provider_key END AS provider_key,
+    strptime(claim_from_date_key::VARCHAR, '%Y%m%d')::DATE AS claim_from_date,
+    strptime((CASE WHEN claim_type IN ('Inpatient', 'Outpatient') THEN claim_thru_date_key ELSE claim_from_date_key END)::VARCHAR,
+      '%Y%m%d')::DATE AS claim_thru_date, paid_amount, claim_type
+  FROM typed_claim WHERE claim_type IN ('Inpatient', 'Outpatient', 'Professional', 'Pharmacy')""", "typed_claim"))
+_conflicts = {
+    "Inpatient": [],
+    "Outpatient": [("member_key", "member key", "string"), ("provider_key", "provider key", "string"), ("claim_from_date", "from date", "string"),
+                   ("claim_thru_date", "thru date", "string"), ("paid_amount", "paid", "string")],
+    "Professional": [("member_key", "MemberKey", "decimal(18,0)"), ("provider_key", "ProviderKey", "decimal(18,0)"),
+                     ("claim_from_date", "ServiceDate", "string"), ("claim_thru_date", None, None), ("paid_amount", "PaidAmount", "string")],
+    "Pharmacy": [("provider_key", None, None), ("claim_from_date", "fill_date", "int"), ("claim_thru_date", None, None),
+                 ("paid_amount", "paid_cents", "bigint")],
+}
+_quoted = lambda text: "NULL" if text is None else f"'{text}'"
+register("claim_header_conflicts", over_star(lambda s: coding.header_conflicts(claim_feeds(s))), design_sql(" UNION ALL ".join(
+    f"SELECT '{kind}' AS claim_type, '{target}' AS column_name, {_quoted(column)}::VARCHAR AS source_column, {_quoted(own)}::VARCHAR AS source_type, "
+    f"'{'cast' if column else 'absent'}' AS issue, 0::BIGINT AS unreadable_cells"
+    for kind, rows in _conflicts.items() for target, column, own in rows)))
 register("lineage", lineage)
 register("record_hash", lambda spark, folder: coding.with_lineage(
     src.table(spark, folder, "customer")).select("c_custkey", "source_file", "record_hash"), """
@@ -525,7 +547,7 @@ register("profile_age_bands", over_star(cost.profile_age_bands), with_ctes(f"""
       coalesce(sum(k), 0) AS episodes, coalesce(sum(b), 0) AS back
     FROM dim_member m LEFT JOIN (SELECT member_key, count(*) AS k, sum(readmission_within_30_days) AS b
       FROM fact_inpatient_episode GROUP BY 1) e ON e.member_key = m.member_key GROUP BY 1)""", "dim_member", "fact_inpatient_episode"))
-register("denial_benchmark", lambda spark, folder: review.denial_benchmark(src.denial_counts(spark, folder)), f"""
+register("denial_benchmark", lambda spark, folder: review.denial_benchmark(feeds.denial_counts(spark, folder)), f"""
   SELECT *, {ratio('claims_denied', 'claims_received')} AS denial_rate, {ratio('appeals_filed', 'claims_denied')} AS appeal_rate,
     {ratio('appeals_upheld', 'appeals_filed')} AS upheld_rate FROM (
     SELECT r_name AS issuer, n_name AS state_code, CASE c_mktsegment WHEN 'BUILDING' THEN 'MA-PD'

@@ -44,7 +44,7 @@ def members(spark: SparkSession, folder: str) -> DataFrame:
     key = F.col("c_custkey")
     base = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left").select(
         key.alias("member_key"),
-        F.concat(F.lit("M"), (key + 100000).cast("string")).alias("member_id"),
+        F.concat(F.lit("MBR-"), key.cast("string")).alias("member_id"),
         (18 + (key * 7) % 75).cast("int").alias("age"),
         F.when(key % 2 == 0, "Female").otherwise("Male").alias("gender"),
         F.col("n_name").alias("state_code"),
@@ -55,11 +55,11 @@ def members(spark: SparkSession, folder: str) -> DataFrame:
     )
     dual = (F.col("plan_type") == "Dual Eligible SNP").cast("int")
     chronic = F.col("chronic_condition_count")
+    # a score of our own: it rises with age, conditions and dual eligibility and reaches all four segments
+    points = lambda text: F.lit(text).cast("decimal(6,3)")
     raf = (
-        F.lit("0.32").cast("decimal(6,3)")
-        + F.when(F.col("age") >= 65, F.lit("0.18").cast("decimal(6,3)")).otherwise(F.lit("0").cast("decimal(6,3)"))
-        + chronic.cast("decimal(3,0)") * F.lit("0.23").cast("decimal(6,3)")
-        + dual.cast("decimal(3,0)") * F.lit("0.22").cast("decimal(6,3)")
+        points("0.290") + F.col("age").cast("decimal(3,0)") * points("0.005") + chronic.cast("decimal(3,0)") * points("0.210")
+        + dual.cast("decimal(3,0)") * points("0.170")
     ).cast("decimal(6,3)")
     scored = base.withColumn("dual_eligible_flag", dual).withColumn("raf_like_score", raf)
     return scored.select(
@@ -87,7 +87,7 @@ def providers(spark: SparkSession, folder: str) -> DataFrame:
         * F.lit("64").cast("decimal(4,0)") / F.lit("11000").cast("decimal(6,0)"), 2)
     return supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey"), "left").select(
         key.alias("provider_key"),
-        F.concat(F.lit("P"), (key + 200000).cast("string")).alias("provider_id"),
+        F.concat(F.lit("SUP-"), key.cast("string")).alias("provider_id"),
         F.col("s_name").alias("provider_name"),
         pick(key % 9, [name for name, _ in SPECIALTIES]).alias("specialty_group"),
         pick(key % 9, [kind for _, kind in SPECIALTIES]).alias("provider_type"),
@@ -205,43 +205,3 @@ def wide_codes(lines: DataFrame) -> DataFrame:
         F.when(F.col("l_tax") < 0.04, F.concat(F.lit("G"), F.lpad(text(F.col("l_suppkey") % 1000), 4, "0")))
         .otherwise("").alias(PROCEDURE_CODE_COLUMNS[1]),
     )
-
-
-def claim_sources(claim: DataFrame, service: DataFrame) -> dict[str, DataFrame]:
-    """One table per source of claims, cut from the claims by their type; "" holds all other and missing types."""
-    typed = claim.join(service.select("service_key", "claim_type"), "service_key", "left")
-    kinds = ("Inpatient", "Outpatient", "Professional", "Pharmacy")
-    known = F.coalesce(F.col("claim_type").isin(*kinds), F.lit(False))
-    return {kind: typed.where(F.col("claim_type") == kind) for kind in kinds} | {"": typed.where(~known)}
-
-
-def denial_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """Yearly counts by issuer (the region), state and plan: received, denied, appealed, upheld."""
-    line = table(spark, folder, "lineitem").select(
-        "l_orderkey", "l_shipdate", "l_returnflag", "l_linenumber", "l_linestatus", "l_tax"
-    )
-    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
-    customer = table(spark, folder, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    nation = F.broadcast(table(spark, folder, "nation").select("n_nationkey", "n_name", "n_regionkey"))
-    region = F.broadcast(table(spark, folder, "region").select("r_regionkey", "r_name"))
-    denied = (F.col("l_returnflag") == "R") & (F.col("l_linenumber") <= 3)
-    appealed = denied & (F.col("l_linestatus") == "F")
-    flag = lambda condition: F.sum(condition.cast("bigint"))
-    by_member = (
-        line.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
-        .groupBy("o_custkey", F.year(F.col("l_shipdate").cast("date")).alias("plan_year"))
-        .agg(
-            F.count(F.lit(1)).alias("claims_received"), flag(denied).alias("claims_denied"),
-            flag(appealed).alias("appeals_filed"), flag(appealed & (F.col("l_tax") > 0.04)).alias("appeals_upheld"),
-        )
-    )
-    return (
-        by_member.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
-        .select(
-            F.col("r_name").alias("issuer"), F.col("n_name").alias("state_code"),
-            plan_of(F.col("c_mktsegment")).alias("plan_type"), "plan_year",
-            "claims_received", "claims_denied", "appeals_filed", "appeals_upheld",
-        )
-    )

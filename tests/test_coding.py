@@ -38,3 +38,25 @@ def test_sets_of_many_hccs_equal_plain_sets(spark):
         assert row["recaptured_hcc_count"] == len(own & before) and row["suspected_gap_count"] == len(missed.get(key, ()))
         assert abs(row["disease_factor"] - sum(known[h][3] for h in own)) < 1e-9
         assert row["top_hcc_category"] == (max(own, key=lambda h: (known[h][3], h)) if own else None)
+
+
+def test_headers_of_different_shape_are_reconciled_and_conflicts_told(spark):
+    import datetime as dt
+
+    from payerscope.operators.coding import claim_header, header_conflicts
+
+    a = spark.createDataFrame([("c1", 1, 2, dt.date(2025, 1, 2), dt.date(2025, 1, 5), "1,200.50")],
+                              "CLM_ID string, BENE_KEY bigint, PRVDR_KEY bigint, CLM_FROM_DT date, CLM_THRU_DT date, CLM_PMT_AMT string")
+    b = spark.createDataFrame([("c2", "x", "2025-02-03", 1999, "zz"), ("c3", "7", "soon", None, "z")],
+                              "`claim id` string, `member key` string, servicedate string, paid_cents bigint, `Service Date` string")
+    rows = {r["claim_id"]: tuple(r)[1:] for r in claim_header({"A": a, "B": b}).collect()}
+    from decimal import Decimal
+
+    assert rows["c1"] == (1, 2, dt.date(2025, 1, 2), dt.date(2025, 1, 5), Decimal("1200.50"), "A")
+    assert rows["c2"] == (None, None, dt.date(2025, 2, 3), dt.date(2025, 2, 3), Decimal("19.99"), "B")
+    assert rows["c3"] == (7, None, None, None, None, "B")
+    told = {(r["claim_type"], r["column_name"], r["issue"]): r["unreadable_cells"] for r in header_conflicts({"A": a, "B": b}).collect()}
+    assert told == {
+        ("A", "paid_amount", "cast"): 0, ("B", "member_key", "cast"): 1, ("B", "provider_key", "absent"): 0, ("B", "claim_thru_date", "absent"): 0,
+        ("B", "claim_from_date", "ambiguous"): 0, ("B", "claim_from_date", "cast"): 1, ("B", "paid_amount", "cast"): 0,
+    }
