@@ -338,6 +338,17 @@ def evidence(toxic_docs: int, clean_docs: int) -> Column:
     return F.when(own > share, F.col("tox") * F.log(own / share) + rest).otherwise(0.0)
 
 
+def first_by_hash(rows: DataFrame, column: str, wanted: int, count: int) -> DataFrame:
+    """The ``wanted`` rows whose values hash lowest, of ``count``.
+
+    Rows above a bound on the hash that leaves about a fifth more than wanted go first, so what the sort brings to
+    one place is of that size whatever the number of partitions.
+    """
+    share = 1.2 * (wanted + 100) / max(1, count)
+    low = rows if share >= 1 else rows.where(F.xxhash64(column) < int(-(2**63) + share * 2**64))
+    return low.orderBy(F.xxhash64(column), column).limit(wanted)
+
+
 def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAINING_DOCS) -> StringMachine:
     """Fit on labelled rows outside the test fold.
 
@@ -350,8 +361,10 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAINING_DOCS)
         F.max(F.col("toxic").cast("int")).alias("toxic")
     ).where(~held_out())
     share = min(1.0, max_docs / max(1, marks.count()))
-    marks = marks.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text")).join(marks, "doc_id")
+    taken = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000)
+    # about max_docs marks are left, so they are broadcast and no text is shuffled
+    marks = F.broadcast(write_shared(marks.where(taken), "toxicity-marks"))
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text")).where(taken).join(marks, "doc_id")
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_slices(batches):
@@ -371,9 +384,10 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAINING_DOCS)
     totals = {row["toxic"]: row["n"] for row in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     ranked = counted.withColumn("gain", evidence(totals.get(1, 0), totals.get(0, 0)))
     floor = evidence_floor(tested) - 1e-6  # fit() decides, by the same rule
-    suspects = ranked.where(F.col("gain") >= floor).orderBy(F.desc("gain"), "word").limit(MAX_WORDS).collect()
-    common = ranked.where((F.col("clean") > 0) & (F.col("gain") < floor)).orderBy(F.xxhash64("word"), "word").limit(10 * MAX_WORDS).collect()
-    examples = texts.orderBy(F.xxhash64("text"), "text").limit(2000).collect()
+    suspects = write_shared(ranked.where(F.col("gain") >= floor).orderBy(F.desc("gain"), "word").limit(MAX_WORDS), "toxicity-suspects").collect()
+    others = ranked.where((F.col("clean") > 0) & (F.col("gain") < floor))
+    common = first_by_hash(others, "word", 10 * MAX_WORDS, others.count()).collect()
+    examples = first_by_hash(texts, "text", 2000, sum(totals.values())).collect()
     return fit(
         [(r["word"], r["tox"], r["clean"]) for r in suspects + common], tested, totals.get(1, 0), totals.get(0, 0),
         [(r["text"], r["toxic"]) for r in examples],
