@@ -55,15 +55,15 @@ def day_first_columns(data: DataFrame, columns: Sequence[str]) -> Mapping[str, b
     for the month in front; the larger count wins, and the month in front if both are equal. Cells of the other
     order are then unreadable: ``date_of`` gives null for them and they are counted like any bad cell.
     """
-    counts = []
-    for name in columns:
-        raw = clean(F.col(name))
-        number = lambda part: F.regexp_extract(raw, YEAR_LAST[0], part).try_cast("int")
-        counts += [
-            F.count_if((number(1) > 12) & (number(2) <= 12)).alias(f"{name}_day"),
-            F.count_if((number(2) > 12) & (number(1) <= 12)).alias(f"{name}_month"),
-        ]
-    if not counts:
+    if not columns:
         return {}
-    seen = data.agg(*counts).first()
-    return {name: seen[f"{name}_day"] > seen[f"{name}_month"] for name in columns}
+    cells = data.select(F.inline(F.array(*[F.struct(F.lit(name).alias("column"), clean(F.col(name)).alias("raw")) for name in columns])))
+    parts = F.split(F.col("raw"), "[/.-]")
+    doubtful = cells.where(F.col("raw").rlike(YEAR_LAST[0])).select(
+        "column", parts[0].try_cast("int").alias("first"), parts[1].try_cast("int").alias("second"))
+    seen = doubtful.groupBy("column").agg(
+        F.count_if((F.col("first") > 12) & (F.col("second") <= 12)).alias("day"),
+        F.count_if((F.col("second") > 12) & (F.col("first") <= 12)).alias("month"),
+    ).collect()
+    first = {r["column"]: r["day"] > r["month"] for r in seen}
+    return {name: first.get(name, False) for name in columns}

@@ -15,6 +15,7 @@ EXTRACT_SPECIALTIES = [
     "Primary care", "Cardiology", "Regional HOSPITAL", "Radiology", "Surgical facility", "Oncology", "Pharmacy",
 ]
 EXTRACT_PLANS = ["Medicare Advantage", "MA-PD", "Dual Eligible SNP", "dual plus"]
+MONTHS = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
 EXTRACT_ORDER = ["Claim Number", *SOURCE_POSITION]
 
 
@@ -24,7 +25,9 @@ def loose_extract(lines: DataFrame, with_readmission: bool = False) -> DataFrame
     line, part, member = F.col("l_linenumber"), F.col("l_partkey") % 12, F.col("o_custkey")
     price, tax = F.col("l_extendedprice").cast(MONEY), F.col("l_tax").cast("decimal(4,2)")
     share = F.lit(1).cast("decimal(4,2)") - F.col("l_discount").cast("decimal(4,2)")
-    day = F.col("from_date")
+    iso = lambda date: date.cast("string")
+    year, month, dom = (F.substring(iso(F.col("from_date")), at, n) for at, n in ((1, 4), (6, 2), (9, 2)))
+    short = lambda digits: F.regexp_replace(digits, "^0", "")
     text = lambda col: col.cast("string")
     none = F.lit(None).cast("string")
     cols = [
@@ -43,13 +46,12 @@ def loose_extract(lines: DataFrame, with_readmission: bool = False) -> DataFrame
         F.when(F.col("l_discount") == 0.1, none).when((F.col("l_returnflag") == "R") & (line == 1), "0")
         .otherwise(text(F.round(price * share, 2).cast(MONEY))).alias("Paid"),
         text(F.round(price * tax, 2).cast(MONEY)).alias("Copay"),
-        F.when(line == 1, "not a date").when(line == 2, F.date_format(day, "MM/dd/yyyy"))
-        .when(line == 3, F.date_format(day, "yyyyMMdd")).when(line == 4, F.date_format(day, "yyyy-MM-dd'T'HH:mm:ss"))
-        .when(line == 5, F.date_format(day, "yyyy/MM/dd")).when(line == 6, F.date_format(day, "MMM d, yyyy"))
-        .otherwise(F.date_format(day, "yyyy-MM-dd"))
-        .alias("Service Date"),
-        F.when(line == 7, none).when(line == 6, F.date_format(day, "d.M.yyyy")).when(line == 5, F.date_format(day, "MM/dd/yyyy"))
-        .otherwise(F.date_format(F.date_add(day, line - 3), "yyyy-MM-dd")).alias("Through Date"),
+        F.when(line == 1, "not a date").when(line == 2, F.concat_ws("/", month, dom, year)).when(line == 3, F.concat(year, month, dom))
+        .when(line == 4, F.concat(iso(F.col("from_date")), F.lit("T00:00:00"))).when(line == 5, F.concat_ws("/", year, month, dom))
+        .when(line == 6, F.concat(pick(month.cast("int") - 1, MONTHS), F.lit(" "), short(dom), F.lit(", "), year))
+        .otherwise(iso(F.col("from_date"))).alias("Service Date"),
+        F.when(line == 7, none).when(line == 6, F.concat_ws(".", short(dom), short(month), year)).when(line == 5, F.concat_ws("/", month, dom, year))
+        .otherwise(iso(F.date_add(F.col("from_date"), line - 3))).alias("Through Date"),
         F.when(part == 5, "1").when(part == 6, "3").when(part == 7, "yes").when(part == 8, "True").when(part == 9, "false")
         .otherwise("0").alias("Is Inpatient"),
         F.when(part == 2, "1").when(part == 3, "0.9").otherwise(none).alias("Is ED"),
