@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import write_shared
-from .common import connected_components, mix, small_slices, text_or_empty
+from .common import connected_components, marked, mix, only_met, small_slices, text_or_empty, with_groups
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -138,11 +138,11 @@ def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
 
 
 def signed(texts: DataFrame) -> DataFrame:
-    """Per row: print (a digest of the multiset), weight, sig (short slot hashes) and one key per band."""
+    """Per row: doc_id, print (a digest of the multiset), weight, sig (short slot hashes) and one key per band."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in small_slices(batches):
-            bags = [bag(text, hashes) for text in batch.column(1).cast(pa.binary()).to_pylist()]
+            bags = [bag(text, hashes) for text in batch.column(2).cast(pa.binary()).to_pylist()]
             slots = signatures(bags)
             short = (slots >> np.uint64(48)).astype("<u2")
             band = np.zeros((len(bags), BANDS), np.uint64)
@@ -156,11 +156,12 @@ def signed(texts: DataFrame) -> DataFrame:
                 weights.append(int(counts.sum()))
                 prints.append(f"{int(whole.sum()):016x}{int(mix(whole + np.uint64(29)).sum()):016x}{weights[-1]:x}")
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(prints), pa.array(weights, pa.int64()), pa.array(sigs, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                names=["row", "print", "weight", "sig", "keys"],
+                [batch.column(0), batch.column(1), pa.array(prints), pa.array(weights, pa.int64()), pa.array(sigs, pa.binary()),
+                 pa.array(keys, pa.list_(pa.int64()))],
+                names=["row", "doc_id", "print", "weight", "sig", "keys"],
             )
 
-    return texts.mapInArrow(run, "row bigint, print string, weight bigint, sig binary, keys array<bigint>")
+    return texts.mapInArrow(run, "row bigint, doc_id bigint, print string, weight bigint, sig binary, keys array<bigint>")
 
 
 def lowest_share(threshold: float, slots: int, by_chance: float = 0.0) -> float:
@@ -279,19 +280,22 @@ def near_texts(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     form one class. Rows with a null doc_id take part and get the group's smallest id. Empty in, empty out.
     """
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"))
-    prints = write_shared(signed(rows.select("row", "text")), "text-prints")
-    nodes = prints.groupBy("print").agg(F.min("row").alias("node"))
-    firsts = write_shared(prints.join(nodes, "print").where("row = node").select("node", "weight", "sig", "keys"), "text-nodes")
+    prints = write_shared(signed(rows.select("row", "doc_id", "text")), "text-prints")
+    copies = prints.groupBy("print").agg(F.min("row").alias("node"), F.min("doc_id").alias("class_id"), F.count("*").alias("n"))
+    copies = write_shared(copies.where("n > 1").drop("n"), "text-copies")
+    firsts = write_shared(with_groups(prints, copies, "print").where("coalesce(node, row) = row").select(F.col("row").alias("node"), "weight", "sig", "keys"), "text-nodes")
     placed = firsts.select("node", F.posexplode("keys").alias("band", "key"))
     counted = placed.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("node").alias("head")).where("n > 1")
-    buckets = write_shared(placed.join(counted, ["band", "key"]).select("band", "key", "node", "head"), "text-buckets")
+    counted = write_shared(counted.select("band", "key", "head"), "text-shared-keys")
+    maybe = marked(placed, counted, "key").where("met").drop("met")
+    buckets = write_shared(maybe.join(counted, ["band", "key"]).select("band", "key", "node", "head"), "text-buckets")
     texts = rows.select("row", "text")
     slots = firsts.select("node", "weight", "sig")
 
     def links(worth: DataFrame, name: str) -> DataFrame:
         """Those of the pairs whose texts overlap enough."""
-        needed = worth.select(F.explode(F.array("a", "b")).alias("row")).distinct()
-        return write_shared(verified(worth, texts.join(needed, "row", "left_semi"), threshold), f"{name}-links")
+        needed = write_shared(worth.select(F.explode(F.array("a", "b")).alias("row")).distinct(), f"{name}-rows")
+        return write_shared(verified(worth, only_met(texts, needed, "row"), threshold), f"{name}-links")
 
     star = buckets.where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
     with_sigs = (
@@ -311,25 +315,34 @@ def near_texts(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         mixed = apart.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("own").alias("low"), F.max("own").alias("high")).where("low <> high")
         mixed = write_shared(apart.join(mixed.select("band", "key", "n"), ["band", "key"]), "text-mixed")
         if sketches is None:
-            open_nodes = mixed.select(F.col("node").alias("row")).distinct()
-            sketches = write_shared(wide_sketches(texts.join(open_nodes, "row", "left_semi").select("row", "text")), "text-wide")
+            open_nodes = write_shared(mixed.select(F.col("node").alias("row")).distinct(), "text-open")
+            sketches = write_shared(wide_sketches(only_met(texts, open_nodes, "row")), "text-wide")
         rest = close_in_buckets(mixed.join(slots.join(sketches, "node"), "node"), threshold, best_only).distinct()
         rest = write_shared(rest if seen is None else rest.join(seen, ["a", "b"], "left_anti"), "text-rest-pairs")
         seen = rest
         found = found.unionByName(links(rest, "text-rest"))
         groups = connected_components(found, "text-groups")
-    named = grouped(nodes, groups).select("print", "node", "own")
-    all_rows = write_shared(
-        rows.select("row", "doc_id").join(prints.select("row", "print"), "row").join(named, "print").select("row", "doc_id", "node", "own"), "text-rows"
+    nodes = with_groups(prints.select("row", "doc_id", "print"), copies, "print").select(
+        "row", "doc_id", F.coalesce("node", "row").alias("node"), F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id")
     )
-    classes = all_rows.groupBy("node").agg(F.min("doc_id").alias("class_id"))
-    components = all_rows.groupBy("own").agg(F.min("doc_id").alias("component_id"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"))
-    return all_rows.join(classes, "node").join(components, "own").select(
-        "row", "doc_id", "class_id", "component_id", (F.col("row") == F.col("first.row")).alias("kept")
+    groups = write_shared(groups.withColumnRenamed("component", "own"), "text-own")
+    all_rows = with_groups(write_shared(nodes, "text-rows"), groups, "node").withColumn("own", F.coalesce("own", "node"))
+    all_rows = write_shared(all_rows.select("row", "doc_id", "class_id", "own"), "text-owned")
+    several = all_rows.groupBy("own").agg(
+        F.count("*").alias("n"), F.min("doc_id").alias("component_id"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first")
+    )
+    several = write_shared(several.where("n > 1").select("own", "component_id", F.col("first.row").alias("first")), "text-components")
+    alone = F.col("first").isNull()
+    return with_groups(all_rows, several, "own").select(
+        "row", "doc_id", "class_id", F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        (alone | (F.col("row") == F.col("first"))).alias("kept"),
     )
 
 
 def without_near_copies(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row of every component, all columns kept: the one with the smallest doc_id."""
-    gone = near_texts(docs, threshold).where("NOT kept").select(F.col("row").alias("_row"))
-    return docs.withColumn("_row", F.monotonically_increasing_id()).join(gone, "_row", "left_anti").drop("_row")
+    gone = write_shared(near_texts(docs, threshold).where("NOT kept").select("row"), "text-gone")
+    whole = docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row"))
+    flagged = marked(whole, gone, "row")
+    unsure = flagged.where("met").join(gone, "row", "left_anti")
+    return flagged.where("NOT met").select("doc").unionByName(unsure.select("doc")).select("doc.*")

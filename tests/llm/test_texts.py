@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from payerscope.llm import decontaminate, license_scan, near_text, private_data, repeated_bytes, toxicity
+from payerscope.llm import common, decontaminate, license_scan, near_text, private_data, repeated_bytes, toxicity
 
 from .conftest import ROWS
 
@@ -105,6 +105,25 @@ def test_near_texts_of_odd_rows(odd, nothing):
     assert near_text.near_texts(nothing).count() == 0
 
 
+def test_columns_named_like_helpers_survive_near_dedup(odd):
+    docs = odd.withColumnsRenamed({"row": "_row", "lang": "_word", "source": "met"})
+    kept = near_text.without_near_copies(docs)
+    assert kept.columns == docs.columns
+    assert sorted(map(str, kept.collect())) == sorted(map(str, near_text.without_near_copies(odd).withColumnsRenamed({"row": "_row", "lang": "_word", "source": "met"}).collect()))
+
+
+@pytest.mark.parametrize("words", [1, 1 << 20])
+def test_bit_map_only_saves_work(spark, odd, monkeypatch, words):
+    monkeypatch.setattr(common, "MAP_WORDS", words)
+    table = spark.createDataFrame([(i, i % 7 if i % 5 else None) for i in range(300)], "row bigint, k bigint")
+    keys = spark.createDataFrame([(k, f"g{k}") for k in (1, 4, 900)] + [(None, "none")], "k bigint, name string")
+    want = sorted((i, i % 7) for i in range(300) if i % 5 and i % 7 in (1, 4))
+    assert sorted(tuple(r) for r in common.only_met(table, keys, "k").collect()) == want
+    named = {r["row"]: r["name"] for r in common.with_groups(table, keys, "k").collect()}
+    assert len(named) == 300 and {i: n for i, n in named.items() if n} == {i: f"g{k}" for i, k in want}
+    assert common.only_met(table, keys.limit(0), "k").count() == 0
+
+
 def cut_by_hand(texts):
     seen = Counter(t[i : i + 400] for t in texts for i in range(len(t) - 399))
     for text in texts:
