@@ -77,10 +77,10 @@ def only_met(table: DataFrame, keys: DataFrame, by: str) -> DataFrame:
     return marked(table, keys, by).where("met").drop("met").join(keys.select(by).distinct(), by, "left_semi").select(*table.columns)
 
 
-def with_groups(table: DataFrame, groups: DataFrame, by: str) -> DataFrame:
-    """Left join of ``table``, a written table, to ``groups``, one row a value of ``by``, written too.
+def with_groups(table: DataFrame, groups: DataFrame, by: str, spread: tuple[str, ...] = ("row",)) -> DataFrame:
+    """Left join of ``table`` to ``groups``, a written table with one row a value of ``by``.
 
-    Rows without a group stay where they are. The others meet their group in one of 16 tasks by a hash of the row,
+    Rows without a group stay where they are. The others meet their group in one of 16 tasks by a hash of ``spread``,
     so a group that holds a third of all rows is not gathered in one.
     """
     flagged = marked(table, groups, by)
@@ -88,7 +88,7 @@ def with_groups(table: DataFrame, groups: DataFrame, by: str) -> DataFrame:
     alone = flagged.where("NOT met").drop("met").select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in added])
     salted = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     own = [F.col(c) for c in table.columns]
-    met = flagged.where("met").drop("met").withColumn("_salt", F.pmod(F.xxhash64(F.col("row")), F.lit(SALTS)).cast("int"))
+    met = flagged.where("met").drop("met").withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int"))
     return alone.unionByName(met.join(salted, [by, "_salt"], "left").select(*own, *[f.name for f in added]))
 
 

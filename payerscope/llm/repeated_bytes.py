@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import write_shared
-from .common import mix, small_slices, text_or_empty
+from .common import marked, mix, only_met, small_slices, text_or_empty, with_groups
 from .near_text import powers
 
 MATCH = 400
@@ -139,25 +139,27 @@ def window_prints(raw: np.ndarray, starts: np.ndarray, rolling: RollingHash) ->
     return out
 
 
-def context_rows(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The stretch of text that each wanted segment's windows cover; equal stretches of a key are one row."""
+def stretches_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """key, mark and the stretch of text that each wanted segment's windows cover."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_slices(batches, 50):
-            rows: dict[str, list] = {"print": [], "first": [], "last": [], "key": [], "stretch": [], "mark": []}
-            for name, text, parts in zip(*(batch.column(c).to_pylist() for c in ("print", "text", "parts"))):
+            keys, marks, found = [], [], []
+            for text, parts in zip(batch.column("text").to_pylist(), batch.column("parts").to_pylist()):
                 raw = text.encode("utf-8", "surrogatepass")
                 for part in parts:
-                    stretch = raw[part["first"] : part["last"] + MATCH]
-                    rows["print"].append(name), rows["first"].append(part["first"]), rows["last"].append(part["last"])
-                    rows["key"].append(part["key"]), rows["stretch"].append(stretch)
-                    rows["mark"].append(hashlib.blake2b(stretch + b"%d" % part["anchor"], digest_size=12).digest())
-            types = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(rows.values(), types)], names=list(rows))
-
-    parts = wanted.groupBy("print").agg(F.collect_list(F.struct("first", "last", "anchor", "key")).alias("parts"))
-    return texts.select("print", "text").join(parts, "print").mapInArrow(
-        run, "print binary, first bigint, last bigint, key bigint, stretch binary, mark binary"
-    )
+                    keys.append(part["key"]), marks.append(part["mark"])
+                    found.append(raw[part["first"] : part["last"] + MATCH])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.int64()), pa.array(marks, pa.int64()), pa.array(found, pa.binary())], names=["key", "mark", "stretch"]
+            )
+
+    return with_parts(texts, wanted, ("first", "last", "key", "mark")).mapInArrow(run, "key bigint, mark bigint, stretch binary")
+
+
+def with_parts(texts: DataFrame, wanted: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """print, text and parts, the wanted segments of it, for the texts that have some; no other text is moved."""
+    parts = write_shared(wanted.groupBy("print").agg(F.collect_list(F.struct(*columns)).alias("parts")), "repeat-parts")
+    return marked(texts.select("print", "text"), parts, "print").where("met").drop("met").join(parts, "print")
 
 
 def text_segments(texts: DataFrame) -> DataFrame:
@@ -182,15 +184,17 @@ def text_segments(texts: DataFrame) -> DataFrame:
     )
 
 
-def halved(segments_: DataFrame, texts: DataFrame, hot: DataFrame, span: int) -> DataFrame:
-    """Segments of the hot keys cut in two by their windows' distance from the anchor, with keys of their own.
+def halved(stretches: DataFrame, texts: DataFrame, span: int) -> DataFrame:
+    """Segments cut in two by their windows' distance from the anchor, with keys and marks of their own.
 
     The new key is the print of the bytes that all windows of that range of distances share, so equal windows
-    keep equal keys. In the end a segment is one window and its key the window itself.
+    keep equal keys. In the end a segment is one window and its key the window itself. ``home_key`` and ``home_mark``
+    name the stretch of a text that a piece was cut from, ``shift`` says how far from its start.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["print", "first", "last", "anchor", "key", "mark", "home_key", "home_mark", "shift"]
         for batch in small_slices(batches, 50):
-            rows: dict[str, list] = {"print": [], "first": [], "last": [], "anchor": [], "key": [], "mark": []}
+            rows: list[tuple] = []
             for name, text, parts in zip(*(batch.column(c).to_pylist() for c in ("print", "text", "parts"))):
                 raw = text.encode("utf-8", "surrogatepass")
                 for part in parts:
@@ -201,35 +205,37 @@ def halved(segments_: DataFrame, texts: DataFrame, hot: DataFrame, span: int) ->
                         core = raw[max(0, place - far * span) : place - far * span - span + 1 + MATCH]
                         key = hashlib.blake2b(core + b"%d.%d" % (span, far), digest_size=8).digest()
                         mark = hashlib.blake2b(raw[first : last + MATCH] + b"%d" % (place - first), digest_size=8).digest()
-                        values = (int.from_bytes(x, "little", signed=True) for x in (key, mark))
-                        for column, value in zip(rows.values(), (name, first, last, place - first, *values)):
-                            column.append(value)
-            types = (pa.binary(), *[pa.int64()] * 5)
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(rows.values(), types)], names=list(rows))
-
-    parts = segments_.join(hot.select("key"), "key", "left_semi").groupBy("print").agg(
-        F.collect_list(F.struct("first", "last", "anchor")).alias("parts")
-    )
-    return texts.select("print", "text").join(parts, "print").mapInArrow(
-        run, "print binary, first bigint, last bigint, anchor bigint, key bigint, mark bigint"
+                        key, mark = (int.from_bytes(x, "little", signed=True) for x in (key, mark))
+                        shift = part["shift"] + first - part["first"]
+                        rows.append((name, first, last, place - first, key, mark, part["home_key"], part["home_mark"], shift))
+            values = list(zip(*rows)) or [()] * len(names)
+            types = (pa.binary(), *[pa.int64()] * 8)
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, types)], names=names)
+
+    return with_parts(texts, stretches, ("first", "last", "anchor", "home_key", "home_mark", "shift")).mapInArrow(
+        run, "print binary, first bigint, last bigint, anchor bigint, key bigint, mark bigint, home_key bigint, home_mark bigint, shift bigint"
     )
 
 
-def repeated_keys(parts: DataFrame) -> DataFrame:
-    """key, n: keys that come up in two places, with the number of different stretches that they stand for.
+def distinct_stretches(parts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The distinct stretches of all keys that come up twice, and those keys that have several stretches.
 
-    Equal stretches are counted together first, so a passage that many texts share weighs as one.
+    Stretches: key, mark, places (how often it comes up) and where it first does. Keys: key and n, their stretches.
+    Keys are counted on their own first, so segments whose key comes up once, most of all, are not shuffled.
     """
-    place = F.struct("print", F.col("first") + F.col("anchor"))
-    stretches = parts.groupBy("key", "mark").agg(F.min(place).alias("low"), F.max(place).alias("high"))
-    keys = stretches.groupBy("key").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.count("*").alias("n"))
-    return write_shared(keys.where("low <> high").select("key", "n"), "repeat-keys")
+    twice = write_shared(parts.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "repeat-keys")
+    again = marked(parts, twice, "key").where("met").drop("met")
+    where = F.struct(*[c for c in parts.columns if c not in ("key", "mark")])
+    stretches = again.groupBy("key", "mark").agg(F.count("*").alias("places"), F.min(where).alias("at"))
+    stretches = write_shared(stretches.select("key", "mark", "places", "at.*"), "repeat-stretches")
+    keys = stretches.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    return stretches, write_shared(keys, "repeat-several")
 
 
 def repeated_windows(stretches: DataFrame) -> DataFrame:
-    """mark, runs: which windows of each distinct stretch another stretch, or the same one again, holds too.
+    """key, mark, low, high: runs of windows of each distinct stretch that another stretch of its key holds too.
 
-    ``stretches`` has (bucket, batch, mark, stretch) with a bucket's batches in order. A task keeps the suffix
+    ``stretches`` has (bucket, batch, key, mark, stretch) with a bucket's batches in order. A task keeps the suffix
     arrays of one bucket; all stretches of a key are in one bucket, so equal windows always meet.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,12 +250,12 @@ def repeated_windows(stretches: DataFrame) -> DataFrame:
             family.add(window_prints(raw, starts, rolling), base + np.arange(len(starts)))
             return base + len(starts)
 
-        def close(family: SuffixArrays, marks: list[bytes], windows: list[int]) -> pa.RecordBatch:
+        def close(family: SuffixArrays, names: list[tuple[int, int]], windows: list[int]) -> pa.RecordBatch:
             total = sum(windows)
             hit = np.zeros(total + 1, bool)
             for numbers in family.repeated:
                 hit[numbers] = True
-            out_marks, lows, highs = [], [], []
+            keys, marks, lows, highs = [], [], [], []
             bounds = np.cumsum([0, *windows])
             edge = np.flatnonzero(np.diff(np.concatenate(([False], hit)).astype(np.int8)))
             owner = np.searchsorted(bounds, edge[::2], side="right") - 1
@@ -257,42 +263,40 @@ def repeated_windows(stretches: DataFrame) -> DataFrame:
                 while a < b:  # a run may go on into the next stretch
                     to = min(b, int(bounds[i + 1]))
                     if to > a:
-                        out_marks.append(marks[i]), lows.append(a - int(bounds[i])), highs.append(to - 1 - int(bounds[i]))
+                        keys.append(names[i][0]), marks.append(names[i][1]), lows.append(a - int(bounds[i])), highs.append(to - 1 - int(bounds[i]))
                     a, i = to, i + 1
             return pa.RecordBatch.from_arrays(
-                [pa.array(out_marks, pa.binary()), pa.array(lows, pa.int64()), pa.array(highs, pa.int64())], names=["mark", "low", "high"]
+                [pa.array(v, pa.int64()) for v in (keys, marks, lows, highs)], names=["key", "mark", "low", "high"]
             )
 
-        bucket, family, marks, windows, pieces, held, base = None, SuffixArrays(), [], [], [], None, 0
+        bucket, family, names, windows, pieces, held, base = None, SuffixArrays(), [], [], [], None, 0
         for batch in batches:
-            for number, part, mark, stretch in zip(*(batch.column(c).to_pylist() for c in ("bucket", "batch", "mark", "stretch"))):
+            for number, part, key, mark, stretch in zip(*(batch.column(c).to_pylist() for c in ("bucket", "batch", "key", "mark", "stretch"))):
                 if (number, part) != (bucket, held) and pieces:
                     base = index(family, pieces, base)
                     pieces = []
                 if number != bucket:
-                    if marks:
-                        yield close(family, marks, windows)
-                    bucket, family, marks, windows, base = number, SuffixArrays(), [], [], 0
+                    if names:
+                        yield close(family, names, windows)
+                    bucket, family, names, windows, base = number, SuffixArrays(), [], [], 0
                 held = part
-                pieces.append(stretch), marks.append(mark), windows.append(len(stretch) - MATCH + 1)
+                pieces.append(stretch), names.append((key, mark)), windows.append(len(stretch) - MATCH + 1)
         if pieces:
             index(family, pieces, base)
-        if marks:
-            yield close(family, marks, windows)
+        if names:
+            yield close(family, names, windows)
 
-    return stretches.mapInArrow(run, "mark binary, low bigint, high bigint")
+    return stretches.mapInArrow(run, "key bigint, mark bigint, low bigint, high bigint")
 
 
 def cut_texts(texts: DataFrame, spans: DataFrame) -> DataFrame:
-    """print, n_removed, n_spans, kept_sha256 of each distinct text, given its repeated windows (low, high)."""
+    """print, n_removed, n_spans, kept_sha256 of each text that has repeated windows (low, high)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_slices(batches, 50):
             removed, spans_, shas = [], [], []
-            for text, copies, parts in zip(*(batch.column(c).to_pylist() for c in ("text", "copies", "spans"))):
+            for text, parts in zip(*(batch.column(c).to_pylist() for c in ("text", "parts"))):
                 raw = text.encode("utf-8", "surrogatepass")
-                cover = sorted((p["low"], p["high"] + MATCH) for p in parts or [])
-                if copies > 1 and len(raw) >= MATCH:
-                    cover = [(0, len(raw))]
+                cover = sorted((p["low"], p["high"] + MATCH) for p in parts)
                 digest, gone, count, kept_to, end = hashlib.sha256(), 0, 0, 0, -1
                 for low, high in cover:
                     if low > end:
@@ -311,10 +315,7 @@ def cut_texts(texts: DataFrame, spans: DataFrame) -> DataFrame:
                 names=["print", "n_removed", "n_spans", "kept_sha256"],
             )
 
-    own = spans.groupBy("print").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
-    return texts.join(own, "print", "left").select("print", "text", "copies", "spans").mapInArrow(
-        run, "print binary, n_removed bigint, n_spans bigint, kept_sha256 string"
-    )
+    return with_parts(texts, spans, ("low", "high")).mapInArrow(run, "print binary, n_removed bigint, n_spans bigint, kept_sha256 string")
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -323,42 +324,67 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     1. Equal texts become one with a number of copies; a text of 400 bytes or more with copies goes whole.
     2. Each window's anchor names the segment it lies in; only segments whose anchor's key comes up in two
        places can hold repeated windows. Keys are counted with map-side combining.
-    3. Segments of keys with very many different stretches are halved, with longer keys, until no key has more than 4,000
-       distinct stretches, so no task gets a hot passage; equal stretches are one row from the start.
-    4. Buckets of keys are searched by a logarithmic family of suffix arrays, batch by batch.
-    5. Repeated windows go back to their texts, which are cut and hashed.
+    3. Equal stretches of a key are one row. One that comes up twice is repeated as a whole; a key with a single
+       stretch needs no search. Stretches of keys with over 4,000 are halved, with longer keys, until no key has
+       more, so no task gets a hot passage.
+    4. The stretches of the other keys are read from one text each and searched, in buckets of keys, by a logarithmic
+       family of suffix arrays, batch by batch.
+    5. Repeated windows go back to their texts, which are cut and hashed. Texts without any are hashed where they are.
 
     Null texts are empty, texts under 400 bytes stay as they are, repeated rows are copies of each other
     whatever their ids, and an empty table gives no row.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"))
     rows = rows.withColumn("print", F.unhex(F.md5(F.col("text").cast("binary"))))
-    texts = write_shared(rows.groupBy("print").agg(F.any_value("text").alias("text"), F.count("*").alias("copies")), "repeat-texts")
+    copied = write_shared(rows.groupBy("print").agg(F.count("*").alias("copies")).where("copies > 1"), "repeat-copied")
+    long = marked(rows.where(F.octet_length("text") >= MATCH), copied, "print")
+    several = long.where("met").groupBy("print").agg(F.any_value("text").alias("text"), F.count("*").alias("copies"))
+    texts = long.where("NOT met").select("print", "text", F.lit(1).cast("bigint").alias("copies")).unionByName(several)
+    texts = write_shared(texts, "repeat-texts")
     found = write_shared(text_segments(texts), "repeat-segments")
-    twice = repeated_keys(found)
-    wanted = found.join(twice.where(f"n <= {SHARED_BY}").select("key"), "key", "left_semi")
-    hot, span = twice.where(f"n > {SHARED_BY}"), 256
-    source, waiting = found, not hot.isEmpty()
+
+    def whole(stretches: DataFrame) -> DataFrame:
+        return stretches.where("places > 1").select("key", "mark", F.lit(0).cast("bigint").alias("low"), (F.col("last") - F.col("first")).alias("high"))
+
+    stretches, keys = distinct_stretches(found)
+    stretches = stretches.select("*", F.col("key").alias("home_key"), F.col("mark").alias("home_mark"), F.lit(0).cast("bigint").alias("shift"))
+    known = whole(stretches)
+    wanted = only_met(stretches, keys.where(f"n <= {SHARED_BY}"), "key")
+    hot, span = keys.where(f"n > {SHARED_BY}"), 256
+    pieces, waiting = None, not hot.isEmpty()
     while waiting:
-        parts = write_shared(halved(source, texts, hot, span), "repeat-halves")
-        twice = repeated_keys(parts)
+        parts = write_shared(halved(only_met(stretches, hot, "key"), texts, span), "repeat-halves")
+        stretches, keys = distinct_stretches(parts)
         small = F.lit(True) if span == 1 else F.col("n") <= SHARED_BY
-        wanted = wanted.unionByName(parts.join(twice.where(small).select("key"), "key", "left_semi").select(*wanted.columns))
-        hot, source, span = twice.where(~small), parts, span // 2
+        homes = parts.select("key", "mark", "home_key", "home_mark", "shift")
+        pieces = homes if pieces is None else pieces.unionByName(homes)
+        known = known.unionByName(whole(stretches))
+        wanted = wanted.unionByName(only_met(stretches, keys.where(small), "key"))
+        hot, span = keys.where(~small), span // 2
         waiting = span >= 1 and not hot.isEmpty()
-    placed = write_shared(context_rows(texts, wanted), "repeat-stretches")
-    distinct = placed.groupBy("key", "mark").agg(F.count("*").alias("places"), F.any_value("stretch").alias("stretch"))
-    distinct = write_shared(distinct, "repeat-distinct")
-    known = distinct.where("places > 1").select(F.col("mark"), F.lit(0).cast("bigint").alias("low"), (F.octet_length("stretch") - MATCH).cast("bigint").alias("high"))
+    distinct = write_shared(stretches_of(texts, wanted), "repeat-distinct")
     parts = max(8, -(-distinct.count() // ROWS_PER_PART))
     dealt = distinct.select(
-        F.pmod(F.xxhash64("key"), F.lit(4 * parts)).cast("int").alias("bucket"), F.pmod(F.xxhash64("mark"), F.lit(BATCHES)).cast("int").alias("batch"), "mark", "stretch"
-    ).repartition(parts, "bucket").sortWithinPartitions("bucket", "batch", "mark")
-    runs = write_shared(repeated_windows(dealt).unionByName(known), "repeat-runs").distinct()
-    spans = placed.select("print", "first", "mark").join(runs, "mark").select(
-        "print", (F.col("first") + F.col("low")).alias("low"), (F.col("first") + F.col("high")).alias("high")
+        F.pmod(F.xxhash64("key"), F.lit(4 * parts)).cast("int").alias("bucket"), F.pmod(F.xxhash64("mark"), F.lit(BATCHES)).cast("int").alias("batch"), "key", "mark", "stretch"
+    ).repartition(parts, "bucket").sortWithinPartitions("bucket", "batch", "key", "mark")
+    runs = write_shared(repeated_windows(dealt).unionByName(known), "repeat-runs")
+    if pieces is not None:
+        at_home = marked(pieces, runs, "key").where("met").join(runs, ["key", "mark"]).select(
+            F.col("home_key").alias("key"), F.col("home_mark").alias("mark"), (F.col("low") + F.col("shift")).alias("low"), (F.col("high") + F.col("shift")).alias("high")
+        )
+        runs = runs.unionByName(at_home)
+    name = F.struct("key", "mark").alias("stretch")
+    runs = write_shared(runs.groupBy(name).agg(F.collect_set(F.struct("low", "high")).alias("runs")), "repeat-runs-by-stretch")
+    placed = with_groups(found.select("print", "first", name), runs, "stretch", ("print", "first")).where("runs IS NOT NULL")
+    spans = placed.select("print", "first", F.explode("runs").alias("run")).select(
+        "print", (F.col("first") + F.col("run.low")).alias("low"), (F.col("first") + F.col("run.high")).alias("high")
+    )
+    gone = texts.where("copies > 1").select(
+        "print", F.octet_length("text").cast("bigint").alias("n_removed"), F.lit(1).cast("bigint").alias("n_spans"), F.sha2(F.lit(""), 256).alias("kept_sha256")
     )
-    cut = write_shared(cut_texts(texts, spans), "repeat-cut")
-    return rows.select("doc_id", "print", F.octet_length("text").cast("bigint").alias("n_bytes")).join(cut, "print").select(
-        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"
+    cut = write_shared(cut_texts(texts.where("copies = 1"), spans).unionByName(gone), "repeat-cut")
+    untouched = rows.select("doc_id", "print", F.octet_length("text").cast("bigint").alias("n_bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("whole_sha256"))
+    return with_groups(untouched, cut, "print", ("doc_id",)).select(
+        "doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0)).alias("n_removed"), F.coalesce("n_spans", F.lit(0)).alias("n_spans"),
+        F.coalesce("kept_sha256", "whole_sha256").alias("kept_sha256"),
     )
