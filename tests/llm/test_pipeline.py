@@ -21,4 +21,4 @@ def test_run_gives_packed_pieces(spark, sf_dir, odd):
 
 
 def test_names():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
