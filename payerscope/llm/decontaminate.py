@@ -15,6 +15,7 @@ from .common import small_slices, text_or_empty
 ERROR_RATE = 0.1
 MIN_ITEM_CHARS = 20
 ITEMS_PER_BLOCK = 20_000
+CHARS_PER_BLOCK = 8_000_000
 
 SCHEMA = "doc_id bigint, item_id bigint, distance bigint, item_chars bigint, end bigint"
 
@@ -50,6 +51,13 @@ def beside(text: str, end: int, size: int, right: int, other: str | None) -> boo
     return any(text.startswith(other[half:], at) for at in (end + half - 1, end + half, end + half + 1))
 
 
+def at_words(text: str, start: int, end: int) -> bool:
+    """Whether a stretch neither begins nor ends inside a word."""
+    left = start > 0 and text[start - 1].isalnum() and text[start].isalnum()
+    right = end < len(text) and text[end].isalnum() and text[end - 1].isalnum()
+    return not left and not right
+
+
 class EditPattern:
     """Myers' bit-parallel search: smallest edit distance of a pattern to any stretch of a text."""
 
@@ -85,17 +93,17 @@ class EditPattern:
 
 
 class Block:
-    """A bounded block of benchmark items with one automaton over all their pieces."""
+    """A bounded block of benchmark items with one automaton over all their pieces; short items are one piece."""
 
     def __init__(self, items: list[tuple[int, str]], rate: float):
         import ahocorasick
 
-        self.whole: dict[str, list[int]] = {}
-        self.items: dict[int, tuple[int, str, int, EditPattern]] = {}
+        self.items: dict[int, tuple[int, str, int, EditPattern | None]] = {}
         places: dict[str, list[tuple]] = {}
         for n, (item, text) in enumerate(items):
             if len(text) < MIN_ITEM_CHARS:
-                self.whole.setdefault(text, []).append(item)
+                self.items[n] = (item, text, 0, None)
+                places.setdefault(text, []).append((n, len(text), len(text), 0, None))
                 continue
             budget = int(rate * len(text))
             self.items[n] = (item, text, budget, EditPattern(text))
@@ -112,14 +120,19 @@ class Block:
 
     def find(self, text: str) -> list[tuple[int, int, int, int]]:
         """(item_id, distance, item length, end) of every item within its budget, once per document."""
-        found = [(item, 0, len(text), len(text)) for item in self.whole.get(text, [])]
+        found = []
         if self.empty:
             return found
         starts: dict[int, list[int]] = {}
+        exact: dict[int, int] = {}
         for last, places in self.automaton.iter(text):
             for n, ahead, size, right, other in places:
-                if beside(text, last + 1, size, right, other):
+                if self.items[n][3] is None:
+                    if n not in exact and at_words(text, last + 1 - size, last + 1):
+                        exact[n] = last + 1
+                elif beside(text, last + 1, size, right, other):
                     starts.setdefault(n, []).append(last + 1 - ahead)
+        found.extend((self.items[n][0], 0, len(self.items[n][1]), end) for n, end in exact.items())
         for n, near in starts.items():
             item, own, budget, pattern = self.items[n]
             near.sort()
@@ -142,16 +155,19 @@ class Block:
 
 
 def item_blocks(benchmark: DataFrame, rate: float, per_block: int) -> Iterator[list[tuple[int, str]]]:
-    """Distinct items in blocks of bounded size."""
+    """Distinct items in blocks that are bounded in items and in characters (but for one longer item alone)."""
     rows = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), text_or_empty().alias("text")).distinct()
     block: list[tuple[int, str]] = []
+    chars = 0
     for row in rows.toLocalIterator():
         text = plain(row["text"])
-        if text:
-            block.append((row["item_id"], text))
-        if len(block) == per_block:
+        if not text:
+            continue
+        if block and (len(block) == per_block or chars + len(text) > CHARS_PER_BLOCK):
             yield block
-            block = []
+            block, chars = [], 0
+        block.append((row["item_id"], text))
+        chars += len(text)
     if block:
         yield block
 
@@ -165,8 +181,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, per_b
     stretch around each hit is verified. The benchmark is read in blocks of ``per_block`` items; each block is
     shared with all tasks and held against all documents, so its size is bounded whatever the benchmark's.
 
-    Null texts are empty and match nothing; items of under 20 characters match only a document that is the
-    item; repeated documents give repeated rows; several places of one item in a document give the best one.
+    Null texts are empty and match nothing; items of under 20 characters are found without edits and only between
+    word boundaries; repeated documents give repeated rows; several places of one item in a document give the best one.
     """
     source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"))
     spark = docs.sparkSession

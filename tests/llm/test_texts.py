@@ -204,6 +204,24 @@ def test_leaks_equal_brute_force(spark, tables, odd, nothing):
     assert decontaminate.leaks(nothing, bench).count() == 0 and decontaminate.leaks(docs, bench.limit(0)).count() == 0
 
 
+def test_short_items_are_found_between_words(spark):
+    rows = ["see short item 12345 here", "Short  ITEM 12345", "short item 123456", "ashort item 12345", "(short item 12345)", "x c++ y", "xc++", "c+ +", None, ""]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")
+    bench = spark.createDataFrame([(1, "short item 12345"), (2, "short item 12345"), (3, "C++"), (4, " "), (5, None)], "item_id bigint, text string")
+    want = {(d, i, 0) for d in (0, 1, 4) for i in (1, 2)} | {(5, 3, 0)}
+    for block in (20_000, 1):
+        got = decontaminate.leaks(docs, bench, per_block=block).collect()
+        assert {(r["doc_id"], r["item_id"], r["distance"]) for r in got} == want and len(got) == len(want)
+        assert {r["doc_id"] for r in decontaminate.without_leaks(docs, bench, per_block=block).collect()} == {2, 3, 6, 7, 8, 9}
+
+
+def test_blocks_are_bounded_in_characters(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "CHARS_PER_BLOCK", 100)
+    bench = spark.createDataFrame([(n, f"{n} " + "x" * (30 if n else 400)) for n in range(10)], "item_id bigint, text string")
+    blocks = list(decontaminate.item_blocks(bench, 0.1, 1000))
+    assert sum(map(len, blocks)) == 10 and all(len(b) == 1 or sum(len(t) for _, t in b) <= 100 for b in blocks)
+
+
 RULES = [
     ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
     ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(int(p) <= 255 for p in m.split("."))),
