@@ -11,13 +11,14 @@ from __future__ import annotations
 import struct
 import uuid
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_folder, write_shared
@@ -25,7 +26,8 @@ from . import vocab
 from .common import small_slices, text_or_empty
 
 END_ID = 1
-DOCS_PER_SHARD = 20_000
+BYTES_PER_SHARD = 32 << 20
+BYTES_PER_MARK = 2048
 SAMPLE_EVERY = 256
 MAGIC = b"EFTOKEN1"
 HEADER = struct.Struct("<8sQQQQQQ")
@@ -158,43 +160,70 @@ class ShardReader:
         return np.frombuffer(self._at(self.first + 2 * a, 2 * (b - a)), vocab.ID_TYPE)
 
 
-def shard_starts(docs: DataFrame, docs_per_shard: int) -> list[int]:
-    """The smallest doc_id of every shard but the first: one number a shard comes to the driver."""
-    keys = docs.select(F.col("doc_id").cast("bigint")).where("doc_id IS NOT NULL")
-    shards = max(1, -(-keys.count() // docs_per_shard))
+def order_key() -> list[Column]:
+    """Order of rows in the files: doc_id (none first), then a hash of the text, then one of the row's place.
+
+    So neither the rows without a doc_id nor copies of one row have to lie in one shard.
+    """
+    return [
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text_or_empty()).alias("print"),
+        F.xxhash64(F.monotonically_increasing_id()).alias("place"),
+    ]
+
+
+def as_tuple(doc_id: int | None, print_: int, place: int) -> tuple:
+    return (doc_id is not None, doc_id or 0, print_, place)
+
+
+def shard_starts(docs: DataFrame, bytes_per_shard: int) -> list[tuple]:
+    """The smallest key of every shard but the first: one key a shard comes to the driver.
+
+    Each document stands in the range partitioning once and once more for every 2,048 bytes of its text, so
+    shards get about as many bytes whatever the lengths. A document lies in one shard, so one that is longer than
+    a shard makes a longer one.
+    """
+    weight = F.octet_length(text_or_empty()) + F.lit(8)
+    marks = docs.select(*order_key(), weight.alias("weight"))
+    total = docs.agg(F.sum(weight.cast("bigint"))).first()[0] or 0
+    shards = max(1, -(-total // bytes_per_shard))
     if shards == 1:
         return []
-    ranged = keys.repartitionByRange(shards, "doc_id")
-    lows = ranged.groupBy(F.spark_partition_id().alias("p")).agg(F.min("doc_id").alias("low")).collect()
-    return sorted(row["low"] for row in lows)[1:]
+    step = max(1, min(BYTES_PER_MARK, bytes_per_shard // 8))
+    ranged = marks.withColumn("n", F.explode(F.expr(f"sequence(0, int(weight div {step}))"))).repartitionByRange(
+        shards, F.col("doc_id").asc_nulls_first(), "print", "place"
+    )
+    key = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "print", "place")
+    lows = ranged.groupBy(F.spark_partition_id().alias("p")).agg(F.min(key).alias("low")).select("low.*").collect()
+    return sorted({as_tuple(row["doc_id"], row["print"], row["place"]) for row in lows})[1:]
 
 
-def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str | None = None, docs_per_shard: int = DOCS_PER_SHARD) -> DataFrame:
+def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str | None = None, bytes_per_shard: int = BYTES_PER_SHARD) -> DataFrame:
     """Encode all texts and write them to ``folder`` in ascending doc_id; returns (shard, path, n_docs, n_ids, base).
 
     ``folder`` must be in a store that every executor reaches. Ids are encoded before they move, two bytes
     each, and move once, straight to their shard. A repeated task writes a draft of its own and renames it,
-    so a lost executor leaves no half shard. Rows with the same doc_id lie beside each other in the order of
-    their texts' hashes; rows without a doc_id come first. An empty table writes one empty shard at most.
+    so a lost executor leaves no half shard. Shards hold about ``bytes_per_shard`` of text. Rows with the same
+    doc_id lie beside each other in the order of their texts' hashes, and may fall in several shards; rows without a
+    doc_id come first. Give the function a written table: its splits must read the same twice. An empty table writes
+    one empty shard at most.
     """
     path = tokenizer_path or vocab.path_of("word_bpe_49k.json")
-    starts = shard_starts(docs, docs_per_shard)
-    bounds = np.array(starts, np.int64)
+    starts = shard_starts(docs, bytes_per_shard)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = vocab.word_bpe(path).encode
         end = np.array([END_ID], vocab.ID_TYPE).tobytes()
         for batch in small_slices(batches):
-            keys = np.array([-(1 << 63) if k is None else k for k in batch.column(0).to_pylist()], np.int64)
-            shard = np.searchsorted(bounds, keys, side="right").astype(np.int32)
-            ids = pa.array([raw + end for raw in coder(batch.column(1).to_pylist())], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shard), ids], names=["doc_id", "shard", "ids"])
+            keys = map(as_tuple, *(column.to_pylist() for column in batch.columns[:3]))
+            shard = pa.array([bisect_right(starts, key) for key in keys], pa.int32())
+            ids = pa.array([raw + end for raw in coder(batch.column(3).to_pylist())], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], shard, ids], names=["doc_id", "print", "place", "shard", "ids"])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer, name, shard = None, "", 0
         attempt = f"draft-{TaskContext.get().taskAttemptId()}"
         for batch in batches:
-            for key, number, raw in zip(*(column.to_pylist() for column in batch.columns)):
+            for key, number, raw in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "shard", "ids"))):
                 if writer is None:
                     shard, name = number, f"{folder}/shard-{number:08d}.tok"
                     writer = ShardWriter(name, attempt)
@@ -209,10 +238,10 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str | None =
     store, where = opened(folder)
     store.create_dir(where, recursive=True)
     moved = (
-        docs.select(F.col("doc_id").cast("bigint"), text_or_empty().alias("text"))
-        .mapInArrow(encode, "doc_id bigint, shard int, ids binary")
+        docs.select(*order_key(), text_or_empty().alias("text"))
+        .mapInArrow(encode, "doc_id bigint, print bigint, place bigint, shard int, ids binary")
         .repartitionById(len(starts) + 1, F.col("shard"))
-        .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("ids"), "ids")
+        .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "print", "place")
     )
     manifest = write_shared(moved.mapInArrow(write, "shard int, path string, n_docs bigint, n_ids bigint"), "token-shards")
     rows, base, out = manifest.orderBy("shard").collect(), 0, []
