@@ -14,6 +14,7 @@ from .common import connected_components, mix
 
 THRESHOLD = 0.93
 SHARD_ROWS = 8192
+SHARDS_PER_TASK = 8
 LINKS, BASE_LINKS = 16, 32
 BUILD_BEAM, FIRST_BEAM, EXPAND = 48, 32, 4
 INSERT_ROWS, QUERY_ROWS = 512, 256
@@ -229,7 +230,8 @@ def shard_links(rows: DataFrame, threshold: float) -> DataFrame:
         )
 
     class Shard:
-        def __init__(self):
+        def __init__(self, first: bool):
+            self.first = first  # of the tasks that load this shard, one finds the links inside it
             self.rows, self.copies, self.vectors, self.graph = [], [], [], None
 
         def add(self, rows, copies, vectors):
@@ -242,6 +244,8 @@ def shard_links(rows: DataFrame, threshold: float) -> DataFrame:
                 self.graph = SmallWorld(self.exact)
                 self.groups = Groups(len(self.rows))
                 self.seen = np.zeros(len(self.rows), np.int64)
+                if not self.first:
+                    return
                 own = np.zeros(len(self.rows), np.int64)
                 for at in range(0, len(self.rows), QUERY_ROWS):
                     part = np.arange(at, min(at + QUERY_ROWS, len(self.rows)))
@@ -292,7 +296,7 @@ def shard_links(rows: DataFrame, threshold: float) -> DataFrame:
                 if parts[a] != part:
                     if shard is not None:
                         yield from shard.close()
-                    part, shard = parts[a], Shard()
+                    part, shard = parts[a], Shard(parts[a].startswith("0:"))
                 # the vectors of a part have one width, those of a batch need not
                 flat = column.slice(a, b - a).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
                 vectors = unit(flat.reshape(b - a, -1))
@@ -312,8 +316,10 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, shard_rows: i
     """vec_id, n_links, component_id, kept for each row, comparing rows of equal, non-null label.
 
     Equal vectors of a label are one node with a number of copies. A label's nodes are dealt to shards of
-    about ``shard_rows``; a graph is built in each, and a shard is searched by the nodes of itself and of the
-    shards before it, so every pair meets once. Queries stream through a task; a task holds one shard.
+    about ``shard_rows``; a graph is built in each. Shards lie on a ring: a shard's nodes are sent to itself and to
+    the next half of the ring, so every pair of shards meets once and every shard is asked by as many. The queries
+    of a shard are dealt to tasks of ``SHARDS_PER_TASK`` asking shards each, which load it anew, so no task's work grows
+    with its label. Queries stream through a task; a task holds one shard.
 
     Vectors that are null, empty, zero, or hold null or non-finite parts, and rows without a label, link with
     nothing. Repeated rows count as different vectors. A null vec_id takes part and is null in the result; its
@@ -337,11 +343,19 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, shard_rows: i
     nodes = write_shared(nodes, "vector-nodes")
     sizes = nodes.groupBy("family").agg(F.ceil(F.count("*") / shard_rows).cast("int").alias("shards"))
     dealt = nodes.join(sizes, "family").withColumn("shard", F.pmod(F.xxhash64("row"), F.col("shards")).cast("int"))
-    asked = dealt.select(
-        "row", "copies", "vector", "family", "shard", F.explode(F.sequence("shard", F.col("shards") - 1)).alias("to")
-    ).select(
-        F.concat_ws(":", "to", "family").alias("part"), (F.col("to") != F.col("shard")).cast("int").alias("role"), "row", "copies", "vector"
+    # steps 1 .. (S - 1) / 2 along the ring, and S / 2 for the first half of an even ring
+    reach = F.expr("int((shards - 1) div 2) + int(shards % 2 = 0 and shard < shards div 2)")
+    tasks = F.greatest(F.lit(1), F.ceil(F.expr("shards div 2") / F.lit(SHARDS_PER_TASK))).cast("int")
+    loaded = dealt.withColumn("salt", F.explode(F.sequence(F.lit(0), tasks - 1))).select(
+        F.concat_ws(":", "salt", "shard", "family").alias("part"), F.lit(0).alias("role"), "row", "copies", "vector"
     )
+    sent = (
+        dealt.withColumn("reach", reach).where("reach > 0").withColumn("step", F.explode(F.expr("sequence(1, reach)")))
+        .withColumn("salt", F.expr(f"(step - 1) div {SHARDS_PER_TASK}"))
+        .withColumn("to", F.expr("(shard + step) % shards"))
+        .select(F.concat_ws(":", "salt", "to", "family").alias("part"), F.lit(1).alias("role"), "row", "copies", "vector")
+    )
+    asked = loaded.unionByName(sent)
     found = write_shared(
         shard_links(asked.repartition("part").sortWithinPartitions("part", "role", "row"), threshold), "vector-links"
     )
