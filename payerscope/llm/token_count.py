@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import ast
 import gc
 from collections.abc import Iterator
 from functools import lru_cache
 from sys import intern
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import write_shared
 from . import vocab
 from .common import small_slices, text_or_empty
 
@@ -146,6 +148,10 @@ class Transducer:
                 gc.collect()
         return state, count
 
+    def state_of(self, key: str) -> State:
+        """The state that ``State.key`` names."""
+        return self.state(*ast.literal_eval(key))
+
     def count(self, text: str) -> int:
         return self.run(text, self.start, 1)[1] if text else 0
 
@@ -155,24 +161,29 @@ def transducer(model_path: str) -> Transducer:
     return Transducer(model_path)
 
 
+START = "start"
+MAP_SCHEMA = "row bigint, doc_id bigint, chunk int, enter string, leave string, n bigint, bytes bigint"
+
+
 def chunk_maps(chunks: DataFrame, path: str) -> DataFrame:
-    """The state map of each chunk: the state it was entered in, the state it leaves, the tokens between.
+    """One entry of each chunk's state map: the state it is entered in, the state it leaves, the tokens between.
 
-    A chunk behind the first is entered in the state that its last 64 characters of left context lead to.
+    ``chunks`` names the state to enter in; where it is null, it is the one that the last 64 characters of left
+    context (``lead``) lead to. The first chunk of a text is entered in ``START``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = transducer(path)
         for batch in small_slices(batches):
-            rows = {name: batch.column(name).to_pylist() for name in ("chunk", "lead", "text")}
+            rows = (batch.column(name).to_pylist() for name in ("enter", "lead", "text"))
             enter, leave, counts, sizes = [], [], [], []
-            for chunk, lead, text in zip(rows["chunk"], rows["lead"], rows["text"]):
-                if chunk:
-                    state, count = machine.run(lead, machine.root)[0], 0
-                    enter.append(state.key())
-                else:
+            for known, lead, text in zip(*rows):
+                if known == START:
                     state, count = machine.start, 1 if text else 0
-                    enter.append(None)
+                else:
+                    state, count = machine.state_of(known) if known else machine.run(lead, machine.root)[0], 0
+                    known = state.key()
+                enter.append(known)
                 state, count = machine.run(text, state, count)
                 leave.append(state.key())
                 counts.append(count)
@@ -181,18 +192,58 @@ def chunk_maps(chunks: DataFrame, path: str) -> DataFrame:
                        pa.array(leave, pa.string()), pa.array(counts, pa.int64()), pa.array(sizes, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "chunk", "enter", "leave", "n", "bytes"])
 
-    return chunks.select("row", "doc_id", "chunk", "lead", "text").mapInArrow(
-        run, "row bigint, doc_id bigint, chunk int, enter string, leave string, n bigint, bytes bigint"
+    return chunks.select("row", "doc_id", "chunk", "enter", "lead", "text").mapInArrow(run, MAP_SCHEMA)
+
+
+def unmet_states(maps: DataFrame) -> DataFrame:
+    """(row, chunk, enter): states that some entry of the chunk before leaves and for which a chunk has no entry yet."""
+    last = maps.groupBy("row").agg(F.max("chunk").alias("last"))
+    left = maps.join(last, "row").where("chunk < last").select("row", (F.col("chunk") + 1).alias("chunk"), F.col("leave").alias("enter"))
+    return left.distinct().join(maps.select("row", "chunk", "enter"), ["row", "chunk", "enter"], "left_anti")
+
+
+def closed_maps(cut: DataFrame, path: str) -> DataFrame:
+    """Entries of all chunks' state maps such that every state that a chunk leaves is an entry of the next one.
+
+    All chunks are first entered in a guessed state, at once. Every round then adds the entries that are missing,
+    for all chunks at once; a round completes at least one more chunk of each text, so there are fewer rounds than
+    chunks in a text (64), and none where all guesses are right. Only texts with a missing entry are read again, and
+    once: their chunks are written for the rounds.
+    """
+    maps = write_shared(chunk_maps(cut, path), "chunk-maps")
+    held = None
+    while True:
+        unmet = write_shared(unmet_states(maps), "chunk-states")
+        if unmet.isEmpty():
+            return maps
+        if held is None:
+            held = write_shared(cut.drop("enter").join(unmet.select("row").distinct(), "row", "left_semi"), "chunks")
+        more = chunk_maps(held.join(unmet, ["row", "chunk"]).repartition("row", "chunk", "enter"), path)
+        maps = write_shared(maps.unionByName(more), "chunk-maps")
+
+
+def composed_maps(maps: DataFrame) -> DataFrame:
+    """doc_id, bytes, n of each text: its chunks' maps applied one after the other to the start state."""
+    steps = F.array_sort(F.collect_list(F.struct("chunk", "enter", "leave", "n", "bytes")))
+    walk = F.aggregate(
+        F.col("steps"),
+        F.struct(F.lit(0).alias("chunk"), F.lit(START).alias("state"), F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("bytes")),
+        lambda at, step: F.when(
+            (step["chunk"] == at["chunk"]) & (step["enter"] == at["state"]),
+            F.struct((at["chunk"] + 1).alias("chunk"), step["leave"].alias("state"), (at["n"] + step["n"]).alias("n"), (at["bytes"] + step["bytes"]).alias("bytes")),
+        ).otherwise(at),
     )
+    return maps.groupBy("row").agg(F.first("doc_id").alias("doc_id"), steps.alias("steps")).select("doc_id", walk.alias("end")).select("doc_id", "end.bytes", "end.n")
 
 
 def count_tokens(docs: DataFrame, model_path: str | None = None, limit: int = LIMIT) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit for each row; a null text counts as empty.
 
     Texts of up to 32,768 characters are counted where they are read. Longer ones are cut in at most 64
-    chunks that are dealt over the cluster; their state maps are composed by a scan over the chunks of a
-    text: a chunk's entry state has to equal the state that the chunk before it leaves. Where a seam does
-    not match (long runs of one character), the text is counted again from its start in one piece.
+    chunks that are dealt over the cluster; each chunk's map from the state it is entered in to the state it
+    leaves and its tokens is found for the states that can occur, and the maps of a text are composed. A chunk is
+    first entered in a guessed state; where guesses do not match (long runs of one character), only the entries
+    that are missing are computed, never the whole text in one task.
 
     Rows are told apart by their place in the input, so repeated rows and repeated or null ids stay; an
     empty table gives no row. Give the function a written table: its splits must read the same twice.
@@ -201,15 +252,16 @@ def count_tokens(docs: DataFrame, model_path: str | None = None, limit: int = LI
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text")
     ).withColumn("letters", F.length("text"))
-    none = F.lit("").alias("lead")
-    short = rows.where(F.col("letters") <= CHUNK).select("row", "doc_id", F.lit(0).alias("chunk"), none, "text")
+    short = rows.where(F.col("letters") <= CHUNK).select(
+        "row", "doc_id", F.lit(0).alias("chunk"), F.lit(START).alias("enter"), F.lit("").alias("lead"), "text"
+    )
     long = rows.where(F.col("letters") > CHUNK)
     size = F.greatest(F.lit(CHUNK), F.ceil(F.col("letters") / CHUNKS_PER_TEXT)).cast("int")
     cut = (
         long.withColumn("size", size)
         .withColumn("chunk", F.explode(F.sequence(F.lit(0), (F.ceil(F.col("letters") / F.col("size")) - 1).cast("int"))))
         .select(
-            "row", "doc_id", "chunk",
+            "row", "doc_id", "chunk", F.when(F.col("chunk") == 0, START).alias("enter"),
             F.when(F.col("chunk") == 0, "").otherwise(
                 F.expr(f"substring(text, chunk * size + 1 - {WARM_UP}, {WARM_UP})")
             ).alias("lead"),
@@ -217,18 +269,5 @@ def count_tokens(docs: DataFrame, model_path: str | None = None, limit: int = LI
         )
         .repartition("row", "chunk")
     )
-    scan = Window.partitionBy("row").orderBy("chunk")
-    composed = (
-        chunk_maps(cut, path)
-        .withColumn("sound", (F.col("chunk") == 0) | (F.col("enter") == F.lag("leave").over(scan)))
-        .groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.sum("n").alias("n"), F.sum("bytes").alias("bytes"), F.min("sound").alias("sound"))
-    )
-    again = chunk_maps(
-        long.join(composed.where(~F.col("sound")).select("row"), "row", "left_semi")
-        .select("row", "doc_id", F.lit(0).alias("chunk"), none, "text"), path,
-    )
-    parts = [chunk_maps(short, path), composed.where("sound"), again]
-    found = parts[0].select("doc_id", "bytes", "n")
-    for part in parts[1:]:
-        found = found.unionByName(part.select("doc_id", "bytes", "n"))
-    return found.select("doc_id", F.col("bytes").alias("n_bytes"), F.col("n").alias("n_tokens"), (F.col("n") > limit).alias("over_limit"))
+    counted = chunk_maps(short, path).select("doc_id", "bytes", "n").unionByName(composed_maps(closed_maps(cut, path)))
+    return counted.select("doc_id", F.col("bytes").alias("n_bytes"), F.col("n").alias("n_tokens"), (F.col("n") > limit).alias("over_limit"))

@@ -57,6 +57,18 @@ def test_token_counts_of_long_texts(spark, odd, nothing):
     assert token_count.count_tokens(nothing).count() == 0
 
 
+def test_seams_that_do_not_match_are_composed(spark, monkeypatch):
+    import sentencepiece
+
+    path = vocab.path_of("piece_bpe_32k.model")
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    monkeypatch.setattr(token_count, "CHUNK", 100)
+    texts = ["=" * 1517, " " * 999, "-" * 333 + "=" * 800 + "x " * 200, "lorem ipsum " * 90, "=" * 100, "*" * 101]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = sorted(tuple(r)[:3] for r in token_count.count_tokens(docs).collect())
+    assert got == [(i, len(t), len(model.encode(t))) for i, t in enumerate(texts)]
+
+
 def ids_of(text, name, end):
     return np.array([*vocab.library(vocab.path_of(name)).encode(text or "", add_special_tokens=False).ids, end], "<u4")
 
@@ -114,7 +126,7 @@ def test_elias_fano_gives_every_value():
 
 def test_token_files_round_trip(spark, tables, odd, nothing, tmp_path):
     docs = tables("documents").select("doc_id", "text").limit(70).unionByName(odd.where("doc_id IS NULL OR doc_id <> 3").selectExpr("doc_id + 1000000 AS doc_id", "text"))
-    manifest = token_files.write_token_files(docs, str(tmp_path / "out"), docs_per_shard=20)
+    manifest = token_files.write_token_files(docs, str(tmp_path / "out"), bytes_per_shard=6000)
     got = {r["doc_id"]: r for r in token_files.read_token_files(manifest).collect()}
     assert manifest.count() > 2 and not [p for p in (tmp_path / "out").iterdir() if "draft" in p.name]
     start = 0
@@ -130,6 +142,22 @@ def test_token_files_round_trip(spark, tables, odd, nothing, tmp_path):
     assert token_files.encode_to_files(spark, nothing).count() == 0
 
 
+def test_rows_of_one_doc_id_and_long_texts_are_split(spark, odd, tmp_path):
+    rows = [(None, f"no id {n % 3} of these rows") for n in range(150)] + [(7, f"one id for text {n}") for n in range(150)]
+    rows += [(9, "a text longer than a shard " * 60)] * 2 + [(11, "the last")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    manifest = token_files.write_token_files(docs, str(tmp_path / "out"), bytes_per_shard=1000)
+    got = token_files.read_token_files(manifest).collect()
+    sizes = [len(ids_of(text, "word_bpe_49k.json", 1)) for _, text in rows]
+    assert manifest.agg({"n_ids": "max"}).first()[0] <= 2 * max(sizes) + 300
+    assert len({r["shard"] for r in got if r["doc_id"] is None}) > 2 and len({r["shard"] for r in got if r["doc_id"] == 7}) > 2
+    want = sorted((d or -1, zlib.crc32(ids_of(text, "word_bpe_49k.json", 1).tobytes())) for d, text in rows)
+    assert sorted((r["doc_id"] or -1, r["ids_crc32"]) for r in got) == want
+    got.sort(key=lambda r: r["start"])
+    assert [r["start"] for r in got] == np.cumsum([0, *(r["n_tokens"] for r in got)])[:-1].tolist() and sum(sizes) == got[-1]["start"] + got[-1]["n_tokens"]
+    assert [r["doc_id"] or -1 for r in got] == sorted(r["doc_id"] or -1 for r in got)
+
+
 def by_hand(rows):
     """n_links and component of each row by comparing all pairs."""
     unit = {}
@@ -149,7 +177,7 @@ def by_hand(rows):
     return sorted(out)
 
 
-@pytest.mark.parametrize("shard_rows", [8192, 60])
+@pytest.mark.parametrize("shard_rows", [8192, 60, 50, 6])
 def test_vectors_equal_brute_force(spark, odd, shard_rows):
     rng = np.random.default_rng(3)
     rows, centres = [], rng.normal(size=(12, 16))
