@@ -55,3 +55,53 @@ def test_wide_projections_run_compiled(spark, tables):
     build.extract(spark, tables)
     assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "12345"
     spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
+
+
+def test_the_extract_is_sorted_as_lines_and_not_as_texts(spark, tables):
+    star = build.extract_star(spark, tables)
+    assert "Sort" not in plan_of(build.loose_extract(build.sorted_lines(spark, tables))).splitlines()[0]
+    sort = plan_of(build.loose_extract(build.sorted_lines(spark, tables))).split("Sort [", 1)
+    assert "free text" in sort[0] and "free text" not in sort[1]  # texts are made above the sort
+    numbers = [(r["claim_key"], r["claim_id"]) for r in star["_numbered"].orderBy("claim_key").collect()]
+    assert [k for k, _ in numbers] == list(range(1, 14)) and [c for _, c in numbers] == sorted(c for _, c in numbers)
+    assert star["fact_claim"].count() == 13 and star["fact_claim"].where("member_key is null or provider_key is null").count() == 0
+    assert "Sort [" not in plan_of(star["_cells"]) and "_rows" in star and "Sort [" not in plan_of(star["_rows"])
+
+
+def test_claims_move_without_texts_to_their_members(spark, tables):
+    from payerscope.sources import claims_file
+
+    star = build.extract_star(spark, tables)
+    plan = plan_of(claims_file.claim_fact(star["_rows"], star))
+    joins = [line for line in plan.splitlines() if "Join LeftOuter" in line]
+    assert "member_id" in joins[0] and "diagnosis_group" not in plan[:plan.index(joins[1])].split("Project")[-1]
+
+
+def test_ids_are_joined_by_their_counted_size(spark):
+    from payerscope.functions.ranking import small_side
+
+    rows = spark.range(3)
+    assert "broadcast" in plan_of(rows.join(small_side(rows), "id")) and "broadcast" not in plan_of(rows.join(small_side(rows, 2), "id"))
+
+
+def test_a_split_is_summed_up_line_by_line_only_where_quotes_are(monkeypatch):
+    import pyarrow as pa
+
+    from payerscope.sources import csv_scan
+
+    lines = ['a,b', '', 'x,"open', 'inside', ' ', 'end",y', 'z,1', '"q""",2', 'last,"un']
+    seen, real = [], csv_scan.left_open
+    monkeypatch.setattr(csv_scan, "left_open", lambda line, inside: seen.append(line) or real(line, inside))
+    batch = pa.RecordBatch.from_pydict({"file": ["f"] * len(lines), "block": [0] * len(lines), "value": lines})
+    got = next(csv_scan.summarize(iter([batch.slice(0, 4), batch.slice(4)]))).to_pylist()[0]
+    want = []
+    for inside in (False, True):
+        starts = 0
+        for line in lines:
+            starts += not inside and bool(line.strip())
+            inside = real(line, inside)
+        want.append((inside, starts))
+    assert [(got["end_0"], got["starts_0"]), (got["end_1"], got["starts_1"])] == want
+    assert set(seen) == {line for line in lines if '"' in line}
+    few = pa.RecordBatch.from_pydict({"file": ["f"] * 3, "block": [0] * 3, "value": ['"a', "b", 'c"']})
+    assert next(csv_scan.summarize(iter([few]))).to_pylist()[0]["starts_0"] == 1
