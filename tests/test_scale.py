@@ -3,6 +3,7 @@
 import pandas as pd
 import pytest
 from helpers import claim, make_star, member, provider
+from pyspark.sql import functions as F
 
 from payerscope.operators import star as ops
 from payerscope.plans import build, queries
@@ -105,3 +106,32 @@ def test_a_split_is_summed_up_line_by_line_only_where_quotes_are(monkeypatch):
     assert set(seen) == {line for line in lines if '"' in line}
     few = pa.RecordBatch.from_pydict({"file": ["f"] * 3, "block": [0] * 3, "value": ['"a', "b", 'c"']})
     assert next(csv_scan.summarize(iter([few]))).to_pylist()[0]["starts_0"] == 1
+
+
+def test_window_sums_move_their_changes_once(spark):
+    from payerscope.operators import care
+
+    star = make_star(spark, [claim(1, start=20250110), claim(2, start=20250203, paid="9")], [member(1)], [provider(1)])
+    cutoffs = care.claim_months(star)
+    found = care.window_sums(star, cutoffs, -365, -1, ["paid"])
+    rows = {str(r["cutoff_date"]): (r["paid"], str(r["latest_source_date"])) for r in found.collect()}
+    assert rows == {"2025-01-01": (0, "None"), "2025-02-01": (100, "2025-01-10")}
+    assert "unique_providers" not in found.columns and "unique_providers" not in plan_of(found)
+    moves = found._jdf.queryExecution().executedPlan().toString().split("RepartitionByExpression")[0].split("REPARTITION_BY_COL")[0]
+    assert moves.count("Exchange") == 1  # above the move by member nothing moves again
+
+
+def test_the_checks_of_the_diagnosis_bridge_read_it_once(spark):
+    from payerscope.operators import quality
+
+    rows = spark.createDataFrame([("A", 1, 1), (" ", 0, 1), ("B", 2, 0)], "diagnosis_code string, diagnosis_position int, principal_flag int")
+    rows = rows.where("diagnosis_position < 99")
+    star = make_star(spark, [claim(1)], [member(1)], [provider(1)])
+    procedures = spark.createDataFrame([("P",)], "procedure_code string")
+    transfers = spark.createDataFrame([(0, 0)], "readmission_30day_flag int, same_day_transfer_flag int")
+    targets = spark.createDataFrame([(1, 0)], "member_key bigint, target_high_cost int")
+    features = {"x": (transfers.selectExpr("date'2025-01-01' AS latest_source_date", "date'2025-02-01' AS at"), F.col("at"))}
+    report = quality.extended_checks(star, rows, procedures, transfers, targets, features, targets, [2025])
+    found = {r["check_name"]: r["value"] for r in report.collect()}
+    assert (found["diagnosis_code_not_blank"], found["diagnosis_position_valid"], found["principal_is_first"]) == ("1", "1", "1")
+    assert plan_of(report).count("diagnosis_position#") and plan_of(report).count("< 99") == 1
