@@ -193,3 +193,20 @@ def test_a_planted_leak_shows_as_a_late_source_date(spark):
     right, leaky = care.window_sums(star, cutoffs, -365, -1), care.window_sums(star, cutoffs, -365, 5)
     late = lambda rows: quality.late_sources({"x": (rows, F.col("cutoff_date"))}).first()["v"]
     assert late(right) == 0 and late(leaky) == 1
+
+
+def test_windows_of_one_call_equal_those_of_their_own_and_share_one_move(spark):
+    rows = [claim(i, member=1 + i % 3, provider=1 + i % 4, start=20240101 + i % 12 * 100 + i % 25, ed=i % 2) for i in range(1, 80)]
+    star = make_star(spark, rows, [member(i) for i in range(1, 4)], [provider(i) for i in range(1, 5)], (2024,))
+    cutoffs = care.claim_months(star)
+    names = ["paid", "ed_visits", "unique_providers"]
+    both = care.sums_of_windows(star, cutoffs.unionByName(cutoffs), {"a_": (-90, -1, names), "b_": (0, 89, ["paid"])})
+    moves = both._jdf.queryExecution().analyzed().toString().count("RepartitionByExpression")
+    assert moves == 1
+    key = ["member_key", "cutoff_date"]
+    own = {}
+    for prefix, first, last, wanted in (("a_", -90, -1, names), ("b_", 0, 89, ["paid"])):
+        shown = [*wanted, "latest_source_date"]
+        own[prefix] = {tuple(r[k] for k in key): tuple(r[c] for c in shown) for r in care.window_sums(star, cutoffs, first, last, wanted).collect()}
+        assert {tuple(r[k] for k in key): tuple(r[prefix + c] for c in shown) for r in both.collect()} == own[prefix]
+    assert both.count() == len(own["a_"]) == cutoffs.count() == 12
