@@ -169,6 +169,67 @@ def test_forest_without_a_cut_and_nulls(spark):
     assert (grown.feature == -1).all() and 0.2 < grown.scores(np.array([[1.0]]))[0] < 0.8
 
 
+def test_a_level_counts_the_features_that_a_node_may_cut_by(spark, monkeypatch):
+    from payerscope.operators import forest
+
+    settings = forest.Settings(trees=5, depth=3, leaf_rows=4, bins=8, seed=9)
+    features = ["a", "b", "c", "a2", "b2"]
+    df = forest_rows(spark, 3)[0].selectExpr("id", "a", "b", "IF(id % 50 = 0, double('nan'), c) AS c", "1 - a AS a2", "b % 3 AS b2", "y")
+    sent = []
+    counts_of_level = forest.counts_of_level
+
+    def watched(*args):
+        count = counts_of_level(*args)
+        rows = df.select(*[F.col(f).cast("double") for f in features], F.col("y").cast("long"), F.xxhash64(F.col("id").cast("string")))
+        for batch in count(iter(rows.toArrow().to_batches())):
+            sent.extend((args[-1], *row) for row in zip(*(c.to_pylist() for c in batch.columns)))
+        return count
+
+    monkeypatch.setattr(forest, "counts_of_level", watched)
+    grown = forest.grow(df, "id", features, "y", (0.6, 2.0), settings)
+    frame = df.selectExpr("*", "xxhash64(string(id)) AS print").toPandas()
+    values, prints = frame[features].to_numpy(float), frame["print"].to_numpy(np.int64).view(np.uint64)
+    edges = forest.bin_edges(df, features, 8)
+
+    def place_of(tree, row, level):  # one row at a time, as the node says
+        place = 1
+        for _ in range(level):
+            f = grown.feature[tree, place]
+            if f < 0:
+                return place
+            place = 2 * place + int(row[f] >= grown.cut[tree, place])
+        return place
+
+    checked = 0
+    for level in range(3):
+        for tree in range(5):
+            at = np.array([place_of(tree, row, level) for row in values])
+            of_level = {slot: np.frombuffer(counts, np.int64) for lv, t, slot, counts in sent if (lv, t) == (level, tree)}
+            times = forest.draws(prints, tree, 9)
+            open_places = sorted(p for p in set(at[times > 0]) if p >= 2**level)
+            big = [p for p in open_places if level == 0 or times[at == p].sum() >= 8 and len(set(frame["y"][(at == p) & (times > 0)])) == 2]
+            assert len(of_level) == len(big)
+            for slot, place in enumerate(big):
+                picked = np.flatnonzero(forest.chosen_features(tree, place, 5, 9))
+                held = of_level[slot]
+                assert len(picked) == 2 and held.size == 2 * 8 * 2
+                for i, f in enumerate(picked):
+                    cells = np.searchsorted(edges[f], values[at == place, f], side="right") * 2 + frame["y"][at == place].to_numpy()
+                    assert (held.reshape(2, 16)[i] == np.bincount(cells, times[at == place], 16)).all()
+                    checked += 1
+    assert checked > 30
+    means = [np.mean([grown.share[t, place_of(t, row, 3)] for t in range(5)]) for row in values]
+    assert grown.scores(values) == pytest.approx(means, abs=1e-12)
+
+
+def test_draws_are_poisson_by_the_share(spark):
+    from payerscope.operators import forest
+
+    prints = np.random.default_rng(2).integers(0, 2**64 - 1, 200_000, dtype=np.uint64)
+    salt = forest.mix(np.array([4 + 1 + (7 << 20)], dtype=np.uint64))[0]
+    assert (forest.draws(prints, 4, 7) == np.searchsorted(forest._POISSON, forest.mix(prints ^ salt) / 2.0**64, side="right")).all()
+
+
 def test_threshold_metrics_and_calibration(spark):
     df = spark.createDataFrame([(0.95, 1), (1.0, 1), (0.85, 0), (0.05, 0), (0.15, 1)], "s double, y int")
     assert S.threshold_metrics(df, "s", "y", 0.8).first()[:] == (0.666667, 0.666667, 0.666667, 0.6)
