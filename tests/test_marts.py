@@ -1,6 +1,7 @@
 import pandas as pd
 import pytest
 from helpers import claim, make_star, member, provider
+from pyspark.sql import functions as F
 
 from payerscope.operators import kpis, marts, quality, review, sqlpack
 
@@ -119,3 +120,42 @@ def test_financials_count_a_member_once_over_services(spark):
     star = make_star(spark, claims, [member(1), member(2)], [provider(1)])
     row = marts.claims_financials(star).first()
     assert (row["claims"], row["members"], row["paid_amount"]) == (3, 2, 300.0)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().toString()
+
+
+def test_financials_equal_a_plain_distinct_count_on_odd_dimensions(spark):
+    """Keys that repeat with the same and with other labels, labels of two keys, no labels, no dimension row, null keys."""
+    claims = [
+        claim(i, member=[1, 2, 3, None][i % 4], service=[1, 2, 3, 4, 9, None][i % 6], start=20250105 + 100 * (i % 2), paid=str(i), denied=i % 2)
+        for i in range(1, 61)
+    ]
+    star = make_star(spark, claims, [member(1), member(1), member(2, state="FL"), member(2), member(3)], [provider(1)])
+    star["dim_service"] = spark.createDataFrame(
+        [(1, "A", "x"), (1, "A", "x"), (1, "B", "y"), (2, "B", "y"), (3, None, None), (4, "A", None), (4, "A", "x"), (None, "A", "x")],
+        "service_key bigint, claim_type string, service_line string",
+    )
+    label = star["dim_member"].selectExpr("member_key", "state_code AS state_code_member", "plan_type", "risk_segment")
+    group = ["paid_month_key", "state_code_member", "plan_type", "claim_type", "service_line", "risk_segment"]
+    plain = star["fact_claim"].join(label, "member_key", "left").join(star["dim_service"], "service_key", "left").groupBy(*group).agg(
+        F.count("claim_key").alias("claims"), F.countDistinct("member_key").alias("members"),
+        F.sum("paid_amount").cast("double").alias("paid_amount"), F.sum("denied_flag").alias("denied_claims"),
+    )
+    found = marts.claims_financials(star)
+    assert sorted(map(str, found.select(*plain.columns).collect())) == sorted(map(str, plain.collect())) and plain.count() > 10
+    assert "count(distinct" not in plan_of(found)
+
+
+def test_provider_sums_are_formed_before_members_are_told_apart(spark):
+    claims = [claim(i, member=[1, 2, None][i % 3], provider=[1, 2, 3, None][i % 4], paid=str(i), ed=i % 2) for i in range(1, 41)]
+    star = make_star(spark, claims + [claim(99, member=None, provider=7)], [member(1), member(2)], [provider(i) for i in (1, 2, 3)])
+    base = marts.provider_base(star)
+    plain = star["fact_claim"].where("provider_key IS NOT NULL").groupBy("provider_key").agg(
+        F.count("claim_key"), F.countDistinct("member_key"), F.sum("paid_amount"), F.sum("ed_flag"))
+    held = base.select("provider_key", "claims", "members", "paid", "ed_claims")
+    assert sorted(map(tuple, held.collect())) == sorted(map(tuple, plain.collect()))
+    # what moves by provider and member holds the two keys and nothing else
+    by_both = [line for line in plan_of(base).splitlines() if "Aggregate(keys=[provider_key" in line and "member_key" in line.split("functions=")[0]]
+    assert by_both and all("functions=[]" in line for line in by_both)
