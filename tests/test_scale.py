@@ -135,3 +135,48 @@ def test_the_checks_of_the_diagnosis_bridge_read_it_once(spark):
     found = {r["check_name"]: r["value"] for r in report.collect()}
     assert (found["diagnosis_code_not_blank"], found["diagnosis_position_valid"], found["principal_is_first"]) == ("1", "1", "1")
     assert plan_of(report).count("diagnosis_position#") and plan_of(report).count("< 99") == 1
+
+
+def test_lines_move_with_their_day_and_whether_they_were_denied(spark, tables):
+    from payerscope.sources import tables as src
+
+    for plan in (plan_of(src.as_claims(src.claim_lines(spark, tables))), plan_of(build.loose_extract(src.claim_lines(spark, tables)))):
+        above = plan[:plan.rindex("Join LeftOuter")]
+        assert "l_shipdate" not in above and "l_returnflag" not in above and "denied" in above
+    claims = src.as_claims(src.claim_lines(spark, tables))
+    assert {(r["claim_id"][:3], r["denied_flag"], r["claim_from_date_key"]) for r in claims.collect()} == {
+        ("1-1", 1, 19980105), ("1-2", 0, 19980309), ("2-1", 0, 19990201), ("3-1", 1, 19990201), ("3-2", 0, 19990708)}
+
+
+def test_events_and_months_move_by_member_and_not_before(spark):
+    from payerscope.operators import care
+
+    rows = [claim(i, member=1 + i % 2, start=20250105 + i % 3 * 100, inpatient=i % 2) for i in range(1, 9)]
+    star = make_star(spark, rows, [member(1), member(2)], [provider(1)])
+    found = care.sums_of_windows(star, care.month_start, {"prior_": (-365, -1, ["paid"]), "next_": (0, 364, ["paid", "readmissions"])})
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
+def test_opportunity_rows_stay_in_place_and_are_counted_once(spark, monkeypatch):
+    from payerscope.operators import scoring
+
+    written = {}
+    real = scoring.write_shared
+    def keep(df, name, *more):
+        written[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return real(df, name, *more)
+    monkeypatch.setattr(scoring, "write_shared", keep)
+    rows = spark.createDataFrame([("2025-01-01", float(i), i, i % 3) for i in range(40)], "day string, s double, next_paid int, next_readmissions int")
+    found = scoring.opportunity_of(rows.select(F.to_date("day").alias("cutoff_date"), "s", F.col("next_paid").cast("decimal(28,2)"), "next_readmissions"), "s")
+    assert "cutoff_date" not in "".join(line for line in written["opportunity_cuts"].splitlines() if "isnotnull(cutoff_date" in line)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and plan.count("Exchange hashpartitioning") == 1  # the one of the sums by date
+    got = found.first()
+    assert (got["members"], got["workload"], got["next_paid"], got["flagged_next_paid"]) == (40, 4, 780, 36 + 37 + 38 + 39)
+
+
+def test_tables_as_long_as_the_claims_are_written_compactly(spark):
+    from payerscope.functions.ranking import dense_key
+
+    placed = dense_key(spark.range(9), ["id"], "place", "numbered")
+    assert all(".zstd." in f for f in placed.inputFiles()) and [r["place"] for r in placed.orderBy("id").collect()] == list(range(1, 10))

@@ -210,3 +210,15 @@ def test_windows_of_one_call_equal_those_of_their_own_and_share_one_move(spark):
         own[prefix] = {tuple(r[k] for k in key): tuple(r[c] for c in shown) for r in care.window_sums(star, cutoffs, first, last, wanted).collect()}
         assert {tuple(r[k] for k in key): tuple(r[prefix + c] for c in shown) for r in both.collect()} == own[prefix]
     assert both.count() == len(own["a_"]) == cutoffs.count() == 12
+
+
+def test_months_by_rule_and_crowded_members_give_the_sums_of_asked_months(spark, monkeypatch):
+    rows = [claim(i, member=1 + i % 3, provider=1 + i % 4, start=20240101 + i % 12 * 100 + i % 25, ed=i % 2, inpatient=i % 3 % 2) for i in range(1, 80)]
+    rows += [claim(90, member=None), (*claim(91, member=7)[:6], None, None, None, *claim(91)[9:])]  # no member, no date
+    star = make_star(spark, rows, [member(i) for i in range(1, 4)], [provider(i) for i in range(1, 5)], (2024,))
+    windows = {"a_": (-90, -1, list(care.WINDOW_MEASURES)), "b_": (0, 89, ["paid", "readmissions"])}
+    shown = lambda cutoffs: sorted(map(tuple, care.sums_of_windows(star, cutoffs, windows).collect()))
+    asked = shown(care.claim_months(star))
+    assert asked and not care.crowded(star) and shown(care.month_start) == asked
+    monkeypatch.setattr(care, "CROWDED", 3)
+    assert care.crowded(star) and shown(care.month_start) == asked and shown(care.claim_months(star)) == asked
