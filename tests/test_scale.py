@@ -5,8 +5,10 @@ import pytest
 from helpers import claim, make_star, member, provider
 from pyspark.sql import functions as F
 
+from payerscope.functions import joins
 from payerscope.operators import star as ops
 from payerscope.plans import build, queries
+from payerscope.sources import tables as src
 
 
 def plan_of(df):
@@ -180,3 +182,21 @@ def test_tables_as_long_as_the_claims_are_written_compactly(spark):
 
     placed = dense_key(spark.range(9), ["id"], "place", "numbered")
     assert all(".zstd." in f for f in placed.inputFiles()) and [r["place"] for r in placed.orderBy("id").collect()] == list(range(1, 10))
+
+
+@pytest.mark.parametrize("most", [1, 500_000])
+def test_dimensions_are_broadcast_by_their_rows(spark, tables, monkeypatch, most):
+    """The files of a few columns of a long dimension are below Spark's size for a broadcast; its hash table is not."""
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", most)
+    star = build.star_of(spark, tables)
+    rows = ops.enrich_episodes(star).select("episode_key", "age", "raf_like_score", "quality_score")
+    joined = rows._jdf.queryExecution().sparkPlan().toString()
+    for key in ("member_key", "provider_key"):
+        assert (f"BroadcastHashJoin [{key}" in joined) == (most > 1) and (f"SortMergeJoin [{key}" in joined) == (most == 1)
+    assert rows.count() == star["fact_inpatient_episode"].count()
+
+
+def test_long_parts_are_not_broadcast(spark, tables, monkeypatch):
+    monkeypatch.setattr(src, "TWO_COLUMN_ROWS", 1)
+    joined = src.claim_lines(spark, tables)._jdf.queryExecution().sparkPlan().toString()
+    assert any("SortMergeJoin [l_partkey" in line for line in joined.splitlines())
