@@ -1,10 +1,13 @@
 """What queries must not do at size: plans and counts of small tables show it."""
 
+import time
+
 import pandas as pd
 import pytest
 from helpers import claim, make_star, member, provider
 from pyspark.sql import functions as F
 
+from payerscope import session
 from payerscope.functions import joins
 from payerscope.operators import star as ops
 from payerscope.plans import build, queries
@@ -200,3 +203,31 @@ def test_long_parts_are_not_broadcast(spark, tables, monkeypatch):
     monkeypatch.setattr(src, "TWO_COLUMN_ROWS", 1)
     joined = src.claim_lines(spark, tables)._jdf.queryExecution().sparkPlan().toString()
     assert any("SortMergeJoin [l_partkey" in line for line in joined.splitlines())
+
+
+def test_a_compressed_extract_of_several_files_keeps_its_order(spark, tables, monkeypatch):
+    monkeypatch.setattr(queries, "EXTRACT_FILE", 3)
+    path = queries.written_extract(spark, tables)
+    files = [name for name in session.list_names(spark, path) if name.startswith("part-")]
+    assert len(files) > 2 and all(name.endswith(".csv.gz") for name in files)
+    rows = queries.custom_row_keys(spark, tables).orderBy("claim_key").collect()
+    assert [r["claim_key"] for r in rows] == list(range(1, len(rows) + 1)) and len(rows) == src.claim_lines(spark, tables).count()
+    assert [r["claim_id"] for r in rows] == sorted(r["claim_id"] for r in rows)
+
+
+def shuffled(spark) -> set[str]:
+    """The shuffles whose files lie on the disk now."""
+    env = spark._jvm.org.apache.spark.SparkEnv.get()
+    names = env.blockManager().diskBlockManager().getAllFiles().mkString(",").split(",")
+    return {name.rsplit("/", 1)[1].split("_")[1] for name in names if "/shuffle_" in name}
+
+
+def test_a_long_write_lets_its_shuffles_go(spark, monkeypatch):
+    monkeypatch.setattr(session, "LONG_WRITE", 0.0)
+    before = shuffled(spark)
+    written = session.write_shared(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "sevenths")
+    until = time.monotonic() + 20
+    while shuffled(spark) - before and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not shuffled(spark) - before
+    assert sorted(r["count"] for r in written.collect()) == [142] + [143] * 6
